@@ -108,7 +108,7 @@ def yesterday(run_date=None) -> Column:
 
 # F24 -- truncate money toward zero to an integer
 def truncate_money(c) -> Column:
-    return F.try_cast(_c(c), "double").cast("bigint")
+    return _c(c).try_cast("double").cast("bigint")
 
 
 # F25 -- presence indicator with Python truthiness: null/''/0/false/[] -> 0, else 100

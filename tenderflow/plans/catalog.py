@@ -38,3 +38,26 @@ register("kpi_missing_buyer_reg", REPORT_SQL["kpi_missing_buyer_reg"])(_graph_qu
 register("kpi_organizations", REPORT_SQL["kpi_organizations"])(_graph_query(R.kpi_organizations))
 register("report_delta", REPORT_SQL["report_delta"])(
     lambda spark, sf_dir: R.report_delta(R.monthly_awards(build_graph(spark, sf_dir)), "month", "awarded_lots"))
+
+# ---- T1-T19: star-schema table builds (whole tables: no date window) -------
+from ..sources import dims as D  # noqa: E402
+from . import tables as T  # noqa: E402
+from .oracle_tables import TABLE_SQL  # noqa: E402
+
+_RATED = {"table_notice": T.t_notice, "table_procedure": T.t_procedure, "table_lot": T.t_lot,
+          "table_lot_award_outcome": T.t_lot_award_outcome, "table_submission_statistics": T.t_submission_statistics}
+_PLAIN = {"table_lot_award": T.t_lot_award, "table_buyer": T.t_buyer, "table_winner": T.t_winner,
+          "table_organization": T.t_organization, "table_address": T.t_address,
+          "table_organization_address": T.t_organization_address, "table_contact_point": T.t_contact_point,
+          "table_contact_point_email": T.t_contact_point_email,
+          "table_contact_point_internet_address": T.t_contact_point_internet_address,
+          "table_place_of_performance": T.t_place_of_performance, "table_lot_cpv": T.t_lot_cpv,
+          "table_procedure_cpv": T.t_procedure_cpv}
+for _name, _fn in _RATED.items():
+    register(_name, TABLE_SQL.get(_name))(
+        lambda spark, sf_dir, fn=_fn: fn(build_graph(spark, sf_dir), D.rates(spark, sf_dir)))
+for _name, _fn in _PLAIN.items():
+    register(_name, TABLE_SQL.get(_name))(lambda spark, sf_dir, fn=_fn: fn(build_graph(spark, sf_dir)))
+register("table_cpv", TABLE_SQL["table_cpv"])(lambda spark, sf_dir: T.t_cpv(build_graph(spark, sf_dir)))
+register("table_nuts", TABLE_SQL["table_nuts"])(
+    lambda spark, sf_dir: T.t_nuts(build_graph(spark, sf_dir), D.nuts_codes(spark, sf_dir)))

@@ -10,7 +10,7 @@ RES = "http://example.org/res/"
 
 
 def alpha2(nk: str) -> str:
-    return f"(chr(65 + (({nk}) // 26) % 26) || chr(65 + ({nk}) % 26))"
+    return f"(chr(cast(65 + (({nk}) // 26) % 26 as integer)) || chr(cast(65 + ({nk}) % 26 as integer)))"
 
 
 def alpha3(nk: str) -> str:
@@ -18,7 +18,7 @@ def alpha3(nk: str) -> str:
 
 
 def nuts3(key: str, nk: str) -> str:
-    return (f"({alpha2(nk)} || chr(65 + ({key}) % 3) || cast(1 + (({key}) // 3) % 4 as varchar)"
+    return (f"({alpha2(nk)} || chr(cast(65 + ({key}) % 3 as integer)) || cast(1 + (({key}) // 3) % 4 as varchar)"
             f" || cast(1 + (({key}) // 12) % 5 as varchar))")
 
 

@@ -168,6 +168,10 @@ def build_graph(spark: SparkSession, sf_dir: str) -> Graph:
     for status, tclass in TECHNIQUES.items():
         typ(tclass, lambda st=status, tc=tclass: branch(O().where(F.col("o_orderstatus") == st), tech, cls(tc)))
     add("hasOverallPurpose", lambda: branch(O(), proc, ppurpose))
+    add("hasPurpose", lambda: branch(O(), proc, ppurpose))
+    nai = order_iri("NoticeAwardInformation")
+    add("announcesNoticeAwardInformation", lambda: branch(O().where(F.col("o_orderstatus") == "F"), notice, nai))
+    add("hasTotalAwardedValue", lambda: branch(O().where(F.col("o_orderstatus") == "F"), nai, pvalue))
     typ("Purpose", lambda: branch(O(), ppurpose, cls("Purpose")))
     add("hasMainClassification", lambda: branch(
         L().select(order_iri("ProcedurePurpose", "l_orderkey").alias("s_"),
@@ -228,9 +232,11 @@ def build_graph(spark: SparkSession, sf_dir: str) -> Graph:
     typ("Location", lambda: branch(L(), loc, cls("Location")))
     add("hasNutsCode", lambda: branch(L(), loc, F.concat(F.lit(NUTS_NS), nuts3(F.col("l_partkey"),
                                                                                 F.col("l_suppkey") % 25))))
-    add("fullAddress", lambda: branch(L(), loc,
-                                      F.concat(F.lit("Lieu "), s("l_partkey")), "literal", "fr"))
-    add("fullAddress", lambda: branch(L().where(F.col("l_linestatus") == "O"), loc,
+    laddr = row_iri("LotAddress")
+    add("address", lambda: branch(L(), loc, laddr))
+    typ("Address", lambda: branch(L(), laddr, cls("Address")))
+    add("fullAddress", lambda: branch(L(), laddr, F.concat(F.lit("Lieu "), s("l_partkey")), "literal", "fr"))
+    add("fullAddress", lambda: branch(L().where(F.col("l_linestatus") == "O"), laddr,
                                       F.concat(F.lit("Site of part "), s("l_partkey")), "literal", "en"))
     add("definesContractDuration", lambda: branch(L().where(F.col("l_linestatus") == "O"), term, dur))
     typ("SpecificDuration", lambda: branch(L().where(F.col("l_linestatus") == "O"), dur, cls("SpecificDuration")))
@@ -320,4 +326,7 @@ def build_graph(spark: SparkSession, sf_dir: str) -> Graph:
     typ("Business", lambda: branch(S(), org_iri("supplier", "s_suppkey"), cls("Business")))
     add("hasBusinessSize", lambda: branch(S(), org_iri("supplier", "s_suppkey"),
                                           F.when(F.col("s_acctbal") < 5000, "sme").otherwise("large"), "literal"))
+    from .dims import taxonomy_branches  # named graphs of the two code taxonomies (S3)
+    for key, builders in taxonomy_branches(spark, sf_dir).items():
+        B[key].extend(builders)
     return Graph(spark, branches=dict(B))

@@ -43,6 +43,7 @@ _EPO_PREDICATES = [
     "hasReceivedSMETenders", "hasEUReceivedTenders", "hasReceivedNonEUTenders", "hasElectronicTenders",
     "hasHighestReceivedTenderValue", "hasLowestReceivedTenderValue", "hasLegalName", "hasPrimaryContactPoint",
     "hasBusinessSize", "hasCountryCode", "isSubjectToProcedureSpecificTerm", "isAwardedByCPB",
+    "announcesNoticeAwardInformation", "hasTotalAwardedValue",
 ]
 
 
@@ -64,6 +65,7 @@ V.update({
     "postName": LOCN + "postName",
     "thoroughfare": LOCN + "thoroughfare",
     "fullAddress": LOCN + "fullAddress",
+    "address": LOCN + "address",
     "ContactPoint": CPOV + "ContactPoint",
     "email": CPOV + "email",
     "telephone": CPOV + "telephone",
@@ -72,6 +74,7 @@ V.update({
     "hasContactName": EPO + "hasContactName",
     "prefLabel": "http://www.w3.org/2004/02/skos/core#prefLabel",
     "broader": "http://www.w3.org/2004/02/skos/core#broader",
+    "identifier": "http://purl.org/dc/elements/1.1/identifier",
 })
 
 # ---- fixed values (must stay as they are for results to match) ----------
