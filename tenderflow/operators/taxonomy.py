@@ -158,3 +158,36 @@ def nuts_code_by_level(df: DataFrame, col: str, nuts: DataFrame, level: int, out
     known = nuts.select(F.col("code").alias("_cand2")).distinct()
     j = df.join(F.broadcast(known), F.col("_cand") == F.col("_cand2"), "left")
     return j.withColumn(out, F.when(F.col("_cand2").isNotNull(), F.col("_cand"))).drop("_cand", "_cand2")
+
+
+def cpv_list_columns(df: DataFrame, key: str, col: str, dim: DataFrame, ranks: list[int] = (0, 1, 2, 3, 4),
+                     labels: bool = True) -> DataFrame:
+    """C5-C7 + X11 in one pass: explode the code list once, broadcast-join the dimension, regroup once.
+
+    Adds ``cpv_parent`` (C7), ``cpv_level`` (C6, order kept), ``cpv<r>`` (C5) and replaces ``col`` by
+    labels when ``labels``; sets are sorted by code and empty sets are null. One exchange on ``key``
+    and one join back, however many list columns are derived.
+    """
+    lab = dim.select(F.col("code").alias("_lc"), F.col("label").alias("_ll"))
+    d = dim.select(F.col("code").alias("_code"), F.col("label").alias("_label"), F.col("rank").alias("_rank"),
+                   F.when(F.col("rank") >= 1, F.element_at(F.array(*[F.col(f"anc{r}") for r in range(5)]),
+                                                           F.col("rank"))).alias("_par"),
+                   *[F.col(f"anc{r}").alias(f"_a{r}") for r in ranks])
+    for c in ["_par"] + [f"_a{r}" for r in ranks]:
+        d = d.join(F.broadcast(lab.select(F.col("_lc").alias(c), F.col("_ll").alias(c + "_l"))), c, "left")
+    e = df.select(key, F.posexplode(col).alias("_pos", "_code")).join(F.broadcast(d), "_code", "left")
+
+    def sorted_set(code_col: str, out: str):
+        s = F.array_sort(F.collect_set(F.when(F.col(code_col).isNotNull(),
+                                              F.struct(F.col(code_col).alias("c"), F.col(code_col + "_l").alias("l")))))
+        v = F.transform(s, lambda x: x["l"] if labels else x["c"])
+        return F.when(F.size(s) > 0, v).alias(out)
+
+    ordered = F.array_sort(F.collect_list(F.struct("_pos", "_rank", F.col("_label" if labels else "_code")
+                                                   .alias("_v"))))
+    aggs = [F.transform(ordered, lambda x: x["_rank"]).alias("cpv_level"),
+            F.transform(ordered, lambda x: x["_v"]).alias("_listed"), sorted_set("_par", "cpv_parent")]
+    aggs += [sorted_set(f"_a{r}", f"cpv{r}") for r in ranks]
+    g = e.groupBy(key).agg(*aggs)
+    out = df.join(g, key, "left")
+    return out.withColumn(col, F.col("_listed")).drop("_listed")

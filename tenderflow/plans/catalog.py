@@ -61,3 +61,36 @@ for _name, _fn in _PLAIN.items():
 register("table_cpv", TABLE_SQL["table_cpv"])(lambda spark, sf_dir: T.t_cpv(build_graph(spark, sf_dir)))
 register("table_nuts", TABLE_SQL["table_nuts"])(
     lambda spark, sf_dir: T.t_nuts(build_graph(spark, sf_dir), D.nuts_codes(spark, sf_dir)))
+
+# ---- X1-X13: wide lot table and tiers --------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql import types as _T  # noqa: E402
+
+from . import lots as X  # noqa: E402
+from .oracle_lots import CPV_DIM_SQL, lots_sql  # noqa: E402
+
+
+def as_text(df: DataFrame) -> DataFrame:
+    """Comparison view: lists as ' ||| '-joined text (the transport format), dates as ISO text."""
+    cols = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, _T.ArrayType):
+            cols.append(F.array_join(F.col(f.name).cast("array<string>"), " ||| ", "NULL").alias(f.name))
+        elif isinstance(f.dataType, (_T.DateType, _T.TimestampType)):
+            cols.append(F.col(f.name).cast("string").alias(f.name))
+        else:
+            cols.append(F.col(f.name))
+    return df.select(*cols)
+
+
+def enriched_lots(spark: SparkSession, sf_dir: str, window=None) -> DataFrame:
+    g = build_graph(spark, sf_dir)
+    return X.enrich(X.clean(X.build_lots(g, window)), D.cpv_codes(spark, sf_dir), D.rates(spark, sf_dir),
+                    D.countries(spark, sf_dir))
+
+
+for _tier in ("free", "starter", "premium"):
+    register(f"tier_{_tier}", lots_sql(_tier))(
+        lambda spark, sf_dir, t=_tier: as_text(X.tier(enriched_lots(spark, sf_dir), t)))
+register("cpv_dim", CPV_DIM_SQL)(lambda spark, sf_dir: __import__(
+    "tenderflow.operators.taxonomy", fromlist=["cpv_dim"]).cpv_dim(D.cpv_codes(spark, sf_dir)))

@@ -218,8 +218,6 @@ def t_buyer(g: Graph, window=None) -> DataFrame:
 
 
 def t_winner(g: Graph, window=None) -> DataFrame:
-    n = match(notices(g, window), pattern(g, "refersToLot", "Notice", "Lot"),
-              pattern(g, "announcesRole", "Notice", "Winner"))
     lao = typed(typed(match(pattern(g, "describesLot", "LotAwardOutcome", "Lot"),
                             pattern(g, "comprisesTenderAwardOutcome", "LotAwardOutcome", "Tender")),
                       g, "LotAwardOutcome", "LotAwardOutcome"), g, "Lot", "Lot")
@@ -227,7 +225,10 @@ def t_winner(g: Graph, window=None) -> DataFrame:
                     pattern(g, "playedBy", "Winner", "Organization")), g, "Winner", "Winner")
     cp = typed(pattern(g, "hasPrimaryContactPoint", "Organization", "ContactPoint"), g, "ContactPoint",
                "ContactPoint")
-    j = match(lao, w, n, cp)
+    # lot-centred chain first; the notice's role is then matched on (Notice, Winner) together, so a
+    # notice with many lots and winners never pairs all of them
+    j = match(lao, w, cp, pattern(g, "refersToLot", "Notice", "Lot"), notices(g, window),
+              pattern(g, "announcesRole", "Notice", "Winner"))
     return j.select(surrogate_key(local_name("LotAwardOutcome"), local_name("Organization"))
                     .alias("LotAwardOutcomeOrganizationId"), local_name("LotAwardOutcome").alias("LotAwardOutcomeId"),
                     local_name("Organization").alias("OrganizationId"),

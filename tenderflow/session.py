@@ -32,7 +32,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
     for k, v in LOCAL_DEFAULTS.items():
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("TENDERFLOW_DRIVER_MEMORY", "8g"))
+    builder = builder.config("spark.driver.memory", os.environ.get("TENDERFLOW_DRIVER_MEMORY", "16g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

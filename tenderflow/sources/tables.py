@@ -19,13 +19,17 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._frames: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return os.path.join(self.sf_dir, f"{name}.parquet")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
-            return self.spark.read.parquet(self.path(name))
+            # one reader per table: schema discovery runs once, every branch reuses the relation
+            if name not in self._frames:
+                self._frames[name] = self.spark.read.parquet(self.path(name))
+            return self._frames[name]
         raise AttributeError(name)
 
     def __getitem__(self, name: str) -> DataFrame:
