@@ -94,3 +94,113 @@ for _tier in ("free", "starter", "premium"):
         lambda spark, sf_dir, t=_tier: as_text(X.tier(enriched_lots(spark, sf_dir), t)))
 register("cpv_dim", CPV_DIM_SQL)(lambda spark, sf_dir: __import__(
     "tenderflow.operators.taxonomy", fromlist=["cpv_dim"]).cpv_dim(D.cpv_codes(spark, sf_dir)))
+
+# ---- K2-K7, W1/W2: keyed loading; R1-R9: registry; I5: stream ---------------
+from ..operators import keyed as K  # noqa: E402
+from ..operators import registry as RG  # noqa: E402
+from ..sources.tables import Tables  # noqa: E402
+
+LINE_KEY = ["l_orderkey", "l_linenumber"]
+LINE_ORDER = ["l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
+_LINE_COLS = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice"
+
+
+def _lines(spark, sf_dir):
+    return Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                                 "l_shipdate", "l_extendedprice")
+
+
+def _ts_text(df):
+    return df.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+register("keep_first", f"""
+select {_LINE_COLS}, cast(l_shipdate as varchar) as l_shipdate from (
+  select *, row_number() over (partition by l_orderkey, l_linenumber
+                               order by l_partkey, l_suppkey, l_shipdate, l_extendedprice) as rn from lineitem)
+where rn = 1""")(lambda spark, sf_dir: K.keep_first(_lines(spark, sf_dir), LINE_KEY, LINE_ORDER)
+                 .withColumn("l_shipdate", F.col("l_shipdate").cast("string")))
+register("pk_violations", """
+select l_orderkey, l_linenumber, count(*) as n from lineitem group by 1, 2 having count(*) > 1""")(
+    lambda spark, sf_dir: K.pk_violations(_lines(spark, sf_dir), LINE_KEY))
+register("fk_orphans", """
+select 'l_suppkey' as fk, count(*) as child_rows,
+       count(*) filter (where l_suppkey not in (select s_suppkey from supplier)) as orphan_rows from lineitem""")(
+    lambda spark, sf_dir: K.fk_summary(Tables(spark, sf_dir).lineitem, ["l_suppkey"], Tables(spark, sf_dir).supplier,
+                                       ["s_suppkey"], "l_suppkey"))
+register("insert_if_absent", f"""
+with e as (select * from (select *, row_number() over (partition by l_orderkey, l_linenumber
+             order by l_partkey, l_suppkey, l_shipdate, l_extendedprice) rn from lineitem
+           where l_shipdate < timestamp '1998-01-01') where rn = 1),
+     n as (select * from (select *, row_number() over (partition by l_orderkey, l_linenumber
+             order by l_partkey, l_suppkey, l_shipdate, l_extendedprice) rn from lineitem
+           where l_shipdate >= timestamp '1998-01-01') where rn = 1)
+select {_LINE_COLS}, cast(l_shipdate as varchar) as l_shipdate from e
+union all
+select {_LINE_COLS}, cast(l_shipdate as varchar) from n
+where (l_orderkey, l_linenumber) not in (select (l_orderkey, l_linenumber) from e)""")(
+    lambda spark, sf_dir: K.insert_if_absent(
+        K.keep_first(_lines(spark, sf_dir).where(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp")),
+                     LINE_KEY, LINE_ORDER),
+        K.keep_first(_lines(spark, sf_dir).where(F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp")),
+                     LINE_KEY, LINE_ORDER), LINE_KEY).withColumn("l_shipdate", F.col("l_shipdate").cast("string")))
+_LATEST_EVENTS = """
+select user_id, event_type, arg_max(event_id, (ts, event_id)) as event_id,
+       strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') as ts, arg_max(value, (ts, event_id)) as value
+from events group by 1, 2"""
+
+
+def _upsert_events(spark, sf_dir):
+    ev = Tables(spark, sf_dir).events.select("user_id", "event_type", "event_id", "ts", "value")
+    first_half = ev.where(F.col("ts") < F.lit("2024-01-15").cast("timestamp"))
+    second_half = ev.where(F.col("ts") >= F.lit("2024-01-15").cast("timestamp"))
+    return _ts_text(K.upsert(K.keep_last(first_half, ["user_id", "event_type"], ["ts", "event_id"]), second_half,
+                             ["user_id", "event_type"], ["ts", "event_id"]))
+
+
+register("upsert_last", _LATEST_EVENTS)(_upsert_events)
+register("incremental_load", _LATEST_EVENTS)(
+    lambda spark, sf_dir: __import__("tenderflow.streaming.ingest", fromlist=["x"]).latest_events(spark, sf_dir))
+
+_STATUS_SQL = ("case event_type when 'signup' then 'RAW' when 'view' then 'NORMALISED_METADATA' when 'click' "
+               "then 'DISTILLED' when 'purchase' then 'VALIDATED' when 'error' then 'PACKAGED' end")
+
+
+def _reg(spark, sf_dir):
+    return RG.registry_from_events(Tables(spark, sf_dir).events)
+
+
+register("select_notices", f"""
+select event_id as notice_id from events
+where {_STATUS_SQL} in ('RAW', 'NORMALISED_METADATA') and cast(ts as date) between date '2024-01-05' and date '2024-01-20'""")(
+    lambda spark, sf_dir: RG.select_notices(_reg(spark, sf_dir), ["RAW", "NORMALISED_METADATA"],
+                                            start="2024-01-05", end="2024-01-20"))
+for _b, _st in RG.BACKLOG.items():
+    _in = ", ".join(f"'{x}'" for x in _st)
+    register(f"backlog_{_b}", f"select event_id as notice_id from events where {_STATUS_SQL} in ({_in})")(
+        lambda spark, sf_dir, b=_b: RG.backlog(_reg(spark, sf_dir), b))
+register("reset_status", f"""
+select event_id as notice_id,
+       case when {_STATUS_SQL} = 'RAW' and value < 100 then 'INDEXED' else {_STATUS_SQL} end as status,
+       'F' || user_id as form_number, case when value < 100 then 'R2.0.8' else 'R2.0.9' end as xsd_version,
+       cast(cast(ts as date) as varchar) as publication_date
+from events""")(lambda spark, sf_dir: RG.reset_status(
+    _reg(spark, sf_dir), _reg(spark, sf_dir).where(F.col("xsd_version") == "R2.0.8"), "RAW", "INDEXED")
+    .withColumn("publication_date", F.col("publication_date").cast("string")))
+register("dashboard_selection", f"""
+select event_id as notice_id from events
+where {_STATUS_SQL} in ('DISTILLED', 'VALIDATED', 'PACKAGED') and cast(ts as date) = date '2024-01-10'""")(
+    lambda spark, sf_dir: RG.dashboard_selection(_reg(spark, sf_dir), "2024-01-10", "2024-01-10"))
+register("best_version", """
+with reg as (select event_id as notice_id, 'F' || user_id as form_number,
+                    case when value < 100 then 'R2.0.8' else 'R2.0.9' end as xsd_version, cast(ts as date) as d
+             from events),
+forms as (select form_number, min(d) as lo from reg group by 1),
+pk as (select f.form_number, p.* from forms f, (values
+         (0, '1.0.0', 1, 0, 0, 'R2.0.8', 'R2.0.9', 0, 30), (1, '1.2.0', 1, 2, 0, 'R2.0.9', 'R2.0.9', 0, 14),
+         (2, '1.10.0-rc1', 1, 10, 0, 'R2.0.8', 'R2.0.8', 10, 30)) p(position, version, ma, mi, pa, min_xsd, max_xsd, d0, d1)),
+el as (select r.notice_id, k.form_number || '-' || k.version as package_id, k.ma, k.mi, k.pa, k.position
+       from reg r join pk k on k.form_number = r.form_number join forms f on f.form_number = r.form_number
+       where r.xsd_version between k.min_xsd and k.max_xsd and r.d between f.lo + k.d0 and f.lo + k.d1)
+select notice_id, arg_max(package_id, (ma, mi, pa, -position)) as package_id, true as eligible from el group by 1""")(
+    lambda spark, sf_dir: RG.best_version(_reg(spark, sf_dir), RG.packages_from_registry(_reg(spark, sf_dir))))
