@@ -204,3 +204,105 @@ el as (select r.notice_id, k.form_number || '-' || k.version as package_id, k.ma
        where r.xsd_version between k.min_xsd and k.max_xsd and r.d between f.lo + k.d0 and f.lo + k.d1)
 select notice_id, arg_max(package_id, (ma, mi, pa, -position)) as package_id, true as eligible from el group by 1""")(
     lambda spark, sf_dir: RG.best_version(_reg(spark, sf_dir), RG.packages_from_registry(_reg(spark, sf_dir))))
+
+# ---- E1-E7, D1-D7: nested tender documents -----------------------------------
+from ..operators import documents as DOC  # noqa: E402
+from ..sources import json_docs as J  # noqa: E402
+from .oracle_sql import alpha2 as _a2, cpv as _cpv, currency as _cur, nuts3 as _n3  # noqa: E402
+from .oracle_tables import CPV_CODES as CPV_CODES_SQL  # noqa: E402
+
+_DOC_FROM = """from lineitem l join orders o on o.o_orderkey = l.l_orderkey join customer c on c.c_custkey = o.o_custkey
+join supplier s on s.s_suppkey = l.l_suppkey"""
+_TID = "(l.l_orderkey || '-' || l.l_linenumber || '-' || l.l_partkey || '-' || l.l_suppkey)"
+
+
+def _ind_sql(names, a, b, prefix=""):
+    return ", ".join(f"case when ({b} + {i}) % 4 <> 0 then cast((({a} + {i}) % 3) * 50 as double) end as {prefix}{n}"
+                     for i, n in enumerate(names))
+
+
+def _docs(spark, sf_dir):
+    return J.tender_documents(spark, sf_dir)
+
+
+def _explode_tenders(spark, sf_dir):
+    d = _docs(spark, sf_dir).select(F.col("tender.id").alias("tender_id"), F.col("tender.title").alias("tender_title"),
+                                    F.explode("tender.buyers").alias("buyer"), "tender.lots")
+    d = d.select("tender_id", "tender_title", F.col("buyer.name").alias("buyer_name"), F.explode("lots").alias("lot"))
+    d = d.select("tender_id", "tender_title", "buyer_name", F.col("lot.lotId").alias("lot_id"),
+                 F.explode("lot.bids").alias("bid"))
+    d = d.select("tender_id", "tender_title", "buyer_name", "lot_id", F.col("bid.bidId").alias("bid_id"),
+                 F.col("bid.price.netAmount").alias("bid_price"), F.explode("bid.bidders").alias("b"))
+    return d.select("tender_id", "tender_title", "buyer_name", "lot_id", "bid_id", "bid_price",
+                    F.col("b.id").alias("bidder_id"), F.col("b.name").alias("bidder_name"),
+                    F.col("b.isSme").alias("bidder_is_sme"))
+
+
+register("explode_tenders", f"""
+select {_TID} as tender_id, 'Contract ' || l.l_orderkey as tender_title, c.c_name as buyer_name,
+       cast(l.l_linenumber as varchar) as lot_id, {_TID} as bid_id, l.l_extendedprice as bid_price,
+       'S' || s.s_suppkey as bidder_id, s.s_name as bidder_name, s.s_acctbal < 5000 as bidder_is_sme
+{_DOC_FROM}""")(_explode_tenders)
+register("tender_cpvs", f"""
+select {_TID} as tender_id, {_cpv('l.l_partkey')} as main_cpv,
+       {_cpv('l.l_partkey')} || ' ||| ' || substr({_cpv('l.l_partkey')}, 1, 2) || '000000' as all_cpvs
+from lineitem l""")(lambda spark, sf_dir: as_text(_docs(spark, sf_dir).select(
+    F.col("tender.id").alias("tender_id"), DOC.main_cpv("tender.cpvs").alias("main_cpv"),
+    DOC.all_cpvs("tender.cpvs").alias("all_cpvs"))))
+register("flatten_struct", f"""
+select {_TID} as tender_id, 'Contract ' || l.l_orderkey as tender_title, {_a2('c.c_nationkey')} as tender_country,
+       case o.o_orderpriority when '1-URGENT' then 'open' when '2-HIGH' then 'restricted' when '3-MEDIUM' then
+         'neg-w-call' when '4-NOT SPECIFIED' then 'comp-dial' when '5-LOW' then 'neg-wo-call' end as tender_procedureType,
+       case when s.s_acctbal < 5000 then 'SME' end as tender_size,
+       o.o_totalprice as tender_estimatedPrice_netAmount, {_cur('o.o_custkey')} as tender_estimatedPrice_currency,
+       {_a2('c.c_nationkey')} as tender_ot_country, {_cpv('l.l_partkey')} as tender_ot_cpv,
+       cast(cast(o.o_orderdate as date) as varchar) as tender_ot_date,
+       {_n3('l.l_partkey', 'l.l_suppkey % 25')} as tender_addressOfImplementation_nuts
+{_DOC_FROM}""")(lambda spark, sf_dir: DOC.flatten_struct(_docs(spark, sf_dir), "_", keep_arrays=False))
+register("bidders", f"""
+select 'S' || s.s_suppkey as bidder_id, s.s_name as bidder_name,
+       'supplier' || s.s_suppkey || '@supplier.example' as bidder_email, s.s_acctbal < 5000 as bidder_isSme,
+       {_a2('s.s_nationkey')} as bidder_address_country, {_n3('s.s_suppkey', 's.s_nationkey')} as bidder_address_nuts
+{_DOC_FROM}""")(lambda spark, sf_dir: DOC.flatten_struct(
+    DOC.explode_path(_docs(spark, sf_dir), "tender", ["lots", "bids", "bidders"]).select(F.col("_n3").alias("bidder")),
+    "_"))
+register("sme_share", f"""
+select round(100.0 * count(*) filter (where s.s_acctbal < 5000) / count(*), 2) as sme_share {_DOC_FROM}""")(
+    lambda spark, sf_dir: DOC.share(_explode_tenders(spark, sf_dir), "bidder_is_sme", "sme_share"))
+register("ot_nuts", f"""
+select {_TID} as tender_id, {", ".join(f"substr({_n3('l.l_partkey', 'l.l_suppkey % 25')}, 1, {n + 2}) as nuts{n}"
+                                      for n in (1, 2, 3))}
+from lineitem l""")(lambda spark, sf_dir: _docs(spark, sf_dir).select(
+    F.col("tender.id").alias("tender_id"), *DOC.nuts_levels("tender.addressOfImplementation.nuts", [1, 2, 3], "nuts")))
+register("score_columns", f"""
+select {_TID} as tender_id, {", ".join(f"cast(((l.l_orderkey + {i}) % 5) * 25 as double) as {n}"
+                                      for i, n in enumerate(J.SCORES))}
+from lineitem l""")(lambda spark, sf_dir: _docs(spark, sf_dir).select(
+    F.col("tender.id").alias("tender_id"), *DOC.indicator_columns("tender.ot.scores", J.SCORES)))
+register("indicator_columns", f"""
+select {_TID} as tender_id, {_ind_sql(J.TENDER_INDICATORS, 'l.l_orderkey', 'l.l_partkey')}
+from lineitem l""")(lambda spark, sf_dir: _docs(spark, sf_dir).select(
+    F.col("tender.id").alias("tender_id"), *DOC.indicator_columns("tender.indicators", J.TENDER_INDICATORS)))
+register("lot_indicator_columns", f"""
+select {_TID} as tender_id, cast(l.l_linenumber as varchar) as lot_id,
+       {_ind_sql(J.LOT_INDICATORS, 'l.l_linenumber', 'l.l_suppkey', 'lot_')}
+from lineitem l""")(lambda spark, sf_dir: _docs(spark, sf_dir).select(
+    F.col("tender.id").alias("tender_id"), F.explode("tender.lots").alias("lot")).select(
+    "tender_id", F.col("lot.lotId").alias("lot_id"), *DOC.indicator_columns("lot.indicators", J.LOT_INDICATORS, "lot_")))
+
+
+def _static_lookup(spark, sf_dir):
+    from ..operators.taxonomy import lookup
+    d = _docs(spark, sf_dir).select(F.col("tender.id").alias("tender_id"), F.col("tender.ot.cpv").alias("cpv"),
+                                    F.col("tender.ot.country").alias("country"))
+    d = lookup(d, "cpv", D.cpv_codes(spark, sf_dir).withColumnRenamed("label", "cpv_label"), "code", ["cpv_label"])
+    d = lookup(d, "country", D.countries(spark, sf_dir).withColumnRenamed("name", "country_name"), "alpha2",
+               ["country_name"])
+    return d.select("tender_id", "cpv_label", "country_name")
+
+
+register("static_lookup", f"""
+with {CPV_CODES_SQL}
+select {_TID} as tender_id, (select label from cpv_codes where code = {_cpv('l.l_partkey')}) as cpv_label,
+       n.n_name as country_name
+{_DOC_FROM} left join nation n on n.n_nationkey = c.c_nationkey""")(_static_lookup)
