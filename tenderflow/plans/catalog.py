@@ -306,3 +306,22 @@ with {CPV_CODES_SQL}
 select {_TID} as tender_id, (select label from cpv_codes where code = {_cpv('l.l_partkey')}) as cpv_label,
        n.n_name as country_name
 {_DOC_FROM} left join nation n on n.n_nationkey = c.c_nationkey""")(_static_lookup)
+
+# ---- M1-M8, T20: record linkage (rows-only: clustering is iterative) ----------
+from ..operators import linkage as LK  # noqa: E402
+
+
+def t_organization_deduplication(spark, sf_dir):
+    src = T.org_dedup_input(build_graph(spark, sf_dir))
+    src = src.withColumn("address", F.concat_ws(" ", "Thoroughfare", "PostCode", "PostName"))
+    links = LK.link(src, "OrganizationAddressId", name="LegalName", address="address", block="CountryCode")
+    return links.select(F.col("unique_id_src").alias("OrganizationAddressId"),
+                        F.col("unique_id_dst").alias("ReferenceOrganizationAddressId"),
+                        F.col("match_probability").alias("MatchProbability"),
+                        F.concat("unique_id_src", "unique_id_dst").alias("OrganizationDeduplicationId"))
+
+
+register("table_organization_deduplication")(t_organization_deduplication)
+register("link_records")(lambda spark, sf_dir: LK.link(
+    Tables(spark, sf_dir).part.select(F.col("p_partkey").cast("string").alias("id"), "p_name", "p_brand", "p_type"),
+    "id", name="p_name", address="p_brand", block="p_type"))
