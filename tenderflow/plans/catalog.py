@@ -325,3 +325,109 @@ register("table_organization_deduplication")(t_organization_deduplication)
 register("link_records")(lambda spark, sf_dir: LK.link(
     Tables(spark, sf_dir).part.select(F.col("p_partkey").cast("string").alias("id"), "p_name", "p_brand", "p_type"),
     "id", name="p_name", address="p_brand", block="p_type"))
+
+# ---- scalar functions, sources, graph operators on the driver tables ----------
+from ..functions import columns as FC  # noqa: E402
+from ..operators.currency import convert as _convert, rate_bounds as _rate_bounds  # noqa: E402
+from ..operators.graph import preferred_text as _preferred  # noqa: E402
+from ..sources.testdata_kg import alpha2 as _alpha2, alpha3 as _alpha3, currency_of as _currency_of  # noqa: E402
+from ..sources.triples import Graph as _Graph, parse_ntriples, to_ntriples  # noqa: E402
+from ..vocab import GRAPH_CPV as _GCPV  # noqa: E402
+from .oracle_sql import alpha3 as _sa3  # noqa: E402
+from .oracle_tables import RATES as RATES_SQL  # noqa: E402
+
+register("local_name", """
+select page_id, regexp_extract(url, '([^/#]*)$', 1) as local_name, string_split(url, '/')[-1] as last_segment
+from pages""")(lambda spark, sf_dir: Tables(spark, sf_dir).pages.select(
+    "page_id", FC.local_name("url").alias("local_name"), FC.last_segment("url").alias("last_segment")))
+
+
+def _country_name(spark, sf_dir):
+    from ..operators.taxonomy import lookup
+    c = Tables(spark, sf_dir).customer.select(
+        "c_custkey", F.when(F.col("c_acctbal") > 0, _alpha2(F.col("c_nationkey")))
+        .otherwise(_alpha3(F.col("c_nationkey"))).alias("code"))
+    ctry = D.countries(spark, sf_dir)
+    by2 = ctry.select(F.col("alpha2").alias("k"), F.col("name").alias("n2"))
+    by3 = ctry.select(F.col("alpha3").alias("k3"), F.col("name").alias("n3"))
+    j = lookup(c, "code", by2, "k", ["n2"])
+    j = lookup(j, "code", by3, "k3", ["n3"])
+    return j.select("c_custkey", "code", F.when(F.length("code") == 2, F.col("n2")).otherwise(F.col("n3"))
+                    .alias("country_name"))
+
+
+register("country_name", f"""
+select c_custkey, case when c_acctbal > 0 then {_a2('c_nationkey')} else {_sa3('c_nationkey')} end as code,
+       n.n_name as country_name
+from customer c left join nation n on n.n_nationkey = c.c_nationkey""")(_country_name)
+
+
+def _orders_money(spark, sf_dir):
+    return Tables(spark, sf_dir).orders.select("o_orderkey", "o_orderdate", F.col("o_totalprice").alias("amount"),
+                                               _currency_of("o_custkey").alias("currency"))
+
+
+register("convert_dated", f"""
+with {RATES_SQL}
+select o_orderkey, case when {_cur('o_custkey')} = 'EUR' then o_totalprice
+       else coalesce(o_totalprice / (select rate from rates r where r.currency = {_cur('o_custkey')}
+                                     and r.day = cast(o_orderdate as date)), 0.0) end as amount_eur
+from orders""")(lambda spark, sf_dir: _convert(_orders_money(spark, sf_dir), "amount", "currency",
+                                              D.rates(spark, sf_dir), "amount_eur", day="o_orderdate")
+                .select("o_orderkey", "amount_eur"))
+register("convert_last", f"""
+with {RATES_SQL}
+select o_orderkey, case when {_cur('o_custkey')} = 'EUR' then o_totalprice
+       else coalesce(o_totalprice / lr.rate, 0.0) end as amount_eur,
+       case when {_cur('o_custkey')} = 'EUR' then null else cast(lr.day as varchar) end as rate_day
+from orders left join (select currency, max(day) as day, arg_max(rate, day) as rate from rates group by 1) lr
+  on lr.currency = {_cur('o_custkey')}""")(lambda spark, sf_dir: _convert(
+    _orders_money(spark, sf_dir), "amount", "currency", D.rates(spark, sf_dir), "amount_eur", day_out="rate_day")
+    .select("o_orderkey", "amount_eur", F.col("rate_day").cast("string").alias("rate_day")))
+register("rate_bounds", f"""
+with {RATES_SQL}
+select currency, cast(min(day) as varchar) as first_day, cast(max(day) as varchar) as last_day from rates group by 1""")(
+    lambda spark, sf_dir: _rate_bounds(D.rates(spark, sf_dir)).select(
+        "currency", F.col("first_day").cast("string").alias("first_day"),
+        F.col("last_day").cast("string").alias("last_day")))
+
+
+def _doc_graph(spark, sf_dir):
+    from ..sources.triples import branch
+    docs = Tables(spark, sf_dir).documents
+    return _Graph(spark, branches={"text": [lambda: branch(docs, F.col("source"), F.col("text"), "literal",
+                                                            F.col("lang"))]})
+
+
+register("preferred_text", """
+select source, coalesce(min(text) filter (where lang = 'en'), min(text)) as text from documents group by 1""")(
+    lambda spark, sf_dir: _preferred(_doc_graph(spark, sf_dir), "text", "source", "text"))
+register("preferred_text_required", """
+select source, min(text) as text from documents where lang = 'en' group by 1""")(
+    lambda spark, sf_dir: _preferred(_doc_graph(spark, sf_dir), "text", "source", "text", require_preferred=True))
+register("date_window", f"""
+select 'http://example.org/res/id_' || year(o_orderdate) || '-S-001-' || o_orderkey || '_Notice' as Notice,
+       strftime(o_orderdate, '%Y%m%d') as NoticePublicationDate
+from orders where cast(o_orderdate as date) between date '1998-01-01' and date '1998-03-31'""")(
+    lambda spark, sf_dir: T.notices(build_graph(spark, sf_dir), ("19980101", "19980331")))
+
+
+def _cpv_graph_counts(spark, sf_dir, round_trip: bool):
+    g = build_graph(spark, sf_dir)
+    from ..vocab import V as _V
+    parts = [g.pred(_V[p]).where(F.col("g") == _GCPV).withColumn("p", F.lit(_V[p]))
+             for p in ("identifier", "prefLabel", "broader")]
+    t = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    if round_trip:  # S1/S15: serialise to N-Quads text and parse it back
+        t, _rejected = parse_ntriples(to_ntriples(t))
+    return t.groupBy("p", "o_kind", F.coalesce("lang", F.lit("")).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
+
+
+_CPV_COUNTS = f"""
+with {CPV_CODES_SQL}
+select 'http://purl.org/dc/elements/1.1/identifier' as p, 'literal' as o_kind, '' as lang, count(*) as n from cpv_codes
+union all select 'http://www.w3.org/2004/02/skos/core#prefLabel', 'literal', 'en', count(*) from cpv_codes
+union all select 'http://www.w3.org/2004/02/skos/core#broader', 'iri', '', count(*) from cpv_codes
+  where length(rtrim(code, '0')) >= 2"""
+register("named_graph", _CPV_COUNTS)(lambda spark, sf_dir: _cpv_graph_counts(spark, sf_dir, False))
+register("scan_triples", _CPV_COUNTS)(lambda spark, sf_dir: _cpv_graph_counts(spark, sf_dir, True))
