@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 def _pick(df: DataFrame, pk: list[str], order: list[str], first: bool) -> DataFrame:
     rest = [c for c in df.columns if c not in pk]
-    ordered = [c for c in order] + [c for c in rest if c not in order]
+    ordered = [c for c in order if c not in pk] + [c for c in rest if c not in order]
     st = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(ordered)])
     agg = (F.min(st) if first else F.max(st)).alias("_row")
     out = df.groupBy(*pk).agg(agg)
