@@ -53,7 +53,14 @@ def of_class(g: Graph, *classes: str, name: str = "s") -> DataFrame:
 
 
 def typed(df: DataFrame, g: Graph, var: str, cls: str) -> DataFrame:
-    """Keep rows whose ``var`` has rdf:type ``cls`` (left-semi join, G2)."""
+    """Keep rows whose ``var`` has rdf:type ``cls``.
+
+    A left-semi join with the class's type triples; when the graph declares how IRIs of that class are
+    minted (a virtual graph over tables), the same test is a filter on the IRI and needs no shuffle.
+    """
+    pat = g.class_patterns.get(_p(cls))
+    if pat is not None:
+        return df.where(F.col(var).rlike(pat))
     return df.join(of_class(g, cls, name=var), var, "left_semi")
 
 

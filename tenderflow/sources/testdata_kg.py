@@ -112,6 +112,26 @@ def _mapped(col: str, mapping: dict, prefix: str) -> Column:
     return expr
 
 
+# IRIs minted per class by the rules above: every IRI matching a pattern carries that rdf:type
+# (the type triple is emitted from the same rows, under the same conditions, as the IRI itself).
+# Technique classes depend on the order status, not the IRI, and keep the semi-join.
+CLASS_PATTERNS = {V[c]: RES.replace(".", r"\.") + p for c, p in {
+    "ResultNotice": r"id_\d+-S-001-\d+_Notice$", "Procedure": r"id_\d+_Procedure$",
+    "Contract": r"id_\d+_Contract$", "Buyer": r"id_\d+_Buyer$", "Lot": r"id_\d+_Lot_",
+    "Tender": r"id_\d+_Tender_", "TenderAwardOutcome": r"id_\d+_TenderAwardOutcome_",
+    "LotAwardOutcome": r"id_\d+_LotAwardOutcome_",
+    "SubmissionStatisticalInformation": r"id_\d+_SubmissionStatisticalInformation_",
+    "Winner": r"id_\d+_Winner_", "MonetaryValue": r"id_\d+_(ProcedureValue$|LotValue_|TenderValue_|AwardedValue_)",
+    "Identifier": r"id_.*Identifier$", "Purpose": r"id_\d+_(ProcedurePurpose$|LotPurpose_)",
+    "ContractTerm": r"id_\d+_ContractTerm_", "Location": r"id_\d+_Location_",
+    "SpecificDuration": r"id_\d+_Duration_", "SubcontractingEstimate": r"id_\d+_Subcontract_",
+    "Organization": r"id_(customer|supplier)_\d+_Organization$", "Business": r"id_supplier_\d+_Organization$",
+    "Address": r"id_((customer|supplier)_\d+_Address$|\d+_LotAddress_)",
+    "ContactPoint": r"id_((customer|supplier)_\d+_ContactPoint$|\d+_BuyerContactPoint$)",
+}.items()}
+CLASS_PATTERNS = {k: "^" + v for k, v in CLASS_PATTERNS.items()}
+
+
 def build_graph(spark: SparkSession, sf_dir: str) -> Graph:
     """Virtual graph over the driver tables in ``sf_dir``."""
     t = Tables(spark, sf_dir)
@@ -329,4 +349,4 @@ def build_graph(spark: SparkSession, sf_dir: str) -> Graph:
     from .dims import taxonomy_branches  # named graphs of the two code taxonomies (S3)
     for key, builders in taxonomy_branches(spark, sf_dir).items():
         B[key].extend(builders)
-    return Graph(spark, branches=dict(B))
+    return Graph(spark, branches=dict(B), class_patterns=CLASS_PATTERNS)

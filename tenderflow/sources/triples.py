@@ -49,12 +49,15 @@ class Graph:
     """A set of triples addressed by predicate (and by class for rdf:type)."""
 
     def __init__(self, spark: SparkSession, triples: DataFrame | None = None,
-                 branches: dict[object, list[Branch]] | None = None):
+                 branches: dict[object, list[Branch]] | None = None, class_patterns: dict[str, str] | None = None):
         if (triples is None) == (branches is None):
             raise ValueError("give exactly one of triples or branches")
         self.spark = spark
         self._triples = triples
         self._branches = branches
+        # class IRI -> regex that exactly the IRIs minted for that class match (virtual graphs only):
+        # a class test on such a variable is then a row filter instead of a semi-join
+        self.class_patterns = class_patterns or {}
 
     # -- access ---------------------------------------------------------
     def pred(self, p: str, o: str | None = None) -> DataFrame:
