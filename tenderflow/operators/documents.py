@@ -56,9 +56,20 @@ def all_cpvs(cpvs) -> Column:
     return F.transform(c, lambda x: x["code"])
 
 
-def indicator_columns(arr, names: list[str], prefix: str = "") -> list[Column]:
-    """D4/D5/D6 -- one column per indicator type: the first value of that type."""
-    return [value_by_type(arr, n).alias(prefix + n) for n in names]
+def indicator_columns(arr, names: list[str], prefix: str = "", type_field: str = "type",
+                      value_field: str = "value") -> list[Column]:
+    """D4/D5/D6 -- one column per indicator type: the value of the first element of that type.
+
+    The type list is extracted once per row (one lambda); each column is then a codegen'd
+    ``array_position`` + ``element_at`` lookup instead of its own filter/transform pass.
+    """
+    a = F.col(arr) if isinstance(arr, str) else arr
+    types = F.transform(a, lambda x: x[type_field])
+    cols = []
+    for n in names:
+        pos = F.array_position(types, F.lit(n)).cast("int")
+        cols.append(F.when(pos > 0, F.element_at(a, pos)[value_field]).alias(prefix + n))
+    return cols
 
 
 def nuts_levels(col, levels: list[int], prefix: str) -> list[Column]:
