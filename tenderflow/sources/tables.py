@@ -34,3 +34,9 @@ class Tables:
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.__getattr__(name)
+
+
+def read_many(spark: SparkSession, folder: str, prefix: str = "", suffix: str = ".parquet") -> DataFrame:
+    """S12/U3 -- every parquet file of a folder selected by prefix/suffix, columns unioned by name
+    (a column missing from a file reads as null); Spark lists and splits the files, no driver loop."""
+    return spark.read.option("mergeSchema", "true").option("pathGlobFilter", f"{prefix}*{suffix}").parquet(folder)

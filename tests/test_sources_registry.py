@@ -67,3 +67,10 @@ def test_store_helpers(spark, tmp_path):
     K.append(df, path)
     K.clear(spark.read.parquet(path), str(tmp_path / "store2"))
     assert spark.read.parquet(str(tmp_path / "store2")).count() == 0
+
+
+def test_read_many_unions_columns(spark):
+    from tenderflow.sources.tables import read_many
+    df = read_many(spark, SF, prefix="", suffix="ion.parquet")   # nation.parquet + region.parquet
+    assert {"n_nationkey", "r_regionkey"} <= set(df.columns)
+    assert df.count() == 25 + 5
