@@ -71,6 +71,12 @@ def cpv_code(pk: Column) -> Column:
                     (F.floor(pk / 160) % 3).cast("string"), (F.floor(pk / 480) % 3).cast("string"), F.lit("000"))
 
 
+def bool_text(cond: Column) -> Column:
+    """xsd:boolean literal text; a CASE (not a cast) so that ``o = 'true'`` folds back into ``cond`` and
+    reaches the parquet scan as a pushed filter."""
+    return F.when(cond, F.lit("true")).otherwise(F.lit("false"))
+
+
 def money(c: str) -> Column:
     return F.col(c).cast("decimal(20,2)").cast("string")
 
@@ -161,7 +167,8 @@ def build_graph(spark: SparkSession, sf_dir: str) -> Graph:
 
     typ("Procedure", lambda: branch(O(), proc, cls("Procedure")))
     add("hasProcedureType", lambda: branch(O(), proc, _mapped("o_orderpriority", PROCEDURE_TYPES, PROCEDURE_TYPE_NS)))
-    add("isCoveredByGPA", lambda: branch(O(), proc, (F.col("o_orderstatus") == "F").cast("string"), "literal",
+    add("isCoveredByGPA", lambda: branch(O().where(F.col("o_orderstatus").isNotNull()), proc,
+                                         bool_text(F.col("o_orderstatus") == "F"), "literal",
                                          dtype=BOOL))
     add("hasTitle", lambda: branch(O().where(F.col("o_orderstatus") == "F"), proc,
                                    F.concat(F.lit("Procedure "), s("o_orderkey")), "literal", "en"))
@@ -227,7 +234,8 @@ def build_graph(spark: SparkSession, sf_dir: str) -> Graph:
     typ("Lot", lambda: branch(L(), lot, cls("Lot")))
     add("hasProcurementScopeDividedIntoLot", lambda: branch(L(), lproc, lot))
     add("includesLot", lambda: branch(L(), lcontract, lot))
-    add("isUsingEUFunds", lambda: branch(L(), lot, (F.col("l_returnflag") == "R").cast("string"), "literal",
+    add("isUsingEUFunds", lambda: branch(L().where(F.col("l_returnflag").isNotNull()), lot,
+                                         bool_text(F.col("l_returnflag") == "R"), "literal",
                                          dtype=BOOL))
     add("hasTitle", lambda: branch(L().where(F.col("l_linestatus") == "F"), lot,
                                    F.concat(F.lit("Lot "), s("l_linenumber"), F.lit(" of "), s("l_orderkey")),
