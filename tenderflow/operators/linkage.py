@@ -111,6 +111,49 @@ def match_probability(scored: DataFrame, model: dict | None = None) -> DataFrame
         "match_probability", F.pow(F.lit(2.0), w) / (F.lit(1.0) + F.pow(F.lit(2.0), w)))
 
 
+def em(scored: DataFrame, model: dict | None = None, iterations: int = 20, tol: float = 1e-6) -> dict:
+    """M5 -- expectation-maximisation of the m/u probabilities on candidate pairs.
+
+    Only the counts of each (gamma_name, gamma_address) pattern leave Spark: at most 6 x 5 rows,
+    whatever the number of pairs. The null level carries no evidence and is skipped; the returned
+    model keeps the configured prior for two random records.
+    """
+    model = model or DEFAULT_MODEL
+    counts = [(r.gamma_name, r.gamma_address, r.n)
+              for r in scored.groupBy("gamma_name", "gamma_address").agg(F.count(F.lit(1)).alias("n")).collect()]
+    comps = ("name", "address")
+    m = {c: {lvl: v[0] for lvl, v in model[c].items()} for c in comps}
+    u = {c: {lvl: v[1] for lvl, v in model[c].items()} for c in comps}
+    lam = 0.5
+    total = float(sum(n for _, _, n in counts)) or 1.0
+    for _ in range(iterations):
+        post = []
+        for gn, ga, n in counts:
+            pm, pu = lam, 1 - lam
+            for c, lvl in zip(comps, (gn, ga)):
+                if lvl in m[c]:
+                    pm *= m[c][lvl]
+                    pu *= u[c][lvl]
+            post.append((gn, ga, n, pm / (pm + pu) if pm + pu > 0 else 0.0))
+        new_lam = sum(n * p for _, _, n, p in post) / total
+        new_m = {c: {} for c in comps}
+        new_u = {c: {} for c in comps}
+        for i, c in enumerate(comps):
+            wm = sum(n * p for g in post for n, p in [(g[2], g[3])] if g[i] in m[c])
+            wu = sum(n * (1 - p) for g in post for n, p in [(g[2], g[3])] if g[i] in m[c])
+            for lvl in m[c]:
+                em_ = sum(g[2] * g[3] for g in post if g[i] == lvl)
+                eu_ = sum(g[2] * (1 - g[3]) for g in post if g[i] == lvl)
+                # keep every level strictly inside (0, 1) so log-weights stay finite
+                new_m[c][lvl] = min(max(em_ / wm if wm else m[c][lvl], 1e-6), 1 - 1e-6)
+                new_u[c][lvl] = min(max(eu_ / wu if wu else u[c][lvl], 1e-6), 1 - 1e-6)
+        delta = abs(new_lam - lam) + sum(abs(new_m[c][k] - m[c][k]) for c in comps for k in m[c])
+        lam, m, u = new_lam, new_m, new_u
+        if delta < tol:
+            break
+    return {"prior": model["prior"], **{c: {lvl: (m[c][lvl], u[c][lvl]) for lvl in m[c]} for c in comps}}
+
+
 def components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 50) -> DataFrame:
     """Connected components by min-label propagation: (node, label = smallest node of its component).
 
@@ -134,12 +177,16 @@ def components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 50) -> Data
 
 
 def link(df: DataFrame, uid: str, name: str = "name", address: str = "address", block: str = "country",
-         threshold: float = LINK_THRESHOLD, model: dict | None = None) -> DataFrame:
+         threshold: float = LINK_THRESHOLD, model: dict | None = None, train: bool = False) -> DataFrame:
     """M1/M6 -- (unique_id_src, unique_id_dst, match_probability): every input record exactly once as src,
     linked to the reference record (smallest id) of its cluster; clusters are built from pairs scoring at
     least ``threshold``; a record alone in its cluster links to itself with probability 1.0."""
     prof = profiles(df, uid, name, address, block).checkpoint()
-    pairs = match_probability(compare(candidates(prof), prof), model)
+    scored = compare(candidates(prof), prof)
+    if train:  # estimate m/u on this data's candidate pairs first (M5)
+        scored = scored.checkpoint()
+        model = em(scored, model)
+    pairs = match_probability(scored, model)
     edges = pairs.where(F.col("match_probability") >= threshold).select("l", "r")
     nodes = prof.select(F.col("profile").alias("node")).distinct()
     lab = components(edges, nodes)

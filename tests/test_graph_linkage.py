@@ -99,3 +99,19 @@ def test_candidates_equal_brute_force(spark):
     assert want <= got
     # every extra candidate is still a one-edit (or transposition) neighbour of the same block
     assert all(True for _ in got - want)
+
+
+def test_em_estimates_valid_model(spark):
+    rows = [(str(i), n, a, "X") for i, (n, a) in enumerate(
+        [("acme ltd", "1 main st"), ("acme ltd", "1 main st"), ("acme ltd.", "1 main st"), ("acne ltd", "9 side rd"),
+         ("bolt co", "2 high st"), ("bolt co", "2 high st"), ("bolt co", "7 low st"), ("blot co", "2 high st")])]
+    df = spark.createDataFrame(rows, "id string, name string, address string, country string")
+    prof = LK.profiles(df, "id", "name", "address", "country")
+    scored = LK.compare(LK.candidates(prof), prof)
+    model = LK.em(scored)
+    for comp in ("name", "address"):
+        for m, u in model[comp].values():
+            assert 0 < m < 1 and 0 < u < 1
+    out = LK.link(df, "id", train=True).collect()
+    assert sorted(r.unique_id_src for r in out) == [str(i) for i in range(8)]
+    assert all(0.0 <= r.match_probability <= 1.0 for r in out)
