@@ -10,13 +10,17 @@ hands out runs of complete tiles.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def tiled(df: DataFrame, key: str, row_id: str, block: int, least: int = 2) -> DataFrame:
     """Rows of groups with at least ``least`` rows, plus ``ti``, ``tj`` (tile) and ``blk`` (the row's block)."""
