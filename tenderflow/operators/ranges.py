@@ -22,11 +22,11 @@ def running_total(df: DataFrame, order: list[str], value=None, out: str = "offse
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     value = F.lit(1) if value is None else value
-    ranged = df.withColumn("_val", value.cast("long")).repartitionByRange(n, *order) \
-        .withColumn("_range", F.spark_partition_id()).checkpoint()
-    totals = ranged.groupBy("_range").agg(F.sum("_val").alias("_sum"))
+    ranged = df.withColumn("__val", value.cast("long")).repartitionByRange(n, *order) \
+        .withColumn("__range", F.spark_partition_id()).checkpoint()
+    totals = ranged.groupBy("__range").agg(F.sum("__val").alias("__sum"))
     # one row per range: bounded by the partition count, so one task is enough here
-    offsets = totals.select("_range", (F.sum("_sum").over(Window.orderBy("_range")) - F.col("_sum")).alias("_base"))
-    w = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return ranged.join(F.broadcast(offsets), "_range") \
-        .withColumn(out, F.col("_base") + F.sum("_val").over(w) - F.col("_val")).drop("_range", "_val", "_base")
+    offsets = totals.select("__range", (F.sum("__sum").over(Window.orderBy("__range")) - F.col("__sum")).alias("__base"))
+    w = Window.partitionBy("__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return ranged.join(F.broadcast(offsets), "__range") \
+        .withColumn(out, F.col("__base") + F.sum("__val").over(w) - F.col("__val")).drop("__range", "__val", "__base")
