@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import simhash
+from . import mixing, simhash
 
 QUERIES = {
+    "op8_source_mixing": mixing.query,
     "op9_simhash_near_dedup": simhash.query,
 }
 
