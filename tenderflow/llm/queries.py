@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import mixing, simhash
+from . import embeddings, mixing, simhash
 
 QUERIES = {
     "op8_source_mixing": mixing.query,
     "op9_simhash_near_dedup": simhash.query,
+    "op10_embedding_near_dedup": embeddings.query,
 }
 
 ORACLES: dict[str, str] = {}
