@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from . import embeddings, mixing, simhash
+from . import embeddings, lines, mixing, quality, simhash
 
 QUERIES = {
+    "op1_quality_classifier": quality.query,
+    "op7_line_dedup": lines.query,
     "op8_source_mixing": mixing.query,
     "op9_simhash_near_dedup": simhash.query,
     "op10_embedding_near_dedup": embeddings.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_line_dedup": lines.ORACLE_SQL,
+}
