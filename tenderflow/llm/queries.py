@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import embeddings, lines, mixing, quality, simhash
+from . import decontamination, embeddings, lines, mixing, quality, simhash
 
 QUERIES = {
     "op1_quality_classifier": quality.query,
+    "op6_benchmark_decontamination": decontamination.query,
     "op7_line_dedup": lines.query,
     "op8_source_mixing": mixing.query,
     "op9_simhash_near_dedup": simhash.query,
@@ -13,5 +14,6 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op6_benchmark_decontamination": decontamination.query,
     "op7_line_dedup": lines.ORACLE_SQL,
 }
