@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontamination, embeddings, lines, mixing, quality, simhash
+from . import decontamination, embeddings, licenses, lines, mixing, quality, simhash
 
 QUERIES = {
     "op1_quality_classifier": quality.query,
+    "op2_license_scan": licenses.query,
     "op6_benchmark_decontamination": decontamination.query,
     "op7_line_dedup": lines.query,
     "op8_source_mixing": mixing.query,
@@ -14,6 +15,8 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_license_scan": licenses.query,
     "op6_benchmark_decontamination": decontamination.query,
+    "op2_license_scan": licenses.ORACLE_SQL,
     "op7_line_dedup": lines.ORACLE_SQL,
 }
