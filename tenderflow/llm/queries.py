@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontamination, embeddings, licenses, lines, mixing, quality, simhash
+from . import decontamination, embeddings, layout, licenses, lines, mixing, quality, simhash, warc
 
 QUERIES = {
     "op1_quality_classifier": quality.query,
     "op2_license_scan": licenses.query,
+    "op3_warc_revisits": warc.query,
+    "op4_html_layout": layout.query,
     "op6_benchmark_decontamination": decontamination.query,
     "op7_line_dedup": lines.query,
     "op8_source_mixing": mixing.query,
@@ -16,7 +18,10 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op2_license_scan": licenses.query,
+    "op3_warc_revisits": warc.query,
+    "op4_html_layout": layout.query,
     "op6_benchmark_decontamination": decontamination.query,
     "op2_license_scan": licenses.ORACLE_SQL,
+    "op3_warc_revisits": warc.ORACLE_SQL,
     "op7_line_dedup": lines.ORACLE_SQL,
 }
