@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontamination, embeddings, layout, licenses, lines, mixing, quality, simhash, warc
+from . import decontamination, embeddings, layout, licenses, lines, mixing, quality, secrets, simhash, warc
 
 QUERIES = {
     "op1_quality_classifier": quality.query,
     "op2_license_scan": licenses.query,
     "op3_warc_revisits": warc.query,
     "op4_html_layout": layout.query,
+    "op5_secret_scan": secrets.query,
     "op6_benchmark_decontamination": decontamination.query,
     "op7_line_dedup": lines.query,
     "op8_source_mixing": mixing.query,
