@@ -18,10 +18,6 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
-    "op2_license_scan": licenses.query,
-    "op3_warc_revisits": warc.query,
-    "op4_html_layout": layout.query,
-    "op6_benchmark_decontamination": decontamination.query,
     "op2_license_scan": licenses.ORACLE_SQL,
     "op3_warc_revisits": warc.ORACLE_SQL,
     "op7_line_dedup": lines.ORACLE_SQL,
