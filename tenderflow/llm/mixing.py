@@ -3,15 +3,15 @@
 1. Sizes: words per document (built-in regexp functions); sources summed with map-side combine.
 2. Targets: the total is shared by weight; a source stops at ``epochs`` times its size and the
    excess is reshared by weight until no source is above (two scalars per round reach the driver).
-3. Seats: every source's words are cut into equal blocks of ``block`` words. Seat k of a source has
+3. Seats: every source's words are one cyclic stream, cut into equal blocks of ``block`` words. Seat k of a source has
    the quotient target / (2k + 1); the seats with the highest quotients (at least block / 2, which
    makes round(target / block) of them) win. Sorted by quotient they are dealt into shards of
    ``shard_blocks`` seats; counting them gives integer quotas per shard and source. Divisor methods
    are house-monotone, so the quotas of the first shards are themselves an apportionment.
-4. Seeded selection: a source's documents stand in seeded hash order, one long stream of words. Seat
-   k takes block (c + k) mod n of the stream's n blocks, c a seeded start: whole epochs first, then
-   a run of blocks through a stream that is already shuffled. What a document gives is the overlap
-   of its words with the blocks taken, by arithmetic.
+4. Seeded selection: a source's documents stand in seeded hash order. Seat k takes the k-th block of
+   the cyclic stream from a seeded start on: whole epochs first, then a run of blocks through a
+   stream that is already shuffled. What a document gives is the overlap of its words with the blocks
+   taken, by arithmetic; a source gives its seats' words exactly, never above ``epochs`` times its size.
 
 The seeded order is a ranged running total over (source, hash): a source with a third of all rows
 is spread over many tasks, and no window runs over a whole source.
@@ -116,22 +116,21 @@ def mix(docs: DataFrame, weight=cyclic_weight, epochs: int = EPOCHS, block: int
     stream = running_total(rows, ["_null", "source", "_h", "doc_id", "size"], F.col("size"), "_from")
     base = running_total(src.withColumn("_null", F.col("source").isNull()), ["_null", "source"], F.col("source_size"),
                          "_base")
+    size = F.greatest("source_size", F.lit(1))
     s = base.alias("b").join(won.alias("w"), F.col("b.source").eqNullSafe(F.col("w.source")), "left") \
-        .select("b.source", "source_size", "target", "_base", F.coalesce("w.seats", F.lit(0)).alias("seats"),
-                F.greatest(F.ceil(F.col("source_size") / block), F.lit(1)).alias("n"))
-    # seats never pass the cap: rounding up the last block must not make a document go past ``epochs``
-    s = s.withColumn("seats", F.least("seats", F.col("n") * epochs)) \
-        .withColumn("whole", F.floor(F.col("seats") / F.col("n"))).withColumn("rest", F.col("seats") % F.col("n")) \
-        .withColumn("c", _start(seed)).select(F.col("source").alias("_source"), "source_size", "target", "_base",
-                                              "whole", "rest", "n", "c")
+        .select("b.source", "source_size", "target", "_base", F.ceil(size / block).alias("n"),
+                F.least(F.coalesce("w.seats", F.lit(0)) * block, F.col("source_size") * epochs).alias("won"))
+    s = s.withColumn("whole", F.floor(F.col("won") / size)).withColumn("rest", F.col("won") % size) \
+        .withColumn("c", _start(seed) * block).select(F.col("source").alias("_source"), "source_size", "target", "_base",
+                                                      "whole", "rest", "c")
     d = stream.join(s, F.col("source").eqNullSafe(F.col("_source"))) \
         .withColumn("a", F.col("_from") - F.col("_base")).withColumn("z", F.col("a") + F.col("size"))
-    first_end = F.least(F.col("c") + F.col("rest"), F.col("n")) * block
-    wrapped = F.greatest(F.col("c") + F.col("rest") - F.col("n"), F.lit(0)) * block
+    first_end = F.least(F.col("c") + F.col("rest"), F.col("source_size"))
+    wrapped = F.greatest(F.col("c") + F.col("rest") - F.col("source_size"), F.lit(0).cast("long"))
 
     def part(lo: Column, hi: Column) -> Column:
         return F.struct((F.greatest("a", lo) - F.col("a")).alias("start"), (F.least("z", hi) - F.col("a")).alias("end"))
-    ranges = F.filter(F.array(part(F.lit(0).cast("long"), wrapped), part(F.col("c") * block, first_end)),
+    ranges = F.filter(F.array(part(F.lit(0).cast("long"), wrapped), part(F.col("c"), first_end)),
                       lambda r: r["end"] > r["start"])
     d = d.withColumn("taken_words", ranges)
     extra = F.aggregate("taken_words", F.lit(0).cast("long"), lambda acc, r: acc + r["end"] - r["start"])
