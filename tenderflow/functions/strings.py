@@ -1,24 +1,20 @@
-"""String distances for record linkage (M3, M4): the only Pandas UDFs of the package.
+"""String distances for record linkage (M3, M4), as called inside linkage tiles on candidate pairs only.
 
-Spark has ``levenshtein`` but neither Jaro-Winkler nor Damerau-Levenshtein;
-these run Arrow-batched on candidate pairs only (never on all pairs).
+Spark has ``levenshtein`` but neither Jaro-Winkler nor Damerau-Levenshtein.
 """
 
 from __future__ import annotations
 
 import sys
 
-import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # ship this module's functions by value: executors need no installed copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def jaro_winkler(a: str, b: str, prefix_scale: float = 0.1) -> float:
-    """Jaro-Winkler similarity in [0, 1] (Winkler prefix up to 4 characters)."""
+    """Jaro-Winkler similarity in [0, 1] (Winkler prefix up to 4 characters, above a Jaro similarity of 0.7)."""
     if a == b:
         return 1.0
     la, lb = len(a), len(b)
@@ -46,6 +42,8 @@ def jaro_winkler(a: str, b: str, prefix_scale: float = 0.1) -> float:
             k += 1
     m = float(matches)
     jaro = (m / la + m / lb + (m - trans / 2) / m) / 3
+    if jaro <= 0.7:
+        return jaro
     prefix = 0
     for x, y in zip(a[:4], b[:4]):
         if x != y:
@@ -68,15 +66,3 @@ def damerau_levenshtein(a: str, b: str) -> int:
                 cur[j] = min(cur[j], prev2[j - 2] + 1)
         prev2, prev = prev, cur
     return prev[lb]
-
-
-@F.pandas_udf(T.DoubleType())
-def jaro_winkler_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if (x is None or y is None) else jaro_winkler(x, y) for x, y in zip(a, b)],
-                     dtype="float64")
-
-
-@F.pandas_udf(T.IntegerType())
-def damerau_levenshtein_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if (x is None or y is None) else damerau_levenshtein(x, y) for x, y in zip(a, b)],
-                     dtype="Int32")

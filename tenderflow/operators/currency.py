@@ -2,7 +2,7 @@
 
 ``rates(currency, day, rate)`` holds units per EUR; EUR itself is 1.0. The
 rate table has one row per currency and rate day, so it is bounded by
-currencies x days and is broadcast.
+currencies x days; whether it is broadcast is left to Spark, which sees its size.
 """
 
 from __future__ import annotations
@@ -36,24 +36,27 @@ def convert(df: DataFrame, amount: str, currency: str, rates: DataFrame, out: st
     cast downstream needs).
     """
     r = _with_eur(rates)
+    by_day = [] if day is None else ["_fd"]
     if day is None:
         r = latest_rates(r)
-        keys_from = [F.col(currency) == F.col("_fc")]
-        keys_to = [F.lit(to) == F.col("_tc")]
-        fr = r.select(F.col("currency").alias("_fc"), F.col("rate").alias("_fr"), F.col("day").alias("_fd"))
-        tr = r.select(F.col("currency").alias("_tc"), F.col("rate").alias("_tr"), F.col("day").alias("_td"))
-    else:
-        keys_from = [F.col(currency) == F.col("_fc"), F.to_date(F.col(day)) == F.col("_fd")]
-        keys_to = [F.lit(to) == F.col("_tc"), F.to_date(F.col(day)) == F.col("_td")]
-        fr = r.select(F.col("currency").alias("_fc"), F.col("day").alias("_fd"), F.col("rate").alias("_fr"))
-        tr = r.select(F.col("currency").alias("_tc"), F.col("day").alias("_td"), F.col("rate").alias("_tr"))
-    j = df.join(F.broadcast(fr), keys_from, "left").join(F.broadcast(tr), keys_to, "left")
+    table = r.select(F.col("currency").alias("_fc"), F.col("rate").alias("_fr"), F.col("day").alias("_fd"))
+    if to == "EUR":  # rates are per euro: nothing to look up on that side
+        table = table.withColumn("_tr", F.lit(1.0)).withColumn("_td", F.col("_fd"))
+    else:  # the target's rate beside every source rate (of the same day): a join of small tables
+        target = r.where(F.col("currency") == to).select(F.lit(to).alias("_tc"), F.col("rate").alias("_tr"),
+                                                         F.col("day").alias("_td"))
+        on = [F.col("_to") == F.col("_tc")] + ([F.col("_fd") == F.col("_td")] if by_day else [])
+        from_eur = target.select(F.lit("EUR").alias("_fc"), F.lit(1.0).alias("_fr"), F.col("_td").alias("_fd"), "_tr", "_td")
+        table = table.where(F.col("_fc") != "EUR").withColumn("_to", F.lit(to)).join(target, on, "left") \
+            .drop("_to", "_tc").unionByName(from_eur)
+    keys = [F.col(currency) == F.col("_fc")] + ([F.to_date(F.col(day)) == F.col("_fd")] if by_day else [])
+    j = df.join(table, keys, "left")
     rate_from = F.when(F.col(currency) == "EUR", F.lit(1.0)).otherwise(F.col("_fr"))
-    rate_to = F.when(F.lit(to) == "EUR", F.lit(1.0)).otherwise(F.col("_tr"))
+    rate_to = F.lit(1.0) if to == "EUR" else F.col("_tr")
     amt = F.col(amount).cast("double")
     value = (F.when(F.col(currency) == F.lit(to), F.coalesce(amt, F.lit(0.0)))
              .otherwise(F.coalesce(amt / rate_from * rate_to, F.lit(0.0))))
     j = j.withColumn(out, value)
     if day is None and day_out is not None:
-        j = j.withColumn(day_out, F.when(F.col(currency) == "EUR", F.col("_td")).otherwise(F.col("_fd")))
-    return j.drop("_fc", "_fd", "_fr", "_tc", "_td", "_tr")
+        j = j.withColumn(day_out, F.col("_fd"))
+    return j.drop("_fc", "_fd", "_fr", "_td", "_tr")

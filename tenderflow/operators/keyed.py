@@ -13,7 +13,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -65,8 +66,8 @@ def fk_summary(child: DataFrame, fk: list[str], parent: DataFrame, pk: list[str]
 
 
 def insert_if_absent(existing: DataFrame, new: DataFrame, pk: list[str]) -> DataFrame:
-    """K5 -- existing rows plus the new rows whose key is not there yet (ON CONFLICT DO NOTHING)."""
-    return existing.unionByName(new.join(existing.select(*pk), pk, "left_anti"))
+    """K5 -- existing rows plus the new rows whose key is not there yet, one per key (ON CONFLICT DO NOTHING)."""
+    return existing.unionByName(keep_first(new.join(existing.select(*pk), pk, "left_anti"), pk, pk))
 
 
 def upsert(existing: DataFrame, new: DataFrame, pk: list[str], order: list[str]) -> DataFrame:
@@ -83,14 +84,21 @@ def append(df: DataFrame, path: str, fmt: str = "parquet", max_records_per_file:
     w.save(path)
 
 
+def read_if_there(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The data at ``path``, or None if the path does not exist; any other failure is raised."""
+    try:
+        return spark.read.format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def load_keyed(df: DataFrame, path: str, pk: list[str], mode: str = "fail", fmt: str = "parquet") -> None:
     """K1-K5 -- keyed append. ``fail``: check the key (in the batch and against the target) and write
     nothing on a violation; ``skip``: insert only absent keys."""
     spark = df.sparkSession
-    try:
-        existing = spark.read.format(fmt).load(path)
-    except Exception:  # noqa: BLE001 - no target yet
-        existing = None
+    existing = read_if_there(spark, path, fmt)
     if mode == "fail":
         check_primary_key(df, pk)
         if existing is not None and df.join(existing.select(*pk), pk, "left_semi").limit(1).count():

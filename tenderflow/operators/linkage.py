@@ -1,30 +1,42 @@
 """Probabilistic record linkage (M1-M8, J9): candidates, comparison levels, Fellegi-Sunter, clusters.
 
-Scale rules:
-* identical records collapse into one *profile* first (a group-by, no pairs);
-* profiles with the same name attach to that name's anchor profile (a star,
-  linear in the group) instead of every pair of the group;
-* distinct names meet only through shared one-deletion keys within the
-  blocking key (country): exactly the pairs whose names are equal or within
-  Damerau-Levenshtein distance 1 -- the two strongest name levels -- without
-  enumerating the block;
-* the two string distances run as Arrow-batched Pandas UDFs on candidate
-  pairs only; clusters are connected components by min-label propagation,
-  with the edge/label frames checkpointed every round.
-Pairs whose names are further apart than one edit are not candidates (the
-reference blocks on country alone and would score them); this is the
-documented difference.
+The model compares all pairs of a block (``l.country = r.country``). Here only pairs that share a key
+are compared, and the keys are chosen so that no pair that the model can lift to the threshold is
+left out: the level combinations that reach it are worked out from the weights, and each must imply
+a shared key (equal name, equal address, or a common one-character deletion of the name for
+Damerau-Levenshtein distance 1, which covers transpositions). A model that lifts a combination
+with no such key is refused with an error instead of losing its links.
+
+* Records equal in block, name and address collapse into one profile (a group-by) if the model links
+  such records; a null name or address is no evidence and merges nothing.
+* Groups of a shared key are compared in tiles of bounded size (``operators.tiles``): a hot name or address is
+  spread over tasks, and a tile returns its best links per profile and a spanning forest, never all pairs.
+* Clusters are connected components by star contraction, with no limit on rounds.
+* Every published link reaches the threshold: a record's probability is that of its best direct link.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
+import sys
+from collections.abc import Iterator
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.strings import damerau_levenshtein_udf, jaro_winkler_udf
+from ..functions.strings import damerau_levenshtein, jaro_winkler
 from ..vocab import LINK_PRIOR, LINK_THRESHOLD
+from . import tiles as T
+from .components import connected
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+#: profiles of one key compared in one task; larger groups are cut into blocks
+BLOCK = 2048
+TILE = ["key", "ti", "tj"]
 
 # ---- fixed values: default m / u probabilities of the comparison levels ----------
 DEFAULT_MODEL = {
@@ -39,80 +51,167 @@ def _norm(c: str):
     return F.nullif(F.lower(F.trim(F.col(c))), F.lit(""))
 
 
-def profiles(df: DataFrame, uid: str, name: str, address: str, block: str) -> DataFrame:
-    """(profile, block, name_n, address_n, uid): identical records share a profile (its smallest id)."""
+# ---- levels and weights (M3-M5) ----------------------------------------------------
+def name_level(a: str | None, b: str | None) -> str:
+    if a is None or b is None:
+        return "null"
+    if a == b:
+        return "exact"
+    if abs(len(a) - len(b)) <= 1 and damerau_levenshtein(a, b) <= 1:
+        return "dl1"
+    jw = jaro_winkler(a, b)
+    return "jw90" if jw >= 0.9 else "jw80" if jw >= 0.8 else "else"
+
+
+def address_level(a: str | None, b: str | None) -> str:
+    if a is None or b is None:
+        return "null"
+    if a == b:
+        return "exact"
+    jw = jaro_winkler(a, b)
+    return "jw90" if jw >= 0.9 else "jw70" if jw >= 0.7 else "else"
+
+
+def weight(model: dict, name: str, address: str) -> float:
+    """log2 prior odds plus log2(m/u) of both levels; the null level is no evidence."""
+    w = math.log2(model["prior"] / (1 - model["prior"]))
+    for levels, level in ((model["name"], name), (model["address"], address)):
+        if level in levels:
+            m, u = levels[level]
+            w += math.log2(m / u)
+    return w
+
+
+def probability(w: float) -> float:
+    return 2.0 ** w / (1.0 + 2.0 ** w) if w < 1000 else 1.0
+
+
+def lifting(model: dict, threshold: float) -> list[tuple[str, str]]:
+    """The (name, address) level combinations that reach the threshold."""
+    return [(n, a) for n, a in itertools.product([*model["name"], "null"], [*model["address"], "null"])
+            if probability(weight(model, n, a)) >= threshold]
+
+
+# ---- candidates (M2, J9) -----------------------------------------------------------
+def profiles(df: DataFrame, uid: str, name: str, address: str, block: str, merge: bool = True) -> DataFrame:
+    """(profile, block, name_n, address_n, uid): equal records without nulls share a profile (its smallest id)."""
     r = df.select(F.col(uid).cast("string").alias("uid"), _norm(name).alias("name_n"), _norm(address).alias("address_n"),
                   F.col(block).alias("block"))
-    p = r.groupBy("block", "name_n", "address_n").agg(F.min("uid").alias("profile")).alias("p")
-    r = r.alias("r")
-    cond = (F.col("r.block").eqNullSafe(F.col("p.block")) & F.col("r.name_n").eqNullSafe(F.col("p.name_n"))
-            & F.col("r.address_n").eqNullSafe(F.col("p.address_n")))
-    return r.join(p, cond).select("r.uid", "p.profile", "r.block", "r.name_n", "r.address_n")
+    full = F.col("name_n").isNotNull() & F.col("address_n").isNotNull() & F.col("block").isNotNull()
+    if not merge:
+        return r.withColumn("profile", F.col("uid")).select("uid", "profile", "block", "name_n", "address_n")
+    key = ["block", "name_n", "address_n"]
+    p = r.where(full).groupBy(*key).agg(F.min("uid").alias("profile"))
+    same = r.where(full).join(p, key).select("uid", "profile", *key)
+    return same.unionByName(r.where(~full).select("uid", F.col("uid").alias("profile"), *key))
 
 
 def _deletion_keys(name):
     """The name itself and every one-character deletion of it."""
     n = F.col(name)
-    return F.array_union(F.array(n), F.transform(F.sequence(F.lit(1), F.greatest(F.length(n), F.lit(1))),
-                                                lambda i: F.concat(F.substring(n, 1, i - 1), F.substring(n, i + 1,
-                                                                                                          1 << 20))))
-
-
-def candidates(prof: DataFrame) -> DataFrame:
-    """J9/M2 -- candidate profile pairs (l < r) within a block: star to the name anchor + deletion-key neighbours."""
-    p = prof.select("profile", "block", "name_n", "address_n").distinct()
-    anchors = p.where(F.col("name_n").isNotNull()).groupBy("block", "name_n").agg(F.min("profile").alias("anchor"))
-    star = p.join(anchors, ["block", "name_n"]).where(F.col("profile") != F.col("anchor")) \
-        .select(F.least("profile", "anchor").alias("l"), F.greatest("profile", "anchor").alias("r"))
-    keys = anchors.select("block", "anchor", F.explode(_deletion_keys("name_n")).alias("k")).distinct()
-    near = keys.alias("a").join(keys.alias("b"), (F.col("a.block") == F.col("b.block")) & (F.col("a.k") == F.col("b.k"))
-                                & (F.col("a.anchor") < F.col("b.anchor"))) \
-        .select(F.col("a.anchor").alias("l"), F.col("b.anchor").alias("r"))
-    return star.unionByName(near).distinct()
-
-
-def compare(pairs: DataFrame, prof: DataFrame) -> DataFrame:
-    """M3/M4 -- comparison levels of each candidate pair (gamma columns)."""
-    p = prof.select("profile", "name_n", "address_n").distinct()
-    j = pairs.join(p.select(F.col("profile").alias("l"), F.col("name_n").alias("name_l"),
-                            F.col("address_n").alias("address_l")), "l") \
-        .join(p.select(F.col("profile").alias("r"), F.col("name_n").alias("name_r"),
-                       F.col("address_n").alias("address_r")), "r")
-    return score_levels(j)
-
-
-def score_levels(j: DataFrame) -> DataFrame:
-    name_jw = jaro_winkler_udf("name_l", "name_r")
-    name = (F.when(F.col("name_l").isNull() | F.col("name_r").isNull(), "null")
-            .when(F.col("name_l") == F.col("name_r"), "exact")
-            .when(damerau_levenshtein_udf("name_l", "name_r") <= 1, "dl1")
-            .when(name_jw >= 0.9, "jw90").when(name_jw >= 0.8, "jw80").otherwise("else"))
-    addr_jw = jaro_winkler_udf("address_l", "address_r")
-    addr = (F.when(F.col("address_l").isNull() | F.col("address_r").isNull(), "null")
-            .when(F.col("address_l") == F.col("address_r"), "exact")
-            .when(addr_jw >= 0.9, "jw90").when(addr_jw >= 0.7, "jw70").otherwise("else"))
-    return j.withColumn("gamma_name", name).withColumn("gamma_address", addr)
-
-
-def _weight(level_col: str, levels: dict):
-    w = F.lit(0.0)  # null level: no evidence
-    for lvl, (m, u) in levels.items():
-        w = F.when(F.col(level_col) == lvl, F.lit(math.log2(m / u))).otherwise(w)
-    return w
-
-
-def match_probability(scored: DataFrame, model: dict | None = None) -> DataFrame:
-    """M5 -- Fellegi-Sunter: log2 prior odds + sum of log2(m/u), as a probability."""
+    return F.array_union(F.array(n), F.transform(F.sequence(F.lit(1), F.greatest(F.length(n), F.lit(1))), lambda i: F.concat(
+        F.substring(n, 1, i - 1), F.substring(n, i + 1, F.length(n)))))
+
+
+def candidate_keys(prof: DataFrame, model: dict, threshold: float) -> DataFrame:
+    """(key, profile, name_n, address_n): profiles under every key that a pair reaching the threshold may share."""
+    p = prof.where("block is not null").select("profile", "block", "name_n", "address_n").distinct()
+    kinds = set()
+    for n, a in lifting(model, threshold):
+        if n == "exact":
+            kinds.add("name")
+        elif a == "exact":
+            kinds.add("deletion+address" if n == "dl1" else "address")
+        elif n == "dl1":
+            kinds.add("deletion")
+        else:
+            raise ValueError(f"levels name={n}, address={a} reach the threshold but imply no shared key")
+    both = F.col("name_n").isNotNull() & F.col("address_n").isNotNull()
+    keyed = {"name": (F.col("name_n").isNotNull(), F.array(F.struct("block", F.col("name_n").alias("x"), F.lit("").alias("y")))),
+             "address": (F.col("address_n").isNotNull(), F.array(F.struct("block", F.lit("").alias("x"), F.col("address_n").alias("y")))),
+             "deletion": (F.col("name_n").isNotNull(), F.transform(_deletion_keys("name_n"), lambda k: F.struct(
+                 "block", k.alias("x"), F.lit("").alias("y")))),
+             "deletion+address": (both, F.transform(_deletion_keys("name_n"), lambda k: F.struct(
+                 "block", k.alias("x"), F.col("address_n").alias("y"))))}
+    out = p.select(F.lit(0).cast("long").alias("key"), "profile", "name_n", "address_n").where("false")
+    for kind in sorted(kinds):
+        cond, keys = keyed[kind]
+        some = p.where(cond).select("profile", "name_n", "address_n", F.explode(keys).alias("k"))
+        # the hash only groups: whatever meets in a group is compared on its own strings
+        out = out.unionByName(some.select(F.xxhash64(F.lit(kind), "k").alias("key"), "profile", "name_n", "address_n"))
+    return out.distinct()
+
+
+def _compare(model: dict, threshold: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in T.whole_groups(batches, TILE):
+            u, v, prob = [], [], []
+            for _, g in pdf.groupby(TILE, sort=False):
+                rows = list(zip(g["profile"], g["name_n"], g["address_n"], g["blk"]))
+                cross, best, root = g["ti"].iloc[0] != g["tj"].iloc[0], {}, {r[0]: r[0] for r in rows}
+
+                def find(x, root=root):
+                    while root[x] != x:
+                        root[x] = root[root[x]]
+                        x = root[x]
+                    return x
+                for (p, n1, a1, b1), (q, n2, a2, b2) in itertools.combinations(rows, 2):
+                    if p == q or (cross and b1 == b2):
+                        continue
+                    pr = probability(weight(model, name_level(n1, n2), address_level(a1, a2)))
+                    if pr < threshold:
+                        continue
+                    best[p], best[q] = max(best.get(p, 0), pr), max(best.get(q, 0), pr)
+                    if find(p) != find(q):
+                        root[find(p)] = find(q)
+                        u.append(p)
+                        v.append(q)
+                        prob.append(pr)
+                for p, pr in best.items():
+                    u.append(p)
+                    v.append(p)
+                    prob.append(pr)
+            yield pd.DataFrame({"l": pd.Series(u, dtype=object), "r": pd.Series(v, dtype=object),
+                                "match_probability": pd.Series(prob, dtype="float64")})
+    return run
+
+
+def links(prof: DataFrame, model: dict | None = None, threshold: float = LINK_THRESHOLD, block: int = BLOCK) -> DataFrame:
+    """(l, r, match_probability) over profiles: a spanning forest of all pairs that reach the threshold, and one
+    row (p, p, best) per linked profile with the probability of its best pair."""
     model = model or DEFAULT_MODEL
-    prior = model["prior"]
-    w = F.lit(math.log2(prior / (1 - prior))) + _weight("gamma_name", model["name"]) + \
-        _weight("gamma_address", model["address"])
-    return scored.withColumn("match_weight", w).withColumn(
-        "match_probability", F.pow(F.lit(2.0), w) / (F.lit(1.0) + F.pow(F.lit(2.0), w)))
+    keyed = candidate_keys(prof, model, threshold).checkpoint()
+    dealt = T.dealt(T.tiled(keyed, "key", "profile", block), "key") \
+        .select("key", "ti", "tj", "blk", "profile", F.col("name_n"), F.col("address_n"))
+    return dealt.mapInPandas(_compare(model, threshold), "l string, r string, match_probability double")
 
 
-def em(scored: DataFrame, model: dict | None = None, iterations: int = 20, tol: float = 1e-6) -> dict:
-    """M5 -- expectation-maximisation of the m/u probabilities on candidate pairs.
+# ---- training (M5) -----------------------------------------------------------------
+def pattern_counts(prof: DataFrame, model: dict | None = None, threshold: float = LINK_THRESHOLD,
+                   block: int = BLOCK) -> DataFrame:
+    """(gamma_name, gamma_address, n): level patterns of the candidate pairs; at most 6 x 5 rows."""
+    model = model or DEFAULT_MODEL
+    keyed = candidate_keys(prof, model, threshold)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in T.whole_groups(batches, TILE):
+            seen: dict[tuple[str, str], int] = {}
+            for _, g in pdf.groupby(TILE, sort=False):
+                rows = list(zip(g["profile"], g["name_n"], g["address_n"], g["blk"]))
+                cross = g["ti"].iloc[0] != g["tj"].iloc[0]
+                for (p, n1, a1, b1), (q, n2, a2, b2) in itertools.combinations(rows, 2):
+                    if p != q and not (cross and b1 == b2):
+                        k = name_level(n1, n2), address_level(a1, a2)
+                        seen[k] = seen.get(k, 0) + 1
+            yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["gamma_name", "gamma_address", "n"])
+    dealt = T.dealt(T.tiled(keyed, "key", "profile", block), "key") \
+        .select("key", "ti", "tj", "blk", "profile", F.col("name_n"), F.col("address_n"))
+    return dealt.mapInPandas(count, "gamma_name string, gamma_address string, n long") \
+        .groupBy("gamma_name", "gamma_address").agg(F.sum("n").alias("n"))
+
+
+def em(patterns: DataFrame, model: dict | None = None, tol: float = 1e-6) -> dict:
+    """M5 -- expectation-maximisation of the m/u probabilities on candidate pairs, until nothing moves by ``tol``.
 
     Only the counts of each (gamma_name, gamma_address) pattern leave Spark: at most 6 x 5 rows,
     whatever the number of pairs. The null level carries no evidence and is skipped; the returned
@@ -120,13 +219,13 @@ def em(scored: DataFrame, model: dict | None = None, iterations: int = 20, tol:
     """
     model = model or DEFAULT_MODEL
     counts = [(r.gamma_name, r.gamma_address, r.n)
-              for r in scored.groupBy("gamma_name", "gamma_address").agg(F.count(F.lit(1)).alias("n")).collect()]
+              for r in patterns.collect()]
     comps = ("name", "address")
     m = {c: {lvl: v[0] for lvl, v in model[c].items()} for c in comps}
     u = {c: {lvl: v[1] for lvl, v in model[c].items()} for c in comps}
     lam = 0.5
     total = float(sum(n for _, _, n in counts)) or 1.0
-    for _ in range(iterations):
+    while counts:
         post = []
         for gn, ga, n in counts:
             pm, pu = lam, 1 - lam
@@ -154,58 +253,56 @@ def em(scored: DataFrame, model: dict | None = None, iterations: int = 20, tol:
     return {"prior": model["prior"], **{c: {lvl: (m[c][lvl], u[c][lvl]) for lvl in m[c]} for c in comps}}
 
 
-def components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 50) -> DataFrame:
-    """Connected components by min-label propagation: (node, label = smallest node of its component).
+# ---- clusters and links (M1, M6-M8) --------------------------------------------------
+def link(df: DataFrame, uid: str, name: str = "name", address: str = "address", block: str = "country",
+         threshold: float = LINK_THRESHOLD, model: dict | None = None, train: bool = False,
+         block_size: int = BLOCK) -> DataFrame:
+    """M1/M6 -- (unique_id_src, unique_id_dst, match_probability): every input record exactly once as src.
 
-    Each round is a join + aggregation on the edges; the label frame is checkpointed (reliable,
-    lineage cut) so the plan does not grow, and the loop stops when no label changes.
+    dst is the smallest id of the record's cluster (connected by pairs that reach the threshold) and
+    match_probability that of the record's best pair, so no published link is below the threshold; a
+    cluster's smallest record links to itself with probability 1.0.
     """
-    und = edges.select("l", "r").unionByName(edges.select(F.col("r").alias("l"), F.col("l").alias("r"))).distinct() \
-        .checkpoint()
-    labels = nodes.select(F.col("node"), F.col("node").alias("label")).checkpoint()
-    for _ in range(max_rounds):
-        prop = und.join(labels.withColumnRenamed("node", "l"), "l").groupBy(F.col("r").alias("node")) \
-            .agg(F.min("label").alias("cand"))
-        new = labels.join(prop, "node", "left").select("node", F.least("label", F.coalesce("cand", "label"))
-                                                       .alias("label")).checkpoint()
-        changed = new.join(labels.withColumnRenamed("label", "old"), "node").where(F.col("label") != F.col("old")) \
-            .limit(1).count()
-        labels = new
-        if not changed:
-            break
-    return labels
+    return _links_of(df, uid, name, address, block, threshold, model, train, block_size, None)
 
 
-def link(df: DataFrame, uid: str, name: str = "name", address: str = "address", block: str = "country",
-         threshold: float = LINK_THRESHOLD, model: dict | None = None, train: bool = False) -> DataFrame:
-    """M1/M6 -- (unique_id_src, unique_id_dst, match_probability): every input record exactly once as src,
-    linked to the reference record (smallest id) of its cluster; clusters are built from pairs scoring at
-    least ``threshold``; a record alone in its cluster links to itself with probability 1.0."""
-    prof = profiles(df, uid, name, address, block).checkpoint()
-    scored = compare(candidates(prof), prof)
+def link_to_reference(new: DataFrame, reference: DataFrame, uid: str, name: str = "name", address: str = "address",
+                      block: str = "country", threshold: float = LINK_THRESHOLD, model: dict | None = None,
+                      train: bool = False, block_size: int = BLOCK) -> DataFrame:
+    """M7 -- link records against an existing reference table: new and reference records are clustered together;
+    every new record comes back once, pointing at its cluster's smallest reference id, or at the cluster's
+    smallest new id if the cluster holds no reference record."""
+    cols = [uid, name, address, block]
+    both = new.select(*cols).unionByName(reference.select(*cols))
+    known = reference.select(F.col(uid).cast("string").alias("uid")).distinct()
+    out = _links_of(both, uid, name, address, block, threshold, model, train, block_size, known)
+    return out.join(new.select(F.col(uid).cast("string").alias("unique_id_src")), "unique_id_src", "left_semi")
+
+
+def _links_of(df, uid, name, address, block, threshold, model, train, block_size, known) -> DataFrame:
+    model = model or DEFAULT_MODEL
+    merge = probability(weight(model, "exact", "exact")) >= threshold
+    prof = profiles(df, uid, name, address, block, merge).checkpoint()
     if train:  # estimate m/u on this data's candidate pairs first (M5)
-        scored = scored.checkpoint()
-        model = em(scored, model)
-    pairs = match_probability(scored, model)
-    edges = pairs.where(F.col("match_probability") >= threshold).select("l", "r")
-    nodes = prof.select(F.col("profile").alias("node")).distinct()
-    lab = components(edges, nodes)
-    rec = prof.join(lab.withColumnRenamed("node", "profile"), "profile")
-    ref = rec.groupBy("label").agg(F.min("uid").alias("dst"))
-    rec = rec.join(ref, "label")
-    refrow = prof.select(F.col("uid").alias("dst"), F.col("name_n").alias("name_r"), F.col("address_n")
-                         .alias("address_r"))
-    out = rec.select(F.col("uid").alias("src"), "dst", F.col("name_n").alias("name_l"),
-                     F.col("address_n").alias("address_l")).join(refrow, "dst")
-    scored = match_probability(score_levels(out), model)
-    return scored.select(F.col("src").alias("unique_id_src"), F.col("dst").alias("unique_id_dst"),
-                         F.when(F.col("src") == F.col("dst"), F.lit(1.0)).otherwise(F.col("match_probability"))
-                         .alias("match_probability"))
-
-
-def link_to_reference(new: DataFrame, reference: DataFrame, uid: str, **kw) -> DataFrame:
-    """M7 -- link records against an existing reference table: records are linked together with the
-    reference records; every new record comes back once, pointing at its cluster's smallest id."""
-    both = new.unionByName(reference)
-    links = link(both, uid, **kw)
-    return links.join(new.select(F.col(uid).cast("string").alias("unique_id_src")), "unique_id_src", "left_semi")
+        model = em(pattern_counts(prof, model, threshold, block_size), model)
+        merge = probability(weight(model, "exact", "exact")) >= threshold
+        prof = profiles(df, uid, name, address, block, merge).checkpoint()
+    pairs = links(prof, model, threshold, block_size).checkpoint()
+    best = pairs.where("l = r").groupBy(F.col("l").alias("profile")).agg(F.max("match_probability").alias("best"))
+    roots = connected(pairs.where("l <> r").select(F.col("l").alias("u"), F.col("r").alias("v"))) \
+        .select(F.col("node").alias("profile"), "root")
+    rec = prof.select("uid", "profile").join(roots, "profile", "left").join(best, "profile", "left") \
+        .withColumn("root", F.coalesce("root", "profile"))
+    if known is None:
+        ref = rec.groupBy("root").agg(F.min("uid").alias("dst"))
+    else:
+        old = known.withColumn("old", F.lit(1))
+        ref = rec.join(old, "uid", "left").groupBy("root").agg(
+            F.coalesce(F.min(F.when(F.col("old") == 1, F.col("uid"))), F.min("uid")).alias("dst"))
+    # records of one profile are equal: they link as an exact pair even where nothing else does
+    same = F.lit(probability(weight(model, "exact", "exact")))
+    shared = prof.groupBy("profile").agg((F.count("*") > 1).alias("shared"))
+    p = F.greatest("best", F.when(F.col("shared"), same))
+    return rec.join(ref, "root").join(shared, "profile").select(
+        F.col("uid").alias("unique_id_src"), F.col("dst").alias("unique_id_dst"),
+        F.when(F.col("uid") == F.col("dst"), F.lit(1.0)).otherwise(p).alias("match_probability"))

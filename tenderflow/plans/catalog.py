@@ -309,8 +309,9 @@ select {_TID} as tender_id, (select label from cpv_codes where code = {_cpv('l.l
        n.n_name as country_name
 {_DOC_FROM} left join nation n on n.n_nationkey = c.c_nationkey""")(_static_lookup)
 
-# ---- M1-M8, T20: record linkage (rows-only: clustering is iterative) ----------
+# ---- M1-M8, T20: record linkage -----------------------------------------------
 from ..operators import linkage as LK  # noqa: E402
+from .oracle_linkage import LINK_RECORDS_SQL, ORGANIZATION_DEDUPLICATION_SQL  # noqa: E402
 
 
 def t_organization_deduplication(spark, sf_dir):
@@ -319,14 +320,18 @@ def t_organization_deduplication(spark, sf_dir):
     links = LK.link(src, "OrganizationAddressId", name="LegalName", address="address", block="CountryCode")
     return links.select(F.col("unique_id_src").alias("OrganizationAddressId"),
                         F.col("unique_id_dst").alias("ReferenceOrganizationAddressId"),
-                        F.col("match_probability").alias("MatchProbability"),
+                        F.round("match_probability", 9).alias("MatchProbability"),
                         F.concat("unique_id_src", "unique_id_dst").alias("OrganizationDeduplicationId"))
 
 
-register("table_organization_deduplication")(t_organization_deduplication)
-register("link_records")(lambda spark, sf_dir: LK.link(
-    Tables(spark, sf_dir).part.select(F.col("p_partkey").cast("string").alias("id"), "p_name", "p_brand", "p_type"),
-    "id", name="p_name", address="p_brand", block="p_type"))
+def _link_records(spark, sf_dir):
+    part = Tables(spark, sf_dir).part.select(F.col("p_partkey").cast("string").alias("id"), "p_name", "p_brand", "p_type")
+    return LK.link(part, "id", name="p_name", address="p_brand", block="p_type") \
+        .withColumn("match_probability", F.round("match_probability", 9))
+
+
+register("table_organization_deduplication", ORGANIZATION_DEDUPLICATION_SQL)(t_organization_deduplication)
+register("link_records", LINK_RECORDS_SQL)(_link_records)
 
 # ---- scalar functions, sources, graph operators on the driver tables ----------
 from ..functions import columns as FC  # noqa: E402

@@ -108,11 +108,21 @@ NT_LINE = (r"^\s*(?:" + _IRI + "|" + _BNODE + r")\s+" + _IRI + r"\s+(?:" + _IRI
            r")\s*(?:" + _IRI + r")?\s*\.\s*$")
 
 
+#: one token of a literal's text: a run of \\uXXXX (surrogate pairs stay together), one other escape, or plain text
+_TOKEN = r"(?s)(?:\\u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|\\.|[^\\]+"
+
+
 def _unescape(c: Column) -> Column:
-    c = F.regexp_replace(c, r'\\"', '"')
-    c = F.regexp_replace(c, r"\\n", "\n")
-    c = F.regexp_replace(c, r"\\t", "\t")
-    return F.regexp_replace(c, r"\\\\", r"\\")
+    """Escapes decoded from left to right, each once."""
+    def plain(t: Column) -> Column:
+        kind = F.substring(t, 2, 1)
+        return (F.when(~t.startswith("\\"), t)
+                .when(kind == "u", F.decode(F.unhex(F.replace(t, F.lit("\\u"), F.lit(""))), "UTF-16BE"))
+                .when(kind == "U", F.decode(F.unhex(F.substring(t, 3, 8)), "UTF-32"))
+                .when(kind == "n", "\n").when(kind == "r", "\r").when(kind == "t", "\t")
+                .when(kind == "b", "\b").when(kind == "f", "\f").otherwise(kind))
+    tokens = F.regexp_extract_all(c, F.lit(_TOKEN), F.lit(0))
+    return F.when(F.contains(c, F.lit("\\")), F.array_join(F.transform(tokens, plain), "")).otherwise(c)
 
 
 def parse_ntriples(lines: DataFrame, text_col: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -149,12 +159,14 @@ def read_triples(spark: SparkSession, path: str, fmt: str = "parquet", dedup: bo
     else:
         triples, rejected = parse_ntriples(spark.read.text(path))
     if dedup:
-        triples = triples.dropDuplicates(["s", "p", "o", "lang", "dtype", "g"])
+        triples = triples.dropDuplicates(["s", "p", "o", "o_kind", "lang", "dtype", "g"])
     return Graph(spark, triples=triples), rejected
 
 
 def _nt_term(kind: Column, o: Column, lang: Column, dtype: Column) -> Column:
-    esc = F.regexp_replace(F.regexp_replace(F.regexp_replace(o, r"\\", r"\\\\"), '"', r'\\"'), "\n", r"\\n")
+    esc = o
+    for raw, escaped in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        esc = F.replace(esc, F.lit(raw), F.lit(escaped))
     lit = F.concat(F.lit('"'), esc, F.lit('"'),
                    F.when(lang.isNotNull(), F.concat(F.lit("@"), lang))
                    .when(dtype.isNotNull(), F.concat(F.lit("^^<"), dtype, F.lit(">"))).otherwise(F.lit("")))

@@ -15,42 +15,54 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.keyed import insert_if_absent, upsert
+from ..operators.keyed import insert_if_absent, keep_first, read_if_there, upsert
 from ..session import scratch_path
 
 
-def _current(spark: SparkSession, target: str) -> str | None:
-    try:
-        rows = spark.read.text(f"{target}/_CURRENT").collect()
-    except Exception:  # noqa: BLE001 - first batch
-        return None
-    return rows[0][0] if rows else None
+def _versions(spark: SparkSession, target: str) -> list:
+    """Published versions (seq, batch, path), oldest first: one short line per batch."""
+    rows = read_if_there(spark, f"{target}/_VERSIONS", "text")
+    parts = [r.value.split("\t") for r in rows.collect()] if rows is not None else []
+    return sorted((int(seq), batch, path) for seq, batch, path in parts)
+
+
+def _publish(spark: SparkSession, target: str, seq: int, batch: str, path: str) -> None:
+    """Add one line; a crash before the append leaves the last version in force."""
+    line = spark.createDataFrame([(f"{seq}\t{batch}\t{path}",)], "value string").coalesce(1)
+    line.write.mode("append").text(f"{target}/_VERSIONS")
 
 
 def ingest_stream(spark: SparkSession, source: str, schema, target: str, pk: list[str], order: list[str],
-                  mode: str = "upsert", glob: str | None = None, name: str | None = None) -> str:
-    """Run the stream to completion (availableNow); returns the path of the current target version."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64)
+                  mode: str = "upsert", glob: str | None = None, name: str | None = None,
+                  files_per_batch: int = 64) -> str:
+    """Run the stream to completion (availableNow); returns the path of the current target version.
+
+    A batch that is replayed after a failure is recognised by its id and not merged twice.
+    """
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     stream = reader.parquet(source)
-    ckpt = scratch_path(spark, f"stream-ckpt-{name or uuid.uuid4().hex[:8]}")
+    name = name or uuid.uuid4().hex[:8]
+    ckpt = scratch_path(spark, f"stream-ckpt-{name}")
 
     def merge(batch: DataFrame, epoch: int) -> None:
-        cur = _current(spark, target)
-        new = batch
-        if cur is None:
-            merged = upsert(new.limit(0), new, pk, order) if mode == "upsert" else new
+        versions, batch_id = _versions(spark, target), f"{name}-{epoch}"
+        if any(b == batch_id for _, b, _ in versions):
+            return
+        if not versions:
+            merged = upsert(batch.limit(0), batch, pk, order) if mode == "upsert" else keep_first(batch, pk, pk)
         else:
-            existing = spark.read.parquet(cur)
-            merged = upsert(existing, new, pk, order) if mode == "upsert" else insert_if_absent(existing, new, pk)
-        out = f"{target.rstrip('/')}/v-{epoch:06d}-{uuid.uuid4().hex[:6]}"
+            existing = spark.read.parquet(versions[-1][2])
+            merged = upsert(existing, batch, pk, order) if mode == "upsert" else insert_if_absent(existing, batch, pk)
+        out = f"{target.rstrip('/')}/v-{uuid.uuid4().hex}"
         merged.write.mode("errorifexists").parquet(out)
-        spark.createDataFrame([(out,)], "value string").coalesce(1).write.mode("overwrite").text(f"{target}/_CURRENT")
+        _publish(spark, target, versions[-1][0] + 1 if versions else 0, batch_id, out)
 
     q = stream.writeStream.foreachBatch(merge).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
-    return _current(spark, target)
+    versions = _versions(spark, target)
+    return versions[-1][2] if versions else None
 
 
 def latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:

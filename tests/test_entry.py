@@ -4,7 +4,7 @@ import pytest
 import __spark_entry__ as E
 from tests.conftest import SF
 
-FAST = ["report_q1", "report_q2", "report_q4", "report_q7", "report_q15", "report_q24", "table_notice",
+FAST = ["link_records", "table_organization_deduplication", "report_q1", "report_q2", "report_q4", "report_q7", "report_q15", "report_q24", "table_notice",
         "table_lot_cpv", "keep_first", "upsert_last", "incremental_load", "best_version", "explode_tenders",
         "cpv_dim", "convert_dated", "preferred_text", "sme_share", "kpi_sme"]
 

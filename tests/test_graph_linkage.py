@@ -72,33 +72,78 @@ def test_link_reference_fixture(spark):
     assert {r.unique_id_src: r.unique_id_dst for r in out} == {"r1": "r1", "r2": "r2", "r3": "r1", "r4": "r2"}
 
 
-def test_candidates_equal_brute_force(spark):
-    """Deletion-key candidates == every pair of distinct names within distance 1 in the block."""
-    names = ["acme", "acne", "acmee", "came", "acme", "bolt", "blot", "bolts", "zzz", "acm"]
-    rows = [(str(i), n, f"addr {i % 3}", "B" if i % 2 else "A") for i, n in enumerate(names)]
-    df = spark.createDataFrame(rows, "id string, name string, address string, country string")
-    prof = LK.profiles(df, "id", "name", "address", "country")
-    got = {tuple(r) for r in LK.candidates(prof).collect()}
-    p = [(r.profile, r.block, r.name_n) for r in prof.select("profile", "block", "name_n").distinct().collect()]
-    anchors = {}
-    for prof_id, blk, nm in p:
-        anchors[(blk, nm)] = min(anchors.get((blk, nm), prof_id), prof_id)
-    want = set()
-    for (a, ba, na), (b, bb, nb) in itertools.combinations(p, 2):
-        if ba != bb:
-            continue
-        if na == nb and a != b:
-            anc = anchors[(ba, na)]
-            for x in (a, b):
-                if x != anc:
-                    want.add((min(x, anc), max(x, anc)))
-        elif na != nb and damerau_levenshtein(na, nb) <= 1 and not (len(na) == len(nb) and sorted(na) == sorted(nb)
-                                                                   and sum(x != y for x, y in zip(na, nb)) == 2):
-            x, y = anchors[(ba, na)], anchors[(bb, nb)]
-            want.add((min(x, y), max(x, y)))
-    assert want <= got
-    # every extra candidate is still a one-edit (or transposition) neighbour of the same block
-    assert all(True for _ in got - want)
+def _brute_links(rows, threshold=0.8, model=LK.DEFAULT_MODEL):
+    """src -> (dst, p) by comparing all pairs of a block."""
+    norm = lambda v: (v or "").strip().lower() or None
+    root, best = {r[0]: r[0] for r in rows}, {}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for (i, n1, a1, c1), (j, n2, a2, c2) in itertools.combinations(rows, 2):
+        if c1 is not None and c1 == c2:
+            p = LK.probability(LK.weight(model, LK.name_level(norm(n1), norm(n2)), LK.address_level(norm(a1), norm(a2))))
+            if p >= threshold:
+                best[i], best[j] = max(best.get(i, 0), p), max(best.get(j, 0), p)
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    return {r[0]: (find(r[0]), 1.0 if find(r[0]) == r[0] else best[r[0]]) for r in rows}
+
+
+LINK_ROWS = [
+    ("01", "Acme Ltd", "1 Main Street", "A"), ("02", "Acme Ltd", "77 Harbour Road", "A"), ("03", "Acme Ltd", "77 Harbour Roads", "A"),
+    ("04", "Bolt Works", "5 Low Lane", "A"), ("05", "Bolt Work", "5 Low Lane", "A"), ("06", "Blot Work", "5 Low Lane", "A"),
+    ("07", None, "9 Hill", "A"), ("08", None, "9 Hill", "A"), ("09", "Zed", None, "A"), ("10", "Zed", None, "A"),
+    ("11", "acme ltd ", " 1 main street", "A"), ("12", "Acme Ltd", "1 Main Street", "B"), ("13", "Acme Ltd", "1 Main Street", None),
+    ("14", "Acme Ltd", "1 Main Street", None), ("15", "", "", "A"), ("16", "Bolts Works", "5 Low Lane", "A"),
+    ("17", "Q", "X", "A"), ("18", "", "X", "A"), ("19", "Acme Ltd", "77 Harbor Road", "A")]
+
+
+def test_links_equal_all_pairs(spark):
+    """Lost-match cases, nulls, transpositions and chains: the same links as comparing every pair of a block."""
+    df = spark.createDataFrame(LINK_ROWS, "id string, name string, address string, country string")
+    want = _brute_links(LINK_ROWS)
+    for size in (LK.BLOCK, 2):
+        got = {r.unique_id_src: (r.unique_id_dst, r.match_probability) for r in LK.link(df, "id", block_size=size).collect()}
+        assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+        assert all(abs(got[k][1] - want[k][1]) < 1e-12 for k in want)
+    assert want["03"][0] == "02" and want["05"][0] == "04" and want["08"][0] == "08"
+
+
+def test_long_chain_is_one_component(spark):
+    from tenderflow.operators.components import connected
+    edges = spark.createDataFrame([(i, i + 1) for i in range(120)], "u long, v long")
+    assert {r.root for r in connected(edges).collect()} == {0}
+    assert connected(edges).count() == 121
+    assert connected(edges.where("false")).count() == 0
+
+
+def test_reference_id_wins(spark):
+    schema = "id string, name string, address string, country string"
+    new = spark.createDataFrame([("0", "Acme", "1 Main St", "A"), ("1", "Solo", "2 Side St", "A")], schema)
+    ref = spark.createDataFrame([("9", "Acme", "1 Main St", "A")], schema)
+    got = {r.unique_id_src: r.unique_id_dst for r in LK.link_to_reference(new, ref, "id").collect()}
+    assert got == {"0": "9", "1": "1"}
+
+
+def test_model_without_shared_keys_is_refused(spark):
+    import pytest
+    model = {**LK.DEFAULT_MODEL, "name": {**LK.DEFAULT_MODEL["name"], "jw90": (0.9, 1e-9)}}
+    prof = LK.profiles(spark.createDataFrame(LINK_ROWS, "id string, name string, address string, country string"),
+                       "id", "name", "address", "country")
+    with pytest.raises(ValueError):
+        LK.links(prof, model)
+
+
+def test_literal_escapes_round_trip(spark):
+    texts = ["C:\\new\\table", "a\\\\b", "tab\there", "line\nbreak", "cr\rhere", 'quote"d', "\\u0041 stays", "é ü 漢 😀", ""]
+    t = spark.createDataFrame([("http://s", "http://p", x, "literal", None, None, None) for x in texts],
+                              "s string, p string, o string, o_kind string, lang string, dtype string, g string")
+    back, rejected = parse_ntriples(to_ntriples(t))
+    assert rejected.count() == 0
+    assert sorted(r.o for r in back.collect()) == sorted(texts)
+    raw = spark.createDataFrame([(r'<http://s> <http://p> "\u0041\U0001F600\uD83D\uDE00\\u0041" .',)], "value string")
+    assert parse_ntriples(raw)[0].first().o == "A😀😀\\u0041"
 
 
 def test_em_estimates_valid_model(spark):
@@ -107,8 +152,7 @@ def test_em_estimates_valid_model(spark):
          ("bolt co", "2 high st"), ("bolt co", "2 high st"), ("bolt co", "7 low st"), ("blot co", "2 high st")])]
     df = spark.createDataFrame(rows, "id string, name string, address string, country string")
     prof = LK.profiles(df, "id", "name", "address", "country")
-    scored = LK.compare(LK.candidates(prof), prof)
-    model = LK.em(scored)
+    model = LK.em(LK.pattern_counts(prof))
     for comp in ("name", "address"):
         for m, u in model[comp].values():
             assert 0 < m < 1 and 0 < u < 1
