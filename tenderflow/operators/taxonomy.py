@@ -42,7 +42,7 @@ def cpv_dim(codes: DataFrame, code: str = "code", label: str = "label") -> DataF
     cands = base.select("code", F.explode(F.sequence(F.lit(1), F.greatest(kmax, F.lit(1)))).alias("k"), kmax.alias("kmax")) \
         .where(F.col("k") <= F.col("kmax")) \
         .withColumn("cand", F.expr("rpad(substring(code, 1, k), 8, '0')"))
-    existing = cands.join(F.broadcast(base.select(F.col("code").alias("cand"))), "cand", "left_semi") \
+    existing = cands.join(base.select(F.col("code").alias("cand")), "cand", "left_semi") \
         .withColumn("cand_rank", digit_rank("cand"))
     aggs = [F.max_by("cand", "k").alias("parent")]
     for r in range(CPV_MIN_RANK, CPV_MAX_RANK + 1):
@@ -57,15 +57,15 @@ def cpv_dim(codes: DataFrame, code: str = "code", label: str = "label") -> DataF
 
 
 def lookup(df: DataFrame, col: str, dim: DataFrame, key: str, values: list[str], prefix: str = "") -> DataFrame:
-    """J5/J11 -- broadcast left join of a bounded dimension; unknown keys give nulls."""
+    """J5/J11 -- left join of a dimension; unknown keys give nulls."""
     d = dim.select(F.col(key).alias("_k"), *[F.col(v).alias(prefix + v) for v in values])
-    return df.join(F.broadcast(d), F.col(col) == F.col("_k"), "left").drop("_k")
+    return df.join(d, F.col(col) == F.col("_k"), "left").drop("_k")
 
 
 def cpv_parent_by_rank(df: DataFrame, col: str, dim: DataFrame, rank: int | str, out: str) -> DataFrame:
     """C4 -- scalar: ancestor of ``col`` at ``rank`` (a literal or a column name); null outside 0..4."""
     d = dim.select(F.col("code").alias("_k"), *[F.col(f"anc{r}").alias(f"_anc{r}") for r in range(5)])
-    j = df.join(F.broadcast(d), F.col(col) == F.col("_k"), "left")
+    j = df.join(d, F.col(col) == F.col("_k"), "left")
     rk = F.lit(rank) if isinstance(rank, int) else F.col(rank)
     pick = F.element_at(F.array(*[F.col(f"_anc{r}") for r in range(5)]), (rk + 1).cast("int"))
     val = F.when((rk >= 0) & (rk <= 4), pick)
@@ -79,7 +79,7 @@ def _explode_list(df: DataFrame, key: str, col: str) -> DataFrame:
 def cpv_list_parents_by_rank(df: DataFrame, key: str, col: str, dim: DataFrame, rank: int, out: str) -> DataFrame:
     """C5 -- sorted distinct ancestors at ``rank`` of every code in a list; null when none / null list."""
     e = _explode_list(df, key, col)
-    e = e.join(F.broadcast(dim.select(F.col("code").alias("_code"), F.col(f"anc{rank}").alias("_v"))), "_code", "left")
+    e = e.join(dim.select(F.col("code").alias("_code"), F.col(f"anc{rank}").alias("_v")), "_code", "left")
     g = e.groupBy(key).agg(F.array_sort(F.collect_set("_v")).alias(out))
     return df.join(g.withColumn(out, F.when(F.size(out) > 0, F.col(out))), key, "left")
 
@@ -87,7 +87,7 @@ def cpv_list_parents_by_rank(df: DataFrame, key: str, col: str, dim: DataFrame,
 def cpv_list_ranks(df: DataFrame, key: str, col: str, dim: DataFrame, out: str) -> DataFrame:
     """C6 -- ranks of a list, order kept, null for unknown codes; null list / empty list -> null."""
     e = _explode_list(df, key, col)
-    e = e.join(F.broadcast(dim.select(F.col("code").alias("_code"), F.col("rank").alias("_v"))), "_code", "left")
+    e = e.join(dim.select(F.col("code").alias("_code"), F.col("rank").alias("_v")), "_code", "left")
     g = e.where(F.col("_pos").isNotNull()).groupBy(key).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_v"))), lambda x: x["_v"]).alias(out))
     return df.join(g, key, "left")
@@ -99,7 +99,7 @@ def cpv_list_parents(df: DataFrame, key: str, col: str, dim: DataFrame, out: str
     d = dim.select(F.col("code").alias("_code"),
                    F.when(F.col("rank") >= 1, F.element_at(F.array(*[F.col(f"anc{r}") for r in range(5)]),
                                                             F.col("rank"))).alias("_v"))
-    e = e.join(F.broadcast(d), "_code", "left")
+    e = e.join(d, "_code", "left")
     g = e.groupBy(key).agg(F.array_sort(F.collect_set("_v")).alias(out))
     return df.join(g.withColumn(out, F.when(F.size(out) > 0, F.col(out))), key, "left")
 
@@ -108,42 +108,43 @@ def list_labels(df: DataFrame, key: str, col: str, dim: DataFrame, out: str, cod
                 label: str = "label") -> DataFrame:
     """X11/D7 -- replace every code of a list by its label (order kept, null for unknown)."""
     e = _explode_list(df, key, col)
-    e = e.join(F.broadcast(dim.select(F.col(code).alias("_code"), F.col(label).alias("_v"))), "_code", "left")
+    e = e.join(dim.select(F.col(code).alias("_code"), F.col(label).alias("_v")), "_code", "left")
     g = e.where(F.col("_pos").isNotNull()).groupBy(key).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_v"))), lambda x: x["_v"]).alias(out))
     return df.join(g, key, "left")
 
 
 # ---- parent-pointer taxonomies (C10-C14, N6-N10, J8) ---------------------
-def ancestor_closure(dim: DataFrame, code: str = "code", parent: str = "parent", max_depth: int = 12) -> DataFrame:
+def ancestor_closure(dim: DataFrame, code: str = "code", parent: str = "parent") -> DataFrame:
     """J8 -- (code, ancestor, depth, known) for every code: depth 0 is the code itself.
 
-    Walks parent pointers by repeated broadcast joins (the taxonomy is a
-    bounded dimension). A parent absent from the list is reached (one hop,
-    ``known`` false) and ends the walk, as the reference walk does.
+    Walks parent pointers to the root, however deep, one join per level; the frontier of every level
+    is checkpointed. A parent absent from the list is reached (one hop, ``known`` false) and ends the
+    walk, as the reference walk does. A cycle is an error: some code would be its own ancestor.
     """
-    # the taxonomy is a bounded dimension: materialise it once (reliable checkpoint, lineage cut)
-    nodes = dim.groupBy(F.col(code).alias("_n")).agg(F.min(parent).alias("_p")).checkpoint(eager=True)
-    step = nodes.select(F.col("_n").alias("code"), F.col("_n").alias("ancestor"), F.lit(0).alias("depth"),
-                        F.lit(True).alias("known"), F.col("_p").alias("_next"))
-    out = step.drop("_next")
-    frontier = step
-    for d in range(1, max_depth + 1):
+    nodes = dim.groupBy(F.col(code).alias("_n")).agg(F.min(parent).alias("_p")).checkpoint()
+    frontier = nodes.select(F.col("_n").alias("code"), F.col("_n").alias("ancestor"), F.lit(0).alias("depth"),
+                            F.lit(True).alias("known"), F.col("_p").alias("_next"))
+    out = frontier.drop("_next")
+    depth = 0
+    while True:
+        depth += 1
         nxt = frontier.where(F.col("_next").isNotNull() & F.col("known")) \
-            .select("code", F.col("_next").alias("ancestor"), F.lit(d).alias("depth"))
-        nxt = nxt.join(F.broadcast(nodes), F.col("ancestor") == F.col("_n"), "left") \
-            .select("code", "ancestor", "depth", F.col("_n").isNotNull().alias("known"), F.col("_p").alias("_next"))
-        out = out.unionByName(nxt.drop("_next"))
-        frontier = nxt
-    return out
+            .select("code", F.col("_next").alias("ancestor"), F.lit(depth).alias("depth"))
+        frontier = nxt.join(nodes, F.col("ancestor") == F.col("_n"), "left") \
+            .select("code", "ancestor", "depth", F.col("_n").isNotNull().alias("known"), F.col("_p").alias("_next")).checkpoint()
+        if frontier.isEmpty():
+            return out
+        cyclic = frontier.where(F.col("code") == F.col("ancestor")).first()
+        if cyclic is not None:
+            raise ValueError(f"taxonomy has a cycle through {cyclic.code}")
+        out = out.unionByName(frontier.drop("_next"))
 
 
 def taxonomy_levels(dim: DataFrame, code: str = "code", parent: str = "parent", label: str = "label",
-                    max_level: int = 5, max_depth: int = 12) -> DataFrame:
-    """C12/C13/N9/N10 -- (code, level, lvl0..lvlN): level = hops to the top; lvl_k = ancestor at level k.
-
-    ``max_depth`` bounds the walk (codes of length n have at most n hops)."""
-    clo = ancestor_closure(dim, code, parent, max_depth=max_depth)
+                    max_level: int = 5) -> DataFrame:
+    """C12/C13/N9/N10 -- (code, level, lvl0..lvlN): level = hops to the top; lvl_k = ancestor at level k (k <= max_level)."""
+    clo = ancestor_closure(dim, code, parent)
     lvl = clo.groupBy("code").agg(F.max("depth").alias("level"))
     j = clo.join(lvl, "code").withColumn("at_level", F.col("level") - F.col("depth"))
     piv = j.groupBy("code", "level").agg(*[F.max(F.when(F.col("at_level") == k, F.col("ancestor"))).alias(f"lvl{k}")
@@ -156,13 +157,13 @@ def nuts_code_by_level(df: DataFrame, col: str, nuts: DataFrame, level: int, out
     from ..functions.columns import prefix_level
     df = df.withColumn("_cand", prefix_level(col, level))
     known = nuts.select(F.col("code").alias("_cand2")).distinct()
-    j = df.join(F.broadcast(known), F.col("_cand") == F.col("_cand2"), "left")
+    j = df.join(known, F.col("_cand") == F.col("_cand2"), "left")
     return j.withColumn(out, F.when(F.col("_cand2").isNotNull(), F.col("_cand"))).drop("_cand", "_cand2")
 
 
 def cpv_list_columns(df: DataFrame, key: str, col: str, dim: DataFrame, ranks: list[int] = (0, 1, 2, 3, 4),
                      labels: bool = True) -> DataFrame:
-    """C5-C7 + X11 in one pass: explode the code list once, broadcast-join the dimension, regroup once.
+    """C5-C7 + X11 in one pass: explode the code list once, join the dimension, regroup once.
 
     Adds ``cpv_parent`` (C7), ``cpv_level`` (C6, order kept), ``cpv<r>`` (C5) and replaces ``col`` by
     labels when ``labels``; sets are sorted by code and empty sets are null. One exchange on ``key``
@@ -174,8 +175,8 @@ def cpv_list_columns(df: DataFrame, key: str, col: str, dim: DataFrame, ranks: l
                                                            F.col("rank"))).alias("_par"),
                    *[F.col(f"anc{r}").alias(f"_a{r}") for r in ranks])
     for c in ["_par"] + [f"_a{r}" for r in ranks]:
-        d = d.join(F.broadcast(lab.select(F.col("_lc").alias(c), F.col("_ll").alias(c + "_l"))), c, "left")
-    e = df.select(key, F.posexplode(col).alias("_pos", "_code")).join(F.broadcast(d), "_code", "left")
+        d = d.join(lab.select(F.col("_lc").alias(c), F.col("_ll").alias(c + "_l")), c, "left")
+    e = df.select(key, F.posexplode(col).alias("_pos", "_code")).join(d, "_code", "left")
 
     def sorted_set(code_col: str, out: str):
         s = F.array_sort(F.collect_set(F.when(F.col(code_col).isNotNull(),

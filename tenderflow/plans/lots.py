@@ -75,12 +75,13 @@ def build_lots(g: Graph, window=None) -> DataFrame:
     win = match(lao, tao)
     win = optional(win, _org_names_nuts(g, "_worg"))
     win = optional(win, path(g, ["describesTender", "foreseesSubcontracting"], "_tao", "_sub"))
-    amount = typed(match(pattern(g, "hasAmountValue", "_mv", "_amt"), pattern(g, "hasCurrency", "_mv", "_cur")),
-                   g, "_mv", "MonetaryValue")
+    amount = typed(match(pattern(g, "hasAmountValue", "_mv", "_amt", cast="double"),
+                         pattern(g, "hasCurrency", "_mv", "_cur")), g, "_mv", "MonetaryValue")
     win = optional(win, match(pattern(g, "hasAwardedValue", "_lao", "_mv"), amount).drop("_mv"))
     winners = win.groupBy("lot").agg(_sorted_set("_name", "winner_names"), _sorted_set("_nuts", "winner_nuts"),
-                                     F.min("_sub").alias("subcontracting"), F.min("_amt").alias("lot_amount"),
-                                     F.min("_cur").alias("lot_currency"))
+                                     F.min("_sub").alias("subcontracting"),
+                                     F.min(F.when(F.col("_amt").isNotNull(), F.struct("_amt", "_cur"))).alias("_value")) \
+        .withColumns({"lot_amount": F.col("_value._amt"), "lot_currency": F.col("_value._cur")}).drop("_value")
 
     term = typed(pattern(g, "foreseesContractSpecificTerm", "lot", "_term"), g, "_term", "ContractTerm")
     term = optional(term, path(g, ["definesSpecificPlaceOfPerformance", "hasNutsCode"], "_term", "_pop"))
@@ -145,7 +146,7 @@ def enrich(lots: DataFrame, cpv_codes: DataFrame, rates: DataFrame, countries: D
         IND["cpv"]: present("main_cpvs", "array"), IND["bidder"]: present("winner_names", "array"),
         IND["value"]: present("lot_amount", "number"),
         IND["ptype"]: F.when(F.col("procedure_type") == "open", 100).otherwise(0)})
-    # C5-C7 and the label replacement (X11) in one explode / broadcast lookup / regroup pass
+    # C5-C7 and the label replacement (X11) in one explode / lookup / regroup pass
     df = cpv_list_columns(df, "lot", "main_cpvs", cpv_dim(cpv_codes))
     for n in range(4):
         df = df.withColumn(f"lots_nuts_{n}", prefix_level("place_of_performance", n))

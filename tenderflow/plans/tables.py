@@ -70,7 +70,7 @@ def notices(g: Graph, window: tuple[str, str] | None = None) -> DataFrame:
     """S4/G9 -- (Notice, NoticePublicationDate) of result notices published in the window."""
     n = typed(pattern(g, "hasPublicationDate", "Notice", "NoticePublicationDate"), g, "Notice", "ResultNotice")
     if window is not None:
-        n = n.join(F.broadcast(window_days(g.spark, *window)), "NoticePublicationDate", "left_semi")
+        n = n.join(window_days(g.spark, *window), "NoticePublicationDate", "left_semi")
     return n
 
 
@@ -350,13 +350,13 @@ def g_p(name: str) -> str:
 def t_cpv(g: Graph, max_level: int = 5) -> DataFrame:
     tax = _taxonomy(g, GRAPH_CPV, "en")
     first_label = tax.groupBy("code").agg(F.min("label").alias("label"))
-    lv = taxonomy_levels(tax, max_level=max_level, max_depth=8)
+    lv = taxonomy_levels(tax, max_level=max_level)
     out = tax.select(F.col("code").alias("OriginalCPV"), F.col("label").alias("OriginalCPVLabel")) \
         .join(lv.withColumnRenamed("code", "OriginalCPV"), "OriginalCPV", "left")
     cols = [F.col("OriginalCPV"), F.col("OriginalCPVLabel"), F.col("level").cast("int").alias("OriginalCPVLevel")]
     for k in range(max_level + 1):
         code_k = F.when(F.col("level") >= k, F.col(f"lvl{k}"))
-        out = out.join(F.broadcast(first_label.select(F.col("code").alias(f"_c{k}"), F.col("label").alias(f"_l{k}"))),
+        out = out.join(first_label.select(F.col("code").alias(f"_c{k}"), F.col("label").alias(f"_l{k}")),
                        code_k == F.col(f"_c{k}"), "left")
         cols += [code_k.alias(f"CPV{k}")]
     cols += [F.col(f"_l{k}").alias(f"CPV{k}Label") for k in range(max_level + 1)]
@@ -367,17 +367,17 @@ def t_nuts(g: Graph, nuts_list: DataFrame, max_level: int = 3) -> DataFrame:
     tax = _taxonomy(g, GRAPH_NUTS, None).withColumn("label", after_first_space("label"))
     first_label = tax.groupBy("code").agg(F.min("label").alias("label"))
     eng = nuts_list.groupBy("code").agg(F.min("label").alias("eng"))
-    lv = taxonomy_levels(tax, max_level=max_level, max_depth=5)
+    lv = taxonomy_levels(tax, max_level=max_level)
     out = tax.select(F.col("code").alias("NUTSId"), F.col("label").alias("NUTSLabel")) \
         .join(lv.withColumnRenamed("code", "NUTSId"), "NUTSId", "left") \
-        .join(F.broadcast(eng.select(F.col("code").alias("NUTSId"), F.col("eng").alias("NUTSLabelEng"))), "NUTSId",
+        .join(eng.select(F.col("code").alias("NUTSId"), F.col("eng").alias("NUTSLabelEng")), "NUTSId",
               "left")
     cols = [F.col("NUTSId"), F.col("NUTSLabel"), F.col("NUTSLabelEng")]
     for k in range(max_level + 1):
         code_k = F.when(F.col("level") >= k, F.col(f"lvl{k}"))
-        out = out.join(F.broadcast(first_label.select(F.col("code").alias(f"_c{k}"), F.col("label").alias(f"_l{k}"))),
+        out = out.join(first_label.select(F.col("code").alias(f"_c{k}"), F.col("label").alias(f"_l{k}")),
                        code_k == F.col(f"_c{k}"), "left") \
-            .join(F.broadcast(eng.select(F.col("code").alias(f"_e{k}c"), F.col("eng").alias(f"_e{k}"))),
+            .join(eng.select(F.col("code").alias(f"_e{k}c"), F.col("eng").alias(f"_e{k}")),
                   code_k == F.col(f"_e{k}c"), "left")
         cols += [code_k.alias(f"NUTS{k}")]
     cols += [F.col(f"_l{k}").alias(f"NUTS{k}Label") for k in range(max_level + 1)]

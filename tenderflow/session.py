@@ -40,14 +40,21 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only when unset (local tests)."""
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder for checkpoints and intermediate tables.
+
+    ``spark.checkpoint.dir`` if set, else a folder the caller has set on the context. With neither, a scratch
+    folder is used on a local master only: on a cluster a folder of the driver's own is refused.
+    """
+    context = spark.sparkContext
+    path = context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    path = path or context.getCheckpointDir()
     if not path:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="tenderflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(path)
     return path
 
 

@@ -3,8 +3,8 @@
 The reference reads these from spreadsheets and a bundled rate table; here
 they are computed from the data so their size follows it. Every dimension is
 bounded by its code space (CPV <= 1 440 leaf codes + 40 divisions, NUTS <=
-26*26*60 codes, one rate per currency and month), which is what makes the
-``broadcast`` hints on them safe at any scale.
+26*26*60 codes, one rate per currency and month). Nothing relies on these
+bounds: joins carry no broadcast hint, Spark decides by measured size.
 """
 
 from __future__ import annotations
@@ -18,9 +18,6 @@ from .testdata_kg import alpha2, alpha3, cpv_code, nuts3
 
 # ---- fixed values: base rates (units per EUR) of the derived rate table ------
 BASE_RATES = {"PLN": 4.25, "RON": 4.75, "BGN": 1.95583}
-# Upper bounds of the code spaces (row counts), used to justify broadcasts.
-CPV_CODE_SPACE = 1480
-NUTS_CODE_SPACE = 26 * 26 * 61
 
 
 def cpv_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +77,7 @@ def nuts_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                F.struct(F.lit(3).alias("level"), F.col("code").alias("c")))).alias("x")) \
         .select("x.*")
     codes = org_levels.unionByName(lot_levels).distinct().withColumnRenamed("c", "code")
-    ctry = F.broadcast(countries(spark, sf_dir))
+    ctry = countries(spark, sf_dir)
     out = codes.join(ctry, codes.code == ctry.alpha2, "left")
     label = F.when(F.col("level") == 0, F.col("name")).otherwise(F.concat(F.lit("Region "), F.col("code")))
     return out.select("code", label.alias("label"), F.lower(label).alias("original_label"), "level")

@@ -57,3 +57,28 @@ def test_nuts_code_by_level(spark):
     r = [x.o for x in TX.nuts_code_by_level(df, "c", nuts, 1, "o").orderBy("c").collect()]
     r2 = {x.c: x.o for x in TX.nuts_code_by_level(df, "c", nuts, 2, "o").collect()}
     assert "FRK" in r and r2["FRK26"] is None     # FRK2 does not exist
+
+
+def test_deep_taxonomy_and_cycle(spark):
+    import pytest
+
+    from tenderflow.operators.taxonomy import ancestor_closure, taxonomy_levels
+    deep = spark.createDataFrame([(f"{i:03d}", f"{i - 1:03d}" if i else None, "x") for i in range(30)],
+                                 "code string, parent string, label string")
+    assert {r.code: r.level for r in taxonomy_levels(deep).collect()} == {f"{i:03d}": i for i in range(30)}
+    loop = spark.createDataFrame([("a", "b", "x"), ("b", "c", "x"), ("c", "b", "x")], "code string, parent string, label string")
+    with pytest.raises(ValueError):
+        ancestor_closure(loop)
+
+
+def test_checkpoint_folder_of_the_context_is_used(spark):
+    from tenderflow.session import ensure_checkpoint_dir
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        spark.conf.unset("spark.checkpoint.dir")
+        if spark.sparkContext.getConf().get("spark.checkpoint.dir", None) is None:
+            assert ensure_checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
+            assert spark.conf.get("spark.checkpoint.dir", None) is None
+    finally:
+        if before:
+            spark.conf.set("spark.checkpoint.dir", before)
