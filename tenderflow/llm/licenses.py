@@ -86,8 +86,9 @@ def identifiers(docs: DataFrame, sentences: dict[str, str] = SENTENCES, doc_id:
     known = docs.sparkSession.range(1).select(F.inline(forms))
     parts = F.filter(F.transform(F.split(F.col(text), CUT), lambda s, i: F.struct(i.alias("pos"), s.alias("s"))),
                      lambda x: x["s"].rlike(TRIGGERS))
-    cut = docs.where(F.col(text).rlike(TRIGGERS)).select(F.monotonically_increasing_id().alias("row"),
-                                                         F.col(doc_id).alias("doc_id"), F.explode(parts).alias("x"))
+    numbered = docs.where(F.col(text).rlike(TRIGGERS)).select(F.monotonically_increasing_id().alias("row"),
+                                                              F.col(doc_id).alias("doc_id"), parts.alias("parts"))
+    cut = numbered.select("row", "doc_id", F.explode("parts").alias("x"))
     said = cut.select("row", "doc_id", "x.pos", normalised(F.col("x.s")).alias("norm"))
     # the table of known forms is written above: a few dozen rows
     return said.join(F.broadcast(known), "norm").select("row", "doc_id", "pos", "id")
