@@ -1,9 +1,9 @@
 """Operator 1: quality classifier from weak labels.
 
-1. Eleven overlapping heuristic labellers vote good, bad or abstain on every document,
+1. Twelve overlapping heuristic labellers vote good, bad or abstain on every document,
    or stay silent where they cannot judge.
 2. The corpus is reduced to counts of vote patterns (one group-by, partial sums before the
-   shuffle). There are at most 4^11 patterns whatever the size of the corpus, so this table, and
+   shuffle). There are at most 4^12 patterns whatever the size of the corpus, so this table, and
    nothing else, goes to the driver, where expectation-maximisation estimates the class prior and each
    labeller's vote probabilities given the class. The posterior of a pattern is the posterior
    label of every document that shows it.
@@ -40,6 +40,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: a labeller that sees nothing clear abstains (an outcome of its own); one that cannot judge is silent
 BAD, GOOD, ABSTAIN, SILENT = 0, 1, 2, 3
+#: a labeller votes bad on at most this share of good documents: labellers are made to be precise
+FALSE_ALARM = 0.01
 DIMS = 1 << 15
 TRAIN_ROWS = 6000
 PER_PATTERN = 1500
@@ -75,7 +77,8 @@ def votes(text: str | None) -> list[int]:
     ends = sum(c for w, c in counts.items() if w[-1] in ".!?")
     plain = sum(c for w, c in counts.items() if w.isalpha() or w[:-1].isalpha())
     small = sum(c for w, c in counts.items() if len(w) < 4 and w.islower() and w.isalpha())
-    again = sum(map(str.__eq__, words, words[1:])) / n
+    follows = list(map(str.__eq__, words, words[1:]))
+    again, runs = sum(follows) / n, sum(map(bool.__and__, follows, follows[1:])) / n
     pairs = len(set(zip(words, words[1:]))) / max(n - 1, 1)
     top = max(counts.values()) / n
     short = n < 15  # ratios of a few words say little
@@ -85,6 +88,7 @@ def votes(text: str | None) -> list[int]:
         _vote(upper / max(upper + lower, 1), 0.50, 0.25),             # capitals among letters
         _vote(bare / n, 0.20, 0.05),                                  # words without a letter or digit
         _vote(again, 0.20, 0.05),                                     # word follows itself
+        _vote(runs, 0.10, 0.02),                                      # word stands three times in a row
         _vote(1 - plain / n, 0.25, 0.10),                             # words with inner or doubled symbols
         SILENT if short else _vote(-small / n, -0.05, -0.12),        # short lower-case words
         SILENT if short else _vote(1 - pairs, 0.50, 0.25),           # repeated word pairs
@@ -94,7 +98,7 @@ def votes(text: str | None) -> list[int]:
     ]
 
 
-LABELLERS = ("symbols", "doubled", "capitals", "bare", "adjacent", "plain", "small", "pairs", "top_word", "sentences", "word_length")
+LABELLERS = ("symbols", "doubled", "capitals", "bare", "adjacent", "runs", "plain", "small", "pairs", "top_word", "sentences", "word_length")
 
 
 # ---- label model -------------------------------------------------------------------
@@ -102,7 +106,8 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, tol: floa
     """Prior and vote probabilities of the two classes from vote patterns (rows) and their counts.
 
     Labellers are independent given the class; good, bad and abstain are outcomes, silence is no evidence.
-    Every class-vote table gets one pseudo-count. Starts from the votes, any bad vote weighing more than
+    Every class-vote table gets one pseudo-count, and no labeller is taken to vote bad on more than
+    ``FALSE_ALARM`` of the good documents. Starts from the votes, any bad vote weighing more than
     the good ones, and runs until the log likelihood gains less than ``tol`` of itself.
     """
     good, bad = (patterns == GOOD).sum(axis=1), (patterns == BAD).sum(axis=1)
@@ -115,6 +120,10 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, tol: floa
         table = np.stack([[weight @ (patterns[:, j] == v) + 1 for v in (BAD, GOOD, ABSTAIN)]
                           for j in range(patterns.shape[1])])             # labeller x vote x class
         table = table / table.sum(axis=1, keepdims=True)
+        # a defect that one class of junk shows must not become a habit of good documents
+        alarm = table[:, BAD, 1]
+        table[:, 1:, 1] *= ((1 - np.minimum(alarm, FALSE_ALARM)) / np.maximum(1 - alarm, 1e-12))[:, None]
+        table[:, BAD, 1] = np.minimum(alarm, FALSE_ALARM)
         silent = np.concatenate([np.log(table), np.zeros_like(table[:, :1])], axis=1)
         logp = np.log(prior) + sum(silent[j][patterns[:, j]] for j in range(patterns.shape[1]))
         top = logp.max(axis=1, keepdims=True)
@@ -198,7 +207,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", train_row
           per_pattern: int = PER_PATTERN, seed: int = SEED) -> dict:
     """Label model over all documents, then the scorer on the bounded sample."""
     table = vote_table(docs, doc_id, text).withColumn("h", F.xxhash64(F.lit(seed), "doc_id")).checkpoint()
-    counted = table.groupBy("pattern").count().orderBy("pattern").toPandas()  # at most 4^11 rows
+    counted = table.groupBy("pattern").count().orderBy("pattern").toPandas()  # at most 4^12 rows
     if not len(counted):
         return {"weights": np.zeros(DIMS, np.float32), "bias": 0.0, "dims": DIMS, "label_model": None}
     pats = np.array([[int(c) for c in p] for p in counted["pattern"]])
