@@ -1,0 +1,90 @@
+import random
+
+from tenderflow.llm import licenses as C
+from tenderflow.llm import secrets as S
+from tenderflow.llm import warc as W
+
+
+def test_license_sequences(docs_of):
+    s = C.SENTENCES
+    mit = "\n".join([s["mit-line"] + ".", s["mit-grant"] + ".", "Own words here.", s["mit-notice"] + ".", s["as-is"] + "."])
+    rows = [(1, mit), (2, s["gpl3-line"] + "."), (3, "licensed   under the APACHE license, version 2.0"), (4, "no licence here"),
+            (5, s["as-is"]), (6, s["bsd-redistribute"] + ":\n" + "a.\n" * 9 + s["as-is"] + "."), (7, None), (8, ""),
+            (None, s["cc-by-nc-line"] + "."), (2, s["gpl3-line"] + "."), (9, s["mit-notice"] + ". " + s["mit-grant"] + ".")]
+    got = sorted(map(str, [(r.doc_id, r.licence, r.n_sentences) for r in C.licences(docs_of(rows)).collect()]))
+    assert got == sorted(map(str, [(1, "MIT", 4), (2, "GPL-3.0", 1), (2, "GPL-3.0", 1), (3, "Apache-2.0", 1),
+                                   (None, "CC-BY-NC-4.0", 1)]))
+    assert C.licences(docs_of(rows).where("false")).count() == 0
+
+
+def brute_asof(left, right):
+    out = []
+    for i, k, t in left:
+        hit = [(rt, j) for j, rk, rt in right if k is not None and t is not None and rk == k and rt is not None and rt < t]
+        out.append((i, max(hit)[1] if hit else None))
+    return sorted(out)
+
+
+def test_asof_join_equals_brute_force(spark):
+    rng = random.Random(8)
+    key = lambda: rng.choice(["hot"] * 5 + ["a", "b", None])
+    left = [(i, key(), rng.choice([None] + list(range(30)) * 3)) for i in range(150)]
+    right = [(1000 + i, key(), rng.choice([None] + list(range(30)) * 3)) for i in range(60)]
+    a = spark.createDataFrame(left, "id long, k string, t long")
+    b = spark.createDataFrame(right, "rid long, k string, t long")
+    got = W.asof(a, b, "k", "t", "rid", ["rid"]).selectExpr("id", "match.rid").collect()
+    assert sorted(map(tuple, got), key=lambda x: x[0]) == brute_asof(left, right)
+    assert W.asof(a, b.where("false"), "k", "t", "rid", ["rid"]).where("match is not null").count() == 0
+    assert W.asof(a.where("false"), b, "k", "t", "rid", ["rid"]).count() == 0
+
+
+def test_revisits(spark):
+    h = lambda **k: {n.replace("_", "-"): v for n, v in k.items()}
+    u = "http://Ex.com/p"
+    rows = [(1, u, 10, 200, '"a"', "L1", h(ETag='"a"', Content_Length="5", Date="1")),
+            (2, u, 20, 200, '"b"', None, h(Content_Length="6", date="2")),
+            (3, "https://www.ex.com:443/p/?utm_x=1#f", 15, 304, 'W/"a"', None, h(DATE="3", content_length="0", x="y")),
+            (4, u, 20, 304, '"a"', "L1", None), (5, u, 25, 304, '"zzz"', None, h(date="9")), (6, u, 26, 304, None, "L1", h()),
+            (7, u, 5, 304, '"a"', None, h(date="0")), (8, None, 30, 304, None, None, None), (9, u, None, 304, None, None, None),
+            (10, u, 30, 404, None, None, None), (3, "http://ex.com/p", 15, 304, '"a"', None, h(a="1"))]
+    df = spark.createDataFrame(rows, "record_id long, url string, time long, status int, etag string, last_modified string, "
+                                     "headers map<string,string>")
+    got = W.resolve(df).collect()
+    by = {(r.record_id, r.headers.get("a")): (r.response_id, r.status, r.headers) for r in got}
+    assert len(got) == 8
+    assert by[3, None] == (1, "resolved", {"etag": '"a"', "content-length": "5", "date": "3", "x": "y"})
+    assert by[3, "1"][:2] == (1, "resolved") and by[4, None][:2] == (1, "resolved")
+    assert by[5, None] == (2, "mismatch", {"date": "9"}) and by[6, None][:2] == (2, "unchecked")
+    assert all(by[k, None][:2] == (None, "no_response") for k in (7, 8, 9))
+    bodies = spark.createDataFrame([(1, "one"), (2, "two")], "record_id long, body string")
+    body = {r.record_id: r.body for r in W.with_body(W.resolve(df), bodies).collect()}
+    assert body[4] == "one" and body[6] == "two" and body[5] is None
+
+
+def test_secret_scan_held_out(docs_of):
+    rng = random.Random(9)
+    hexa = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    text = lambda: " ".join(rng.choice(["the", "and", "that", "stone", "river", "walks"]) for _ in range(30))
+
+    def card():
+        d = [4] + [rng.randrange(10) for _ in range(14)]
+        total = sum(x if k % 2 else (2 * x - 9 if x > 4 else 2 * x) for k, x in enumerate(d))
+        return "".join(map(str, d)) + str(-total % 10)
+    rows, truth = [], {}
+    for i in range(240):
+        secret = i % 2 == 0
+        value = hexa(40) if i % 4 == 0 else hexa(18) + "a1" if secret else card() if i % 4 == 1 else "thestoneandriverwalksthatway"
+        put = f'token = "{value}"' if i % 4 == 0 else f"password={value}" if secret else value
+        rows.append((i, f"{text()} {put} {text()}", f"src/{'test' if i % 3 == 0 else 'main'}/{i}"))
+        truth[i] = secret
+    rows += [(500, None, "x"), (501, "", None), (None, f"{text()} token = \"{hexa(40)}\" end", "x"), (502, "plain words only", "x")]
+    docs = docs_of(rows)
+    got = S.scan(docs).collect()
+    assert {r.doc_id: r.is_secret for r in got if r.doc_id is not None} == truth
+    assert [r.is_secret for r in got if r.doc_id is None] == [True]
+    # given labels for half of the findings; the other half is held out
+    labels = docs.sparkSession.createDataFrame([(r.value, float(r.is_secret)) for r in got if (r.doc_id or 0) < 120], "value string, label double")
+    held = S.scan(docs, labels).where("doc_id >= 120 and doc_id < 500").collect()
+    assert sum(r.is_secret != truth[r.doc_id] for r in held) <= 2 and len(held) == 120
+    assert S.scan(docs.where("false")).count() == 0
+    assert [(r.probability, r.is_secret) for r in S.scan(docs_of([(1, "x 1234567890123456a y")])).collect()] == [(1.0, True)]
