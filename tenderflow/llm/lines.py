@@ -2,18 +2,19 @@
 
 Every document is a sequence of its non-blank lines. Lines that occur once in the corpus cannot be
 part of a repeated run and drop out at the start; the others get integer IDs, their group's place
-in line order. Distributed prefix doubling then sorts all suffixes by their first 1, 2, 4, ... lines: a
-suffix's rank at length 2h is the place of its pair (rank at h, rank of the suffix h lines on) among
-all sorted pairs, found by one self-join on position and one ranged running total. Suffixes with
-equal rank are a longest-common-prefix interval of at least that length. A suffix alone in its
-interval has no other copy of that length and leaves the table, so the rounds shrink and end by
-themselves after log2(longest repeated run) of them; there is no round limit.
+in line order. Distributed prefix doubling then sorts all suffixes by their first 1, 2, 8, 32, ...
+lines (one doubling, then two in each round): a suffix's rank at length 2h is the place of its pair
+(rank at h, rank of the suffix h lines on) among all sorted pairs, and of its 4-tuple at length 4h,
+found by one group-by on position and one ranged running total. Suffixes with equal rank are a
+longest-common-prefix interval of at least that length. A suffix alone in its interval has no other
+copy of that length and leaves the table, so the rounds shrink and end by themselves after
+log4(longest repeated run) of them; there is no round limit.
 
 In every interval all members but the first (smallest doc_id, then line) start a later copy of that
-many lines. The maximal repeated runs are the unions of those stretches: a run of L lines, with
-2^k <= L < 2^(k+1), is covered by the stretch of 2^k lines at its start and the one that ends at its
-end, both of which occur earlier as well. The union is deleted. A run counts if it has two lines or
-more, or if its only line has at least ``min_line_words`` words.
+many lines. The maximal repeated runs are the unions of those stretches: every stretch of h lines
+inside a run of L >= h lines with an earlier copy has an earlier copy itself, so the stretches that
+start at the run's first L - h + 1 lines cover it and nothing else. The union is deleted. A run counts if
+it has two lines or more, or if its only line has at least ``min_line_words`` words.
 
 Everything is built-in column functions. Group sizes and first members are aggregates with
 partial sums, ranks come from ranged running totals, so a line with a third of all rows meets in no
@@ -43,15 +44,19 @@ def _doc_key(doc_id: str, text: str) -> list[Column]:
     return [F.coalesce(F.col(doc_id).cast("long"), F.lit((1 << 63) - 1)).alias("d"), F.xxhash64(text).alias("th")]
 
 
-def positions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(d, th, j, line_no, h1, h2, words): non-blank lines; j counts them, line_no counts all lines, both from 0."""
-    lines = F.filter(F.transform(F.split(F.col(text), "\n", -1), lambda s, i: F.struct(i.alias("line_no"), s.alias("s"))),
-                     lambda x: x["s"].rlike(WORD))
-    one = docs.select(*_doc_key(doc_id, text), F.posexplode(lines).alias("j", "x"))
+def _non_blank(text: Column) -> Column:
+    """array of (line_no, s): the non-blank lines of a text; line_no counts all lines from 0."""
+    return F.filter(F.transform(F.split(text, "\n", -1), lambda s, i: F.struct(i.alias("line_no"), s.alias("s"))),
+                    lambda x: x["s"].rlike(WORD))
+
+
+def positions(docs: DataFrame, min_line_words: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(d, th, j, h1, h2, enough): non-blank lines, numbered from 0; enough: the line may be a run by itself."""
+    one = docs.select(*_doc_key(doc_id, text), F.posexplode(_non_blank(F.col(text))).alias("j", "x"))
     s = F.col("x.s")
     # two independent 64-bit hashes: no collisions among trillions of lines
-    return one.select(*DOC, "j", "x.line_no", F.xxhash64(s).alias("h1"), F.xxhash64(s, F.lit(7)).alias("h2"),
-                      F.regexp_count(s, F.lit(WORD)).alias("words")).dropDuplicates([*DOC, "j"])
+    return one.select(*DOC, "j", F.xxhash64(s).alias("h1"), F.xxhash64(s, F.lit(7)).alias("h2"),
+                      (F.regexp_count(s, F.lit(WORD)) >= min_line_words).alias("enough"))
 
 
 def _first() -> Column:
@@ -63,48 +68,45 @@ def _later() -> Column:
 
 
 def intervals(pos: DataFrame) -> list[tuple[int, DataFrame]]:
-    """[(length, rows)]: for lengths 1, 2, 4, ... the suffixes that share their first ``length`` lines with others.
+    """[(length, rows)]: for lengths 1, 2, 8, 32, ... the suffixes that share their first ``length`` lines with others.
 
     rows: d, th, j, rank (place of the suffix's interval in suffix order), first (the interval's first member).
     """
-    groups = pos.groupBy("h1", "h2").agg(F.count("*").alias("n"), _first().alias("first")).where("n > 1").checkpoint()
-    ranked = running_total(groups, ["h1", "h2"], F.col("n"), "rank").select("h1", "h2", "rank", "first")
-    level = pos.join(ranked, ["h1", "h2"]).select(*DOC, "j", "rank", "first").checkpoint()
+    lines = ["h1", "h2"]
+    groups = pos.groupBy(*lines).agg(F.count("*").alias("n"), _first().alias("first"),
+                                     F.max(F.struct(*DOC, "j")).alias("last")).where("first <> last").drop("last")
+    ranked = running_total(groups, lines, F.col("n"), "rank").drop("n")
+    level = pos.join(ranked, lines).select(*DOC, "j", "rank", "first", "enough").dropDuplicates([*DOC, "j"]).checkpoint()
     levels, length = [], 1
     while not level.isEmpty():
         levels.append((length, level))
-        ahead = level.select(*DOC, (F.col("j") - length).alias("j"), F.col("rank").alias("rank2"))
-        pairs = level.select(*DOC, "j", "rank").join(ahead, [*DOC, "j"]).checkpoint()
-        groups = pairs.groupBy("rank", "rank2").agg(F.count("*").alias("n"), _first().alias("first")).where("n > 1")
-        ranked = running_total(groups, ["rank", "rank2"], F.col("n"), "_to")
-        level = pairs.join(ranked.drop("n"), ["rank", "rank2"]) \
-            .select(*DOC, "j", F.col("_to").alias("rank"), "first").checkpoint()
-        length *= 2
+        steps = 2 if length == 1 else 4  # after the first round two doublings in one
+        # every suffix hands its rank to the suffixes 0, 1, ... (steps - 1) lengths before it
+        sent = level.select(*DOC, "j", "rank", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("m")) \
+            .select(*DOC, (F.col("j") - F.col("m") * length).alias("j"), "rank", "m")
+        names = [f"rank{m}" for m in range(steps)]
+        tuples = sent.groupBy(*DOC, "j").agg(*[F.max(F.when(F.col("m") == m, F.col("rank"))).alias(n)
+                                               for m, n in enumerate(names)]).dropna(subset=names).checkpoint()
+        groups = tuples.groupBy(*names).agg(F.count("*").alias("n"), _first().alias("first")).where("n > 1")
+        ranked = running_total(groups, names, F.col("n"), "rank").drop("n")
+        level = tuples.join(ranked, names).select(*DOC, "j", "rank", "first").checkpoint()
+        length *= steps
     return levels
 
 
 def later_runs(docs: DataFrame, min_line_words: int = MIN_LINE_WORDS, doc_id: str = "doc_id",
                text: str = "text") -> DataFrame:
-    """(d, th, from_line, to_line, n): maximal stretches of lines that occur earlier, line numbers inclusive."""
-    pos = positions(docs, doc_id, text).checkpoint()
-    starts = None
+    """(d, th, a, z): maximal stretches of non-blank lines a..z-1 that occur earlier."""
+    pos = positions(docs, min_line_words, doc_id, text).checkpoint()
+    starts = pos.select(*DOC, "j", F.col("j").alias("reach")).where("false")
     for length, level in intervals(pos):
-        part = level.where(_later()).select(*DOC, "j", (F.col("j") + length).alias("reach"))
-        if length == 1:
-            part = part.join(pos.where(F.col("words") >= min_line_words).select(*DOC, "j"), [*DOC, "j"], "left_semi")
-        starts = part if starts is None else starts.unionByName(part)
-    if starts is None:
-        starts = pos.select(*DOC, "j", F.col("j").alias("reach")).where("false")
-    by_line = Window.partitionBy(*DOC).orderBy("j")
-    best = starts.groupBy(*DOC, "j").agg(F.max("reach").alias("reach"))
+        counts = level.where("enough") if length == 1 else level
+        starts = starts.unionByName(counts.where(_later()).select(*DOC, "j", (F.col("j") + length).alias("reach")))
+    by_line = Window.partitionBy(*DOC).orderBy("j", "reach")
     before = F.max("reach").over(by_line.rowsBetween(Window.unboundedPreceding, -1))
-    island = best.withColumn("new", F.coalesce((F.col("j") > before).cast("int"), F.lit(1))) \
-        .withColumn("run", F.sum("new").over(by_line))
-    runs = island.groupBy(*DOC, "run").agg(F.min("j").alias("a"), F.max("reach").alias("z"))
-    at = pos.select(*DOC, "j", "line_no")
-    return runs.join(at.select(*DOC, F.col("j").alias("a"), F.col("line_no").alias("from_line")), [*DOC, "a"]) \
-        .join(at.select(*DOC, (F.col("j") + 1).alias("z"), F.col("line_no").alias("to_line")), [*DOC, "z"]) \
-        .select(*DOC, "from_line", "to_line", (F.col("z") - F.col("a")).cast("int").alias("n"))
+    island = starts.withColumn("new", F.coalesce((F.col("j") > before).cast("int"), F.lit(1))) \
+        .withColumn("run", F.sum("new").over(by_line.rowsBetween(Window.unboundedPreceding, 0)))
+    return island.groupBy(*DOC, "run").agg(F.min("j").alias("a"), F.max("reach").alias("z")).drop("run")
 
 
 def dedup(docs: DataFrame, min_line_words: int = MIN_LINE_WORDS, doc_id: str = "doc_id", text: str = "text",
@@ -112,14 +114,15 @@ def dedup(docs: DataFrame, min_line_words: int = MIN_LINE_WORDS, doc_id: str = "
     """``docs`` with later copies of repeated line runs deleted from the text; ``deleted`` names an optional
     column for the number of deleted non-blank lines."""
     runs = later_runs(docs, min_line_words, doc_id, text)
-    cut = runs.groupBy(*DOC).agg(F.sort_array(F.collect_list(F.struct("from_line", "to_line"))).alias("__runs"),
-                                 F.sum("n").alias("__n")).withColumnsRenamed({"d": "__d", "th": "__th"})
+    cut = runs.groupBy(*DOC).agg(F.sort_array(F.collect_list(F.struct("a", "z"))).alias("__runs"),
+                                 F.sum(F.col("z") - F.col("a")).alias("__n")).withColumnsRenamed({"d": "__d", "th": "__th"})
     key = [c.alias(f"__key_{n}") for c, n in zip(_doc_key(doc_id, text), DOC)]
     j = docs.select("*", *key).join(cut, (F.col("__key_d") == F.col("__d")) & (F.col("__key_th") == F.col("__th")), "left")
+    j = j.withColumn("__at", F.when(F.col("__runs").isNotNull(), F.transform(_non_blank(F.col(text)), lambda x: x["line_no"])))
     every = F.split(F.col(text), "\n", -1)
-    # what stays lies between the end of one run and the start of the next
-    begin = F.concat(F.array(F.lit(0)), F.transform("__runs", lambda r: r["to_line"] + 1))
-    end = F.concat(F.transform("__runs", lambda r: r["from_line"]), F.array(F.size(every)))
+    # what stays lies between the last line of one run and the first line of the next
+    begin = F.concat(F.array(F.lit(0)), F.transform("__runs", lambda r: F.element_at("__at", r["z"]) + 1))
+    end = F.concat(F.transform("__runs", lambda r: F.element_at("__at", r["a"] + 1)), F.array(F.size(every)))
     stays = F.flatten(F.transform(F.arrays_zip(begin.alias("b"), end.alias("e")),
                                   lambda p: F.slice(every, p["b"] + 1, p["e"] - p["b"])))
     new = F.when(F.col("__runs").isNull(), F.col(text)).otherwise(F.array_join(stays, "\n"))
