@@ -56,20 +56,18 @@ def all_cpvs(cpvs) -> Column:
     return F.transform(c, lambda x: x["code"])
 
 
-def indicator_columns(arr, names: list[str], prefix: str = "", type_field: str = "type",
-                      value_field: str = "value") -> list[Column]:
-    """D4/D5/D6 -- one column per indicator type: the value of the first element of that type.
+def with_indicators(df: DataFrame, arr, names: list[str], prefix: str = "", type_field: str = "type",
+                    value_field: str = "value") -> DataFrame:
+    """D4/D5/D6 -- ``df`` plus one column per indicator type: the value of the first element of that type.
 
-    The type list is extracted once per row (one lambda); each column is then a codegen'd
-    ``array_position`` + ``element_at`` lookup instead of its own filter/transform pass.
+    The types are listed in a step of their own, which Catalyst keeps because many columns read it: they
+    are extracted once per row, and each column is an ``array_position`` + ``element_at`` lookup.
     """
     a = F.col(arr) if isinstance(arr, str) else arr
-    types = F.transform(a, lambda x: x[type_field])
-    cols = []
-    for n in names:
-        pos = F.array_position(types, F.lit(n)).cast("int")
-        cols.append(F.when(pos > 0, F.element_at(a, pos)[value_field]).alias(prefix + n))
-    return cols
+    listed = df.withColumn("_ind", a).withColumn("_types", F.transform("_ind", lambda x: x[type_field]))
+    at = lambda n: F.array_position("_types", F.lit(n)).cast("int")
+    cols = [F.when(at(n) > 0, F.element_at("_ind", at(n))[value_field]).alias(prefix + n) for n in names]
+    return listed.select(*df.columns, *cols)
 
 
 def nuts_levels(col, levels: list[int], prefix: str) -> list[Column]:

@@ -104,10 +104,10 @@ def packages_from_registry(reg: DataFrame) -> DataFrame:
 
 
 def plan(spark: SparkSession, run_date: dt.date, tables: list[str]) -> DataFrame:
-    """I2 -- per-target date windows for one run: lagged tiers, the previous day for the tables."""
-    rows = [(f"tier_{t}", run_date - dt.timedelta(days=lag + 1), run_date - dt.timedelta(days=lag + 1))
-            for t, lag in TIER_LAG_DAYS.items()]
+    """I2 -- per-target date windows for one run: the day before ``run_date`` for the tables, and for the tiers
+    their lag before that day (the same meaning of the day as ``lots.publication_day``)."""
     day = run_date - dt.timedelta(days=1)
+    rows = [(f"tier_{t}", day - dt.timedelta(days=lag), day - dt.timedelta(days=lag)) for t, lag in TIER_LAG_DAYS.items()]
     rows += [(t, day, day) for t in tables]
     return spark.createDataFrame(rows, "target string, start date, end date")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -279,18 +280,20 @@ from lineitem l""")(lambda spark, sf_dir: _docs(spark, sf_dir).select(
 register("score_columns", f"""
 select {_TID} as tender_id, {", ".join(f"cast(((l.l_orderkey + {i}) % 5) * 25 as double) as {n}"
                                       for i, n in enumerate(J.SCORES))}
-from lineitem l""")(lambda spark, sf_dir: _docs(spark, sf_dir).select(
-    F.col("tender.id").alias("tender_id"), *DOC.indicator_columns("tender.ot.scores", J.SCORES)))
+from lineitem l""")(lambda spark, sf_dir: DOC.with_indicators(_docs(spark, sf_dir).select(
+    F.col("tender.id").alias("tender_id"), F.col("tender.ot.scores").alias("scores")), "scores", J.SCORES).drop("scores"))
 register("indicator_columns", f"""
 select {_TID} as tender_id, {_ind_sql(J.TENDER_INDICATORS, 'l.l_orderkey', 'l.l_partkey')}
-from lineitem l""")(lambda spark, sf_dir: _docs(spark, sf_dir).select(
-    F.col("tender.id").alias("tender_id"), *DOC.indicator_columns("tender.indicators", J.TENDER_INDICATORS)))
+from lineitem l""")(lambda spark, sf_dir: DOC.with_indicators(_docs(spark, sf_dir).select(
+    F.col("tender.id").alias("tender_id"), F.col("tender.indicators").alias("listed")), "listed", J.TENDER_INDICATORS)
+    .drop("listed"))
 register("lot_indicator_columns", f"""
 select {_TID} as tender_id, cast(l.l_linenumber as varchar) as lot_id,
        {_ind_sql(J.LOT_INDICATORS, 'l.l_linenumber', 'l.l_suppkey', 'lot_')}
-from lineitem l""")(lambda spark, sf_dir: _docs(spark, sf_dir).select(
+from lineitem l""")(lambda spark, sf_dir: DOC.with_indicators(_docs(spark, sf_dir).select(
     F.col("tender.id").alias("tender_id"), F.explode("tender.lots").alias("lot")).select(
-    "tender_id", F.col("lot.lotId").alias("lot_id"), *DOC.indicator_columns("lot.indicators", J.LOT_INDICATORS, "lot_")))
+    "tender_id", F.col("lot.lotId").alias("lot_id"), F.col("lot.indicators").alias("listed")),
+    "listed", J.LOT_INDICATORS, "lot_").drop("listed"))
 
 
 def _static_lookup(spark, sf_dir):
@@ -337,11 +340,11 @@ register("link_records", LINK_RECORDS_SQL)(_link_records)
 from ..functions import columns as FC  # noqa: E402
 from ..operators.currency import convert as _convert, rate_bounds as _rate_bounds  # noqa: E402
 from ..operators.graph import preferred_text as _preferred  # noqa: E402
-from ..sources.testdata_kg import alpha2 as _alpha2, alpha3 as _alpha3, currency_of as _currency_of  # noqa: E402
+from ..sources.testdata_kg import alpha2 as _alpha2, alpha3 as _alpha3, currency_of as _currency_of, nuts3 as _nuts3  # noqa: E402
 from ..sources.triples import Graph as _Graph, parse_ntriples, to_ntriples  # noqa: E402
 from ..vocab import GRAPH_CPV as _GCPV  # noqa: E402
 from .oracle_sql import alpha3 as _sa3  # noqa: E402
-from .oracle_tables import RATES as RATES_SQL  # noqa: E402
+from .oracle_tables import NUTS_CODES as NUTS_CODES_SQL, RATES as RATES_SQL  # noqa: E402
 
 register("local_name", """
 select page_id, regexp_extract(url, '([^/#]*)$', 1) as local_name, string_split(url, '/')[-1] as last_segment
@@ -438,3 +441,88 @@ union all select 'http://www.w3.org/2004/02/skos/core#broader', 'iri', '', count
   where length(rtrim(code, '0')) >= 2"""
 register("named_graph", _CPV_COUNTS)(lambda spark, sf_dir: _cpv_graph_counts(spark, sf_dir, False))
 register("scan_triples", _CPV_COUNTS)(lambda spark, sf_dir: _cpv_graph_counts(spark, sf_dir, True))
+
+# ---- S4, X13, I2: windows and lagged tiers on the last day of the data ---------
+def _last_day(spark, sf_dir):
+    return Tables(spark, sf_dir).orders.agg(F.to_date(F.max("o_orderdate")).alias("d")).first().d
+
+
+def _tier_lagged(spark, sf_dir, name):
+    last = _last_day(spark, sf_dir)
+    day = X.publication_day(name, last).strftime("%Y%m%d")
+    return as_text(X.tier(enriched_lots(spark, sf_dir, (day, day)), name, last))
+
+
+for _tier in ("free", "starter"):
+    register(f"tier_{_tier}_lagged", f"""
+select * from ({lots_sql(_tier)}) lagged
+where publication_date = (select cast(cast(max(o_orderdate) as date) - {X.TIER_LAG_DAYS[_tier]} as varchar) from orders)""")(
+        lambda spark, sf_dir, t=_tier: _tier_lagged(spark, sf_dir, t))
+
+
+def _table_lot_window(spark, sf_dir):
+    last = _last_day(spark, sf_dir).strftime("%Y%m%d")
+    return T.t_notice(build_graph(spark, sf_dir), D.rates(spark, sf_dir), (last[:6] + "01", last))
+
+
+register("table_notice_window", f"""
+select * from ({TABLE_SQL['table_notice']}) w
+where substr(NoticePublicationDate, 1, 7) = (select strftime(max(o_orderdate), '%Y-%m') from orders)""")(_table_lot_window)
+register("run_plan", f"""
+with d as (select cast(max(o_orderdate) as date) as day from orders)
+{" union all ".join(f"select 'tier_{t}' as target, cast(day - {lag} as varchar) as start_day, cast(day - {lag} as varchar) as end_day from d" for t, lag in X.TIER_LAG_DAYS.items())}
+union all select t, cast(day as varchar), cast(day as varchar) from d, (values ('Notice'), ('Lot'), ('Winner')) v(t)""")(
+    lambda spark, sf_dir: RG.plan(spark, _last_day(spark, sf_dir) + _dt.timedelta(days=1), ["Notice", "Lot", "Winner"])
+    .select("target", F.col("start").cast("string").alias("start_day"), F.col("end").cast("string").alias("end_day")))
+
+# ---- F3, F4, F14, K5, K11, K12, P6, P9, N5: operators on whole tables -----------
+register("list_columns", """
+select p_partkey, replace(p_type, ' ', '; ') as words, upper(replace(p_type, ' ', '; ')) as tails from part""")(
+    lambda spark, sf_dir: Tables(spark, sf_dir).part.select(
+        "p_partkey", F.array_join(FC.split_list(F.regexp_replace("p_type", " ", " ||| ")), "; ").alias("words"),
+        F.array_join(FC.split_last_segments(F.concat(F.lit("x/"), F.regexp_replace(F.upper("p_type"), " ", " ||| y/z/"))),
+                     "; ").alias("tails")))
+register("lot_links", """
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, 'https://notices.example.org/udl?uri=NOTICE:' || l_orderkey || '-'
+       || year(l_shipdate) || ':TEXT:EN:HTML' as link
+from lineitem""")(lambda spark, sf_dir: Tables(spark, sf_dir).lineitem.select(
+    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", FC.lot_notice_link(F.concat(
+        F.lit("http://example.org/res/id_"), F.year("l_shipdate"), F.lit("-S-001-"), F.col("l_orderkey"), F.lit("_Lot_"),
+        F.col("l_linenumber"))).alias("link")))
+register("document_count", "select count(*) as count from documents")(
+    lambda spark, sf_dir: K.count(Tables(spark, sf_dir).documents))
+register("document_page", """
+select doc_id, source, n_chars from documents where lang = 'en' and n_chars >= 1000 order by n_chars desc, doc_id limit 50""")(
+    lambda spark, sf_dir: K.query(Tables(spark, sf_dir).documents.orderBy(F.desc("n_chars"), "doc_id"),
+                                  (F.col("lang") == "en") & (F.col("n_chars") >= 1000), ["doc_id", "source", "n_chars"], 50))
+register("required_documents", """
+select doc_id, lang from documents where text is not null and lang is not null""")(
+    lambda spark, sf_dir: DOC.required(Tables(spark, sf_dir).documents, ["text", "lang", "absent"]).select("doc_id", "lang"))
+register("cast_documents", """
+select cast(doc_id as varchar) as doc_id, cast(n_chars as double) as n_chars, lang from documents""")(
+    lambda spark, sf_dir: DOC.cast_fields(Tables(spark, sf_dir).documents.select("doc_id", "n_chars", "lang"), ["n_chars"]))
+register("insert_if_absent_raw", """
+with old as (select * from (select *, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey)
+                            as rn from lineitem where l_linestatus = 'F') where rn = 1),
+new as (select * from (select *, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey)
+                       as rn from lineitem where l_orderkey not in (select l_orderkey from old)) where rn = 1)
+select l_orderkey, l_linenumber, l_partkey, l_suppkey from old union all
+select l_orderkey, l_linenumber, l_partkey, l_suppkey from new""")(lambda spark, sf_dir: (
+    lambda t: K.insert_if_absent(K.keep_first(t.where("l_linestatus = 'F'").drop("l_linestatus"), ["l_orderkey"], ["l_linenumber"]),
+                                 t.drop("l_linestatus"), ["l_orderkey"]))(
+    Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_linestatus")))
+
+
+def _nuts_by_level(spark, sf_dir):
+    from ..operators.taxonomy import nuts_code_by_level
+    c = Tables(spark, sf_dir).customer.select("c_custkey", _nuts3(F.col("c_custkey"), F.col("c_nationkey")).alias("code"))
+    for level in range(4):
+        c = nuts_code_by_level(c, "code", D.nuts_codes(spark, sf_dir), level, f"level{level}")
+    return c
+
+
+register("nuts_by_level", f"""
+with {NUTS_CODES_SQL}, c as (select c_custkey, {_n3('c_custkey', 'c_nationkey')} as code from customer)
+select c_custkey, code, {", ".join(
+    f"case when length(code) >= {n + 2} then (select min(x.code) from nuts_codes x where x.code = substr(c.code, 1, {n + 2})) end as level{n}"
+    for n in range(4))} from c""")(_nuts_by_level)

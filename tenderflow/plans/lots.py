@@ -180,10 +180,16 @@ def tier_columns(name: str) -> list[str]:
     return cols
 
 
-def tier(enriched: DataFrame, name: str, run_date: str | dt.date | None = None) -> DataFrame:
-    """X13/P8 -- a tier: its columns, and with ``run_date`` only lots published ``lag`` days before it."""
+def publication_day(name: str, day: str | dt.date) -> dt.date:
+    """X13 -- the publication day that a tier shows when ``day`` (the day being processed) is loaded."""
+    day = dt.date.fromisoformat(day) if isinstance(day, str) else day
+    return day - dt.timedelta(days=TIER_LAG_DAYS[name])
+
+
+def tier(enriched: DataFrame, name: str, day: str | dt.date | None = None) -> DataFrame:
+    """X13/P8 -- a tier: its columns, and with ``day`` only the lots published ``lag`` days before it. Pass the
+    same day as the extract's window to keep other days out of the extract too."""
     df = enriched.select(*tier_columns(name))
-    if run_date is not None:
-        day = F.date_sub(F.lit(str(run_date)).cast("date"), TIER_LAG_DAYS[name])
-        df = df.where(F.col("publication_date") == day)
+    if day is not None:
+        df = df.where(F.col("publication_date") == F.lit(publication_day(name, day)))
     return df

@@ -93,12 +93,13 @@ def _buyers_by_country(g: Graph) -> DataFrame:
 
 def q3_winners_value_same_country(g: Graph, dedup: bool = False) -> DataFrame:
     """Buyer and winner share only the country value (as written); ``dedup`` drops the buyer multiplicity."""
-    j = match(_awarded_eu_tenders(g, "Country"), _buyers_by_country(g))
-    factor = F.col("_w") if dedup else F.col("_w") * F.col("_n_buyers")
-    return j.groupBy("Country").agg(
-        F.countDistinct("Winner").alias("Nr_of_winners"),
-        F.sum(F.col("AmountValue") * factor).cast("double").alias("TotalProcurementValue"),
+    # the factor is one number per country: aggregate the tenders first, then join a row per country
+    won = _awarded_eu_tenders(g, "Country").groupBy("Country").agg(
+        F.countDistinct("Winner").alias("Nr_of_winners"), F.sum(F.col("AmountValue") * F.col("_w")).alias("_value"),
         F.min("Currency").alias("CurrencyID"))
+    factor = F.lit(1) if dedup else F.col("_n_buyers")
+    return match(won, _buyers_by_country(g)).select(
+        "Country", "Nr_of_winners", (F.col("_value") * factor).cast("double").alias("TotalProcurementValue"), "CurrencyID")
 
 
 def q5_buyer_organizations(g: Graph) -> DataFrame:
