@@ -1,16 +1,15 @@
 """Operator 6: benchmark decontamination by rare n-gram seeds and local alignment.
 
-1. Seeds: every run of ``n`` words of a benchmark item. One pass over all documents counts in how
-   many documents each seed occurs (partial counts per batch, then one sum). A seed is rare if
-   its document count is at most ``rare`` of all documents or at most the median of its item's
+1. Seeds: every run of ``n`` words of a benchmark item. One pass over all documents sets aside those
+   that hold any seed, and counts in how many documents each seed occurs. A seed is rare if its document count is at most ``rare`` of all documents or at most the median of its item's
    seeds: an item whose passages are copied all over the corpus keeps the rarer half of its seeds.
-2. A second pass finds the rare seeds in every document. Seeds of one item that lie close together
+2. A second pass over the documents set aside finds the rare seeds. Seeds of one item that lie close together
    open a region of the document around where the item would lie.
 3. Smith-Waterman alignment of item and region, word by word (match +2, mismatch and gap -1), scores
    verbatim, edited and paraphrased copies alike: score / (2 x words of the item), 1 for a verbatim
    copy. Pairs from ``threshold`` on are contaminated.
 
-Both passes are maps over documents: no document text is shuffled and no passage, however often it
+Both passes are maps over documents: no document text is shuffled (those set aside are checkpointed) and no passage, however often it
 is copied, gathers anywhere. The benchmark side is cut into blocks of at most ``BLOCK_WORDS`` words;
 each block is broadcast in turn and tested against all documents, so what is sent to tasks never
 exceeds that bound however large the benchmark grows.
@@ -29,6 +28,7 @@ from __future__ import annotations
 import re
 import sys
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -131,8 +131,8 @@ def seed_hits(ids: np.ndarray, index: dict, rare_only: bool) -> tuple[np.ndarray
 
 
 def word_ids(text: str | None, index: dict) -> np.ndarray:
-    get = index["vocab"].get
-    return np.array([get(w, -1) for w in words_of(text)], dtype=np.int64)
+    words = words_of(text)
+    return np.fromiter(map(index["vocab"].get, words, repeat(-1)), dtype=np.int64, count=len(words))
 
 
 def matches(text: str | None, index: dict, threshold: float = THRESHOLD) -> list[dict]:
@@ -179,23 +179,25 @@ def blocks(benchmark: DataFrame, item_id: str, text: str, block_words: int) -> I
             yield part
 
 
-def _with_rarity(docs: DataFrame, index: dict, rare: float, text: str) -> dict:
-    """``index`` with its rare seeds marked, by document counts over all documents."""
+def _candidates(docs: DataFrame, index: dict, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, text, seeds): the documents that hold any seed, and which; one pass over all documents."""
     shared = docs.sparkSession.sparkContext.broadcast(index)
+    kind = docs.schema[doc_id].dataType.simpleString()
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total, rows = np.zeros(len(shared.value["seeds"]), dtype=np.int64), 0
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows += len(b)
-            for t in b["t"]:
-                total[np.unique(seed_hits(word_ids(t, shared.value), shared.value, False)[1])] += 1
-        some = np.flatnonzero(total)
-        yield pd.DataFrame({"seed": np.append(some, -1), "n": np.append(total[some], rows)})
-    df = docs.select(F.col(text).alias("t")).mapInPandas(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
-    n = np.zeros(len(index["seeds"]) + 1, dtype=np.int64)
+            b["seeds"] = [np.unique(seed_hits(word_ids(t, shared.value), shared.value, False)[1]) for t in b["text"]]
+            yield b[b["seeds"].map(len) > 0]
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")) \
+        .mapInPandas(scan, f"doc_id {kind}, text string, seeds array<long>").checkpoint()
+
+
+def _with_rarity(index: dict, candidates: DataFrame, docs_n: int, rare: float) -> dict:
+    """``index`` with its rare seeds marked, by document counts over all documents."""
+    df = candidates.select(F.explode("seeds").alias("seed")).groupBy("seed").count()
+    n = np.zeros(len(index["seeds"]), dtype=np.int64)
     for r in df.collect():  # one row per seed of the block at most
-        n[r.seed] = r.n
-    docs_n, n = n[-1], n[:-1]
+        n[r.seed] = r["count"]
     fine = n <= rare * docs_n
     for k in range(len(index["texts"])):
         own = index["seed"][index["item"] == k]
@@ -204,28 +206,30 @@ def _with_rarity(docs: DataFrame, index: dict, rare: float, text: str) -> dict:
     return index | {"rare": fine}
 
 
-def _indexes(docs: DataFrame, benchmark: DataFrame, n: int, rare: float, text: str, item_id: str, item_text: str,
-             block_words: int) -> Iterator[dict]:
-    for part in blocks(benchmark, item_id, item_text, block_words):
-        yield _with_rarity(docs, build_index(part, n), rare, text)
-
-
 def contaminations(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, n: int = SEED_WORDS,
                    rare: float = RARE, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
                    item_text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, item_id, score, start_word, end_word, seeds): every contaminated pair."""
     out = docs.select(F.col(doc_id).alias("doc_id"), F.lit(None).cast(MATCHES).alias("m")).where("false")
-    for index in _indexes(docs, benchmark, n, rare, text, item_id, item_text, block_words):
-        out = out.unionByName(docs.select(F.col(doc_id).alias("doc_id"), _found(docs, index, threshold, text).alias("m")))
+    docs_n = None
+    for part in blocks(benchmark, item_id, item_text, block_words):
+        docs_n = docs.count() if docs_n is None else docs_n
+        index = build_index(part, n)
+        some = _candidates(docs, index, doc_id, text)
+        index = _with_rarity(index, some, docs_n, rare)
+        out = out.unionByName(some.select("doc_id", _found(docs, index, threshold, "text").alias("m")))
     return out.select("doc_id", F.explode("m").alias("m")).select("doc_id", "m.*")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, n: int = SEED_WORDS,
-               rare: float = RARE, text: str = "text", item_id: str = "item_id", item_text: str = "text",
-               block_words: int = BLOCK_WORDS) -> DataFrame:
+               rare: float = RARE, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
+               item_text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of ``docs`` that no benchmark item contaminates, all columns, in one further pass per block."""
-    clean = docs
-    for index in _indexes(docs, benchmark, n, rare, text, item_id, item_text, block_words):
+    clean, docs_n = docs, None
+    for part in blocks(benchmark, item_id, item_text, block_words):
+        docs_n = docs.count() if docs_n is None else docs_n
+        index = build_index(part, n)
+        index = _with_rarity(index, _candidates(docs, index, doc_id, text), docs_n, rare)
         clean = clean.where(F.size(_found(docs, index, threshold, text)) == 0)
     return clean
 
