@@ -6,7 +6,10 @@ from tests.conftest import SF
 
 FAST = ["link_records", "table_organization_deduplication", "report_q1", "report_q2", "report_q4", "report_q7", "report_q15", "report_q24", "table_notice",
         "table_lot_cpv", "keep_first", "upsert_last", "incremental_load", "best_version", "explode_tenders",
-        "cpv_dim", "convert_dated", "preferred_text", "sme_share", "kpi_sme"]
+        "cpv_dim", "convert_dated", "preferred_text", "sme_share", "kpi_sme", "run_plan", "list_columns", "document_count",
+        "document_page", "required_documents", "cast_documents", "nuts_by_level", "insert_if_absent_raw", "score_columns",
+        "indicator_columns", "lot_indicator_columns", "table_notice_window", "table_cpv", "table_nuts", "report_q3",
+        "convert_last", "scan_triples"]
 
 
 def test_entry_runs(spark):
