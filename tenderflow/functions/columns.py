@@ -162,8 +162,3 @@ def value_by_type(arr, type_name: str, type_field: str = "type", value_field: st
 # F33 -- (a / b) * 100, null on b = 0
 def percent(a, b) -> Column:
     return F.try_divide(_c(a), _c(b)) * F.lit(100)
-
-
-# A10 -- share of rows with a true flag, in percent rounded to 2
-def share_true(flag) -> Column:
-    return F.round(F.lit(100.0) * F.count_if(_c(flag)) / F.count(F.lit(1)), 2)

@@ -98,13 +98,6 @@ def without(df: DataFrame, group: DataFrame, on: list[str] | None = None) -> Dat
     return df.join(group, on, "left_anti")
 
 
-# G9 -- VALUES as a semi-join
-def having_values(df: DataFrame, col: str, values: DataFrame | list) -> DataFrame:
-    if isinstance(values, list):
-        return df.where(F.col(col).isin(values))
-    return df.join(values.select(F.col(values.columns[0]).alias(col)), col, "left_semi")
-
-
 # G7/G8/U1 -- UNION under DISTINCT
 def any_of(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames).distinct()
@@ -119,18 +112,6 @@ def preferred_text(g: Graph, p: str, s: str, out: str, lang: str = "en", require
                                         F.min("o")).alias(out))
 
 
-# G23 -- MonetaryValue -> (amount, currency)
-def monetary_values(g: Graph, name: str = "mv", amount: str = "amount", currency: str = "currency") -> DataFrame:
-    mv = of_class(g, "MonetaryValue", name=name)
-    return match(mv, pattern(g, "hasAmountValue", name, amount, cast="decimal(20,2)"),
-                 pattern(g, "hasCurrency", name, currency))
-
-
 # G24 -- every triple
 def dump(g: Graph) -> DataFrame:
     return g.triples().select("s", "p", "o")
-
-
-def bind(df: DataFrame, name: str, expr: Column) -> DataFrame:
-    """G16/G17/G19 -- BIND / COALESCE / projection with alias."""
-    return df.withColumn(name, expr)

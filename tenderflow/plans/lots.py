@@ -16,7 +16,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import (last_segment, notice_link, prefix_level, prefix_level_list, present, row_mean,
+from ..functions.columns import (equals_indicator, last_segment, notice_link, prefix_level, prefix_level_list, present, row_mean,
                                  strip)
 from ..operators.currency import convert
 from ..operators.graph import match, of_class, optional, path, pattern, preferred_text, typed
@@ -145,7 +145,7 @@ def enrich(lots: DataFrame, cpv_codes: DataFrame, rates: DataFrame, countries: D
         IND["funding"]: present("using_eu_funds", "boolean"), IND["location"]: present("place_of_performance"),
         IND["cpv"]: present("main_cpvs", "array"), IND["bidder"]: present("winner_names", "array"),
         IND["value"]: present("lot_amount", "number"),
-        IND["ptype"]: F.when(F.col("procedure_type") == "open", 100).otherwise(0)})
+        IND["ptype"]: equals_indicator("procedure_type", "open")})
     # C5-C7 and the label replacement (X11) in one explode / lookup / regroup pass
     df = cpv_list_columns(df, "lot", "main_cpvs", cpv_dim(cpv_codes))
     for n in range(4):

@@ -100,12 +100,10 @@ cpv_tax as (
 
 def _cpv_table() -> str:
     sel = []
-    joins = []
     for k in range(6):
         sel.append(f"(select anc from cpv_walk w where w.code = t.code and w.depth = lv.level - {k}) as CPV{k}")
     inner = ",\n       ".join(sel)
     outer = ", ".join([f"CPV{k}, (select label from cpv_lab where code = CPV{k}) as CPV{k}Label" for k in range(6)])
-    del joins
     return f"""
 with {CPV_CODES}, {CPV_TAX}, {_walk('cpv_tax', 'cpv_walk')},
 cpv_lab as (select code, min(label) as label from cpv_tax group by code),
