@@ -1,16 +1,17 @@
 """Operator 6: benchmark decontamination by rare n-gram seeds and local alignment.
 
-1. Seeds: every run of ``n`` words of a benchmark item. One pass over all documents sets aside those
-   that hold any seed, and counts in how many documents each seed occurs. A seed is rare if its document count is at most ``rare`` of all documents or at most the median of its item's
-   seeds: an item whose passages are copied all over the corpus keeps the rarer half of its seeds.
-2. A second pass over the documents set aside finds the rare seeds. Seeds of one item that lie close together
-   open a region of the document around where the item would lie.
+1. Seeds: every run of ``n`` words of a benchmark item. Seeds of one item that lie close together in a
+   document open a region of it around where the item would lie. Every seed counts, however many documents hold it: a
+   copy that stands all over the corpus is found like one that stands there once.
+2. A region whose words, counted with repetition, cannot reach ``threshold`` even if all that it shares with the item
+   were matched in order is passed over. This is an upper bound of the score, so no result is lost by it; it
+   spares chance meetings on common phrases the alignment.
 3. Smith-Waterman alignment of item and region, word by word (match +2, mismatch and gap -1), scores
    verbatim, edited and paraphrased copies alike: score / (2 x words of the item), 1 for a verbatim
    copy. Pairs from ``threshold`` on are contaminated.
 
-Both passes are maps over documents: no document text is shuffled (those set aside are checkpointed) and no passage, however often it
-is copied, gathers anywhere. The benchmark side is cut into blocks of at most ``BLOCK_WORDS`` words;
+One map over documents: no document text is shuffled or written and no passage, however often it is copied,
+gathers anywhere. The benchmark side is cut into blocks of at most ``BLOCK_WORDS`` words;
 each block is broadcast in turn and tested against all documents, so what is sent to tasks never
 exceeds that bound however large the benchmark grows.
 
@@ -32,6 +33,7 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,11 +43,10 @@ from ..operators.ranges import running_total
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SEED_WORDS = 4
-RARE = 1e-4
 THRESHOLD = 0.5
 BLOCK_WORDS = 200_000
 MATCH, MISMATCH, GAP = 2, -1, -1
-MATCHES = "array<struct<item_id: long, score: double, start_word: int, end_word: int, seeds: int>>"
+MATCH_FIELDS = "item_id long, score double, start_word int, end_word int, seeds int"
 WORD = re.compile(r"\w+")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -96,7 +97,7 @@ def build_index(items: list[tuple[int, str]], n: int = SEED_WORDS) -> dict:
     seeds, first, inverse = np.unique(code[order], return_index=True, return_inverse=True)
     return {"n": n, "vocab": vocab, "ids": [i for i, _ in items], "texts": texts, "seeds": seeds, "item": item[order],
             "pos": pos[order], "seed": inverse, "from": first, "to": np.append(first[1:], len(order)),
-            "rare": np.ones(len(seeds), dtype=bool)}
+            "bags": [np.unique(t, return_counts=True) for t in texts]}
 
 
 def _codes(ids: np.ndarray, n: int) -> np.ndarray:
@@ -110,7 +111,7 @@ def _codes(ids: np.ndarray, n: int) -> np.ndarray:
     return c
 
 
-def seed_hits(ids: np.ndarray, index: dict, rare_only: bool) -> tuple[np.ndarray, np.ndarray]:
+def seed_hits(ids: np.ndarray, index: dict) -> tuple[np.ndarray, np.ndarray]:
     """(position, seed) of every benchmark seed in a sequence of word ids (-1: not a benchmark word)."""
     n, seeds = index["n"], index["seeds"]
     if len(ids) < n or not len(seeds):
@@ -125,8 +126,6 @@ def seed_hits(ids: np.ndarray, index: dict, rare_only: bool) -> tuple[np.ndarray
         code ^= code >> np.uint64(29)
     s = np.minimum(np.searchsorted(seeds, code), len(seeds) - 1)
     ok = seeds[s] == code
-    if rare_only:
-        ok &= index["rare"][s]
     return at[ok], s[ok]
 
 
@@ -135,10 +134,17 @@ def word_ids(text: str | None, index: dict) -> np.ndarray:
     return np.fromiter(map(index["vocab"].get, words, repeat(-1)), dtype=np.int64, count=len(words))
 
 
+def shared_words(bag: tuple[np.ndarray, np.ndarray], part: np.ndarray) -> int:
+    """Words that an item (its distinct words and their counts) and a part have in common, each as often as in both."""
+    known, counts = bag
+    at = np.minimum(np.searchsorted(known, part), len(known) - 1)
+    return int(np.minimum(np.bincount(at[known[at] == part], minlength=len(known)), counts).sum())
+
+
 def matches(text: str | None, index: dict, threshold: float = THRESHOLD) -> list[dict]:
     """Contaminations of one text: item_id, score, start_word and end_word (exclusive), seeds."""
     ids = word_ids(text, index)
-    at, seed = seed_hits(ids, index, True)
+    at, seed = seed_hits(ids, index)
     if not len(at):
         return []
     reps = index["to"][seed] - index["from"][seed]
@@ -152,6 +158,9 @@ def matches(text: str | None, index: dict, threshold: float = THRESHOLD) -> list
     for a, b in zip(cut, np.append(cut[1:], len(item))):
         k, m = int(item[a]), int(size[a])
         lo, hi = max(0, int(start[a]) - m // 2), min(len(ids), int(start[b - 1]) + m + m // 2)
+        # MATCH for every shared word is the most that the region can score
+        if shared_words(index["bags"][k], ids[lo:hi]) / m < max(threshold, best.get(k, {"score": 0.0})["score"]):
+            continue
         score, s, e = align(index["texts"][k], ids[lo:hi])
         value = score / (MATCH * m)
         if value >= threshold and value > best.get(k, {"score": 0.0})["score"]:
@@ -179,68 +188,51 @@ def blocks(benchmark: DataFrame, item_id: str, text: str, block_words: int) -> I
             yield part
 
 
-def _candidates(docs: DataFrame, index: dict, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, text, seeds): the documents that hold any seed, and which; one pass over all documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)
-    kind = docs.schema[doc_id].dataType.simpleString()
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            b["seeds"] = [np.unique(seed_hits(word_ids(t, shared.value), shared.value, False)[1]) for t in b["text"]]
-            yield b[b["seeds"].map(len) > 0]
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")) \
-        .mapInPandas(scan, f"doc_id {kind}, text string, seeds array<long>").checkpoint()
-
-
-def _with_rarity(index: dict, candidates: DataFrame, docs_n: int, rare: float) -> dict:
-    """``index`` with its rare seeds marked, by document counts over all documents."""
-    df = candidates.select(F.explode("seeds").alias("seed")).groupBy("seed").count()
-    n = np.zeros(len(index["seeds"]), dtype=np.int64)
-    for r in df.collect():  # one row per seed of the block at most
-        n[r.seed] = r["count"]
-    fine = n <= rare * docs_n
-    for k in range(len(index["texts"])):
-        own = index["seed"][index["item"] == k]
-        if len(own):
-            fine[own[n[own] <= np.median(n[own])]] = True
-    return index | {"rare": fine}
-
-
 def contaminations(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, n: int = SEED_WORDS,
-                   rare: float = RARE, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
+                   doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
                    item_text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, item_id, score, start_word, end_word, seeds): every contaminated pair."""
-    out = docs.select(F.col(doc_id).alias("doc_id"), F.lit(None).cast(MATCHES).alias("m")).where("false")
-    docs_n = None
+    read = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    schema = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, {MATCH_FIELDS}"
+    out = docs.sparkSession.createDataFrame([], schema)
     for part in blocks(benchmark, item_id, item_text, block_words):
-        docs_n = docs.count() if docs_n is None else docs_n
-        index = build_index(part, n)
-        some = _candidates(docs, index, doc_id, text)
-        index = _with_rarity(index, some, docs_n, rare)
-        out = out.unionByName(some.select("doc_id", _found(docs, index, threshold, "text").alias("m")))
-    return out.select("doc_id", F.explode("m").alias("m")).select("doc_id", "m.*")
+        out = out.unionByName(read.mapInArrow(_scan(docs, build_index(part, n), threshold), schema))
+    return out
+
+
+def _scan(docs: DataFrame, index: dict, threshold: float):
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [(i, m) for i, t in enumerate(b.column("text").to_pylist()) for m in matches(t, shared.value, threshold)]
+            if found:
+                at = pa.array([i for i, _ in found], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id").take(at)] + [pa.array([m[f] for _, m in found], t) for f, t in (
+                        ("item_id", pa.int64()), ("score", pa.float64()), ("start_word", pa.int32()),
+                        ("end_word", pa.int32()), ("seeds", pa.int32()))],
+                    names=["doc_id", "item_id", "score", "start_word", "end_word", "seeds"])
+    return scan
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, n: int = SEED_WORDS,
-               rare: float = RARE, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
+               doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
                item_text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The rows of ``docs`` that no benchmark item contaminates, all columns, in one further pass per block."""
-    clean, docs_n = docs, None
+    """The rows of ``docs`` that no benchmark item contaminates, all columns, in one pass per block."""
+    clean = docs
     for part in blocks(benchmark, item_id, item_text, block_words):
-        docs_n = docs.count() if docs_n is None else docs_n
-        index = build_index(part, n)
-        index = _with_rarity(index, _candidates(docs, index, doc_id, text), docs_n, rare)
-        clean = clean.where(F.size(_found(docs, index, threshold, text)) == 0)
+        clean = clean.where(_is_clean(docs, build_index(part, n), threshold, text))
     return clean
 
 
-def _found(docs: DataFrame, index: dict, threshold: float, text: str) -> Column:
+def _is_clean(docs: DataFrame, index: dict, threshold: float, text: str) -> Column:
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
-    @F.pandas_udf(MATCHES)
-    def found(texts: pd.Series) -> pd.Series:
-        return pd.Series([matches(t, shared.value, threshold) for t in texts], dtype=object)
-    return found(F.col(text))
+    @F.pandas_udf("boolean")
+    def is_clean(texts: pd.Series) -> pd.Series:
+        return pd.Series([not matches(t, shared.value, threshold) for t in texts], dtype=bool)
+    return is_clean(F.col(text))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -75,3 +75,27 @@ def test_odd_rows(spark, docs_of):
     assert D.contaminations(docs_of(rows).where("false"), bench).count() == 0
     assert D.contaminations(docs_of(rows), bench.where("false")).count() == 0
     assert D.keep_clean(docs_of(rows), bench.where("false")).count() == len(rows)
+
+
+def test_common_copies_are_found_like_single_ones(spark, docs_of):
+    """One edited or truncated copy repeated over a corpus of under 10,000 documents: every seed it holds is frequent."""
+    rng = random.Random(11)
+    edited, cut, other = ([f"{c}{k}" for k in range(40)] for c in "ecx")
+    bench = spark.createDataFrame([(1, " ".join(edited)), (2, " ".join(cut)), (3, " ".join(other))], "item_id long, text string")
+    for at in (6, 13, 20, 27, 34):
+        edited[at] = "changed"
+    passage = {1: edited, 2: cut[:21], 3: other[:8] + ["else"] * 32}
+    docs, want = [], set()
+    for i in range(90):
+        k = i % 3 + 1
+        # a seed that no other document has must not draw the search away from the copy
+        lone = other[20:24] if i == 6 else []
+        docs.append((i, " ".join(words(rng, 50) + passage[k] + words(rng, 50) + lone)))
+        want |= {(i, k)} - {(i, 3)}
+    df = docs_of(docs)
+    got = D.contaminations(df, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want
+    for r in got:
+        item = [f"{'ec'[r.item_id - 1]}{k}" for k in range(40)]
+        assert abs(r.score - brute_score(item, dict(docs)[r.doc_id].split()) / 80) < 1e-9
+    assert {r.doc_id for r in D.keep_clean(df, bench).collect()} == {i for i, _ in docs} - {i for i, _ in want}
