@@ -1,7 +1,8 @@
 """Operator 4: HTML to text by layout: all visible text, with block spacing, lists and aligned tables.
 
 A tokenizer and a tree builder with implied tags (html, head, body, tbody, tr; end tags of p, li, dt,
-dd, option, tr, td, th and others) turn any byte soup into a tree; visibility rules drop what a
+dd, option, tr, td, th and others) turn any byte soup into a tree; text and elements that may not stand
+between the parts of a table go before it, as in browsers; visibility rules drop what a
 browser does not show (head, scripts, templates, closed details and dialogs, ``hidden``, display:none,
 visibility:hidden unless a child is visible again, hidden inputs); the renderer walks the rest. Nothing is
 scored or cut as boilerplate: menus and footers are visible text.
@@ -44,6 +45,15 @@ RAW = frozenset("script style xmp iframe noembed noframes noscript title textare
 IN_HEAD = frozenset("base link meta noscript script style template title".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form "
                      "h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul".split())
+#: parts of a table, and the open elements that each of them may stand in
+TABLE_PARTS = {
+    **{t: frozenset(("tr", "tbody", "thead", "tfoot", "table")) for t in ("td", "th")},
+    "tr": frozenset(("tbody", "thead", "tfoot", "table")), "col": frozenset(("colgroup", "table")),
+    **{t: frozenset(("table",)) for t in ("tbody", "thead", "tfoot", "caption", "colgroup")},
+}
+#: inside these only parts of a table and IN_TABLE may stand; anything else goes before the table
+TABLE_LEVELS = frozenset("table tbody thead tfoot tr colgroup".split())
+IN_TABLE = frozenset("script style template".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 HIDDEN = frozenset("area audio base canvas datalist head iframe link meta noembed noframes noscript object param rp script "
                    "source style svg template title track video".split())
@@ -92,8 +102,19 @@ class Builder:
         self.stack, self.open = [self.root], {"html": [0]}
         self.body = False
 
+    def add(self, what: Node | str) -> None:
+        """Into the innermost open element, or before its table if it may not stand there (foster parenting)."""
+        tag = what.tag if isinstance(what, Node) else None
+        misplaced = not what.isspace() if tag is None else not (
+            tag in TABLE_PARTS or tag in IN_TABLE or (tag == "input" and what.attrs.get("type", "").lower() == "hidden"))
+        if misplaced and self.stack[-1].tag in TABLE_LEVELS and self.open.get("table"):
+            # an open table is the last child of what it stands in
+            self.stack[self.open["table"][-1] - 1].children.insert(-1, what)
+        else:
+            self.stack[-1].children.append(what)
+
     def push(self, node: Node) -> None:
-        self.stack[-1].children.append(node)
+        self.add(node)
         self.open.setdefault(node.tag, []).append(len(self.stack))
         self.stack.append(node)
 
@@ -116,6 +137,13 @@ class Builder:
             self.pop()
         return True
 
+    def in_table(self) -> bool:
+        """Whether a table is open with no template in it."""
+        return self._fence(("table",)) > self._fence(("template",))
+
+    def in_cell(self) -> bool:
+        return self._fence(("td", "th", "caption")) > self._fence(("table",))
+
     def in_body(self) -> None:
         if not self.body:
             while len(self.stack) > 1:
@@ -139,7 +167,14 @@ class Builder:
             self.close(("p",), FENCES)
         if tag in HEADINGS and self.stack[-1].tag in HEADINGS:
             self.pop()
-        if tag in ENDS:
+        if self.in_table() and (tag in TABLE_PARTS or tag == "table" and not self.in_cell()):
+            # a part ends all that is open inside the part it belongs to; a table between rows ends the one before
+            if tag == "table":
+                self.close_nearest(tag)
+            else:
+                while self.stack[-1].tag not in TABLE_PARTS[tag]:
+                    self.pop()
+        elif tag in ENDS:
             self.close(*ENDS[tag])
         top = self.stack[-1].tag
         if tag in ("td", "th", "tr") and top == "table":
@@ -148,8 +183,10 @@ class Builder:
         if tag in ("td", "th") and top in ("tbody", "thead", "tfoot"):
             self.push(Node("tr"))
         node = Node(tag, attrs)
-        if tag in VOID:
-            self.stack[-1].children.append(node)
+        if tag == "form" and self.in_table() and not self.in_cell():
+            self.stack[-1].children.append(node)  # stays empty: rows in it are the table's
+        elif tag in VOID:
+            self.add(node)
         else:
             self.push(node)
 
@@ -178,7 +215,7 @@ class Builder:
         if not self.body and not s.isspace():
             self.in_body()
         if self.body:
-            self.stack[-1].children.append(unescape(s) if "&" in s else s)
+            self.add(unescape(s) if "&" in s else s)
 
 
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for t in RAW}

@@ -1,3 +1,4 @@
+import random
 import re
 from html.parser import HTMLParser
 
@@ -72,3 +73,47 @@ def test_rows(spark):
     got = sorted(map(str, [tuple(r) for r in L.extract(df).collect()]))
     assert got == sorted(map(str, [(1, "a"), (1, "a"), (None, "n"), (2, None), (3, "")]))
     assert L.extract(df.where("false")).count() == 0
+
+
+def test_misplaced_content_of_tables_goes_before_them():
+    for page, want in (
+            ("<table><form><tr><td>x</td></tr></form></table>", "x"),
+            ("<table><center><tr><td>x</td><td>y</td></tr></center></table>", "x  y"),
+            ("<table><div><tr><td>x</td></tr></div></table>z", "x\n\nz"),
+            ("<table><tr><form><td>a<td>b</form></tr></table>", "a  b"),
+            ("<table>Loading<tr><td>x</table>", "Loading\n\nx"),
+            ("p<table><tr>lone<td>x</td>more<td>y</td></tr>last</table>q", "plonemorelast\n\nx  y\n\nq"),
+            ("<table><tbody>a &amp; b<tr><td>x</table>", "a & b\n\nx"),
+            ("<table><colgroup>c<col><tr><td>x</table>", "c\n\nx"),
+            ("<table><tr><td>a<tr><b>bold</b><p>par<td>b</table>", "bold\n\npar\n\na\nb"),
+            ("<table><tr><td>a</td></tr><table><tr><td>b</table>", "a\n\nb"),
+            ("<table><tr><td>o<table>in<tr><td>x</table><td>p</table>", "oin  p\n\nx"),
+            ("<table><tr><textarea>t</textarea><input value=v><input type=hidden value=h><td>x</table>", "t v x"),
+            ("<table><ul><li>one<li>two</ul><tr><td>x</table>", "- one\n- two\n\nx"),
+            ("<table><tr><td><form><p>in</form>cell</table>", "in\n\ncell"),
+            ("<table><script>s</script><style>s</style><template><tr><td>h</template><tr><td>x</table>", "x"),
+            ("b<template><table><tr><td>h</table></template><table> <tr> <td>x</td> </tr> </table>", "b x")):
+        assert SHOW(page).split() == want.split(), page
+
+
+def test_no_visible_word_of_odd_tables_is_lost():
+    rng = random.Random(4)
+    tags = "table tr td th tbody thead caption colgroup form center div b p ul li a span select option h2 font".split()
+    for _ in range(3000):
+        page, n = "", 0
+        for _ in range(rng.randint(3, 30)):
+            kind = rng.random()
+            if kind < 0.45:
+                page += f"<{rng.choice(tags)}>"
+            elif kind < 0.65:
+                page += f"</{rng.choice(tags)}>"
+            else:
+                page += f" w{n} "
+                n += 1
+        assert sorted(re.findall(r"w\d+", SHOW(page))) == sorted(f"w{k}" for k in range(n)), page
+
+
+def test_tables_left_open_and_deep_take_linear_time():
+    assert SHOW("<table>" * 20000 + "x").split() == ["x"]
+    assert len(SHOW("<table><tr>w " * 20000).split()) == 20000
+    assert len(SHOW("<table>" + "<b>w <tr>" * 20000).split()) == 20000
