@@ -17,6 +17,92 @@ def test_license_sequences(docs_of):
     assert C.licences(docs_of(rows).where("false")).count() == 0
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+GPL3 = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+GPL2 = GPL3.replace("software: you", "software; you").replace("Foundation, either version 3", "Foundation; either version 2")
+BSD3 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE."""
+
+
+def test_wrapped_licence_texts(docs_of):
+    import re
+    bsd2 = re.sub(r"3\. Neither.*?permission\.\n\n", "", BSD3, flags=re.S)
+    texts = {"MIT": (MIT, 3), "Apache-2.0": (APACHE, 4), "GPL-3.0": (GPL3, 2), "GPL-2.0": (GPL2, 2), "BSD-3-Clause": (BSD3, 5),
+             "BSD-2-Clause": (bsd2, 4)}
+    rows, want = [], []
+    for k, (licence, (text, n)) in enumerate(texts.items()):
+        narrow = re.sub(r"(?<=\S) (?=\S+ \S+ )", "\n", text)
+        flowing = "\n\n".join(" ".join(p.split()) for p in text.split("\n\n"))
+        comment = "/*\n" + "\n".join(f" * {line}".rstrip() for line in text.split("\n")) + "\n */\nint main;"
+        for j, form in enumerate((text, text.replace("\n", "\r\n"), narrow, flowing, comment)):
+            rows.append((10 * k + j, f"Own words.\n\n{form}\n\nMore own words."))
+            want.append((10 * k + j, licence, n))
+    # a sentence does not reach across a blank line, nor start or end inside a piece
+    rows += [(900, "Released under\n\nthe MIT License"), (901, "Not released under the MIT License"),
+             (902, "Released under the MIT License or another"), (903, "Released under\nthe MIT\nLicense.")]
+    got = [(r.doc_id, r.licence, r.n_sentences) for r in C.licences(docs_of(rows)).collect()]
+    assert sorted(got) == sorted([*want, (903, "MIT", 1)])
+
+
+def test_every_wording_is_reachable(docs_of):
+    rows = [(i, f"{v}.") for i, v in enumerate(v for many in C.KNOWN.values() for v in many)]
+    want = [(i, k) for i, k in enumerate(k for k, many in C.KNOWN.items() for _ in many)]
+    assert sorted((r.doc_id, r.id) for r in C.identifiers(docs_of(rows)).collect() if r.pos == 0) == want
+
+
 def brute_asof(left, right):
     out = []
     for i, k, t in left:
