@@ -7,7 +7,8 @@
    the quotient target / (2k + 1); the seats with the highest quotients (at least block / 2, which
    makes round(target / block) of them) win. Sorted by quotient they are dealt into shards of
    ``shard_blocks`` seats; counting them gives integer quotas per shard and source. Divisor methods
-   are house-monotone, so the quotas of the first shards are themselves an apportionment.
+   are house-monotone, so the quotas of the first shards are themselves an apportionment. Seats are made in rows of
+   at most ``SEATS_ROW`` spread over tasks, so no row or task holds all seats of a source.
 4. Seeded selection: a source's documents stand in seeded hash order. Seat k takes the k-th block of
    the cyclic stream from a seeded start on: whole epochs first, then a run of blocks through a
    stream that is already shuffled. What a document gives is the overlap of its words with the blocks
@@ -32,6 +33,9 @@ from ..operators.ranges import running_total
 #: words of a block, seats of a shard, most times a document is repeated, seed of the selection
 BLOCK = 64
 SHARD_BLOCKS = 16384
+#: most seats that one row is exploded into, most tasks that explode them
+SEATS_ROW = 100_000
+SEAT_TASKS = 10_000
 EPOCHS = 3
 SEED = 20
 WORD = r"[^\x20\x09-\x0D]+"
@@ -75,10 +79,20 @@ def targets(src: DataFrame, epochs: int = EPOCHS, share: float = 1.0) -> DataFra
     return src.withColumn("target", F.least(cap, F.col("weight") * F.lit(rate)))
 
 
+def seat_rows(src: DataFrame, block: int = BLOCK, per_row: int = SEATS_ROW) -> DataFrame:
+    """(source, target, first, last): the seats of every source in rows of at most ``per_row``, spread over tasks."""
+    n = F.floor(F.col("target") / block + 0.5).cast("long")
+    each = src.where(n > 0).select("source", "target", n.alias("n"), F.floor((n - 1) / per_row).cast("long").alias("c"))
+    rows = each.agg(F.sum(F.col("c") + 1)).first()[0] or 1
+    return each.select("source", "target", "n", F.explode(F.sequence(F.lit(0).cast("long"), "c")).alias("chunk")) \
+        .repartition(max(1, min(rows, SEAT_TASKS)), "source", "chunk") \
+        .select("source", "target", (F.col("chunk") * per_row).alias("first"),
+                (F.least(F.col("n"), (F.col("chunk") + 1) * per_row) - 1).alias("last"))
+
+
 def seats(src: DataFrame, block: int = BLOCK, shard_blocks: int = SHARD_BLOCKS) -> DataFrame:
     """(source, k, quotient, shard): the winning seats in order of quotient, dealt into shards."""
-    n = F.floor(F.col("target") / block + 0.5)
-    each = src.where(n > 0).select("source", "target", F.explode(F.sequence(F.lit(0), (n - 1).cast("int"))).alias("k"))
+    each = seat_rows(src, block).select("source", "target", F.explode(F.sequence("first", "last")).alias("k"))
     seat = each.select("source", "k", (F.col("target") / (F.col("k") * 2 + 1)).alias("quotient"),
                        (-F.col("target") / (F.col("k") * 2 + 1)).alias("_down"), F.col("source").isNull().alias("_null"))
     at = running_total(seat, ["_down", "_null", "source", "k"], out="_at")

@@ -83,3 +83,18 @@ def test_empty_tables(docs_of):
     assert M.mix(docs_of(ROWS).where("false"))[0].count() == 0
     only = M.mix(docs_of([(1, None), (2, "")]))[0].collect()
     assert [(r["size"], r.target, r.taken) for r in only] == [(0, 0.0, 0)] * 2
+
+
+def test_seats_of_a_hot_source_are_made_in_bounded_rows(spark):
+    from pyspark.sql import functions as F
+    src = spark.createDataFrame([("hot", float(64 * 2 ** 33)), ("a", 640.0), (None, 6400.0), ("none", 1.0)], "source string, target double")
+    by = {r.source: r for r in M.seat_rows(src, per_row=2 ** 28).withColumn("p", F.spark_partition_id()).groupBy("source").agg(
+        F.min("first").alias("lo"), F.max("last").alias("hi"), F.sum(F.expr("last - first + 1")).alias("n"),
+        F.max(F.expr("last - first + 1")).alias("most"), F.count_distinct("p").alias("tasks")).collect()}
+    assert {k: (r.lo, r.hi, r.n) for k, r in by.items()} == {"hot": (0, 2 ** 33 - 1, 2 ** 33), "a": (0, 9, 10), None: (0, 99, 100)}
+    assert by["hot"].most <= 2 ** 28 and by["hot"].tasks > 5
+    # several rows of a source give the same seats as one
+    some = spark.createDataFrame([("x", 250_001.0), ("y", 7.0)], "source string, target double")
+    got = M.quotas(some, block=1, shard_blocks=10 ** 9).collect()
+    assert {(r.source, r.blocks, r.first_seat) for r in got} == {("x", 250_001, 0), ("y", 7, 0)}
+    assert M.seats(some, block=1).select("k").distinct().count() == 250_001
