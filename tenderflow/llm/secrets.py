@@ -1,8 +1,10 @@
 """Operator 5: secret scanning with a random forest that removes false positives (native).
 
 1. Candidates: words (between white space) that hold a run of ``MIN_RUN`` or more letters, digits and + / = _ -
-   with a digit in it, or a letters-only run of ``LONG_RUN``, or a value assigned to a secret's name. Each
-   comes with its place, the two words before and the word after it.
+   with a digit in it, or a letters-only run of ``LONG_RUN``, or a value of eight or more characters assigned to a
+   secret's name, in the same word or in the one after name and sign. A word gives every such value (minified JSON,
+   query and connection strings are one word), each with its offset in the word, what surrounds it up
+   to its neighbours, the two words before and the word after it.
 2. Features, all by built-in functions: length; character transitions (between lower, upper, digit and symbol, and
    between vowel and consonant) and character shares; dictionary coverage; path (test-like names, depth,
    a hash bucket); neighbouring words (a secret's name, an assignment sign, quotes, plain words).
@@ -42,6 +44,18 @@ TREES, DEPTH = 40, 8
 RUN = r"[A-Za-z0-9+/=_\-]"
 NAME = r"(?i)(password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|credential|auth)"
 SPACE = r"[\x20\x09-\x0D]+"
+# the name without a group; name, sign and opening quote; where the next value of a joined setting begins
+_NAMED = NAME.replace("(?i)(", "(?i:", 1)
+_SIGN = _NAMED + r"[\"']?[=:][\"']?"
+_NEXT_SECRET = rf"[&;,][\"']?[A-Za-z0-9_.\-]*{_SIGN}[^\s\"']{{8}}"
+_NEXT = r"[&;,][\"']?[A-Za-z0-9_.\-]+[\"']?[=:]"
+_ASSIGNED = rf"{_SIGN}(?:(?!{_NEXT_SECRET})[^\s\"']){{8}}"
+GIVEN = rf"{_ASSIGNED}(?:(?!{_NEXT})[^\s\"'])*+"
+#: every candidate of a word: assigned values, then runs up to the next assigned value
+FOUND = rf"{GIVEN}|(?=(?:(?!{_ASSIGNED})[A-Za-z+/=_\-])*+[0-9])(?:(?!{_ASSIGNED}){RUN}){{{MIN_RUN},}}+" \
+        rf"|(?:(?!{_ASSIGNED})[A-Za-z]){{{LONG_RUN},}}+"
+#: a word after name and sign: its start is the value
+AFTER_SIGN = rf"{GIVEN}|^[\"'`]?(?:(?!{_ASSIGNED}|{_NEXT_SECRET})[^\s\"']){{8}}(?:(?!{_ASSIGNED}|{_NEXT})[^\s\"'])*+|{FOUND}"
 
 FEATURES = ["length", "transitions", "vowel_changes", "distinct", "digits", "uppers", "symbols", "hexadecimal", "coverage",
             "path_test", "path_depth", "path_bucket", "place", "name_inside", "name_before", "assigned", "quoted",
@@ -49,22 +63,54 @@ FEATURES = ["length", "transitions", "vowel_changes", "distinct", "digits", "upp
 
 
 def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
-    """(cid, doc_id, path, pos, word, value, before2, before, after, place): one row per candidate."""
+    """(cid, doc_id, path, pos, offset, word, value, before2, before, after, place): one row per candidate.
+
+    ``word``: the candidate and what stands between it and its neighbours in the same word.
+    """
     has_digit = rf"(?=[A-Za-z+/=_\-]*[0-9]){RUN}{{{MIN_RUN},}}"
     wanted = rf"{has_digit}|[A-Za-z]{{{LONG_RUN},}}|{NAME}[\"']?[=:][\"']?[^\s\"']{{8,}}"
+    spaced = rf"{_NAMED}[\"']?(?:{SPACE})?[=:]{SPACE}[^\x20\x09-\x0D]{{8}}"
     words = F.split(F.col(text), SPACE)
     marked = docs.where(F.col(text).rlike(wanted)) \
         .select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"),
                 words.alias("w"), F.monotonically_increasing_id().alias("row"))
-    at = F.filter(F.transform("w", lambda s, i: F.when(s.rlike(wanted), i)), lambda i: i.isNotNull())
-    one = marked.select("doc_id", "path", "row", "w", F.explode(at).alias("pos"))
-    near = lambda k: F.coalesce(F.try_element_at("w", F.col("pos") + 1 + k), F.lit(""))
-    before = lambda k: F.when(F.col("pos") >= k, near(-k)).otherwise("")
-    run = F.regexp_extract("word", rf"({has_digit}|[A-Za-z]{{{LONG_RUN},}})", 1)
-    given = F.regexp_extract("word", rf"{NAME}[\"']?[=:][\"']?([^\s\"']{{8,}})", 2)
-    return one.select("doc_id", "path", "pos", F.xxhash64("row", "pos").alias("cid"), near(0).alias("word"), before(2).alias("before2"),
-                      before(1).alias("before"), near(1).alias("after"), (F.col("pos") / F.size("w")).alias("place")) \
-        .withColumn("value", F.when(given != "", given).otherwise(run))
+
+    def near(i: Column, k: int) -> Column:
+        word = F.coalesce(F.try_element_at("w", i + 1 + k), F.lit(""))
+        return word if k >= 0 else F.when(i >= -k, word).otherwise("")
+
+    def after_sign(i: Column) -> Column:
+        return near(i, -1).rlike(_NAMED + r"[\"']?[=:]$") | (near(i, -1).rlike("^[=:]$") & near(i, -2).rlike(_NAMED + r"[\"']?$"))
+    at = F.filter(F.transform("w", lambda s, i: F.when(s.rlike(wanted), i)),
+                  lambda i: i.isNotNull())
+    # neighbours are looked up before the explode, so that no row carries the document
+    one = marked.select("doc_id", "path", "row", F.explode(F.transform(at, lambda i: F.struct(
+        i.alias("pos"), near(i, 0).alias("whole"), near(i, -2).alias("before2"), near(i, -1).alias("before"),
+        near(i, 1).alias("after"), (i / F.size("w")).alias("place"), F.lit(False).alias("signed")))).alias("x")) \
+        .select("doc_id", "path", "row", "x.*")
+
+    def cut(pattern: str) -> Column:
+        """(gap before, match, gap after) of every match, in order."""
+        gaps = F.split("whole", pattern)
+        found = F.regexp_extract_all("whole", F.lit(pattern), F.lit(0))
+        pairs = F.zip_with(gaps, found, lambda g, m: F.struct(g.alias("g"), m.alias("m")))
+        return F.filter(F.zip_with(pairs, F.slice(gaps, F.lit(2), F.greatest(F.size(gaps) - 1, F.lit(0))), lambda x, t: F.struct(
+            x["g"].alias("g"), x["m"].alias("m"), F.coalesce(t, F.lit("")).alias("t"))), lambda x: x["m"].isNotNull())
+    none = F.array().cast("array<struct<m: string, start: int, word: string>>")
+    placed = F.aggregate(
+        F.when(F.col("signed"), cut(AFTER_SIGN)).otherwise(cut(FOUND)), F.struct(F.lit(0).alias("n"), none.alias("out")),
+        lambda a, x: F.struct((a["n"] + F.length(x["g"]) + F.length(x["m"])).alias("n"), F.concat(a["out"], F.array(F.struct(
+            x["m"].alias("m"), (a["n"] + F.length(x["g"])).alias("start"), F.concat(x["g"], x["m"], x["t"]).alias("word")))).alias("out")),
+        lambda a: a["out"])
+    each = one.select("*", F.explode(placed).alias("f")).select("*", "f.m", "f.start", "f.word")
+    given = F.col("m").rlike(f"^{_ASSIGNED}")
+    value = F.when(given, F.regexp_replace("m", f"^{_SIGN}", "")).otherwise(F.regexp_replace("m", "^[\"'`]", ""))
+    # the value after a sign ends before the punctuation of its sentence, unless too little is left or it is quoted
+    bare = F.regexp_replace(value, r"[.,;:)\]}`]+$", "")
+    ended = F.when(~given & ~F.col("m").rlike("^[\"']") & (F.length(bare) >= 8), bare).otherwise(value)
+    return each.withColumn("offset", F.col("start") + F.length("m") - F.length(value)).withColumn("value", ended) \
+        .select("doc_id", "path", "pos", "offset", F.xxhash64("row", "pos", "offset").alias("cid"), "word", "before2", "before", "after",
+                "place", "value")
 
 
 def dictionary(docs: DataFrame, share: float = DICTIONARY_SHARE, text: str = "text") -> DataFrame:
@@ -151,7 +197,7 @@ def train(labelled: DataFrame, rows: int = TRAIN_ROWS, seed: int = SEED):
 
 def scan(docs: DataFrame, labels: DataFrame | None = None, threshold: float = THRESHOLD, doc_id: str = "doc_id",
          text: str = "text", path: str = "source") -> DataFrame:
-    """(doc_id, pos, value, probability, is_secret): every candidate, scored.
+    """(doc_id, pos, offset, value, probability, is_secret): every candidate, scored.
 
     ``labels(value, label)``: labelled findings (1 secret, 0 false positive); rules label them if it is None.
     """
@@ -168,10 +214,10 @@ def scan(docs: DataFrame, labels: DataFrame | None = None, threshold: float = TH
         vector = VectorAssembler(inputCols=FEATURES, outputCol="vector").transform(found)
         scored = model.setProbabilityCol("p").setFeaturesCol("vector").transform(vector) \
             .withColumn("probability", vector_to_array("p")[1])
-    return scored.select("doc_id", "pos", "value", "probability", (F.col("probability") >= threshold).alias("is_secret"))
+    return scored.select("doc_id", "pos", "offset", "value", "probability", (F.col("probability") >= threshold).alias("is_secret"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     found = scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return found.select("doc_id", "pos", F.md5("value").alias("value_md5"), F.round("probability", 6).alias("probability"),
+    return found.select("doc_id", "pos", "offset", F.md5("value").alias("value_md5"), F.round("probability", 6).alias("probability"),
                         "is_secret")
