@@ -71,7 +71,7 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path
     wanted = rf"{has_digit}|[A-Za-z]{{{LONG_RUN},}}|{NAME}[\"']?[=:][\"']?[^\s\"']{{8,}}"
     spaced = rf"{_NAMED}[\"']?(?:{SPACE})?[=:]{SPACE}[^\x20\x09-\x0D]{{8}}"
     words = F.split(F.col(text), SPACE)
-    marked = docs.where(F.col(text).rlike(wanted)) \
+    marked = docs.where(F.col(text).rlike(f"{wanted}|{spaced}")) \
         .select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"),
                 words.alias("w"), F.monotonically_increasing_id().alias("row"))
 
@@ -81,12 +81,12 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path
 
     def after_sign(i: Column) -> Column:
         return near(i, -1).rlike(_NAMED + r"[\"']?[=:]$") | (near(i, -1).rlike("^[=:]$") & near(i, -2).rlike(_NAMED + r"[\"']?$"))
-    at = F.filter(F.transform("w", lambda s, i: F.when(s.rlike(wanted), i)),
+    at = F.filter(F.transform("w", lambda s, i: F.when(s.rlike(wanted) | ((F.length(s) >= 8) & after_sign(i)), i)),
                   lambda i: i.isNotNull())
     # neighbours are looked up before the explode, so that no row carries the document
     one = marked.select("doc_id", "path", "row", F.explode(F.transform(at, lambda i: F.struct(
         i.alias("pos"), near(i, 0).alias("whole"), near(i, -2).alias("before2"), near(i, -1).alias("before"),
-        near(i, 1).alias("after"), (i / F.size("w")).alias("place"), F.lit(False).alias("signed")))).alias("x")) \
+        near(i, 1).alias("after"), (i / F.size("w")).alias("place"), after_sign(i).alias("signed")))).alias("x")) \
         .select("doc_id", "path", "row", "x.*")
 
     def cut(pattern: str) -> Column:

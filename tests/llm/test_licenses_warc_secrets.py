@@ -188,3 +188,12 @@ def test_every_value_of_a_word_is_a_candidate(docs_of):
         [key, "s3cr3t!pw", "t0k.en$val"], ["abcd1234", "efgh5678"], [key, other, key], [other], ["abc;foo:bar12345"], ["a1" * 30000]]
     cids = S.candidates(docs_of([(1, words[2])])).select("cid").distinct().count()
     assert cids == 3
+
+
+def test_value_in_the_word_after_name_and_sign(docs_of):
+    texts = {'password = "S3cr3t!pw"': "S3cr3t!pw", "password: hunter2!x": "hunter2!x", '{ "api_key": "abcd1234", }': "abcd1234",
+             "token : my.long$er.value1.": "my.long$er.value1", "password short1": None, "password: short1": None, "name = something": None,
+             "secret: ab.cdefghijklmnopq12345, x": "ab.cdefghijklmnopq12345", "auth: token=abcd12345": "abcd12345"}
+    rows = [(i, t) for i, t in enumerate(texts)]
+    got = {r.doc_id: r.value for r in S.candidates(docs_of(rows)).collect()}
+    assert got == {i: v for i, v in enumerate(texts.values()) if v}
