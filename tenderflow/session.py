@@ -43,7 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     ``spark.checkpoint.dir`` if set, else a folder the caller has set on the context. With neither, a scratch
-    folder is used on a local master only: on a cluster a folder of the driver's own is refused.
+    folder is used on a local master only: on a cluster a folder of the driver's own is refused. The choice is
+    kept on the context, since the setting itself cannot change while the session runs.
     """
     context = spark.sparkContext
     path = context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
@@ -52,7 +53,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local[") and context.master != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="tenderflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(path)
     return path

@@ -45,7 +45,7 @@ def test_taxonomy_levels_missing_parent(spark):
     # parent-pointer taxonomy: X's parent is absent from the list -> one hop, then the walk ends
     tax = spark.createDataFrame([("A", None), ("B", "A"), ("C", "B"), ("D", "C"), ("X", "MISSING")],
                                 "code string, parent string")
-    lv = {r.code: r for r in TX.taxonomy_levels(tax, max_level=3, max_depth=6).collect()}
+    lv = {r.code: r for r in TX.taxonomy_levels(tax, max_level=3).collect()}
     assert lv["A"].level == 0 and lv["D"].level == 3 and lv["X"].level == 1
     assert (lv["D"].lvl0, lv["D"].lvl1, lv["D"].lvl2, lv["D"].lvl3) == ("A", "B", "C", "D")
     assert lv["X"].lvl0 == "MISSING"
@@ -69,16 +69,3 @@ def test_deep_taxonomy_and_cycle(spark):
     loop = spark.createDataFrame([("a", "b", "x"), ("b", "c", "x"), ("c", "b", "x")], "code string, parent string, label string")
     with pytest.raises(ValueError):
         ancestor_closure(loop)
-
-
-def test_checkpoint_folder_of_the_context_is_used(spark):
-    from tenderflow.session import ensure_checkpoint_dir
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        spark.conf.unset("spark.checkpoint.dir")
-        if spark.sparkContext.getConf().get("spark.checkpoint.dir", None) is None:
-            assert ensure_checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
-            assert spark.conf.get("spark.checkpoint.dir", None) is None
-    finally:
-        if before:
-            spark.conf.set("spark.checkpoint.dir", before)
