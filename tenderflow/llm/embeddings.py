@@ -30,7 +30,8 @@ Recall against brute force is measured in tests/llm (1.0 on the test data; 0.999
 pairs exactly at the threshold, more above it). Precision is 1: every link is checked exactly.
 
 Defined results: a vector links with nothing (n_links 0, its own component) if its label is null, or
-the vector is null, empty, zero, or holds null or non-finite components. Vectors of different
+the vector is null, empty, zero, or holds null or non-finite components. Vectors are scaled
+(exactly) before anything is squared, so large and small finite ones link alike. Vectors of different
 length do not link. A row without vec_id links with nothing and has component_id null, kept
 false. Repeated rows each come back and count as vectors of their own. Other input columns are
 ignored. An empty table gives an empty result.
@@ -38,7 +39,6 @@ ignored. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import functools
 import math
 import sys
 from collections.abc import Iterator
@@ -71,12 +71,24 @@ def plan(n: int, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple[
     return bits, math.ceil(math.log(1 - recall) / math.log(1 - agree))
 
 
-@functools.lru_cache(maxsize=8)
+#: maps made so far in this process, by (dim, wide, which, seed)
+_MAPS: dict[tuple[int, int, int, int], np.ndarray] = {}
+
+
 def rotation(dim: int, wide: int, which: int, seed: int = SEED) -> np.ndarray:
     """A random orthonormal map from ``dim`` to ``wide`` dimensions (wide x dim)."""
-    g = np.random.default_rng([seed, which, dim, wide]).standard_normal((wide, wide))
-    q, r = np.linalg.qr(g)
-    return np.ascontiguousarray((q * np.sign(np.diag(r)))[:, :dim])
+    key = (dim, wide, which, seed)
+    if key not in _MAPS:
+        g = np.random.default_rng([seed, which, dim, wide]).standard_normal((wide, wide))
+        q, r = np.linalg.qr(g)
+        _MAPS[key] = np.ascontiguousarray((q * np.sign(np.diag(r)))[:, :dim])
+    return _MAPS[key]
+
+
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows scaled by a power of two (exactly) to components below 1, so that no finite vector's norm overflows."""
+    x = x.astype(np.float64)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
 
 
 def encode(x: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray]:
@@ -164,7 +176,7 @@ def _codes(p: dict):
         for pdf in batches:
             for dim, part in pdf.groupby("dim"):
                 wide = p["wide"](int(dim))
-                c, f = encode(np.stack(part["vec"].to_numpy()).astype(np.float64), wide)
+                c, f = encode(scaled(np.stack(part["vec"].to_numpy())), wide)
                 keys = band_keys(c, p["bits"], p["bands"])
                 n = len(part)
                 for t in range(p["bands"]):
@@ -196,7 +208,7 @@ def _linked(p: dict):
         for whole in T.whole_groups(batches, TILE):
             for dim, pdf in whole.groupby("dim"):
                 pdf, dim = pdf.reset_index(drop=True), int(dim)
-                x = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
+                x = scaled(np.stack(pdf["vec"].to_numpy()))
                 norm = np.sqrt(np.einsum("ij,ij->i", x, x))
                 codes, factors = encode(x, p["wide"](dim))
                 seg, cls, copies = T.segment_ids(pdf, TILE), pdf["cls"].to_numpy(), pdf["copies"].to_numpy()

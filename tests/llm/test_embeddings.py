@@ -19,7 +19,7 @@ def brute(rows, threshold=0.98):
     for i, a in enumerate(rows):
         for j, b in enumerate(rows[:i]):
             if fine(a) and fine(b) and a[2] == b[2] and len(a[1]) == len(b[1]):
-                x, y = np.array(a[1], float), np.array(b[1], float)
+                x, y = (np.array(v, float) / np.abs(v).max() for v in (a[1], b[1]))
                 if x @ y / (np.linalg.norm(x) * np.linalg.norm(y)) >= threshold:
                     links[i] += 1
                     links[j] += 1
@@ -58,6 +58,13 @@ def test_links_equal_brute_force(spark):
         assert got == brute(rows)
 
 
+def test_large_and_small_finite_vectors_link(spark):
+    rows = [(1, [1e200, 2e200], 1), (2, [2e200, 4e200], 1), (3, [1e-200, 2e-200], 1), (4, [2e200, -1e200], 1), (5, [5e-324, 1e-323], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert {r.vec_id: (r.n_links, r.component_id) for r in E.near_duplicates(df).collect()} == \
+        {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (0, 4), 5: (3, 1)}
+
+
 def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(2)
     d, wide, n, t = 48, 128, 4000, 0.98
