@@ -13,7 +13,7 @@ def rows(pdf):
 
 
 def test_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(E.queries()) and set(ORACLES) <= set(QUERIES)
     assert all(isinstance(v, str) for v in E.oracle_sql().values())
 
@@ -21,7 +21,7 @@ def test_registered():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     got, want = E.queries()[name](spark, SF), con.sql(ORACLES[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
