@@ -11,11 +11,11 @@ hashed up to the block's top by array functions, and every node of the block's l
 (ptree, plevel, pidx): the top itself, one stored level up, or the subroot's leaf in the last tree. Each stored
 level is a Parquet folder under the shared checkpoint directory and the next one is built from it.
 
-**Climb.** A recursive query starts at the leaves (tampered ones with their tampered hash) and joins the node
-rows on the key: each step appends the siblings it passes to the row's proof, folds the hash with them, and moves
-to the parent row, until the key is null. STRIDE tree levels a step keep the steps, and with them the rows that
-the recursion moves, at a quarter of the tree's height. Spark's limit on rows of a recursion is lifted while it
-runs and put back afterwards; its result is checkpointed.
+**Climb.** A recursive query starts at the leaf rows (tampered leaves with their tampered hash) and joins the upper
+node rows on the key: each step appends the siblings it passes to the leaf's proof, folds the hash with them, and moves
+to the parent row, until the key is null. STRIDE tree levels a step keep the steps few, and with them the rows that
+the recursion moves. Spark's limit on rows of a recursion is lifted while it runs and put back afterwards; its result
+is checkpointed.
 
 Defined results: null fields hash as ``-``; a null group comes first; rows without id come first in their group
 and are never tampered with; rows of equal id are ordered by leaf hash and each keep their own position (equal
@@ -34,7 +34,7 @@ from ..operators.ranges import running_total
 from ..session import scratch_path
 
 #: tree levels between stored levels, and climbed in one step of the recursion
-STRIDE = 4
+STRIDE = 8
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
 #: the tree over the subroots
 TOP = -1
@@ -53,69 +53,71 @@ def leaf_hash(*values: Column) -> Column:
     return F.sha2(F.concat(*[field(v) for v in values]), 256)
 
 
-def _up(nodes: str, height: int) -> str:
-    """The level above ``nodes`` (an array of hashes), if the block reaches it."""
-    return (f"CASE WHEN height >= {height} THEN transform(sequence(0, (size({nodes}) - 1) div 2), i -> unhex(sha2(concat("
-            f"lower(hex(get({nodes}, 2 * i))), coalesce(lower(hex(get({nodes}, 2 * i + 1))), '')), 256))) ELSE {nodes} END")
+#: all levels of a block, from its nodes' hashes up to its top
+_LEVELS = """aggregate(slice(sequence(1, {stride}), 1, height), array(n.h), (up, t) -> array_append(up, transform(
+    sequence(0, (size(element_at(up, -1)) - 1) div 2), i -> unhex(sha2(concat(lower(hex(get(element_at(up, -1), 2 * i))),
+    coalesce(lower(hex(get(element_at(up, -1), 2 * i + 1))), '')), 256)))))"""
 
 
 def store_level(nodes: DataFrame, level: int, top_tree: bool, stride: int) -> DataFrame:
-    """Node rows of one stored level from (tree, idx, h, m); m is the number of nodes of the tree at this level."""
+    """Node rows of one stored level from (tree, idx, h, m); m is the number of nodes of the tree at this level.
+
+    Leaves keep what else they carry (id, start).
+    """
+    kept = [c for c in nodes.columns if c not in ("tree", "idx", "h", "m")]
     block = nodes.groupBy("tree", F.expr(f"shiftright(idx, {stride})").alias("blk")).agg(
-        F.max("m").alias("m"), F.transform(F.array_sort(F.collect_list(F.struct("idx", "h"))), lambda x: x["h"]).alias("a0"))
-    block = block.withColumn("height", F.least(F.lit(stride), F.ceil(F.log2(F.col("m")))).cast("int"))
-    for t in range(1, stride + 1):
-        block = block.withColumn(f"a{t}", F.expr(_up(f"a{t - 1}", t)))
-    sibs = ", ".join(f"get(a{t}, cast(shiftright(i, {t}) ^ 1 as int))" for t in range(stride))
-    rows = block.select("tree", "blk", "m", F.expr(f"get(a{stride}, 0)").alias("top"), F.expr(
-        f"transform(a0, (x, i) -> slice(array({sibs}), 1, height))").alias("each"))
-    rows = rows.select("tree", "blk", "m", "top", F.posexplode("each").alias("i", "sibs"))
+        F.max("m").alias("m"), F.array_sort(F.collect_list(F.struct("idx", "h", *kept))).alias("n"))
+    block = block.withColumn("height", F.expr(f"least({stride}, CASE WHEN m > 1 THEN length(bin(m - 1)) ELSE 0 END)")) \
+        .withColumn("levels", F.expr(_LEVELS.format(stride=stride)))
+    rows = block.select("tree", "blk", "m", F.expr("get(element_at(levels, -1), 0)").alias("top"), F.expr(
+        "transform(n, (x, i) -> struct(x AS node, transform(slice(levels, 1, height), (a, t) -> "
+        "get(a, cast(shiftright(i, t) ^ 1 as int))) AS sibs))").alias("each"))
+    # outer: otherwise a filter on "each" is inferred, pushed below and computes the levels once more
+    rows = rows.select("tree", "blk", "m", "top", F.posexplode_outer("each").alias("i", "each"))
     last = F.col("m") <= (1 << stride)
     end = F.lit(None) if top_tree else F.lit(TOP)
     return rows.select(
-        "tree", F.lit(level).alias("level"), (F.col("blk") * (1 << stride) + F.col("i")).alias("idx"), "sibs", "top", "m",
+        "tree", F.lit(level).alias("level"), (F.col("blk") * (1 << stride) + F.col("i")).alias("idx"), "each.sibs", "top", "m",
         F.when(last, end.cast("long")).otherwise(F.col("tree")).alias("ptree"),
         F.when(last, F.lit(None if top_tree else 0).cast("int")).otherwise(F.lit(level + 1)).alias("plevel"),
         F.when(last, F.lit(None).cast("long") if top_tree else F.col("tree")).otherwise(F.col("blk")).alias("pidx"),
-        last.alias("last"))
+        last.alias("last"), *([F.col("each.node.h").alias("leaf")] if kept else []), *[f"each.node.{c}" for c in kept])
 
 
-def store_tree(leaves: DataFrame, path: str, top_tree: bool, stride: int = STRIDE) -> DataFrame:
-    """Store the levels of the trees over ``leaves`` (tree, idx, h, m); returns (tree, h) of their last nodes."""
+def store_tree(leaves: DataFrame, path: str, top_tree: bool, stride: int = STRIDE) -> tuple[DataFrame, list[str]]:
+    """Store the levels of the trees over ``leaves`` (tree, idx, h, m): (tree, h) of their last nodes and the folders."""
     spark = leaves.sparkSession
-    folder = f"{path}/{'top' if top_tree else 'groups'}"
-    nodes, level, ends = leaves, 0, None
+    nodes, folders, ends = leaves, [], None
     while True:
-        at = f"{folder}/{level:03d}"
-        store_level(nodes, level, top_tree, stride).write.parquet(at)
-        stored = spark.read.schema(NODE_SCHEMA).parquet(at).where(f"idx % {1 << stride} = 0")
+        folders.append(f"{path}/{'top' if top_tree else 'groups'}-{len(folders):03d}")
+        store_level(nodes, len(folders) - 1, top_tree, stride).write.parquet(folders[-1])
+        stored = spark.read.schema(NODE_SCHEMA).parquet(folders[-1]).where(f"idx % {1 << stride} = 0")
         done = stored.where("last").select("tree", F.col("top").alias("h"))
         ends = done if ends is None else ends.unionByName(done)
         nodes = stored.where("not last").select(
             "tree", F.col("pidx").alias("idx"), F.col("top").alias("h"),
             F.ceil(F.col("m") / (1 << stride)).cast("long").alias("m"))
         if nodes.isEmpty():
-            return ends
-        level += 1
-
+            return ends, folders
 
-def read_nodes(spark, path: str) -> DataFrame:
-    return spark.read.schema(NODE_SCHEMA).option("recursiveFileLookup", "true").parquet(path)
 
+#: a node row's siblings folded into a hash, and appended to a proof
+_FOLD = """aggregate(transform({n}.sibs, (x, t) -> struct(x AS x, shiftright({n}.idx, t) & 1 AS right)), {start},
+    (f, s) -> unhex(sha2(CASE WHEN s.x IS NULL THEN lower(hex(f)) WHEN s.right = 1 THEN concat(lower(hex(s.x)), lower(hex(f)))
+                              ELSE concat(lower(hex(f)), lower(hex(s.x))) END, 256)))"""
+_APPEND = "aggregate({n}.sibs, {start}, (p, x) -> CASE WHEN x IS NULL THEN p ELSE concat(p, x) END)"
 
-CLIMB = """
+CLIMB = f"""
 WITH RECURSIVE climb (id, leaf, tree, level, idx, folded, proof, subroot, root) AS (
-    SELECT id, leaf, tree, 0, idx, start, cast('' AS binary), cast(NULL AS binary), cast(NULL AS binary) FROM {leaves}
+    SELECT l.id, l.leaf, l.ptree, l.plevel, l.pidx, {_FOLD.format(n='l', start='l.start')},
+           {_APPEND.format(n='l', start="cast('' AS binary)")}, CASE WHEN l.last THEN l.top END, cast(NULL AS binary)
+    FROM {{leaves}} l
     UNION ALL
-    SELECT c.id, c.leaf, n.ptree, n.plevel, n.pidx,
-           aggregate(transform(n.sibs, (x, t) -> struct(x AS x, shiftright(n.idx, t) & 1 AS right)), c.folded,
-                     (f, s) -> unhex(sha2(CASE WHEN s.x IS NULL THEN lower(hex(f))
-                                               WHEN s.right = 1 THEN concat(lower(hex(s.x)), lower(hex(f)))
-                                               ELSE concat(lower(hex(f)), lower(hex(s.x))) END, 256))),
-           aggregate(n.sibs, c.proof, (p, x) -> CASE WHEN x IS NULL THEN p ELSE concat(p, x) END),
+    SELECT c.id, c.leaf, n.ptree, n.plevel, n.pidx, {_FOLD.format(n='n', start='c.folded')},
+           {_APPEND.format(n='n', start='c.proof')},
            CASE WHEN n.last AND n.ptree IS NOT NULL THEN n.top ELSE c.subroot END,
            CASE WHEN n.last AND n.ptree IS NULL THEN n.top END
-    FROM climb c JOIN {nodes} n ON c.tree = n.tree AND c.level = n.level AND c.idx = n.idx)
+    FROM climb c JOIN {{nodes}} n ON c.tree = n.tree AND c.level = n.level AND c.idx = n.idx)
 SELECT id, lower(hex(leaf)) AS leaf, lower(hex(subroot)) AS subroot, lower(hex(root)) AS root,
        sha2(lower(hex(proof)), 256) AS proof_sha256, lower(hex(folded)) AS folded_root, folded = root AS verified
 FROM climb WHERE root IS NOT NULL
@@ -124,7 +126,7 @@ ROW_LIMIT = "spark.sql.cteRecursionRowLimit"
 
 
 def climb(leaves: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Every leaf (id, leaf, start, tree, idx) with its proof, folded up to the root from the hash ``start``."""
+    """Every leaf row with its proof, folded from its hash ``start`` up to the root."""
     spark = leaves.sparkSession
     before = spark.conf.get(ROW_LIMIT, None)
     spark.conf.set(ROW_LIMIT, "-1")
@@ -151,12 +153,12 @@ def manifest(rows: DataFrame, row_id: str, group: str, fields: list[Column], tam
     groups = placed.groupBy("grp").agg(F.min("at").alias("base"), F.count("*").alias("m"))
     groups = running_total(groups, ["grp"], out="tree").checkpoint()
     leaves = placed.join(groups, placed.grp.eqNullSafe(groups.grp)).select(
-        "id", "leaf", "start", "tree", (F.col("at") - F.col("base")).alias("idx"), "m")
+        "tree", (F.col("at") - F.col("base")).alias("idx"), F.col("leaf").alias("h"), "m", "id", "start")
     path = scratch_path(spark, f"manifest-{uuid.uuid4().hex}")
-    ends = store_tree(leaves.select("tree", "idx", F.col("leaf").alias("h"), "m"), path, False, stride)
-    store_tree(ends.select(F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("idx"), "h",
-                           F.lit(ends.count()).cast("long").alias("m")), path, True, stride)
-    return climb(leaves, read_nodes(spark, path))
+    ends, low = store_tree(leaves, path, False, stride)
+    high = store_tree(ends.select(F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("idx"), "h",
+                                  F.lit(ends.count()).cast("long").alias("m")), path, True, stride)[1]
+    return climb(spark.read.parquet(low[0]), spark.read.schema(NODE_SCHEMA).parquet(*low[1:], *high))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
