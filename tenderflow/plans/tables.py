@@ -2,8 +2,10 @@
 
 Every build is windowed by notice publication day (S4/G9): ``window`` is
 ``(start, end)`` as ``yyyyMMdd`` text, or ``None`` for every notice. The
-window becomes a semi-join with the generated day list, so on a
-date-partitioned source it prunes partitions.
+window is a range filter on the publication date, which reaches the scan.
+
+Each extract is one star pattern (``operators.star``): on the virtual graph one
+projection of a source's rows, on a stored one a pivot per kind of subject.
 
 Key metadata (PK, FKs) of every table is in ``TABLE_KEYS``; the keyed
 loaders (operators.keyed) check it before writing.
@@ -11,13 +13,16 @@ loaders (operators.keyed) check it before writing.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import (local_name, notice_link, notice_number, notice_year, parse_yyyymmdd,
                                  surrogate_key, truncate_money, after_first_space, last_segment)
 from ..operators.currency import convert
-from ..operators.graph import any_of, match, of_class, optional, path, pattern, preferred_text, typed
+from ..operators.graph import any_of, match, optional, typed
+from ..operators.star import node, star, text, value
 from ..operators.taxonomy import taxonomy_levels
 from ..sources.triples import Graph
 from ..vocab import GRAPH_CPV, GRAPH_NUTS
@@ -66,42 +71,42 @@ def window_days(spark: SparkSession, start: str, end: str) -> DataFrame:
         .select(F.date_format("d", "yyyyMMdd").alias("NoticePublicationDate"))
 
 
+def notice(window=None, required: bool = True, **links) -> node:
+    """S4/G9 -- a result notice published in the window, with its publication day and further links."""
+    return node("Notice", {"hasPublicationDate": value("NoticePublicationDate", required=True, between=window), **links},
+                cls="ResultNotice", required=required)
+
+
 def notices(g: Graph, window: tuple[str, str] | None = None) -> DataFrame:
     """S4/G9 -- (Notice, NoticePublicationDate) of result notices published in the window."""
-    n = typed(pattern(g, "hasPublicationDate", "Notice", "NoticePublicationDate"), g, "Notice", "ResultNotice")
-    if window is not None:
-        n = n.join(window_days(g.spark, *window), "NoticePublicationDate", "left_semi")
-    return n
+    return star(g, notice(window))
 
 
-def _money(g: Graph, owner: str, pred: str, amount: str, cur: str) -> DataFrame:
-    mv = typed(match(pattern(g, "hasAmountValue", "_mv", amount, cast="double"),
-                     pattern(g, "hasCurrency", "_mv", "_cur")), g, "_mv", "MonetaryValue")
-    pv = pattern(g, pred, owner, "_mv") if isinstance(pred, str) else path(g, pred, owner, "_mv")
-    return match(pv, mv).select(owner, amount, local_name("_cur").alias(cur))
+def _money(amount: str) -> node:
+    """G23 -- a monetary value with both amount and currency, asked from its owner."""
+    return node(f"_{amount}", {"hasAmountValue": value(amount, required=True, cast="double"),
+                               "hasCurrency": value(f"{amount}Currency", required=True)}, cls="MonetaryValue")
 
 
-def _eur(df: DataFrame, amount: str, cur: str, rates: DataFrame, out: str) -> DataFrame:
+def _eur(df: DataFrame, amount: str, rates: DataFrame, out: str) -> DataFrame:
     """Transform: latest-rate conversion to EUR, truncated to an integer; currency dropped."""
-    return convert(df, amount, cur, rates, "_eur").withColumn(out, truncate_money("_eur")).drop(amount, cur, "_eur")
+    cur = f"{amount}Currency"
+    return convert(df.withColumn(cur, local_name(cur)), amount, cur, rates, "_eur") \
+        .withColumn(out, truncate_money("_eur")).drop(amount, cur, "_eur")
 
 
-def _roles(g: Graph, window) -> DataFrame:
-    """(Notice, Role, Organization) for Buyer or Winner roles announced by notices in the window."""
-    n = match(notices(g, window), pattern(g, "refersToProcedure", "Notice", "_proc")).select("Notice").distinct()
-    roles = match(n, pattern(g, "announcesRole", "Notice", "Role"))
-    roles = roles.join(any_of(of_class(g, "Buyer", name="Role"), of_class(g, "Winner", name="Role")), "Role",
-                       "left_semi")
-    return match(roles, pattern(g, "playedBy", "Role", "Organization"))
+def _roles(g: Graph, window, **links) -> DataFrame:
+    """(Notice, Role, Organization, ...) for Buyer or Winner roles announced by notices in the window."""
+    return star(g, node("Role", {"^announcesRole": notice(window, refersToProcedure=value("_proc", required=True)),
+                                 "playedBy": value("Organization", required=True), **links}, cls=("Buyer", "Winner")))
 
 
 def t_notice(g: Graph, rates: DataFrame, window=None) -> DataFrame:
-    n = match(notices(g, window), pattern(g, "refersToProcedure", "Notice", "Procedure"))
-    n = optional(n, _money(g, "Notice", ["announcesNoticeAwardInformation", "hasTotalAwardedValue"],
-                           "TotalAwardedValue", "TotalAwardedValueCurrency"))
+    n = star(g, notice(window, refersToProcedure=value("Procedure", required=True), announcesNoticeAwardInformation=node(
+        "_nai", {"hasTotalAwardedValue": replace(_money("TotalAwardedValue"), required=True)})))
     n = n.select(local_name("Notice").alias("NoticeId"), "NoticePublicationDate", local_name("Procedure")
                  .alias("ProcedureId"), "TotalAwardedValue", "TotalAwardedValueCurrency").distinct()
-    n = _eur(n, "TotalAwardedValue", "TotalAwardedValueCurrency", rates, "TotalAwardedValueEUR")
+    n = _eur(n, "TotalAwardedValue", rates, "TotalAwardedValueEUR")
     return n.select("NoticeId", parse_yyyymmdd("NoticePublicationDate").cast("string").alias("NoticePublicationDate"),
                     "ProcedureId", "TotalAwardedValueEUR", notice_link("NoticeId").alias("NoticeLink"),
                     notice_year("NoticeId").alias("NoticeYear"), notice_number("NoticeId").alias("NoticeNumber")) \
@@ -109,126 +114,99 @@ def t_notice(g: Graph, rates: DataFrame, window=None) -> DataFrame:
 
 
 def t_procedure(g: Graph, rates: DataFrame, window=None) -> DataFrame:
-    p = match(notices(g, window), pattern(g, "refersToProcedure", "Notice", "Procedure")).select("Procedure").distinct()
-    typed_p = of_class(g, "Procedure", name="Procedure")
-    title = preferred_text(g, "hasTitle", "Procedure", "ProcedureTitle").join(typed_p, "Procedure", "left_semi")
-    desc = preferred_text(g, "hasDescription", "Procedure", "ProcedureDescription").join(typed_p, "Procedure",
-                                                                                         "left_semi")
-    info = preferred_text(g, "hasAdditionalInformation", "Procedure", "ProcedureAdditionalInformation",
-                          require_preferred=True)
-    ref = path(g, ["hasID", "hasIdentifierValue"], "Procedure", "ReferenceNumber")
-    val = _money(g, "Procedure", "hasEstimatedValue", "ProcedureEstimatedValue", "ProcedureEstimatedValueCurrency")
-    ptype = pattern(g, "hasProcedureType", "Procedure", "_pt").select("Procedure", local_name("_pt")
-                                                                      .alias("ProcedureType"))
-    gpa = pattern(g, "isCoveredByGPA", "Procedure", "isCoveredByGPA", cast="boolean")
-    for part in (title, ref, val, ptype, gpa, desc, info):
-        p = optional(p, part)
-    p = p.select(local_name("Procedure").alias("ProcedureId"), "ProcedureTitle", "ReferenceNumber",
-                 "ProcedureEstimatedValue", "ProcedureEstimatedValueCurrency", "ProcedureType", "isCoveredByGPA",
+    p = star(g, node("Procedure", {
+        "^refersToProcedure": notice(window), "hasTitle": text("ProcedureTitle", of="Procedure"),
+        "hasID": node("_id", {"hasIdentifierValue": value("ReferenceNumber", required=True)}),
+        "hasEstimatedValue": _money("ProcedureEstimatedValue"), "hasProcedureType": value("ProcedureType"),
+        "isCoveredByGPA": value("isCoveredByGPA", cast="boolean"),
+        "hasDescription": text("ProcedureDescription", of="Procedure"),
+        "hasAdditionalInformation": text("ProcedureAdditionalInformation", only=True)}))
+    p = p.select(local_name("Procedure").alias("ProcedureId"), "ProcedureTitle", "ReferenceNumber", "ProcedureEstimatedValue",
+                 "ProcedureEstimatedValueCurrency", local_name("ProcedureType").alias("ProcedureType"), "isCoveredByGPA",
                  "ProcedureDescription", "ProcedureAdditionalInformation").distinct()
-    p = _eur(p, "ProcedureEstimatedValue", "ProcedureEstimatedValueCurrency", rates, "ProcedureEstimatedValueEUR")
+    p = _eur(p, "ProcedureEstimatedValue", rates, "ProcedureEstimatedValueEUR")
     return p.select("ProcedureId", "ProcedureTitle", "ReferenceNumber", "ProcedureEstimatedValueEUR", "ProcedureType",
                     "isCoveredByGPA", "ProcedureDescription", "ProcedureAdditionalInformation").distinct()
 
 
-def _window_lots(g: Graph, window) -> DataFrame:
-    lots = match(notices(g, window), pattern(g, "refersToLot", "Notice", "Lot")).select("Lot").distinct()
-    return typed(lots, g, "Lot", "Lot")
+def _lot(window, required: bool = True, **links) -> node:
+    """A lot of the notices in the window."""
+    return node("Lot", {"^refersToLot": notice(window), **links}, cls="Lot", required=required)
 
 
 def t_lot(g: Graph, rates: DataFrame, window=None) -> DataFrame:
-    lots = match(_window_lots(g, window), pattern(g, "hasProcurementScopeDividedIntoLot", "Procedure", "Lot"))
-    for part in (preferred_text(g, "hasTitle", "Lot", "LotTitle"),
-                 pattern(g, "isUsingEUFunds", "Lot", "isUsingEUFunds", cast="boolean"),
-                 _money(g, "Lot", "hasEstimatedValue", "LotEstimatedValue", "LotEstimatedValueCurrency"),
-                 preferred_text(g, "hasDescription", "Lot", "LotDescription")):
-        lots = optional(lots, part)
+    lots = star(g, _lot(window, **{
+        "^hasProcurementScopeDividedIntoLot": value("Procedure", required=True), "hasTitle": text("LotTitle"),
+        "isUsingEUFunds": value("isUsingEUFunds", cast="boolean"), "hasEstimatedValue": _money("LotEstimatedValue"),
+        "hasDescription": text("LotDescription")}))
     lots = lots.select(local_name("Lot").alias("LotId"), local_name("Procedure").alias("ProcedureId"), "LotTitle",
                        "isUsingEUFunds", "LotEstimatedValue", "LotEstimatedValueCurrency", "LotDescription").distinct()
-    lots = _eur(lots, "LotEstimatedValue", "LotEstimatedValueCurrency", rates, "LotEstimatedValueEUR")
+    lots = _eur(lots, "LotEstimatedValue", rates, "LotEstimatedValueEUR")
+    # a function of rows that are distinct already but for amounts which truncate alike
     return lots.select("LotId", "ProcedureId", "LotTitle", "isUsingEUFunds", "LotEstimatedValueEUR", "LotDescription") \
         .distinct()
 
 
-def _window_outcomes(g: Graph, window) -> DataFrame:
-    lao = typed(pattern(g, "describesLot", "LotAwardOutcome", "Lot"), g, "LotAwardOutcome", "LotAwardOutcome")
-    return match(_window_lots(g, window), lao)
+def _outcome(window, **links) -> node:
+    """An award outcome of a lot of the notices in the window."""
+    return node("LotAwardOutcome", {"describesLot": _lot(window), **links}, cls="LotAwardOutcome", required=True)
 
 
 def t_lot_award_outcome(g: Graph, rates: DataFrame, window=None) -> DataFrame:
-    o = _window_outcomes(g, window).select("LotAwardOutcome").distinct()
-    status = pattern(g, "hasAwardStatus", "LotAwardOutcome", "_st").select("LotAwardOutcome",
-                                                                         local_name("_st").alias("AwardStatus"))
-    for part in (status, _money(g, "LotAwardOutcome", "hasAwardedValue", "LotAwardedValue", "LotAwardedValueCurrency"),
-                 _money(g, "LotAwardOutcome", "hasBargainPrice", "LotBargainPrice", "LotBargainPriceCurrency"),
-                 pattern(g, "hasAwardDecisionDate", "LotAwardOutcome", "AwardDecisionDate")):
-        o = optional(o, part)
-    o = o.select(local_name("LotAwardOutcome").alias("LotAwardOutcomeId"), "AwardStatus", "LotAwardedValue",
-                 "LotAwardedValueCurrency", "LotBargainPrice", "LotBargainPriceCurrency", "AwardDecisionDate").distinct()
-    o = _eur(o, "LotAwardedValue", "LotAwardedValueCurrency", rates, "LotAwardedValueEUR")
-    o = _eur(o, "LotBargainPrice", "LotBargainPriceCurrency", rates, "LotBargainPriceEUR")
+    o = star(g, _outcome(window, hasAwardStatus=value("AwardStatus"), hasAwardedValue=_money("LotAwardedValue"),
+                         hasBargainPrice=_money("LotBargainPrice"), hasAwardDecisionDate=value("AwardDecisionDate")))
+    o = o.select(local_name("LotAwardOutcome").alias("LotAwardOutcomeId"), local_name("AwardStatus").alias("AwardStatus"),
+                 F.col("LotAwardedValue").cast("double"), "LotAwardedValueCurrency", F.col("LotBargainPrice").cast("double"),
+                 "LotBargainPriceCurrency", "AwardDecisionDate").distinct()
+    o = _eur(o, "LotAwardedValue", rates, "LotAwardedValueEUR")
+    o = _eur(o, "LotBargainPrice", rates, "LotBargainPriceEUR")
     return o.select("LotAwardOutcomeId", "AwardStatus", "LotAwardedValueEUR", "LotBargainPriceEUR",
                     F.to_date("AwardDecisionDate").cast("string").alias("AwardDecisionDate")).distinct()
 
 
 def t_lot_award(g: Graph, window=None) -> DataFrame:
-    o = _window_outcomes(g, window)
+    o = star(g, _outcome(window))
     return o.select(surrogate_key(local_name("Lot"), local_name("LotAwardOutcome")).alias("LotAwardId"),
                     local_name("LotAwardOutcome").alias("LotAwardOutcomeId"), local_name("Lot").alias("LotId")) \
         .distinct()
 
 
 def t_submission_statistics(g: Graph, rates: DataFrame, window=None) -> DataFrame:
-    o = _window_outcomes(g, window).select("LotAwardOutcome").distinct()
-    ssi = typed(pattern(g, "summarisesInformationForLotAwardOutcome", "SSI", "LotAwardOutcome"), g, "SSI",
-                "SubmissionStatisticalInformation")
-    s = match(o, ssi)
     counts = ["hasReceivedSMETenders", "hasReceivedTenders", "hasEUReceivedTenders", "hasElectronicTenders",
               "hasReceivedNonEUTenders"]
     # counts are nullable (OPTIONAL): typed double, as a table loader infers them
-    for c in counts[:2]:
-        s = optional(s, pattern(g, c, "SSI", c, cast="double"))
-    s = optional(s, _money(g, "SSI", "hasHighestReceivedTenderValue", "HighestReceivedTenderValue",
-                           "HighestReceivedTenderValueCurrency"))
-    s = optional(s, _money(g, "SSI", "hasLowestReceivedTenderValue", "LowestReceivedTenderValue",
-                           "LowestReceivedTenderValueCurrency"))
-    for c in counts[2:]:
-        s = optional(s, pattern(g, c, "SSI", c, cast="double"))
+    s = star(g, node("SSI", {
+        "summarisesInformationForLotAwardOutcome": _outcome(window), **{c: value(c, cast="double") for c in counts},
+        "hasHighestReceivedTenderValue": _money("HighestReceivedTenderValue"),
+        "hasLowestReceivedTenderValue": _money("LowestReceivedTenderValue")}, cls="SubmissionStatisticalInformation"))
     s = s.select(local_name("SSI").alias("SubmissionStatisticalInformationId"), *counts,
                  "HighestReceivedTenderValue", "HighestReceivedTenderValueCurrency", "LowestReceivedTenderValue",
                  "LowestReceivedTenderValueCurrency", local_name("LotAwardOutcome").alias("LotAwardOutcomeId")).distinct()
-    s = _eur(s, "HighestReceivedTenderValue", "HighestReceivedTenderValueCurrency", rates,
-             "HighestReceivedTenderValueEUR")
-    s = _eur(s, "LowestReceivedTenderValue", "LowestReceivedTenderValueCurrency", rates, "LowestReceivedTenderValueEUR")
+    s = _eur(s, "HighestReceivedTenderValue", rates, "HighestReceivedTenderValueEUR")
+    s = _eur(s, "LowestReceivedTenderValue", rates, "LowestReceivedTenderValueEUR")
     return s.select("SubmissionStatisticalInformationId", "hasReceivedSMETenders", "hasReceivedTenders",
                     "HighestReceivedTenderValueEUR", "LowestReceivedTenderValueEUR", "hasEUReceivedTenders",
                     "hasReceivedNonEUTenders", "hasElectronicTenders", "LotAwardOutcomeId").distinct()
 
 
 def t_buyer(g: Graph, window=None) -> DataFrame:
-    n = match(notices(g, window), pattern(g, "refersToProcedure", "Notice", "Procedure"),
-              pattern(g, "announcesRole", "Notice", "Buyer"))
-    b = typed(match(pattern(g, "hasContactPointInRole", "Buyer", "ContactPoint"),
-                    pattern(g, "playedBy", "Buyer", "Organization")), g, "Buyer", "Buyer")
-    b = typed(b, g, "ContactPoint", "ContactPoint")
-    j = match(n, b)
+    j = star(g, node("Buyer", {
+        "^announcesRole": notice(window, refersToProcedure=value("Procedure", required=True)),
+        "hasContactPointInRole": node("ContactPoint", {}, cls="ContactPoint", required=True),
+        "playedBy": value("Organization", required=True)}, cls="Buyer"))
     return j.select(surrogate_key(local_name("Procedure"), local_name("Organization")).alias("ProcedureOrganizationId"),
                     local_name("Procedure").alias("ProcedureId"), local_name("Organization").alias("OrganizationId"),
                     local_name("ContactPoint").alias("ContactPointId")).distinct()
 
 
 def t_winner(g: Graph, window=None) -> DataFrame:
-    lao = typed(typed(match(pattern(g, "describesLot", "LotAwardOutcome", "Lot"),
-                            pattern(g, "comprisesTenderAwardOutcome", "LotAwardOutcome", "Tender")),
-                      g, "LotAwardOutcome", "LotAwardOutcome"), g, "Lot", "Lot")
-    w = typed(match(pattern(g, "indicatesAwardOfLotToWinner", "Tender", "Winner"),
-                    pattern(g, "playedBy", "Winner", "Organization")), g, "Winner", "Winner")
-    cp = typed(pattern(g, "hasPrimaryContactPoint", "Organization", "ContactPoint"), g, "ContactPoint",
-               "ContactPoint")
-    # lot-centred chain first; the notice's role is then matched on (Notice, Winner) together, so a
-    # notice with many lots and winners never pairs all of them
-    j = match(lao, w, cp, pattern(g, "refersToLot", "Notice", "Lot"), notices(g, window),
-              pattern(g, "announcesRole", "Notice", "Winner"))
+    # lot-centred: the notice of the lot must be the one that announces the winner's role, so a notice with many lots
+    # and winners never pairs all of them
+    cp = node("ContactPoint", {}, cls="ContactPoint", required=True)
+    org = node("Organization", {"hasPrimaryContactPoint": cp}, required=True)
+    winner = node("Winner", {"^announcesRole": value("_announced", required=True), "playedBy": org}, cls="Winner", required=True)
+    j = star(g, _outcome(window, comprisesTenderAwardOutcome=node(
+        "Tender", {"indicatesAwardOfLotToWinner": winner}, required=True))).where(F.col("_announced") == F.col("Notice"))
     return j.select(surrogate_key(local_name("LotAwardOutcome"), local_name("Organization"))
                     .alias("LotAwardOutcomeOrganizationId"), local_name("LotAwardOutcome").alias("LotAwardOutcomeId"),
                     local_name("Organization").alias("OrganizationId"),
@@ -237,29 +215,25 @@ def t_winner(g: Graph, window=None) -> DataFrame:
 
 def t_organization(g: Graph, window=None) -> DataFrame:
     orgs = _roles(g, window).select("Organization").distinct()
-    name = preferred_text(g, "hasLegalName", "Organization", "LegalName") \
-        .join(of_class(g, "Organization", name="Organization"), "Organization", "left_semi")
+    name = star(g, node("Organization", {"hasLegalName": text("LegalName", required=True)}, cls="Organization"))
     return optional(orgs, name).select(local_name("Organization").alias("OrganizationId"), "LegalName").distinct()
 
 
-def _org_addresses(g: Graph, window) -> DataFrame:
-    orgs = _roles(g, window).select("Organization").distinct()
-    a = typed(pattern(g, "registeredAddress", "Organization", "Address"), g, "Address", "Address")
-    return match(orgs, a)
+#: everything an address tells, optionally
+ADDRESS = {"hasCountryCode": value("_cc"), "hasNutsCode": value("_nuts"), "postCode": value("PostCode"),
+           "postName": value("PostName"), "thoroughfare": value("Thoroughfare")}
 
 
-def _address_fields(g: Graph, df: DataFrame) -> DataFrame:
-    for part in (pattern(g, "hasCountryCode", "Address", "_cc"), pattern(g, "hasNutsCode", "Address", "_nuts"),
-                 pattern(g, "postCode", "Address", "PostCode"), pattern(g, "postName", "Address", "PostName"),
-                 pattern(g, "thoroughfare", "Address", "Thoroughfare")):
-        df = optional(df, part)
-    return df.withColumn("CountryCode", local_name("_cc")).withColumn("NUTSId", local_name("_nuts"))
+def _org_addresses(g: Graph, window, **links) -> DataFrame:
+    orgs = _roles(g, window).select("Organization").distinct()
+    a = star(g, node("Organization", {"registeredAddress": node("Address", links, cls="Address", required=True)}))
+    return match(orgs, a)
 
 
 def t_address(g: Graph, window=None) -> DataFrame:
-    a = _address_fields(g, _org_addresses(g, window).select("Address").distinct())
-    return a.select(local_name("Address").alias("AddressId"), "CountryCode", "NUTSId", "PostCode", "PostName",
-                    "Thoroughfare").distinct()
+    a = _org_addresses(g, window, **ADDRESS)
+    return a.select(local_name("Address").alias("AddressId"), local_name("_cc").alias("CountryCode"),
+                    local_name("_nuts").alias("NUTSId"), "PostCode", "PostName", "Thoroughfare").distinct()
 
 
 def t_organization_address(g: Graph, window=None) -> DataFrame:
@@ -271,24 +245,24 @@ def t_organization_address(g: Graph, window=None) -> DataFrame:
 
 def _contact_points(g: Graph, window) -> DataFrame:
     """G8 -- the organisation's primary contact point, or the role's own one."""
-    r = _roles(g, window).join(of_class(g, "Organization", name="Organization"), "Organization", "left_semi")
-    primary = match(r, pattern(g, "hasPrimaryContactPoint", "Organization", "ContactPoint")).select("ContactPoint")
-    in_role = match(r, pattern(g, "hasContactPointInRole", "Role", "ContactPoint")).select("ContactPoint")
-    return typed(any_of(primary, in_role), g, "ContactPoint", "ContactPoint")
+    r = star(g, node("Role", {"^announcesRole": notice(window, refersToProcedure=value("_proc", required=True)),
+                              "playedBy": node("Organization", {}, cls="Organization", required=True),
+                              "hasContactPointInRole": value("ContactPoint")}, cls=("Buyer", "Winner")))
+    org = star(g, node("Organization", {"hasPrimaryContactPoint": value("ContactPoint", required=True)}))
+    primary = match(r.select("Organization").distinct(), org).select("ContactPoint")
+    return any_of(primary, r.select("ContactPoint").where(F.col("ContactPoint").isNotNull()))
 
 
 def t_contact_point(g: Graph, window=None) -> DataFrame:
-    cp = _contact_points(g, window)
-    for part in (preferred_text(g, "hasContactName", "ContactPoint", "ContactPointName"),
-                 pattern(g, "hasFax", "ContactPoint", "ContactPointFax"),
-                 pattern(g, "telephone", "ContactPoint", "ContactPointTelephone")):
-        cp = optional(cp, part)
+    cp = match(_contact_points(g, window), star(g, node("ContactPoint", {
+        "hasContactName": text("ContactPointName"), "hasFax": value("ContactPointFax"),
+        "telephone": value("ContactPointTelephone")}, cls="ContactPoint")))
     return cp.select(local_name("ContactPoint").alias("ContactPointId"), "ContactPointFax", "ContactPointTelephone",
                      "ContactPointName").distinct()
 
 
 def _contact_values(g: Graph, window, pred: str, col: str, id_col: str) -> DataFrame:
-    cp = match(_contact_points(g, window), pattern(g, pred, "ContactPoint", col))
+    cp = match(_contact_points(g, window), star(g, node("ContactPoint", {pred: value(col, required=True)}, cls="ContactPoint")))
     return cp.select(surrogate_key(local_name("ContactPoint"), F.col(col)).alias(id_col),
                      local_name("ContactPoint").alias("ContactPointId"), col).distinct()
 
@@ -302,28 +276,25 @@ def t_contact_point_internet_address(g: Graph, window=None) -> DataFrame:
 
 
 def t_place_of_performance(g: Graph, window=None) -> DataFrame:
-    lots = match(_window_lots(g, window),
-                 path(g, ["foreseesContractSpecificTerm", "definesSpecificPlaceOfPerformance"], "Lot", "Location"))
-    loc = typed(pattern(g, "address", "Location", "Address"), g, "Location", "Location")
-    j = optional(match(lots, loc), pattern(g, "hasNutsCode", "Location", "_nuts"))
-    full = preferred_text(g, "fullAddress", "Address", "FullAddress").join(
-        of_class(g, "Address", name="Address"), "Address", "left_semi")
-    j = optional(j, full)
+    address = node("Address", {"fullAddress": text("FullAddress", of="Address")}, required=True)
+    place = node("Location", {"address": address, "hasNutsCode": value("_nuts")}, cls="Location", required=True)
+    j = star(g, _lot(window, foreseesContractSpecificTerm=node(
+        "_term", {"definesSpecificPlaceOfPerformance": place}, required=True)))
     return j.select(surrogate_key(local_name("Lot"), local_name("Address")).alias("LotAddressId"),
                     local_name("Lot").alias("LotId"), local_name("_nuts").alias("NUTSId"), "FullAddress").distinct()
 
 
 def t_lot_cpv(g: Graph, window=None) -> DataFrame:
-    j = match(_window_lots(g, window), path(g, ["hasPurpose", "hasAdditionalClassification"], "Lot", "_cpv"))
-    j = j.withColumn("OriginalCPV", local_name("_cpv"))
+    j = star(g, _lot(window, hasPurpose=node("_purpose", {"hasAdditionalClassification": value("_cpv", required=True)},
+                                             required=True))).withColumn("OriginalCPV", local_name("_cpv"))
     return j.select(surrogate_key(local_name("Lot"), F.col("OriginalCPV")).alias("LotCPVId"),
                     local_name("Lot").alias("LotId"), "OriginalCPV").distinct()
 
 
 def t_procedure_cpv(g: Graph, window=None) -> DataFrame:
-    p = match(notices(g, window), pattern(g, "refersToProcedure", "Notice", "Procedure")).select("Procedure").distinct()
-    p = typed(p, g, "Procedure", "Procedure")
-    j = match(p, path(g, ["hasPurpose", "hasMainClassification"], "Procedure", "_cpv"))
+    j = star(g, node("Procedure", {
+        "^refersToProcedure": notice(window),
+        "hasPurpose": node("_purpose", {"hasMainClassification": value("_cpv", required=True)}, required=True)}, cls="Procedure"))
     j = j.withColumn("OriginalCPV", local_name("_cpv"))
     return j.select(surrogate_key(local_name("Procedure"), F.col("OriginalCPV")).alias("ProcedureCPVId"),
                     local_name("Procedure").alias("ProcedureId"), "OriginalCPV").distinct()
@@ -387,9 +358,8 @@ def t_nuts(g: Graph, nuts_list: DataFrame, max_level: int = 3) -> DataFrame:
 
 def org_dedup_input(g: Graph, window=None) -> DataFrame:
     """T20 extract -- one row per organisation address with its name and address fields."""
-    a = _org_addresses(g, window)
-    name = preferred_text(g, "hasLegalName", "Organization", "LegalName") \
-        .join(of_class(g, "Organization", name="Organization"), "Organization", "left_semi")
-    a = _address_fields(g, optional(a, name))
+    name = star(g, node("Organization", {"hasLegalName": text("LegalName", required=True)}, cls="Organization"))
+    a = optional(_org_addresses(g, window, **ADDRESS), name)
     return a.select(surrogate_key(local_name("Organization"), local_name("Address")).alias("OrganizationAddressId"),
-                    "LegalName", "CountryCode", "NUTSId", "PostCode", "PostName", "Thoroughfare").distinct()
+                    "LegalName", local_name("_cc").alias("CountryCode"), local_name("_nuts").alias("NUTSId"), "PostCode",
+                    "PostName", "Thoroughfare").distinct()

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from ..vocab import (AWARD_STATUS_NS, COUNTRY_NS, CPV_NS, CURRENCIES, CURRENCY_NS, NUTS_NS, PROCEDURE_TYPE_NS,
                      PROCEDURE_TYPES, RDF_TYPE, RES, TECHNIQUES, XSD, AWARD_STATUSES, V)
 from .tables import Tables
-from .triples import Graph, branch
+from .triples import Graph, Mapped, Mapping, Rows, Term, branch
 
 BOOL, DATE, DEC, INT = XSD + "boolean", XSD + "date", XSD + "decimal", XSD + "integer"
 
@@ -89,21 +89,21 @@ def iso_date(c: str) -> Column:
     return F.to_date(F.col(c)).cast("string")
 
 
-def notice_iri(ok: str = "o_orderkey", date: str = "o_orderdate") -> Column:
-    return iri(RES + "id_", F.year(F.col(date)).cast("string"), "-S-001-", s(ok), "_Notice")
+def notice_iri(ok: str = "o_orderkey", date: str = "o_orderdate") -> Term:
+    return Term("Notice", iri(RES + "id_", F.year(F.col(date)).cast("string"), "-S-001-", s(ok), "_Notice"))
 
 
-def order_iri(kind: str, ok: str = "o_orderkey") -> Column:
-    return iri(RES + "id_", s(ok), "_" + kind)
+def order_iri(kind: str, ok: str = "o_orderkey") -> Term:
+    return Term(kind, iri(RES + "id_", s(ok), "_" + kind))
 
 
-def row_iri(kind: str) -> Column:
-    return iri(RES + "id_", s("l_orderkey"), "_" + kind + "_", s("l_linenumber"), "-", s("l_partkey"), "-",
-               s("l_suppkey"))
+def row_iri(kind: str) -> Term:
+    return Term(kind, iri(RES + "id_", s("l_orderkey"), "_" + kind + "_", s("l_linenumber"), "-", s("l_partkey"), "-",
+                          s("l_suppkey")))
 
 
-def org_iri(role: str, key: str, kind: str = "Organization") -> Column:
-    return iri(RES + "id_" + role + "_", s(key), "_" + kind)
+def org_iri(role: str, key: str, kind: str = "Organization") -> Term:
+    return Term(f"{role} {kind}", iri(RES + "id_" + role + "_", s(key), "_" + kind))
 
 
 def cls(name: str) -> Column:
@@ -142,84 +142,94 @@ def build_graph(spark: SparkSession, sf_dir: str) -> Graph:
     """Virtual graph over the driver tables in ``sf_dir``."""
     t = Tables(spark, sf_dir)
     B: dict[object, list] = defaultdict(list)
+    sources = {"orders": lambda: t.orders, "lineitem": lambda: t.lineitem, "customer": lambda: t.customer,
+               "supplier": lambda: t.supplier,
+               # lineitem rows with their order (a line's notice IRI needs the order's date)
+               "lines": lambda: t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))}
+    mapping = Mapping(sources, {n: {"lineitem", "orders"} if n == "lines" else {n} for n in sources},
+                      {n: "lineitem" if n == "lines" else n for n in sources})
 
     def add(p: str, fn) -> None:
         B[V[p]].append(fn)
+        if isinstance(b := fn(), Mapped):
+            mapping.home.setdefault(b.s.key, b.rows.source)
 
     def typ(c: str, fn) -> None:
         B[(RDF_TYPE, V[c])].append(fn)
+        mapping.home.setdefault(fn().s.key, fn().rows.source)
 
-    O, L, C, S = (lambda: t.orders), (lambda: t.lineitem), (lambda: t.customer), (lambda: t.supplier)
+    def rows(name: str):
+        return lambda: Rows(name, sources[name])
 
-    def lo() -> DataFrame:  # lineitem rows with their order date (two predicates need the notice IRI)
-        return t.lineitem.join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"), "l_orderkey")
+    O, L, C, S, lo = rows("orders"), rows("lineitem"), rows("customer"), rows("supplier"), rows("lines")
 
     # ---- orders: notice, procedure, contract, buyer role --------------------
     notice, proc, contract, brole = notice_iri(), order_iri("Procedure"), order_iri("Contract"), order_iri("Buyer")
-    typ("ResultNotice", lambda: branch(O(), notice, cls("ResultNotice")))
-    add("hasPublicationDate", lambda: branch(O(), notice, yyyymmdd("o_orderdate"), "literal"))
-    add("hasDispatchDate", lambda: branch(O(), notice, iso_date("o_orderdate"), "literal", dtype=DATE))
-    add("refersToProcedure", lambda: branch(O(), notice, proc))
-    add("announcesRole", lambda: branch(O(), notice, brole))
-    add("refersToRole", lambda: branch(O(), notice, brole))
-    add("refersToLot", lambda: branch(lo(), notice_iri("l_orderkey"), row_iri("Lot")))
-    add("announcesRole", lambda: branch(lo(), notice_iri("l_orderkey"), row_iri("Winner")))
-
-    typ("Procedure", lambda: branch(O(), proc, cls("Procedure")))
-    add("hasProcedureType", lambda: branch(O(), proc, _mapped("o_orderpriority", PROCEDURE_TYPES, PROCEDURE_TYPE_NS)))
-    add("isCoveredByGPA", lambda: branch(O().where(F.col("o_orderstatus").isNotNull()), proc,
+    typ("ResultNotice", lambda: Mapped(O(), notice, cls("ResultNotice")))
+    add("hasPublicationDate", lambda: Mapped(O(), notice, yyyymmdd("o_orderdate"), "literal",
+                                                raw=F.col("o_orderdate")))
+    add("hasDispatchDate", lambda: Mapped(O(), notice, iso_date("o_orderdate"), "literal", dtype=DATE))
+    add("refersToProcedure", lambda: Mapped(O(), notice, proc))
+    add("announcesRole", lambda: Mapped(O(), notice, brole))
+    add("refersToRole", lambda: Mapped(O(), notice, brole))
+    add("refersToLot", lambda: Mapped(lo(), notice_iri("l_orderkey"), row_iri("Lot")))
+    add("announcesRole", lambda: Mapped(lo(), notice_iri("l_orderkey"), row_iri("Winner")))
+
+    typ("Procedure", lambda: Mapped(O(), proc, cls("Procedure")))
+    add("hasProcedureType", lambda: Mapped(O(), proc, _mapped("o_orderpriority", PROCEDURE_TYPES, PROCEDURE_TYPE_NS)))
+    add("isCoveredByGPA", lambda: Mapped(O().where(F.col("o_orderstatus").isNotNull()), proc,
                                          bool_text(F.col("o_orderstatus") == "F"), "literal",
                                          dtype=BOOL))
-    add("hasTitle", lambda: branch(O().where(F.col("o_orderstatus") == "F"), proc,
+    add("hasTitle", lambda: Mapped(O().where(F.col("o_orderstatus") == "F"), proc,
                                    F.concat(F.lit("Procedure "), s("o_orderkey")), "literal", "en"))
-    add("hasTitle", lambda: branch(O(), proc, F.concat(F.lit("Verfahren "), s("o_orderkey")), "literal", "de"))
-    add("hasDescription", lambda: branch(O(), proc, F.concat(F.lit("Description du marche "), s("o_orderkey")),
+    add("hasTitle", lambda: Mapped(O(), proc, F.concat(F.lit("Verfahren "), s("o_orderkey")), "literal", "de"))
+    add("hasDescription", lambda: Mapped(O(), proc, F.concat(F.lit("Description du marche "), s("o_orderkey")),
                                          "literal", "fr"))
-    add("hasDescription", lambda: branch(O().where(F.col("o_orderstatus") == "O"), proc,
+    add("hasDescription", lambda: Mapped(O().where(F.col("o_orderstatus") == "O"), proc,
                                          F.concat(F.lit("Order of customer "), s("o_custkey")), "literal", "en"))
-    add("hasAdditionalInformation", lambda: branch(O(), proc, F.concat(F.lit("Informacion "), s("o_orderkey")),
+    add("hasAdditionalInformation", lambda: Mapped(O(), proc, F.concat(F.lit("Informacion "), s("o_orderkey")),
                                                    "literal", "es"))
-    add("hasAdditionalInformation", lambda: branch(O().where(F.col("o_orderstatus") == "P"), proc,
+    add("hasAdditionalInformation", lambda: Mapped(O().where(F.col("o_orderstatus") == "P"), proc,
                                                    F.concat(F.lit("Additional information "), s("o_orderkey")),
                                                    "literal", "en"))
     pident, pvalue, tech = order_iri("ProcedureIdentifier"), order_iri("ProcedureValue"), order_iri("Technique")
     ppurpose, pterm = order_iri("ProcedurePurpose"), order_iri("ProcedureTerm")
-    add("hasID", lambda: branch(O(), proc, pident))
-    typ("Identifier", lambda: branch(O(), pident, cls("Identifier")))
-    add("hasIdentifierValue", lambda: branch(O(), pident, F.concat(F.lit("PROC-"), s("o_orderkey")), "literal"))
-    add("hasEstimatedValue", lambda: branch(O(), proc, pvalue))
-    typ("MonetaryValue", lambda: branch(O(), pvalue, cls("MonetaryValue")))
-    add("hasAmountValue", lambda: branch(O(), pvalue, money("o_totalprice"), "literal", dtype=DEC))
-    add("hasCurrency", lambda: branch(O(), pvalue, F.concat(F.lit(CURRENCY_NS), currency_of("o_custkey"))))
-    add("usesTechnique", lambda: branch(O(), proc, tech))
+    add("hasID", lambda: Mapped(O(), proc, pident))
+    typ("Identifier", lambda: Mapped(O(), pident, cls("Identifier")))
+    add("hasIdentifierValue", lambda: Mapped(O(), pident, F.concat(F.lit("PROC-"), s("o_orderkey")), "literal"))
+    add("hasEstimatedValue", lambda: Mapped(O(), proc, pvalue))
+    typ("MonetaryValue", lambda: Mapped(O(), pvalue, cls("MonetaryValue")))
+    add("hasAmountValue", lambda: Mapped(O(), pvalue, money("o_totalprice"), "literal", dtype=DEC))
+    add("hasCurrency", lambda: Mapped(O(), pvalue, F.concat(F.lit(CURRENCY_NS), currency_of("o_custkey"))))
+    add("usesTechnique", lambda: Mapped(O(), proc, tech))
     for status, tclass in TECHNIQUES.items():
-        typ(tclass, lambda st=status, tc=tclass: branch(O().where(F.col("o_orderstatus") == st), tech, cls(tc)))
-    add("hasOverallPurpose", lambda: branch(O(), proc, ppurpose))
-    add("hasPurpose", lambda: branch(O(), proc, ppurpose))
+        typ(tclass, lambda st=status, tc=tclass: Mapped(O().where(F.col("o_orderstatus") == st), tech, cls(tc)))
+    add("hasOverallPurpose", lambda: Mapped(O(), proc, ppurpose))
+    add("hasPurpose", lambda: Mapped(O(), proc, ppurpose))
     nai = order_iri("NoticeAwardInformation")
-    add("announcesNoticeAwardInformation", lambda: branch(O().where(F.col("o_orderstatus") == "F"), notice, nai))
-    add("hasTotalAwardedValue", lambda: branch(O().where(F.col("o_orderstatus") == "F"), nai, pvalue))
-    typ("Purpose", lambda: branch(O(), ppurpose, cls("Purpose")))
+    add("announcesNoticeAwardInformation", lambda: Mapped(O().where(F.col("o_orderstatus") == "F"), notice, nai))
+    add("hasTotalAwardedValue", lambda: Mapped(O().where(F.col("o_orderstatus") == "F"), nai, pvalue))
+    typ("Purpose", lambda: Mapped(O(), ppurpose, cls("Purpose")))
     add("hasMainClassification", lambda: branch(
-        L().select(order_iri("ProcedurePurpose", "l_orderkey").alias("s_"),
+        t.lineitem.select(order_iri("ProcedurePurpose", "l_orderkey").col.alias("s_"),
                    F.concat(F.lit(CPV_NS), cpv_code(F.col("l_partkey"))).alias("o_")).distinct(),
         F.col("s_"), F.col("o_")))
-    add("isSubjectToProcedureSpecificTerm", lambda: branch(O().where(F.col("o_orderpriority") == "2-HIGH"),
+    add("isSubjectToProcedureSpecificTerm", lambda: Mapped(O().where(F.col("o_orderpriority") == "2-HIGH"),
                                                            proc, pterm))
-    add("isAwardedByCPB", lambda: branch(O().where(F.col("o_orderpriority") == "2-HIGH"), pterm, F.lit("true"),
+    add("isAwardedByCPB", lambda: Mapped(O().where(F.col("o_orderpriority") == "2-HIGH"), pterm, F.lit("true"),
                                          "literal", dtype=BOOL))
 
-    typ("Contract", lambda: branch(O(), contract, cls("Contract")))
-    add("bindsBuyer", lambda: branch(O(), contract, brole))
-    add("hasContractConclusionDate", lambda: branch(O(), contract, iso_date("o_orderdate"), "literal", dtype=DATE))
-    add("hasTitle", lambda: branch(O(), contract, F.concat(F.lit("Contract "), s("o_orderkey")), "literal", "en"))
+    typ("Contract", lambda: Mapped(O(), contract, cls("Contract")))
+    add("bindsBuyer", lambda: Mapped(O(), contract, brole))
+    add("hasContractConclusionDate", lambda: Mapped(O(), contract, iso_date("o_orderdate"), "literal", dtype=DATE))
+    add("hasTitle", lambda: Mapped(O(), contract, F.concat(F.lit("Contract "), s("o_orderkey")), "literal", "en"))
 
     bcp = order_iri("BuyerContactPoint")
-    typ("Buyer", lambda: branch(O(), brole, cls("Buyer")))
-    add("playedBy", lambda: branch(O(), brole, org_iri("customer", "o_custkey")))
-    add("hasContactPointInRole", lambda: branch(O().where(F.col("o_orderpriority") == "1-URGENT"), brole, bcp))
-    typ("ContactPoint", lambda: branch(O().where(F.col("o_orderpriority") == "1-URGENT"), bcp, cls("ContactPoint")))
-    add("email", lambda: branch(O().where(F.col("o_orderpriority") == "1-URGENT"), bcp,
+    typ("Buyer", lambda: Mapped(O(), brole, cls("Buyer")))
+    add("playedBy", lambda: Mapped(O(), brole, org_iri("customer", "o_custkey")))
+    add("hasContactPointInRole", lambda: Mapped(O().where(F.col("o_orderpriority") == "1-URGENT"), brole, bcp))
+    typ("ContactPoint", lambda: Mapped(O().where(F.col("o_orderpriority") == "1-URGENT"), bcp, cls("ContactPoint")))
+    add("email", lambda: Mapped(O().where(F.col("o_orderpriority") == "1-URGENT"), bcp,
                                 F.concat(F.lit("procurement"), s("o_orderkey"), F.lit("@buyer.example")), "literal"))
 
     # ---- lineitem: lot, tender, outcomes, winner role ------------------------
@@ -231,86 +241,86 @@ def build_graph(spark: SparkSession, sf_dir: str) -> Graph:
     lproc, lcontract = order_iri("Procedure", "l_orderkey"), order_iri("Contract", "l_orderkey")
     lcur = F.concat(F.lit(CURRENCY_NS), currency_of("l_suppkey"))
 
-    typ("Lot", lambda: branch(L(), lot, cls("Lot")))
-    add("hasProcurementScopeDividedIntoLot", lambda: branch(L(), lproc, lot))
-    add("includesLot", lambda: branch(L(), lcontract, lot))
-    add("isUsingEUFunds", lambda: branch(L().where(F.col("l_returnflag").isNotNull()), lot,
+    typ("Lot", lambda: Mapped(L(), lot, cls("Lot")))
+    add("hasProcurementScopeDividedIntoLot", lambda: Mapped(L(), lproc, lot))
+    add("includesLot", lambda: Mapped(L(), lcontract, lot))
+    add("isUsingEUFunds", lambda: Mapped(L().where(F.col("l_returnflag").isNotNull()), lot,
                                          bool_text(F.col("l_returnflag") == "R"), "literal",
                                          dtype=BOOL))
-    add("hasTitle", lambda: branch(L().where(F.col("l_linestatus") == "F"), lot,
+    add("hasTitle", lambda: Mapped(L().where(F.col("l_linestatus") == "F"), lot,
                                    F.concat(F.lit("Lot "), s("l_linenumber"), F.lit(" of "), s("l_orderkey")),
                                    "literal", "en"))
-    add("hasTitle", lambda: branch(L(), lot, F.concat(F.lit("Czesc "), s("l_linenumber"), F.lit(" z "),
+    add("hasTitle", lambda: Mapped(L(), lot, F.concat(F.lit("Czesc "), s("l_linenumber"), F.lit(" z "),
                                                       s("l_orderkey")), "literal", "pl"))
-    add("hasDescription", lambda: branch(L(), lot, F.concat(F.lit("Descriere lot "), s("l_partkey")), "literal", "ro"))
-    add("hasDescription", lambda: branch(L().where(F.col("l_returnflag") == "A"), lot,
+    add("hasDescription", lambda: Mapped(L(), lot, F.concat(F.lit("Descriere lot "), s("l_partkey")), "literal", "ro"))
+    add("hasDescription", lambda: Mapped(L().where(F.col("l_returnflag") == "A"), lot,
                                          F.concat(F.lit("Supply of part "), s("l_partkey")), "literal", "en"))
-    add("hasEstimatedValue", lambda: branch(L(), lot, lvalue))
-    typ("MonetaryValue", lambda: branch(L(), lvalue, cls("MonetaryValue")))
-    add("hasAmountValue", lambda: branch(L(), lvalue, money("l_extendedprice"), "literal", dtype=DEC))
-    add("hasCurrency", lambda: branch(L(), lvalue, lcur))
-    add("hasPurpose", lambda: branch(L(), lot, lpurpose))
-    typ("Purpose", lambda: branch(L(), lpurpose, cls("Purpose")))
-    add("hasMainClassification", lambda: branch(L(), lpurpose, F.concat(F.lit(CPV_NS), cpv_code(F.col("l_partkey")))))
-    add("hasAdditionalClassification", lambda: branch(L(), lpurpose,
+    add("hasEstimatedValue", lambda: Mapped(L(), lot, lvalue))
+    typ("MonetaryValue", lambda: Mapped(L(), lvalue, cls("MonetaryValue")))
+    add("hasAmountValue", lambda: Mapped(L(), lvalue, money("l_extendedprice"), "literal", dtype=DEC))
+    add("hasCurrency", lambda: Mapped(L(), lvalue, lcur))
+    add("hasPurpose", lambda: Mapped(L(), lot, lpurpose))
+    typ("Purpose", lambda: Mapped(L(), lpurpose, cls("Purpose")))
+    add("hasMainClassification", lambda: Mapped(L(), lpurpose, F.concat(F.lit(CPV_NS), cpv_code(F.col("l_partkey")))))
+    add("hasAdditionalClassification", lambda: Mapped(L(), lpurpose,
                                                       F.concat(F.lit(CPV_NS), cpv_code(F.col("l_partkey")))))
-    add("foreseesContractSpecificTerm", lambda: branch(L(), lot, term))
-    typ("ContractTerm", lambda: branch(L(), term, cls("ContractTerm")))
-    add("definesSpecificPlaceOfPerformance", lambda: branch(L(), term, loc))
-    typ("Location", lambda: branch(L(), loc, cls("Location")))
-    add("hasNutsCode", lambda: branch(L(), loc, F.concat(F.lit(NUTS_NS), nuts3(F.col("l_partkey"),
+    add("foreseesContractSpecificTerm", lambda: Mapped(L(), lot, term))
+    typ("ContractTerm", lambda: Mapped(L(), term, cls("ContractTerm")))
+    add("definesSpecificPlaceOfPerformance", lambda: Mapped(L(), term, loc))
+    typ("Location", lambda: Mapped(L(), loc, cls("Location")))
+    add("hasNutsCode", lambda: Mapped(L(), loc, F.concat(F.lit(NUTS_NS), nuts3(F.col("l_partkey"),
                                                                                 F.col("l_suppkey") % 25))))
     laddr = row_iri("LotAddress")
-    add("address", lambda: branch(L(), loc, laddr))
-    typ("Address", lambda: branch(L(), laddr, cls("Address")))
-    add("fullAddress", lambda: branch(L(), laddr, F.concat(F.lit("Lieu "), s("l_partkey")), "literal", "fr"))
-    add("fullAddress", lambda: branch(L().where(F.col("l_linestatus") == "O"), laddr,
+    add("address", lambda: Mapped(L(), loc, laddr))
+    typ("Address", lambda: Mapped(L(), laddr, cls("Address")))
+    add("fullAddress", lambda: Mapped(L(), laddr, F.concat(F.lit("Lieu "), s("l_partkey")), "literal", "fr"))
+    add("fullAddress", lambda: Mapped(L().where(F.col("l_linestatus") == "O"), laddr,
                                       F.concat(F.lit("Site of part "), s("l_partkey")), "literal", "en"))
-    add("definesContractDuration", lambda: branch(L().where(F.col("l_linestatus") == "O"), term, dur))
-    typ("SpecificDuration", lambda: branch(L().where(F.col("l_linestatus") == "O"), dur, cls("SpecificDuration")))
-
-    typ("Tender", lambda: branch(L(), tender, cls("Tender")))
-    add("isSubmittedForLot", lambda: branch(L(), tender, lot))
-    add("hasFinancialOfferValue", lambda: branch(L(), tender, tvalue))
-    typ("MonetaryValue", lambda: branch(L(), tvalue, cls("MonetaryValue")))
-    add("hasAmountValue", lambda: branch(L(), tvalue, money("l_extendedprice"), "literal", dtype=DEC))
-    add("hasCurrency", lambda: branch(L(), tvalue, lcur))
+    add("definesContractDuration", lambda: Mapped(L().where(F.col("l_linestatus") == "O"), term, dur))
+    typ("SpecificDuration", lambda: Mapped(L().where(F.col("l_linestatus") == "O"), dur, cls("SpecificDuration")))
+
+    typ("Tender", lambda: Mapped(L(), tender, cls("Tender")))
+    add("isSubmittedForLot", lambda: Mapped(L(), tender, lot))
+    add("hasFinancialOfferValue", lambda: Mapped(L(), tender, tvalue))
+    typ("MonetaryValue", lambda: Mapped(L(), tvalue, cls("MonetaryValue")))
+    add("hasAmountValue", lambda: Mapped(L(), tvalue, money("l_extendedprice"), "literal", dtype=DEC))
+    add("hasCurrency", lambda: Mapped(L(), tvalue, lcur))
     sub = lambda: L().where(F.col("l_tax") >= 0.05)
-    add("foreseesSubcontracting", lambda: branch(sub(), tender, subc))
-    typ("SubcontractingEstimate", lambda: branch(sub(), subc, cls("SubcontractingEstimate")))
-    add("hasSubcontractingEstimatedValue", lambda: branch(sub(), subc, money("l_tax"), "literal", dtype=DEC))
-
-    typ("TenderAwardOutcome", lambda: branch(L(), tao, cls("TenderAwardOutcome")))
-    add("describesTender", lambda: branch(L(), tao, tender))
-    add("awardsLotToWinner", lambda: branch(L(), tao, wrole))
-    add("indicatesAwardOfLotToWinner", lambda: branch(L(), tao, wrole))
-    typ("Winner", lambda: branch(L(), wrole, cls("Winner")))
-    add("playedBy", lambda: branch(L(), wrole, org_iri("supplier", "l_suppkey")))
-
-    typ("LotAwardOutcome", lambda: branch(L(), lao, cls("LotAwardOutcome")))
-    add("describesLot", lambda: branch(L(), lao, lot))
-    add("comprisesTenderAwardOutcome", lambda: branch(L(), lao, tao))
-    add("hasAwardStatus", lambda: branch(L(), lao, _mapped("l_linestatus", AWARD_STATUSES, AWARD_STATUS_NS)))
-    add("hasAwardedValue", lambda: branch(L(), lao, avalue))
-    typ("MonetaryValue", lambda: branch(L(), avalue, cls("MonetaryValue")))
-    add("hasAmountValue", lambda: branch(L(), avalue, money("l_extendedprice"), "literal", dtype=DEC))
-    add("hasCurrency", lambda: branch(L(), avalue, lcur))
-    add("hasAwardDecisionDate", lambda: branch(L(), lao, iso_date("l_shipdate"), "literal", dtype=DATE))
-    add("includesLotAwardOutcome", lambda: branch(L(), lcontract, lao))
-
-    typ("SubmissionStatisticalInformation", lambda: branch(L(), ssi, cls("SubmissionStatisticalInformation")))
-    add("summarisesInformationForLotAwardOutcome", lambda: branch(L(), ssi, lao))
-    add("concernsSubmissionsForLot", lambda: branch(L(), ssi, lot))
+    add("foreseesSubcontracting", lambda: Mapped(sub(), tender, subc))
+    typ("SubcontractingEstimate", lambda: Mapped(sub(), subc, cls("SubcontractingEstimate")))
+    add("hasSubcontractingEstimatedValue", lambda: Mapped(sub(), subc, money("l_tax"), "literal", dtype=DEC))
+
+    typ("TenderAwardOutcome", lambda: Mapped(L(), tao, cls("TenderAwardOutcome")))
+    add("describesTender", lambda: Mapped(L(), tao, tender))
+    add("awardsLotToWinner", lambda: Mapped(L(), tao, wrole))
+    add("indicatesAwardOfLotToWinner", lambda: Mapped(L(), tao, wrole))
+    typ("Winner", lambda: Mapped(L(), wrole, cls("Winner")))
+    add("playedBy", lambda: Mapped(L(), wrole, org_iri("supplier", "l_suppkey")))
+
+    typ("LotAwardOutcome", lambda: Mapped(L(), lao, cls("LotAwardOutcome")))
+    add("describesLot", lambda: Mapped(L(), lao, lot))
+    add("comprisesTenderAwardOutcome", lambda: Mapped(L(), lao, tao))
+    add("hasAwardStatus", lambda: Mapped(L(), lao, _mapped("l_linestatus", AWARD_STATUSES, AWARD_STATUS_NS)))
+    add("hasAwardedValue", lambda: Mapped(L(), lao, avalue))
+    typ("MonetaryValue", lambda: Mapped(L(), avalue, cls("MonetaryValue")))
+    add("hasAmountValue", lambda: Mapped(L(), avalue, money("l_extendedprice"), "literal", dtype=DEC))
+    add("hasCurrency", lambda: Mapped(L(), avalue, lcur))
+    add("hasAwardDecisionDate", lambda: Mapped(L(), lao, iso_date("l_shipdate"), "literal", dtype=DATE))
+    add("includesLotAwardOutcome", lambda: Mapped(L(), lcontract, lao))
+
+    typ("SubmissionStatisticalInformation", lambda: Mapped(L(), ssi, cls("SubmissionStatisticalInformation")))
+    add("summarisesInformationForLotAwardOutcome", lambda: Mapped(L(), ssi, lao))
+    add("concernsSubmissionsForLot", lambda: Mapped(L(), ssi, lot))
     q = F.col("l_quantity").cast("int")
-    add("hasReceivedTenders", lambda: branch(L(), ssi, (q % 5).cast("string"), "literal", dtype=INT))
-    add("hasReceivedSMETenders", lambda: branch(L(), ssi, (q % 3).cast("string"), "literal", dtype=INT))
-    add("hasEUReceivedTenders", lambda: branch(L(), ssi, (q % 4).cast("string"), "literal", dtype=INT))
-    add("hasReceivedNonEUTenders", lambda: branch(L().where(F.col("l_returnflag") != "N"), ssi,
+    add("hasReceivedTenders", lambda: Mapped(L(), ssi, (q % 5).cast("string"), "literal", dtype=INT))
+    add("hasReceivedSMETenders", lambda: Mapped(L(), ssi, (q % 3).cast("string"), "literal", dtype=INT))
+    add("hasEUReceivedTenders", lambda: Mapped(L(), ssi, (q % 4).cast("string"), "literal", dtype=INT))
+    add("hasReceivedNonEUTenders", lambda: Mapped(L().where(F.col("l_returnflag") != "N"), ssi,
                                                   (F.col("l_linenumber") % 2).cast("string"), "literal", dtype=INT))
-    add("hasElectronicTenders", lambda: branch(L(), ssi, (F.col("l_linenumber") % 3).cast("string"), "literal",
+    add("hasElectronicTenders", lambda: Mapped(L(), ssi, (F.col("l_linenumber") % 3).cast("string"), "literal",
                                                dtype=INT))
-    add("hasHighestReceivedTenderValue", lambda: branch(L(), ssi, tvalue))
-    add("hasLowestReceivedTenderValue", lambda: branch(L().where(F.col("l_linestatus") == "F"), ssi, lvalue))
+    add("hasHighestReceivedTenderValue", lambda: Mapped(L(), ssi, tvalue))
+    add("hasLowestReceivedTenderValue", lambda: Mapped(L().where(F.col("l_linestatus") == "F"), ssi, lvalue))
 
     # ---- organisations: customers (buyers) and suppliers (winners) -----------
     for role, df, key, nk, bal, name, alt in (
@@ -320,41 +330,41 @@ def build_graph(spark: SparkSession, sf_dir: str) -> Graph:
                                 org_iri(role, key, "Identifier"))
         other_name = (F.concat(F.col(alt), F.lit(" "), s(key)) if alt
                       else F.concat(F.lit("Fournisseur "), s(key)))
-        typ("Organization", lambda df=df, org=org: branch(df(), org, cls("Organization")))
-        add("hasLegalName", lambda df=df, org=org, bal=bal, name=name: branch(
+        typ("Organization", lambda df=df, org=org: Mapped(df(), org, cls("Organization")))
+        add("hasLegalName", lambda df=df, org=org, bal=bal, name=name: Mapped(
             df().where(F.col(bal) > 0), org, F.col(name), "literal", "en"))
-        add("hasLegalName", lambda df=df, org=org, on=other_name: branch(df(), org, on, "literal", "fr"))
-        add("registeredAddress", lambda df=df, org=org, addr=addr: branch(df(), org, addr))
-        typ("Address", lambda df=df, addr=addr: branch(df(), addr, cls("Address")))
-        add("hasCountryCode", lambda df=df, addr=addr, nk=nk: branch(
+        add("hasLegalName", lambda df=df, org=org, on=other_name: Mapped(df(), org, on, "literal", "fr"))
+        add("registeredAddress", lambda df=df, org=org, addr=addr: Mapped(df(), org, addr))
+        typ("Address", lambda df=df, addr=addr: Mapped(df(), addr, cls("Address")))
+        add("hasCountryCode", lambda df=df, addr=addr, nk=nk: Mapped(
             df(), addr, F.concat(F.lit(COUNTRY_NS), alpha3(F.col(nk)))))
-        add("hasNutsCode", lambda df=df, addr=addr, key=key, nk=nk: branch(
+        add("hasNutsCode", lambda df=df, addr=addr, key=key, nk=nk: Mapped(
             df(), addr, F.concat(F.lit(NUTS_NS), nuts3(F.col(key), F.col(nk)))))
-        add("postCode", lambda df=df, addr=addr, key=key: branch(df(), addr, (F.col(key) + 10000).cast("string"),
+        add("postCode", lambda df=df, addr=addr, key=key: Mapped(df(), addr, (F.col(key) + 10000).cast("string"),
                                                                   "literal"))
-        add("postName", lambda df=df, addr=addr, nk=nk: branch(df(), addr, F.concat(F.lit("City "), s(nk)), "literal"))
-        add("thoroughfare", lambda df=df, addr=addr, key=key, bal=bal: branch(
+        add("postName", lambda df=df, addr=addr, nk=nk: Mapped(df(), addr, F.concat(F.lit("City "), s(nk)), "literal"))
+        add("thoroughfare", lambda df=df, addr=addr, key=key, bal=bal: Mapped(
             df().where(F.col(bal) > 1000), addr, F.concat(F.lit("Street "), s(key)), "literal"))
-        add("hasID", lambda df=df, org=org, ident=ident, bal=bal: branch(df().where(F.col(bal) > 1000), org, ident))
-        typ("Identifier", lambda df=df, ident=ident, bal=bal: branch(df().where(F.col(bal) > 1000), ident,
+        add("hasID", lambda df=df, org=org, ident=ident, bal=bal: Mapped(df().where(F.col(bal) > 1000), org, ident))
+        typ("Identifier", lambda df=df, ident=ident, bal=bal: Mapped(df().where(F.col(bal) > 1000), ident,
                                                                       cls("Identifier")))
-        add("hasIdentifierValue", lambda df=df, ident=ident, key=key, bal=bal, role=role: branch(
+        add("hasIdentifierValue", lambda df=df, ident=ident, key=key, bal=bal, role=role: Mapped(
             df().where(F.col(bal) > 1000), ident, F.concat(F.lit(role[:4].upper() + "-"), s(key)), "literal"))
-        add("hasPrimaryContactPoint", lambda df=df, org=org, cp=cp: branch(df(), org, cp))
-        typ("ContactPoint", lambda df=df, cp=cp: branch(df(), cp, cls("ContactPoint")))
-        add("email", lambda df=df, cp=cp, key=key, role=role: branch(
+        add("hasPrimaryContactPoint", lambda df=df, org=org, cp=cp: Mapped(df(), org, cp))
+        typ("ContactPoint", lambda df=df, cp=cp: Mapped(df(), cp, cls("ContactPoint")))
+        add("email", lambda df=df, cp=cp, key=key, role=role: Mapped(
             df(), cp, F.concat(F.lit(role), s(key), F.lit("@" + role + ".example")), "literal"))
-        add("telephone", lambda df=df, cp=cp, key=key: branch(df(), cp, F.concat(F.lit("+32 2 "), s(key)), "literal"))
-        add("hasFax", lambda df=df, cp=cp, key=key, bal=bal: branch(
+        add("telephone", lambda df=df, cp=cp, key=key: Mapped(df(), cp, F.concat(F.lit("+32 2 "), s(key)), "literal"))
+        add("hasFax", lambda df=df, cp=cp, key=key, bal=bal: Mapped(
             df().where(F.col(bal) > 5000), cp, F.concat(F.lit("+32 3 "), s(key)), "literal"))
-        add("hasInternetAddress", lambda df=df, cp=cp, key=key, role=role, bal=bal: branch(
+        add("hasInternetAddress", lambda df=df, cp=cp, key=key, role=role, bal=bal: Mapped(
             df().where(F.col(bal) < 2000), cp, F.concat(F.lit("http://www." + role), s(key), F.lit(".example")),
             "literal", dtype=XSD + "anyURI"))
-        add("hasContactName", lambda df=df, cp=cp, name=name: branch(df(), cp, F.col(name), "literal", "en"))
-    typ("Business", lambda: branch(S(), org_iri("supplier", "s_suppkey"), cls("Business")))
-    add("hasBusinessSize", lambda: branch(S(), org_iri("supplier", "s_suppkey"),
+        add("hasContactName", lambda df=df, cp=cp, name=name: Mapped(df(), cp, F.col(name), "literal", "en"))
+    typ("Business", lambda: Mapped(S(), org_iri("supplier", "s_suppkey"), cls("Business")))
+    add("hasBusinessSize", lambda: Mapped(S(), org_iri("supplier", "s_suppkey"),
                                           F.when(F.col("s_acctbal") < 5000, "sme").otherwise("large"), "literal"))
     from .dims import taxonomy_branches  # named graphs of the two code taxonomies (S3)
     for key, builders in taxonomy_branches(spark, sf_dir).items():
         B[key].extend(builders)
-    return Graph(spark, branches=dict(B), class_patterns=CLASS_PATTERNS)
+    return Graph(spark, branches=dict(B), class_patterns=CLASS_PATTERNS, mapping=mapping)

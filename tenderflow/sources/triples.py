@@ -14,6 +14,7 @@ backings exist:
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +33,68 @@ TRIPLE_SCHEMA = T.StructType([
 ])
 OBJ_COLS = ["s", "o", "o_kind", "lang", "dtype", "g"]
 
-Branch = Callable[[], DataFrame]
+@dataclass(frozen=True)
+class Term:
+    """An IRI minted from a row: ``key`` names the kind of thing, so that equal keys mean equal rules."""
+    key: str
+    col: Column
+
+
+@dataclass(frozen=True)
+class Rows:
+    """Rows of a named source of a virtual graph, filtered."""
+    source: str
+    frame: Callable[[], DataFrame]
+    conds: tuple = ()
+
+    def where(self, cond: Column) -> Rows:
+        return replace(self, conds=(*self.conds, cond))
+
+
+@dataclass(frozen=True)
+class Mapped:
+    """One predicate (or class) as a projection of a source's rows; ``raw`` is the typed column behind a text object."""
+    rows: Rows
+    s: Term
+    o: Term | Column
+    kind: str = "iri"
+    lang: str | None = None
+    dtype: str | None = None
+    raw: Column | None = None
+
+    @property
+    def object(self) -> Column:
+        return (self.o.col if isinstance(self.o, Term) else self.o).cast("string")
+
+    @property
+    def okey(self) -> str | None:
+        return self.o.key if isinstance(self.o, Term) else None
+
+    def frame(self) -> DataFrame:
+        df = self.rows.frame()
+        for c in self.rows.conds:
+            df = df.where(c)
+        return branch(df, self.s.col, self.object, self.kind, self.lang, self.dtype)
+
+
+@dataclass
+class Mapping:
+    """What star patterns need to know of a virtual graph: its sources, and which source's rows each kind of IRI names.
+
+    ``provides[x]`` are the sources whose columns x has (itself, and sources joined to it by a foreign key), ``grain[x]``
+    the one whose rows its rows are. A key's home is the source whose rows it identifies.
+    """
+    sources: dict[str, Callable[[], DataFrame]]
+    provides: dict[str, set[str]]
+    grain: dict[str, str]
+    home: dict[str, str] = field(default_factory=dict)
+
+
+Branch = Callable[[], "DataFrame | Mapped"]
+
+
+def _frame(b: DataFrame | Mapped) -> DataFrame:
+    return b.frame() if isinstance(b, Mapped) else b
 
 
 def branch(df: DataFrame, s: Column, o: Column, kind: str = "iri", lang: Column | str | None = None,
@@ -49,7 +111,8 @@ class Graph:
     """A set of triples addressed by predicate (and by class for rdf:type)."""
 
     def __init__(self, spark: SparkSession, triples: DataFrame | None = None,
-                 branches: dict[object, list[Branch]] | None = None, class_patterns: dict[str, str] | None = None):
+                 branches: dict[object, list[Branch]] | None = None, class_patterns: dict[str, str] | None = None,
+                 mapping: Mapping | None = None):
         if (triples is None) == (branches is None):
             raise ValueError("give exactly one of triples or branches")
         self.spark = spark
@@ -58,6 +121,7 @@ class Graph:
         # class IRI -> regex that exactly the IRIs minted for that class match (virtual graphs only):
         # a class test on such a variable is then a row filter instead of a semi-join
         self.class_patterns = class_patterns or {}
+        self.mapping = mapping
 
     # -- access ---------------------------------------------------------
     def pred(self, p: str, o: str | None = None) -> DataFrame:
@@ -72,7 +136,7 @@ class Graph:
         if builders is None and o is not None:
             # rdf:type branches are keyed by class; union those of the class
             builders = self._branches.get((p, o), [])
-        frames = [b() for b in (builders or [])]
+        frames = [_frame(b()) for b in (builders or [])]
         if not frames:
             return self.spark.createDataFrame([], T.StructType([f for f in TRIPLE_SCHEMA if f.name != "p"]))
         out = frames[0]
@@ -82,8 +146,10 @@ class Graph:
             out = out.where(F.col("o") == F.lit(o))
         return out
 
-    def predicates(self) -> list:
-        return list(self._branches) if self._branches is not None else []
+    def mapped(self, p: str, o: str | None = None) -> list | None:
+        """The projections of predicate ``p`` (of class ``o``) in a virtual graph; None if one of them is no projection."""
+        out = [b() for b in self._branches.get((p, o) if o is not None else p, [])]
+        return out if all(isinstance(b, Mapped) for b in out) else None
 
     def triples(self) -> DataFrame:
         """All triples as one frame (G24); the virtual graph unions every branch."""
@@ -93,7 +159,7 @@ class Graph:
         for key, builders in self._branches.items():
             p = key[0] if isinstance(key, tuple) else key
             for b in builders:
-                parts.append(b().select("s", F.lit(p).alias("p"), "o", "o_kind", "lang", "dtype", "g"))
+                parts.append(_frame(b()).select("s", F.lit(p).alias("p"), "o", "o_kind", "lang", "dtype", "g"))
         out = parts[0]
         for f in parts[1:]:
             out = out.unionByName(f)
