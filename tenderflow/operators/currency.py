@@ -21,8 +21,11 @@ def rate_bounds(rates: DataFrame) -> DataFrame:
 
 
 def latest_rates(rates: DataFrame) -> DataFrame:
-    """J7 -- the rate on the last available day per currency (max_by, no window sort)."""
-    return rates.groupBy("currency").agg(F.max_by("rate", "day").alias("rate"), F.max("day").alias("day"))
+    """J7 -- the rate on the last available day per currency (max_by, no window sort).
+
+    Codes are three capital letters (others name no currency), so there are at most 26^3 rows.
+    """
+    return rates.where(F.col("currency").rlike("^[A-Z]{3}$")).groupBy("currency").agg(F.max_by("rate", "day").alias("rate"), F.max("day").alias("day"))
 
 
 def convert(df: DataFrame, amount: str, currency: str, rates: DataFrame, out: str, to: str = "EUR",
@@ -50,6 +53,8 @@ def convert(df: DataFrame, amount: str, currency: str, rates: DataFrame, out: st
         table = table.where(F.col("_fc") != "EUR").withColumn("_to", F.lit(to)).join(target, on, "left") \
             .drop("_to", "_tc").unionByName(from_eur)
     keys = [F.col(currency) == F.col("_fc")] + ([F.to_date(F.col(day)) == F.col("_fd")] if by_day else [])
+    if day is None:
+        table = F.broadcast(table)  # 26^3 rows at most; a shuffle by currency would put a hot one into one task
     j = df.join(table, keys, "left")
     rate_from = F.when(F.col(currency) == "EUR", F.lit(1.0)).otherwise(F.col("_fr"))
     rate_to = F.lit(1.0) if to == "EUR" else F.col("_tr")

@@ -40,9 +40,12 @@ class value:
 
 @dataclass(frozen=True)
 class text:
-    """English (``lang``) if present, else the smallest other value; ``only``: nothing else. ``of``: the subject's class."""
+    """English (``lang``) if present, else the smallest other value; ``only``: nothing else; ``lang`` None: no preference.
+
+    ``of``: only for subjects of that class.
+    """
     name: str
-    lang: str = "en"
+    lang: str | None = "en"
     only: bool = False
     of: str | None = None
     required: bool = False
@@ -92,45 +95,38 @@ def _stored(g: Graph, n: node) -> DataFrame:
     if inv:
         frames.append(g.triples().where(p.isin(*inv)).select(o.alias("k"), "p", s.alias("x"), "lang", F.lit(True).alias("inv")))
     rows = reduce(DataFrame.unionByName, frames)
-    aggs, later = [], []
-    for c in wanted:
-        aggs.append(F.max((p == RDF_TYPE) & (F.col("x") == c)).alias(f"is {c}"))
+    wanted = {c: f"is{k}" for k, c in enumerate(sorted(wanted))}
+    aggs, later = [F.max((p == RDF_TYPE) & (F.col("x") == c)).alias(is_c) for c, is_c in wanted.items()], []
     for k, (pred, back, t) in enumerate(links):
         mine, x = (p == pred) & (F.col("inv") == F.lit(back)), F.col("x")
         if isinstance(t, text):
-            own = F.min(F.when(mine & (F.col("lang") == t.lang), x))
+            own = F.min(F.when(mine if t.lang is None else mine & (F.col("lang") == t.lang), x))
             aggs.append((own if t.only else F.coalesce(own, F.min(F.when(mine, x)))).alias(f"v{k}"))
-            ok = F.col(f"is {V.get(t.of, t.of)}") if t.of else F.lit(True)
-            later.append((t, F.when(ok, F.col(f"v{k}")), False))
+            later.append((t, F.when(F.col(wanted[V.get(t.of, t.of)]), F.col(f"v{k}")) if t.of else F.col(f"v{k}")))
             continue
         if isinstance(t, value):
             mine = mine & (x == t.equals) if t.equals is not None else mine
             mine = mine & _day(x, t.between) if t.between else mine
             x = x.try_cast(t.cast) if t.cast else x
         aggs.append(F.collect_set(F.when(mine, x)).alias(f"v{k}"))
-        later.append((t, F.col(f"v{k}"), True))
-    out = rows.groupBy(F.col("k").alias(n.name)).agg(*aggs)
+        later.append((t, F.col(f"v{k}")))
+    base = rows.groupBy(F.col("k").alias(n.name)).agg(*aggs)
     if n.classes():
-        out = out.where(reduce(Column.__or__, [F.col(f"is {c}") for c in n.classes()]))
-    for t, col, many in later:
-        if many:
-            out = out.withColumn(t.name, (F.explode if t.required else F.explode_outer)(col))
-        else:
+        base = base.where(reduce(Column.__or__, [F.col(wanted[c]) for c in n.classes()]))
+    out = base
+    for t, col in later:
+        if isinstance(t, text):
             out = out.withColumn(t.name, col)
             out = out.where(F.col(t.name).isNotNull()) if t.required else out
-    out = out.drop(*[f"v{k}" for k in range(len(links))], *[f"is {c}" for c in wanted])
-    for _, _, t in links:
-        if isinstance(t, node) and (t.links or t.cls):
-            out = out.join(_stored(g, t), t.name, "inner") if t.required else _optional(out, _stored(g, t), t.name)
-    return out
-
-
-def _optional(left: DataFrame, child: DataFrame, on: str) -> DataFrame:
-    """Left join of a whole group: its IRI is null too where the group does not match."""
-    child = child.withColumn("__key", F.col(on))
-    keep = [c for c in left.columns if c != on]
-    return left.withColumnRenamed(on, "__on").join(child, F.col("__on") == F.col("__key"), "left") \
-        .select(*keep, *[c for c in child.columns if c != "__key"]).distinct()
+        elif isinstance(t, node) and not t.required and (t.links or t.cls):
+            # the group matches as a whole or not at all: its values are joined first, then the group
+            group = base.select(n.name, F.explode(col).alias(t.name)).join(_stored(g, t), t.name)
+            out = out.join(group, n.name, "left")
+        else:
+            out = out.withColumn(t.name, (F.explode if t.required else F.explode_outer)(col))
+            if isinstance(t, node) and (t.links or t.cls):
+                out = out.join(_stored(g, t), t.name)
+    return out.drop(*[f"v{k}" for k in range(len(links))], *wanted.values())
 
 
 # ---- virtual: one projection of one source -----------------------------------
@@ -205,34 +201,36 @@ class _Projection:
         if t.cls is not None:
             here = reduce(Column.__and__, _types(self.g, t)[key].rows.conds, here)
         if not t.links:
-            return here, {t.name: F.when(here, end)}
+            return here, {t.name: end if t.required and not nested else F.when(here, end)}
         if key in self.m.home and self.source(self.need | {self.m.home[key]}):
             self.need |= {self.m.home[key]}
             got, cols = self.walk(t, key, here, nested or not t.required)
-            return got, {c: F.when(got, x) for c, x in {t.name: end, **cols}.items()}
+            cols = {t.name: end, **cols}
+            # a required node's rows are filtered by ``got``: no need to say it in every column
+            return got, cols if t.required and not nested else {c: F.when(got, x) for c, x in cols.items()}
         if nested and t.required:
             raise ValueError(f"{t.name}: a required link inside an optional node leaves the node's rows")
         self.joins.append((t.name, None, back, t, key))  # the other side has rows of its own: joined on its IRI
         return here, {t.name: F.when(here, end)}
 
     def leaf(self, t, found: list[Mapped], back: bool, key: str) -> tuple[Column, dict[str, Column]]:
-        def at(b: Mapped) -> Column:
+        def at(b: Mapped) -> tuple[Column, Column]:
+            """(whether the link is there, its value); plain conditions, so that filters reach the scan."""
             obj = b.s.col if back else b.object
-            when = reduce(Column.__and__, b.rows.conds, obj.isNotNull())
+            conds = list(b.rows.conds)
             if isinstance(t, value):
                 if t.equals is not None:
-                    when = when & (obj == t.equals)
-                if t.between and b.raw is not None:  # the typed column: such a filter reaches the scan
+                    conds.append(obj == t.equals)
+                if t.between and b.raw is not None:
                     lo, hi = (F.to_date(F.lit(d), "yyyyMMdd") for d in t.between)
-                    when = when & (b.raw >= lo.cast("timestamp")) & (b.raw < F.date_add(hi, 1).cast("timestamp"))
+                    conds += [b.raw >= lo.cast("timestamp_ntz"), b.raw < F.date_add(hi, 1).cast("timestamp_ntz")]
                 elif t.between:
-                    when = when & _day(obj, t.between)
+                    conds.append(_day(obj, t.between))
                 obj = obj.try_cast(t.cast) if t.cast else obj
-            # without a condition there is nothing to test: the optimiser then sees the bare column
-            return obj if not b.rows.conds and isinstance(t, text) else F.when(when, obj)
+            return reduce(Column.__and__, conds, obj.isNotNull()), F.when(reduce(Column.__and__, conds), obj) if conds else obj
         if isinstance(t, text):
-            own = [at(b) for b in found if b.lang == t.lang]
-            rest = own if t.only else [at(b) for b in found]
+            own = [at(b)[1] for b in found if t.lang in (None, b.lang)]
+            rest = own if t.only else [at(b)[1] for b in found]
             low = lambda xs: F.least(*xs) if len(xs) > 1 else xs[0] if xs else F.lit(None).cast("string")
             x = F.coalesce(low(own), low(rest))
             if t.of is not None:
@@ -240,9 +238,9 @@ class _Projection:
                 x = F.when(reduce(Column.__and__, types[key].rows.conds, F.lit(True)), x) if key in types else F.lit(None).cast("string")
             return x.isNotNull(), {t.name: x}
         if len(found) == 1:
-            x = at(found[0])
-            return x.isNotNull(), {t.name: x}
-        x = F.array_distinct(F.filter(F.array(*[at(b) for b in found]), lambda v: v.isNotNull()))
+            there, x = at(found[0])
+            return there, {t.name: x}
+        x = F.array_distinct(F.filter(F.array(*[at(b)[1] for b in found]), lambda v: v.isNotNull()))
         return F.size(x) > 0, {t.name: F.when(F.size(x) > 0, x)}
 
 

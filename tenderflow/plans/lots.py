@@ -1,10 +1,11 @@
 """Wide lot table and its three commercial tiers.
 
-``build_lots`` aggregates every multi-valued branch of the lot extract to
-lot grain *before* joining (distinct lists and samples do not depend on
-multiplicity, so the result equals the un-fanned pattern), then left-joins
-the lot-grain frames -- all hash-partitioned on ``lot``, so the joins need
-no further exchange. ``enrich`` adds conversions, links, indicators, code
+``build_lots`` asks star patterns (``operators.star``): one for the lot with its
+notice and procedure, one for buyers, one for award outcomes, one for CPV codes.
+Each is aggregated to lot grain *before* joining (distinct lists and samples do
+not depend on multiplicity, so the result equals the un-fanned pattern); the
+lot-grain frames are all hash-partitioned on ``lot``, so the joins need no
+further exchange. ``enrich`` adds conversions, links, indicators, code
 hierarchies and scores; ``tier`` selects a tier's columns and its lagged
 publication day. The three tiers share one enriched plan.
 """
@@ -12,6 +13,7 @@ publication day. The three tiers share one enriched plan.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,11 +21,11 @@ from pyspark.sql import functions as F
 from ..functions.columns import (equals_indicator, last_segment, notice_link, prefix_level, prefix_level_list, present, row_mean,
                                  strip)
 from ..operators.currency import convert
-from ..operators.graph import match, of_class, optional, path, pattern, preferred_text, typed
+from ..operators.star import node, star, text, value
 from ..operators.taxonomy import cpv_dim, cpv_list_columns, lookup
 from ..sources.triples import Graph
 from ..vocab import TIER_CPV_RANKS, TIER_LAG_DAYS, TIER_LOT_NUTS, TIER_ORG_NUTS_LIMIT
-from .tables import notices
+from .tables import notice
 
 IND = {
     "subcontract": "indicator_transparency_subcontract_info_available",
@@ -45,74 +47,54 @@ def _sorted_set(c: str, out: str):
     return F.array_sort(F.collect_set(c)).alias(out)
 
 
-def _org_names_nuts(g: Graph, org: str) -> DataFrame:
-    """(org, name, nuts) for typed organisations: English-preferred name, NUTS of the registered address."""
-    typed_org = of_class(g, "Organization", name=org)
-    name = preferred_text(g, "hasLegalName", org, "_name").join(typed_org, org, "left_semi")
-    nuts = path(g, ["registeredAddress", "hasNutsCode"], org, "_nuts")
-    return optional(optional(typed_org, nuts), name)
+def _organization(org: str) -> node:
+    """A typed organisation: English-preferred name, NUTS of the registered address."""
+    return node(org, {"hasLegalName": text("_name"),
+                      "registeredAddress": node("_address", {"hasNutsCode": value("_nuts", required=True)})}, cls="Organization")
 
 
 def build_lots(g: Graph, window=None) -> DataFrame:
     """X1 -- one row per lot of the notices published in the window."""
-    base = match(notices(g, window), pattern(g, "refersToLot", "Notice", "lot"))
-    base = typed(base, g, "lot", "Lot")
-    lots = base.groupBy("lot").agg(F.min("NoticePublicationDate").alias("publication_date"),
-                                   F.min("Notice").alias("notice"))
-
-    # buyers are aggregated per notice first, then joined many-to-one to its lots: a notice with many
-    # lots and roles never produces lot x role pairs
-    roles = typed(pattern(g, "announcesRole", "Notice", "_role"), g, "_role", "Buyer")
-    roles = optional(match(roles, pattern(g, "playedBy", "_role", "_borg")), _org_names_nuts(g, "_borg"))
-    by_notice = roles.groupBy("Notice").agg(F.collect_set("_name").alias("_n"), F.collect_set("_nuts").alias("_u"))
-    buyers = base.select("lot", "Notice").join(by_notice, "Notice").groupBy("lot").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("_n")))).alias("buyer_names"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("_u")))).alias("buyer_nuts"))
-
-    lao = typed(match(pattern(g, "describesLot", "_lao", "lot"), pattern(g, "comprisesTenderAwardOutcome", "_lao",
-                                                                          "_tao")), g, "_lao", "LotAwardOutcome")
-    tao = typed(path(g, ["indicatesAwardOfLotToWinner", "playedBy"], "_tao", "_worg"), g, "_tao", "TenderAwardOutcome")
-    win = match(lao, tao)
-    win = optional(win, _org_names_nuts(g, "_worg"))
-    win = optional(win, path(g, ["describesTender", "foreseesSubcontracting"], "_tao", "_sub"))
-    amount = typed(match(pattern(g, "hasAmountValue", "_mv", "_amt", cast="double"),
-                         pattern(g, "hasCurrency", "_mv", "_cur")), g, "_mv", "MonetaryValue")
-    win = optional(win, match(pattern(g, "hasAwardedValue", "_lao", "_mv"), amount).drop("_mv"))
+    proc = node("_proc", {
+        "hasDescription": text("_desc", lang=None), "hasTitle": text("_title", lang=None), "hasProcedureType": text("_ptype", lang=None),
+        "hasID": node("_ident", {"hasIdentifierValue": value("_pid", required=True)}),
+        "isSubjectToProcedureSpecificTerm": node("_pterm", {"isAwardedByCPB": value("_cpb", required=True)}),
+        "usesTechnique": [node("_ea", {}, cls="EAuctionTechniqueUsage"), node("_fa", {}, cls="FrameworkAgreementTechniqueUsage")],
+        "isCoveredByGPA": text("_gpa", lang=None)}, cls="Procedure")
+    place = node("_place", {"hasNutsCode": value("_pop", required=True)})
+    term = node("_term", {"definesSpecificPlaceOfPerformance": place,
+                          "definesContractDuration": node("_dur", {}, cls="SpecificDuration")}, cls="ContractTerm")
+    base = star(g, node("lot", {"^refersToLot": notice(window), "^hasProcurementScopeDividedIntoLot": proc,
+                                "foreseesContractSpecificTerm": term, "isUsingEUFunds": text("_eu", lang=None)}, cls="Lot"))
+
+    # buyers are aggregated per notice first, then joined many-to-one to its lots: a notice with many lots and roles
+    # never produces lot x role pairs
+    buyers = star(g, node("_role", {"^announcesRole": value("Notice", required=True), "playedBy": _organization("_borg")}, cls="Buyer"))
+    buyers = buyers.groupBy("Notice").agg(F.collect_set("_name").alias("_n"), F.collect_set("_nuts").alias("_u"))
+    union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
+    lots = base.join(buyers, "Notice", "left").groupBy("lot").agg(
+        F.min("NoticePublicationDate").alias("publication_date"), F.min("Notice").alias("notice"),
+        union("_n").alias("buyer_names"), union("_u").alias("buyer_nuts"),
+        F.min("_proc").alias("procedure"), F.min("_pid").alias("procedure_id"),
+        F.min("_desc").alias("procedure_description"), F.min("_title").alias("procedure_title"),
+        F.min("_ptype").alias("procedure_type"), F.min("_cpb").alias("awarded_cpb"),
+        F.min("_ea").alias("ea_technique"), F.min("_fa").alias("fa_technique"), F.min("_gpa").alias("is_gpa"),
+        F.min("_pop").alias("place_of_performance"), F.min("_dur").alias("contract_duration"), F.min("_eu").alias("using_eu_funds"))
+
+    tender = node("_tender", {"foreseesSubcontracting": value("_sub", required=True)})
+    winner = node("_winner", {"playedBy": replace(_organization("_worg"), cls=None, required=True)}, required=True)
+    money = node("_mv", {"hasAmountValue": value("_amt", required=True, cast="double"),
+                         "hasCurrency": value("_cur", required=True)}, cls="MonetaryValue")
+    outcome = node("_tao", {"indicatesAwardOfLotToWinner": winner, "describesTender": tender}, cls="TenderAwardOutcome", required=True)
+    win = star(g, node("_lao", {"describesLot": value("lot", required=True), "comprisesTenderAwardOutcome": outcome,
+                                "hasAwardedValue": money}, cls="LotAwardOutcome"))
     winners = win.groupBy("lot").agg(_sorted_set("_name", "winner_names"), _sorted_set("_nuts", "winner_nuts"),
                                      F.min("_sub").alias("subcontracting"),
                                      F.min(F.when(F.col("_amt").isNotNull(), F.struct("_amt", "_cur"))).alias("_value")) \
         .withColumns({"lot_amount": F.col("_value._amt"), "lot_currency": F.col("_value._cur")}).drop("_value")
-
-    term = typed(pattern(g, "foreseesContractSpecificTerm", "lot", "_term"), g, "_term", "ContractTerm")
-    term = optional(term, path(g, ["definesSpecificPlaceOfPerformance", "hasNutsCode"], "_term", "_pop"))
-    dur = typed(pattern(g, "definesContractDuration", "_term", "_dur"), g, "_dur", "SpecificDuration")
-    term = optional(term, dur)
-    terms = term.groupBy("lot").agg(F.min("_pop").alias("place_of_performance"),
-                                    F.min("_dur").alias("contract_duration"))
-
-    cpvs = path(g, ["hasPurpose", "hasAdditionalClassification"], "lot", "_cpv") \
-        .groupBy("lot").agg(_sorted_set("_cpv", "main_cpvs"))
-
-    proc = typed(pattern(g, "hasProcurementScopeDividedIntoLot", "_proc", "lot"), g, "_proc", "Procedure")
-    pr = proc.select("_proc").distinct()
-    for part in (pattern(g, "hasDescription", "_proc", "_desc"),
-                 path(g, ["hasID", "hasIdentifierValue"], "_proc", "_pid"),
-                 pattern(g, "hasTitle", "_proc", "_title"), pattern(g, "hasProcedureType", "_proc", "_ptype"),
-                 path(g, ["isSubjectToProcedureSpecificTerm", "isAwardedByCPB"], "_proc", "_cpb"),
-                 typed(pattern(g, "usesTechnique", "_proc", "_ea"), g, "_ea", "EAuctionTechniqueUsage"),
-                 typed(pattern(g, "usesTechnique", "_proc", "_fa"), g, "_fa", "FrameworkAgreementTechniqueUsage"),
-                 pattern(g, "isCoveredByGPA", "_proc", "_gpa")):
-        pr = optional(pr, part.groupBy("_proc").agg(*[F.min(c).alias(c) for c in part.columns if c != "_proc"]))
-    procs = match(proc, pr).groupBy("lot").agg(
-        F.min("_proc").alias("procedure"), F.min("_pid").alias("procedure_id"),
-        F.min("_desc").alias("procedure_description"), F.min("_title").alias("procedure_title"),
-        F.min("_ptype").alias("procedure_type"), F.min("_cpb").alias("awarded_cpb"),
-        F.min("_ea").alias("ea_technique"), F.min("_fa").alias("fa_technique"), F.min("_gpa").alias("is_gpa"))
-
-    eu = pattern(g, "isUsingEUFunds", "lot", "_eu").groupBy("lot").agg(F.min("_eu").alias("using_eu_funds"))
-    for part in (buyers, procs, winners, terms, cpvs, eu):
-        lots = lots.join(part, "lot", "left")
-    return lots
+    cpvs = star(g, node("lot", {"hasPurpose": node("_purpose", {"hasAdditionalClassification": value("_cpv", required=True)},
+                                                   required=True)})).groupBy("lot").agg(_sorted_set("_cpv", "main_cpvs"))
+    return lots.join(winners, "lot", "left").join(cpvs, "lot", "left")
 
 
 def clean(lots: DataFrame) -> DataFrame:

@@ -16,65 +16,60 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import local_name
 from ..operators.graph import match, of_class, optional, pattern, typed, without
+from ..operators.star import node, star, value
 from ..sources.triples import Graph
 
 
-def _eu_lots(g: Graph) -> DataFrame:
-    return typed(pattern(g, "isUsingEUFunds", "Lot", "eu", value="true"), g, "Lot", "Lot").select("Lot")
+def one(name: str, **kw) -> value:
+    return value(name, required=True, **kw)
+
+
+def a(name: str, cls: str | None, **links) -> node:
+    return node(name, {k.replace("of_", "^"): t for k, t in links.items()}, cls=cls, required=True)
+
+
+#: ?Lot a Lot; isUsingEUFunds true
+EU = {"isUsingEUFunds": one("eu", equals="true")}
 
 
 def _org_country(g: Graph, org: str, country: str, org_class: str = "Organization") -> DataFrame:
     """?org a <org_class>; registeredAddress ?a . ?a a Address; hasCountryCode ?country"""
-    addr = typed(pattern(g, "registeredAddress", org, "_addr"), g, "_addr", "Address")
-    cc = pattern(g, "hasCountryCode", "_addr", country)
-    return typed(match(addr, cc), g, org, org_class).select(org, country)
+    return star(g, a(org, org_class, registeredAddress=a("_addr", "Address", hasCountryCode=one(country)))).select(org, country)
 
 
-def _winner_org(g: Graph) -> DataFrame:
+def _winner() -> node:
     """?tao a TenderAwardOutcome; describesTender ?Tender; awardsLotToWinner ?Winner . ?Winner a Winner; playedBy ?Org"""
-    tao = typed(match(pattern(g, "describesTender", "tao", "Tender"), pattern(g, "awardsLotToWinner", "tao", "Winner")),
-                g, "tao", "TenderAwardOutcome")
-    w = typed(pattern(g, "playedBy", "Winner", "Organization"), g, "Winner", "Winner")
-    return match(tao, w).select("Tender", "Winner", "Organization")
+    return a("tao", "TenderAwardOutcome", awardsLotToWinner=a("Winner", "Winner", playedBy=one("Organization")))
 
 
 def q1_eu_lots_by_buyer_country(g: Graph) -> DataFrame:
-    lots = _eu_lots(g)
-    contract = typed(pattern(g, "includesLot", "Contract", "Lot"), g, "Contract", "Contract")
-    buyer = typed(pattern(g, "bindsBuyer", "Contract", "Buyer"), g, "Buyer", "Buyer")
-    org = pattern(g, "playedBy", "Buyer", "Organization")
-    j = match(lots, contract, buyer, org, _org_country(g, "Organization", "BuyerCountry"))
+    buyer = a("Buyer", "Buyer", playedBy=one("Organization"))
+    j = star(g, a("Lot", "Lot", **EU, of_includesLot=a("Contract", "Contract", bindsBuyer=buyer)))
+    j = match(j.select("Lot", "Organization"), _org_country(g, "Organization", "BuyerCountry"))
     return j.groupBy("BuyerCountry").agg(F.countDistinct("Lot").alias("Lots_using_EU_Funds"))
 
 
 def q2_eu_lots_by_winner_country(g: Graph) -> DataFrame:
-    tender = typed(pattern(g, "isSubmittedForLot", "Tender", "Lot"), g, "Tender", "Tender")
-    j = match(_eu_lots(g), tender, _winner_org(g), _org_country(g, "Organization", "WinnerCountry"))
+    j = star(g, a("Tender", "Tender", isSubmittedForLot=a("Lot", "Lot", **EU), of_describesTender=_winner()))
+    j = match(j.select("Lot", "Organization"), _org_country(g, "Organization", "WinnerCountry"))
     return j.groupBy(local_name("WinnerCountry").alias("Winner_Country")) \
         .agg(F.countDistinct("Lot").alias("Lots_using_EU_Funds"))
 
 
 def _procedure_cpv_count(g: Graph) -> DataFrame:
     """Number of (Purpose, CPV) solutions per procedure: the multiplicity Q3/Q4 sum over."""
-    pp = typed(pattern(g, "hasOverallPurpose", "Procedure", "Purpose"), g, "Purpose", "Purpose")
-    j = typed(match(pp, pattern(g, "hasMainClassification", "Purpose", "CPV")), g, "Procedure", "Procedure")
-    return j.groupBy("Procedure").agg(F.count(F.lit(1)).alias("_n_cpv"))
+    j = star(g, a("Procedure", "Procedure", hasOverallPurpose=a("Purpose", "Purpose", hasMainClassification=one("CPV"))))
+    return j.groupBy("Procedure").agg(F.count(F.lit(1)).alias("_w"))
 
 
 def _awarded_eu_tenders(g: Graph, country: str) -> DataFrame:
-    """EU-funded tenders with winner, amount, currency and country, weighted by their CPV/contract multiplicity."""
-    tender = typed(pattern(g, "isSubmittedForLot", "Tender", "Lot"), g, "Tender", "Tender")
-    offer = pattern(g, "hasFinancialOfferValue", "Tender", "MonetaryValue")
-    mv = typed(match(pattern(g, "hasAmountValue", "MonetaryValue", "AmountValue", cast="decimal(20,2)"),
-                     pattern(g, "hasCurrency", "MonetaryValue", "Currency")), g, "MonetaryValue", "MonetaryValue")
-    proc = pattern(g, "hasProcurementScopeDividedIntoLot", "Procedure", "Lot")
-    contract = typed(match(pattern(g, "includesLot", "Contract", "Lot"),
-                           pattern(g, "hasContractConclusionDate", "Contract", "ContractDate")), g, "Contract",
-                     "Contract")
-    n_contract = contract.groupBy("Lot").agg(F.count(F.lit(1)).alias("_n_contract"))
-    j = match(_eu_lots(g), tender, offer, mv, _winner_org(g), _org_country(g, "Organization", country), proc,
-              _procedure_cpv_count(g), n_contract)
-    return j.withColumn("_w", F.col("_n_cpv") * F.col("_n_contract"))
+    """EU-funded tenders with winner, amount, currency and country, weighted by their CPV multiplicity."""
+    money = a("MonetaryValue", "MonetaryValue", hasAmountValue=one("AmountValue", cast="decimal(20,2)"), hasCurrency=one("Currency"))
+    lot = a("Lot", "Lot", **EU, of_hasProcurementScopeDividedIntoLot=one("Procedure"),
+            of_includesLot=a("Contract", "Contract", hasContractConclusionDate=one("ContractDate")))
+    j = star(g, a("Tender", "Tender", isSubmittedForLot=lot, hasFinancialOfferValue=money, of_describesTender=_winner()))
+    return match(j.select("Procedure", "Winner", "Organization", "AmountValue", "Currency"),
+                 _org_country(g, "Organization", country), _procedure_cpv_count(g))
 
 
 def q4_winners_value_by_winner_country(g: Graph) -> DataFrame:
@@ -86,7 +81,7 @@ def q4_winners_value_by_winner_country(g: Graph) -> DataFrame:
 
 
 def _buyers_by_country(g: Graph) -> DataFrame:
-    b = typed(pattern(g, "playedBy", "Buyer", "BuyerOrganization"), g, "Buyer", "Buyer")
+    b = star(g, a("Buyer", "Buyer", playedBy=one("BuyerOrganization")))
     j = match(b, _org_country(g, "BuyerOrganization", "Country"))
     return j.groupBy("Country").agg(F.count(F.lit(1)).alias("_n_buyers"))
 
@@ -158,14 +153,11 @@ def q14_report(g: Graph) -> DataFrame:
 
 
 def _awarded_lots_per_procedure(g: Graph, lo: str, hi: str) -> DataFrame:
-    pl = typed(typed(pattern(g, "hasProcurementScopeDividedIntoLot", "Procedure", "Lot"), g, "Procedure",
-                     "Procedure"), g, "Lot", "Lot")
-    lao = typed(pattern(g, "describesLot", "LotAwardOutcome", "Lot"), g, "LotAwardOutcome", "LotAwardOutcome")
-    c = match(pattern(g, "includesLotAwardOutcome", "Contract", "LotAwardOutcome"),
-              pattern(g, "hasContractConclusionDate", "Contract", "d", cast="date")
-              .where((F.col("d") > F.lit(lo).cast("date")) & (F.col("d") < F.lit(hi).cast("date"))))
-    c = typed(c, g, "Contract", "Contract")
-    return match(c, lao, pl).groupBy("Procedure").agg(F.countDistinct("Lot").alias("Awardet_Lots"))
+    lot = a("Lot", "Lot", of_hasProcurementScopeDividedIntoLot=a("Procedure", "Procedure"))
+    j = star(g, a("LotAwardOutcome", "LotAwardOutcome", describesLot=lot, of_includesLotAwardOutcome=a(
+        "Contract", "Contract", hasContractConclusionDate=one("d", cast="date"))))
+    j = j.where((F.col("d") > F.lit(lo).cast("date")) & (F.col("d") < F.lit(hi).cast("date")))
+    return j.groupBy("Procedure").agg(F.countDistinct("Lot").alias("Awardet_Lots"))
 
 
 def q15_awarded_lots_multi_lot(g: Graph, lo: str = "2000-01-01", hi: str = "2030-12-31") -> DataFrame:
@@ -198,26 +190,17 @@ def q25_buyer_registration(g: Graph) -> DataFrame:
 
 
 def q26_potential_customers(g: Graph) -> DataFrame:
-    contract = typed(match(pattern(g, "hasContractConclusionDate", "Contract", "ContractConclusionDate"),
-                           pattern(g, "includesLotAwardOutcome", "Contract", "LotAwardOutcome"),
-                           pattern(g, "hasTitle", "Contract", "ContractTitle")), g, "Contract", "Contract")
-    lao = typed(match(pattern(g, "hasAwardedValue", "LotAwardOutcome", "MonetaryValue"),
-                      pattern(g, "describesLot", "LotAwardOutcome", "Lot"),
-                      pattern(g, "comprisesTenderAwardOutcome", "LotAwardOutcome", "TenderAwardOutcome")),
-                g, "LotAwardOutcome", "LotAwardOutcome")
-    lot = typed(typed(match(pattern(g, "hasPurpose", "Lot", "Purpose"),
-                            pattern(g, "hasAdditionalClassification", "Purpose", "LotCPV")), g, "Lot", "Lot"),
-                g, "Purpose", "Purpose")
-    mv = typed(match(pattern(g, "hasAmountValue", "MonetaryValue", "TotalValue", cast="decimal(20,2)"),
-                     pattern(g, "hasCurrency", "MonetaryValue", "Currency")), g, "MonetaryValue", "MonetaryValue")
-    tao = typed(pattern(g, "indicatesAwardOfLotToWinner", "TenderAwardOutcome", "PotentialCostumer"),
-                g, "TenderAwardOutcome", "TenderAwardOutcome")
-    w = typed(pattern(g, "playedBy", "PotentialCostumer", "Business"), g, "PotentialCostumer", "Winner")
-    biz = typed(match(pattern(g, "hasLegalName", "Business", "CustomerName"),
-                      pattern(g, "hasPrimaryContactPoint", "Business", "CustomerContactPoint")), g, "Business",
-                "Business")
-    cp = typed(pattern(g, "email", "CustomerContactPoint", "CustomerEmail"), g, "CustomerContactPoint", "ContactPoint")
-    j = match(contract, lao, lot, mv, tao, w, biz, cp)
+    contact = a("CustomerContactPoint", "ContactPoint", email=one("CustomerEmail"))
+    business = a("Business", "Business", hasLegalName=one("CustomerName"), hasPrimaryContactPoint=contact)
+    winner = a("PotentialCostumer", "Winner", playedBy=business)
+    j = star(g, a(
+        "LotAwardOutcome", "LotAwardOutcome",
+        of_includesLotAwardOutcome=a("Contract", "Contract", hasContractConclusionDate=one("ContractConclusionDate"),
+                                     hasTitle=one("ContractTitle")),
+        hasAwardedValue=a("MonetaryValue", "MonetaryValue", hasAmountValue=one("TotalValue", cast="decimal(20,2)"),
+                          hasCurrency=one("Currency")),
+        describesLot=a("Lot", "Lot", hasPurpose=a("Purpose", "Purpose", hasAdditionalClassification=one("LotCPV"))),
+        comprisesTenderAwardOutcome=a("TenderAwardOutcome", "TenderAwardOutcome", indicatesAwardOfLotToWinner=winner)))
     return j.select("CustomerEmail", "CustomerName", "ContractTitle", "LotCPV", "ContractConclusionDate",
                     F.col("TotalValue").cast("double").alias("TotalValue"), "Currency").distinct()
 

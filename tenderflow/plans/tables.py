@@ -105,7 +105,7 @@ def t_notice(g: Graph, rates: DataFrame, window=None) -> DataFrame:
     n = star(g, notice(window, refersToProcedure=value("Procedure", required=True), announcesNoticeAwardInformation=node(
         "_nai", {"hasTotalAwardedValue": replace(_money("TotalAwardedValue"), required=True)})))
     n = n.select(local_name("Notice").alias("NoticeId"), "NoticePublicationDate", local_name("Procedure")
-                 .alias("ProcedureId"), "TotalAwardedValue", "TotalAwardedValueCurrency").distinct()
+                 .alias("ProcedureId"), "TotalAwardedValue", "TotalAwardedValueCurrency")
     n = _eur(n, "TotalAwardedValue", rates, "TotalAwardedValueEUR")
     return n.select("NoticeId", parse_yyyymmdd("NoticePublicationDate").cast("string").alias("NoticePublicationDate"),
                     "ProcedureId", "TotalAwardedValueEUR", notice_link("NoticeId").alias("NoticeLink"),
@@ -123,7 +123,7 @@ def t_procedure(g: Graph, rates: DataFrame, window=None) -> DataFrame:
         "hasAdditionalInformation": text("ProcedureAdditionalInformation", only=True)}))
     p = p.select(local_name("Procedure").alias("ProcedureId"), "ProcedureTitle", "ReferenceNumber", "ProcedureEstimatedValue",
                  "ProcedureEstimatedValueCurrency", local_name("ProcedureType").alias("ProcedureType"), "isCoveredByGPA",
-                 "ProcedureDescription", "ProcedureAdditionalInformation").distinct()
+                 "ProcedureDescription", "ProcedureAdditionalInformation")
     p = _eur(p, "ProcedureEstimatedValue", rates, "ProcedureEstimatedValueEUR")
     return p.select("ProcedureId", "ProcedureTitle", "ReferenceNumber", "ProcedureEstimatedValueEUR", "ProcedureType",
                     "isCoveredByGPA", "ProcedureDescription", "ProcedureAdditionalInformation").distinct()
@@ -140,9 +140,8 @@ def t_lot(g: Graph, rates: DataFrame, window=None) -> DataFrame:
         "isUsingEUFunds": value("isUsingEUFunds", cast="boolean"), "hasEstimatedValue": _money("LotEstimatedValue"),
         "hasDescription": text("LotDescription")}))
     lots = lots.select(local_name("Lot").alias("LotId"), local_name("Procedure").alias("ProcedureId"), "LotTitle",
-                       "isUsingEUFunds", "LotEstimatedValue", "LotEstimatedValueCurrency", "LotDescription").distinct()
+                       "isUsingEUFunds", "LotEstimatedValue", "LotEstimatedValueCurrency", "LotDescription")
     lots = _eur(lots, "LotEstimatedValue", rates, "LotEstimatedValueEUR")
-    # a function of rows that are distinct already but for amounts which truncate alike
     return lots.select("LotId", "ProcedureId", "LotTitle", "isUsingEUFunds", "LotEstimatedValueEUR", "LotDescription") \
         .distinct()
 
@@ -157,7 +156,7 @@ def t_lot_award_outcome(g: Graph, rates: DataFrame, window=None) -> DataFrame:
                          hasBargainPrice=_money("LotBargainPrice"), hasAwardDecisionDate=value("AwardDecisionDate")))
     o = o.select(local_name("LotAwardOutcome").alias("LotAwardOutcomeId"), local_name("AwardStatus").alias("AwardStatus"),
                  F.col("LotAwardedValue").cast("double"), "LotAwardedValueCurrency", F.col("LotBargainPrice").cast("double"),
-                 "LotBargainPriceCurrency", "AwardDecisionDate").distinct()
+                 "LotBargainPriceCurrency", "AwardDecisionDate")
     o = _eur(o, "LotAwardedValue", rates, "LotAwardedValueEUR")
     o = _eur(o, "LotBargainPrice", rates, "LotBargainPriceEUR")
     return o.select("LotAwardOutcomeId", "AwardStatus", "LotAwardedValueEUR", "LotBargainPriceEUR",
@@ -181,7 +180,7 @@ def t_submission_statistics(g: Graph, rates: DataFrame, window=None) -> DataFram
         "hasLowestReceivedTenderValue": _money("LowestReceivedTenderValue")}, cls="SubmissionStatisticalInformation"))
     s = s.select(local_name("SSI").alias("SubmissionStatisticalInformationId"), *counts,
                  "HighestReceivedTenderValue", "HighestReceivedTenderValueCurrency", "LowestReceivedTenderValue",
-                 "LowestReceivedTenderValueCurrency", local_name("LotAwardOutcome").alias("LotAwardOutcomeId")).distinct()
+                 "LowestReceivedTenderValueCurrency", local_name("LotAwardOutcome").alias("LotAwardOutcomeId"))
     s = _eur(s, "HighestReceivedTenderValue", rates, "HighestReceivedTenderValueEUR")
     s = _eur(s, "LowestReceivedTenderValue", rates, "LowestReceivedTenderValueEUR")
     return s.select("SubmissionStatisticalInformationId", "hasReceivedSMETenders", "hasReceivedTenders",
