@@ -440,7 +440,64 @@ union all select 'http://www.w3.org/2004/02/skos/core#prefLabel', 'literal', 'en
 union all select 'http://www.w3.org/2004/02/skos/core#broader', 'iri', '', count(*) from cpv_codes
   where length(rtrim(code, '0')) >= 2"""
 register("named_graph", _CPV_COUNTS)(lambda spark, sf_dir: _cpv_graph_counts(spark, sf_dir, False))
-register("scan_triples", _CPV_COUNTS)(lambda spark, sf_dir: _cpv_graph_counts(spark, sf_dir, True))
+register("scan_taxonomy", _CPV_COUNTS)(lambda spark, sf_dir: _cpv_graph_counts(spark, sf_dir, True))
+
+
+# ---- S1, S15, S16, U2: the whole graph as text and as a store -------------------
+import uuid as _uuid  # noqa: E402
+
+from ..session import scratch_path as _scratch  # noqa: E402
+from ..sources import bulk as BULK  # noqa: E402
+from ..sources.triples import read_triples as _read_triples, write_triples as _write_triples  # noqa: E402
+from .oracle_graph import graph_counts_sql  # noqa: E402
+
+
+def _scan_triples(spark, sf_dir):
+    """The whole graph written as N-Quads text, read back and counted."""
+    path = _scratch(spark, f"quads-{_uuid.uuid4().hex}")
+    to_ntriples(build_graph(spark, sf_dir).triples()).write.text(path)
+    g, rejected = _read_triples(spark, path, "nt", dedup=False)
+    return g.triples().select("p", "o_kind", F.coalesce("lang", F.lit("")).alias("lang")) \
+        .unionByName(rejected.select(F.lit("rejected").alias("p"), F.lit("").alias("o_kind"), F.lit("").alias("lang"))) \
+        .groupBy("p", "o_kind", "lang").agg(F.count(F.lit(1)).alias("n"))
+
+
+register("scan_triples", graph_counts_sql(_cpv("l_partkey")))(_scan_triples)
+
+
+def _stored_q2(spark, sf_dir):
+    """Q2 on a stored copy of the whole graph."""
+    path = _scratch(spark, f"graph-{_uuid.uuid4().hex}")
+    _write_triples(build_graph(spark, sf_dir), path)
+    return R.q2_eu_lots_by_winner_country(_read_triples(spark, path, dedup=False)[0])
+
+
+register("stored_q2", REPORT_SQL["report_q2"])(_stored_q2)
+
+
+def _notice_quads(spark, sf_dir):
+    """The triples of every notice in a graph named after it; every 50th order's dispatch date lost its opening quote."""
+    t = build_graph(spark, sf_dir).triples().where(F.col("s").endswith("_Notice")).withColumn("g", F.col("s"))
+    order = F.regexp_extract("value", r"-S-001-(\d+)_Notice", 1).cast("long")
+    broken = (order % 50 == 0) & F.contains("value", F.lit("hasDispatchDate"))
+    return to_ntriples(t).select(F.when(broken, F.regexp_replace("value", '"([0-9])', "$1")).otherwise(F.col("value")).alias("value"))
+
+
+def _load_status(spark, sf_dir):
+    text, store = (_scratch(spark, f"{n}-{_uuid.uuid4().hex}") for n in ("notices", "store"))
+    _notice_quads(spark, sf_dir).write.text(text)
+    status = BULK.load_quads(spark, text, store)
+    stored = BULK.stored_graph(spark, store).triples().groupBy(F.col("g").alias("notice")).agg(F.count("*").alias("stored"))
+    return status.join(stored, "notice", "left").withColumn("stored", F.coalesce("stored", F.lit(0)))
+
+
+register("load_status", """
+with n as (select l_orderkey, count(*) as n, count(distinct (l_linenumber, l_partkey, l_suppkey)) as d from lineitem group by 1)
+select 'http://example.org/res/id_' || year(o_orderdate) || '-S-001-' || o_orderkey || '_Notice' as notice,
+       6 + (o_orderstatus = 'F')::int + 2 * coalesce(n, 0) as lines, (o_orderkey % 50 = 0)::int as bad_lines,
+       case when o_orderkey % 50 = 0 then 'quarantined' else 'loaded' end as status,
+       case when o_orderkey % 50 = 0 then 0 else 6 + (o_orderstatus = 'F')::int + 2 * coalesce(d, 0) end as stored
+from orders left join n on l_orderkey = o_orderkey""")(_load_status)
 
 # ---- S4, X13, I2: windows and lagged tiers on the last day of the data ---------
 def _last_day(spark, sf_dir):

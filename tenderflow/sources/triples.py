@@ -191,23 +191,32 @@ def _unescape(c: Column) -> Column:
     return F.when(F.contains(c, F.lit("\\")), F.array_join(F.transform(tokens, plain), "")).otherwise(c)
 
 
+#: a separator that no term of a line holds outside its literal, which is put last
+_SEP = "\u0001"
+_PARTS = _SEP + _SEP.join(f"${k}" for k in (1, 2, 3, 4, 5, 7, 8, 9, 6))
+
+
 def parse_ntriples(lines: DataFrame, text_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Parse N-Triples/N-Quads lines -> (triples, rejected). Blank and comment lines are skipped."""
+    """Parse N-Triples/N-Quads lines -> (triples, rejected). Blank and comment lines are skipped.
+
+    One match a line: its groups are written out with a separator and split again.
+    """
     t = F.col(text_col)
-    body = lines.where(~F.trim(t).rlike(r"^(#.*)?$"))
-    ok = t.rlike(NT_LINE)
-    rejected = body.where(~ok).select(t.alias("line"))
-    g = lambda i: F.nullif(F.regexp_extract(t, NT_LINE, i), F.lit(""))
-    s = F.coalesce(g(1), g(2))
-    o_iri, o_bnode, o_lit = g(4), g(5), F.regexp_extract(t, NT_LINE, 6)
+    body = lines.where(~F.trim(t).rlike(r"^(#.*)?$")).select(t.alias("line"), F.when(
+        ~t.startswith(_SEP), F.split(F.regexp_replace(t, NT_LINE, _PARTS), _SEP, 10)).alias("part"))
+    ok = F.coalesce((F.size("part") == 10) & (F.get("part", F.lit(0)) == ""), F.lit(False))
+    rejected = body.where(~ok).select("line")
+    g = lambda i: F.nullif(F.get("part", F.lit(i)), F.lit(""))
+    o_iri, o_bnode = g(4), g(5)
     is_lit = o_iri.isNull() & o_bnode.isNull()
     triples = body.where(ok).select(
-        s.alias("s"), g(3).alias("p"),
-        F.when(o_iri.isNotNull(), o_iri).when(o_bnode.isNotNull(), o_bnode).otherwise(_unescape(o_lit)).alias("o"),
+        F.coalesce(g(1), g(2)).alias("s"), g(3).alias("p"),
+        F.when(o_iri.isNotNull(), o_iri).when(o_bnode.isNotNull(), o_bnode)
+        .otherwise(_unescape(F.get("part", F.lit(9)))).alias("o"),
         F.when(o_iri.isNotNull(), "iri").when(o_bnode.isNotNull(), "bnode").otherwise("literal").alias("o_kind"),
-        F.when(is_lit, F.lower(g(7))).alias("lang"),
-        F.when(is_lit, g(8)).alias("dtype"),
-        g(9).alias("g"),
+        F.when(is_lit, F.lower(g(6))).alias("lang"),
+        F.when(is_lit, g(7)).alias("dtype"),
+        g(8).alias("g"),
     )
     return triples, rejected
 
