@@ -9,7 +9,8 @@ scored or cut as boilerplate: menus and footers are visible text.
 
 Rendering: white space collapses except in pre and textarea; paragraphs, headings, lists, quotations and tables stand
 apart by a blank line, other blocks by a line break; list items carry "- " or their number and
-hang from it; table cells are laid out in columns padded to the widest cell, two spaces
+hang from it; table cells are laid out in columns padded to the widest cell of up to ``COLUMN``
+characters (a longer one pushes the rest of its own row to the right, and no gap is over ``GAP``), two spaces
 apart, with colspan and rowspan; cells of several lines stay aligned.
 
 Each page is rendered by itself in an Arrow-batched UDF: no shuffle, and no page affects another.
@@ -309,7 +310,7 @@ class Out:
         self.need, self.space = self.need + 1, False
 
     def result(self) -> str:
-        return re.sub(r"[ \t]+(?=\n)", "", "".join(self.parts)).rstrip()
+        return "\n".join(line.rstrip(" \t") for line in "".join(self.parts).split("\n")).rstrip()
 
 
 def _number(s: str | None, default: int, most: int = 1000) -> int:
@@ -317,6 +318,12 @@ def _number(s: str | None, default: int, most: int = 1000) -> int:
     return max(0, min(int(s), most)) if re.fullmatch(r"\d{1,6}", s) else default
 
 
+def _ordinal(s: str | None, default: int) -> int:
+    """The number of a list item: any integer of up to nine digits."""
+    s = (s or "").strip()
+    return int(s) if re.fullmatch(r"[+-]?\d{1,9}", s) else default
+
+
 def _children(node: Node) -> list:
     """What of a node is laid out; a closed details shows its summary alone."""
     if node.tag == "details" and "open" not in node.attrs:
@@ -366,12 +373,12 @@ def render(root: Node, depth: int = 0, inherited: bool = True, content_only: boo
             out.block(breaks)
             todo.append((lambda breaks=breaks: out.block(breaks), seen, pre))
         if tag in ("ul", "ol", "menu"):
-            counters.append(_number(node.attrs.get("start"), 1, 10 ** 6) if tag == "ol" else None)
+            counters.append(_ordinal(node.attrs.get("start"), 1) if tag == "ol" else None)
             todo.append((counters.pop, seen, pre))
         elif tag == "li":
             mark = "- "
             if counters and counters[-1] is not None:
-                counters[-1] = _number(node.attrs.get("value"), counters[-1], 10 ** 6)
+                counters[-1] = _ordinal(node.attrs.get("value"), counters[-1])
                 mark = f"{counters[-1]}. "
                 counters[-1] += 1
             out.indents.append([" " * len(mark) if len(out.indents) < MAX_INDENT else "", mark])
@@ -402,31 +409,36 @@ def _rows(table: Node, seen: bool) -> tuple[list[Node], list[Node]]:
     return captions, parts["thead"] + parts["tbody"] + parts["tfoot"]
 
 
+#: the widest column that other rows are padded to, and the longest run of padding: longer cells push their own row's
+#: later cells to the right, so that a table's text grows with its cells and not with rows times width
+COLUMN, GAP = 120, 400
+
+
 def _table(table: Node, depth: int, seen: bool) -> str:
     captions, rows = _rows(table, seen)
     grid: list[list[tuple[int, int, list[str]]]] = []  # per row: (column, span, lines)
-    taken: dict[int, int] = {}                         # column -> rows it is still taken from above
+    taken: list[tuple[int, int, int]] = []             # (first column, end, rows) still taken from above, by first column
     for r in rows:
-        row_seen, line, col = _visible(r, seen), [], 0
-        new: dict[int, int] = {}
+        row_seen, line, col, above = _visible(r, seen), [], 0, 0
+        new: list[tuple[int, int, int]] = []
         for c in r.children:
             if not isinstance(c, Node) or c.tag not in ("td", "th") or not _shown(c):
                 continue
-            while taken.get(col, 0) > 0:
-                col += 1
+            while above < len(taken) and taken[above][0] <= col:
+                col, above = max(col, taken[above][1]), above + 1
             span, down = max(1, _number(c.attrs.get("colspan"), 1)), max(1, _number(c.attrs.get("rowspan"), 1))
             text = render(c, depth, _visible(c, row_seen), content_only=True)
             line.append((col, span, text.split("\n")))
             if down > 1:
-                new.update({k: down for k in range(col, col + span)})
+                new.append((col, col + span, down))
             col += span
-        taken = {k: v - 1 for k, v in (taken | new).items() if v > 1}
+        taken = sorted((a, b, v - 1) for a, b, v in taken + new if v > 1)
         grid.append(line)
     width: dict[int, int] = {}
     for span_first in (True, False):
         for line in grid:
             for col, span, lines in line:
-                w = max(map(len, lines))
+                w = min(max(map(len, lines)), COLUMN)
                 if span == 1 and span_first:
                     width[col] = max(width.get(col, 0), w)
                 elif span > 1 and not span_first:  # what the columns under it lack goes to the last of them
@@ -443,7 +455,8 @@ def _table(table: Node, depth: int, seen: bool) -> str:
             s = ""
             for col, _, lines in line:
                 if i < len(lines) and lines[i]:
-                    s = s.ljust(at.get(col, len(s) + 2 if s else 0)) + lines[i]
+                    gap = at.get(col, 0) - len(s)  # none behind a text wider than its column
+                    s += " " * (min(gap, GAP) if gap > 0 else 2 if s else 0) + lines[i]
             if s:
                 done.append(s)
     return "\n".join(done)

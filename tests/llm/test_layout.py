@@ -117,3 +117,23 @@ def test_tables_left_open_and_deep_take_linear_time():
     assert SHOW("<table>" * 20000 + "x").split() == ["x"]
     assert len(SHOW("<table><tr>w " * 20000).split()) == 20000
     assert len(SHOW("<table>" + "<b>w <tr>" * 20000).split()) == 20000
+
+
+def test_long_cells_spans_and_blanks_stay_fast():
+    import time
+    pages = ["<table>" + "<tr><td>" + "x " * 50_000 + "<td>b" + "<tr><td>a<td>b" * 100 + "</table>",
+             "<table><tr>" + "<td colspan=1000 rowspan=1000>x" * 100 + "<tr><td>y" * 500 + "</table>",
+             "<pre>" + (" " * 200_000 + "x\n") * 3 + "</pre>"]
+    for page in pages:
+        start = time.time()
+        text = SHOW(page)
+        assert time.time() - start < 2 and len(text) < len(page) + 200 * 400
+    assert SHOW(pages[0]).split("\n")[0].endswith("x  b") and SHOW(pages[0]).split("\n")[1] == "a".ljust(L.COLUMN + 2) + "b"
+
+
+def test_cells_under_overlapping_rowspans():
+    assert SHOW("<table><tr><td rowspan=2>a<td>b<td rowspan=3>c<tr><td>d<tr><td>e<td>f</table>") == "a  b  c\n   d\ne  f"
+
+
+def test_ordinals():
+    assert SHOW("<ol start=-2><li>a<li>b</ol>") == "-2. a\n-1. b" and SHOW("<ol start=2000000><li>a</ol>") == "2000000. a"
