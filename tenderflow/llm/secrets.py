@@ -42,6 +42,8 @@ THRESHOLD = 0.5
 SEED = 5
 TREES, DEPTH = 40, 8
 RUN = r"[A-Za-z0-9+/=_\-]"
+#: only where a run begins: a look-ahead from every character of a long run would read it again and again
+START = rf"(?<!{RUN})"
 NAME = r"(?i)(password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|credential|auth)"
 SPACE = r"[\x20\x09-\x0D]+"
 # the name without a group; name, sign and opening quote; where the next value of a joined setting begins
@@ -52,7 +54,7 @@ _NEXT = r"[&;,][\"']?[A-Za-z0-9_.\-]+[\"']?[=:]"
 _ASSIGNED = rf"{_SIGN}(?:(?!{_NEXT_SECRET})[^\s\"']){{8}}"
 GIVEN = rf"{_ASSIGNED}(?:(?!{_NEXT})[^\s\"'])*+"
 #: every candidate of a word: assigned values, then runs up to the next assigned value
-FOUND = rf"{GIVEN}|(?=(?:(?!{_ASSIGNED})[A-Za-z+/=_\-])*+[0-9])(?:(?!{_ASSIGNED}){RUN}){{{MIN_RUN},}}+" \
+FOUND = rf"{GIVEN}|{START}(?=(?:(?!{_ASSIGNED})[A-Za-z+/=_\-])*+[0-9])(?:(?!{_ASSIGNED}){RUN}){{{MIN_RUN},}}+" \
         rf"|(?:(?!{_ASSIGNED})[A-Za-z]){{{LONG_RUN},}}+"
 #: a word after name and sign: its start is the value
 AFTER_SIGN = rf"{GIVEN}|^[\"'`]?(?:(?!{_ASSIGNED}|{_NEXT_SECRET})[^\s\"']){{8}}(?:(?!{_ASSIGNED}|{_NEXT})[^\s\"'])*+|{FOUND}"
@@ -67,7 +69,7 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path
 
     ``word``: the candidate and what stands between it and its neighbours in the same word.
     """
-    has_digit = rf"(?=[A-Za-z+/=_\-]*[0-9]){RUN}{{{MIN_RUN},}}"
+    has_digit = rf"{START}(?=[A-Za-z+/=_\-]*+[0-9]){RUN}{{{MIN_RUN},}}"
     wanted = rf"{has_digit}|[A-Za-z]{{{LONG_RUN},}}|{NAME}[\"']?[=:][\"']?[^\s\"']{{8,}}"
     spaced = rf"{_NAMED}[\"']?(?:{SPACE})?[=:]{SPACE}[^\x20\x09-\x0D]{{8}}"
     words = F.split(F.col(text), SPACE)
@@ -106,7 +108,7 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path
     given = F.col("m").rlike(f"^{_ASSIGNED}")
     value = F.when(given, F.regexp_replace("m", f"^{_SIGN}", "")).otherwise(F.regexp_replace("m", "^[\"'`]", ""))
     # the value after a sign ends before the punctuation of its sentence, unless too little is left or it is quoted
-    bare = F.regexp_replace(value, r"[.,;:)\]}`]+$", "")
+    bare = F.regexp_replace(value, r"(?<![.,;:)\]}`])[.,;:)\]}`]+$", "")
     ended = F.when(~given & ~F.col("m").rlike("^[\"']") & (F.length(bare) >= 8), bare).otherwise(value)
     return each.withColumn("offset", F.col("start") + F.length("m") - F.length(value)).withColumn("value", ended) \
         .select("doc_id", "path", "pos", "offset", F.xxhash64("row", "pos", "offset").alias("cid"), "word", "before2", "before", "after",
@@ -150,9 +152,9 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
         F.col("before").rlike(plain).cast("double").alias("plain_before"),
         F.col("after").rlike(plain).cast("double").alias("plain_after"))
     low = F.lower(v)
-    windows = F.flatten(F.transform(F.array(F.lit(3), F.lit(4)), lambda k: F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length(low) - k + 1, F.lit(1))), lambda i: F.substring(low, i, k))))
-    grams = f.select("cid", F.explode(windows).alias("gram")).where(F.col("gram").rlike("^[a-z]+$"))
+    # every place where three or four letters follow, in one scan each
+    windows = F.concat(*[F.regexp_extract_all(low, F.lit(f"(?=([a-z]{{{k}}}))"), F.lit(1)) for k in (3, 4)])
+    grams = f.select("cid", F.explode(windows).alias("gram"))
     known = words.withColumn("known", F.lit(1))
     # of all windows, also those with digits: a word inside a key covers little of it
     hits = grams.join(known, "gram").groupBy("cid").agg(F.count("*").alias("hits"))

@@ -197,3 +197,15 @@ def test_value_in_the_word_after_name_and_sign(docs_of):
     rows = [(i, t) for i, t in enumerate(texts)]
     got = {r.doc_id: r.value for r in S.candidates(docs_of(rows)).collect()}
     assert got == {i: v for i, v in enumerate(texts.values()) if v}
+
+
+def test_long_words_are_scanned_once(spark):
+    import time
+
+    from tenderflow.llm import secrets as S
+    docs = spark.createDataFrame([(1, "x " + "-" * 400_000 + " y", "s"), (2, "x " + "a1B/" * 100_000 + " y", "s"),
+                                  (3, "x token=abcdefgh" + "." * 200_000 + "x", "s")], "doc_id long, text string, source string")
+    words = spark.createDataFrame([("the",)], "gram string")
+    start = time.time()
+    got = {r.doc_id: r.length for r in S.features(S.candidates(docs), words).collect()}
+    assert got == {2: 400_000.0, 3: 200_009.0} and time.time() - start < 60
