@@ -5,16 +5,14 @@ by the tie-break columns), not windows: the partial aggregate runs map-side,
 so a key that holds a large share of the rows is reduced before the
 shuffle instead of being sorted in one task.
 
-Writes never overwrite the path they read: an upsert writes a new version
-folder and returns its path (no table-format jar is assumed).
+Merges into a stored table rewrite the key buckets that a batch touches, through
+Spark's dynamic partition overwrite (no table-format jar is assumed).
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -111,15 +109,76 @@ def load_keyed(df: DataFrame, path: str, pk: list[str], mode: str = "fail", fmt:
         raise ValueError(mode)
 
 
-def upsert_path(new: DataFrame, base: str, pk: list[str], order: list[str], current: str | None = None,
-                fmt: str = "parquet") -> str:
-    """K7/K15 -- write existing (``current`` version folder) + new, last write per key, to a NEW version
-    folder under ``base``; returns its path. The folder being read is never overwritten."""
+def load_checked(df: DataFrame, path: str, pk: str, fks: dict[str, tuple[str, str]], mode: str = "fail",
+                 fmt: str = "parquet") -> dict[str, int]:
+    """K1/K3/K4/P2 -- write a table and check its keys in the same pass; returns what was counted.
+
+    ``fks``: column -> (path, key column) of a table loaded before. Counted while the rows are written: rows, rows of
+    a key beyond its first, null keys, and per foreign key the rows that fill it and those without a parent. With ``fail``
+    an empty table, a repeated or null key or an orphan is an error (the folder must then not be used); with ``report``
+    the counts alone tell.
+    """
+    spark = df.sparkSession
+    rest = [c for c in df.columns if c != pk]
+    grouped = df.groupBy(pk).agg(F.collect_list(F.struct(*rest)).alias("_rows"))  # a sound key has one row
+    rows = grouped.select(pk, (F.size("_rows") - 1).alias("_more"), F.posexplode("_rows").alias("_at", "_row")) \
+        .select(pk, "_row.*", F.when(F.col("_at") == 0, F.col("_more")).otherwise(0).alias("_more"))
+    metrics = [F.count("*").alias("rows"), F.sum("_more").alias("repeated"), F.count_if(F.col(pk).isNull()).alias("null_keys")]
+    for n, (fk, (parent, key)) in enumerate(fks.items()):
+        keys = spark.read.format(fmt).load(parent).select(F.col(key).alias(f"_p{n}")).distinct()
+        rows = rows.join(keys, F.col(fk) == F.col(f"_p{n}"), "left")
+        metrics += [F.count(fk).alias(f"filled {fk}"), F.count_if(F.col(fk).isNotNull() & F.col(f"_p{n}").isNull()).alias(f"orphans {fk}")]
+    seen = Observation()
+    rows.observe(seen, *metrics).select(*df.columns).write.mode("errorifexists").format(fmt).save(path)
+    counts = {k: v or 0 for k, v in seen.get.items()}
+    if mode == "fail":
+        if not counts["rows"]:
+            raise ValueError(f"{path}: no rows")
+        wrong = {k: v for k, v in counts.items() if v and (k in ("repeated", "null_keys") or k.startswith("orphans"))}
+        if wrong:
+            raise ValueError(f"{path}: {wrong}")
+    return counts
+
+
+def dependency_order(keys: dict[str, tuple[str, dict]]) -> list[str]:
+    """Tables (name -> (key, {column: (parent, key)})) with every parent before its children."""
+    done: list[str] = []
+    while len(done) < len(keys):
+        ready = [t for t, (_, fks) in keys.items() if t not in done and all(p in done or p == t for p, _ in fks.values())]
+        if not ready:
+            raise ValueError(f"foreign keys form a circle: {sorted(set(keys) - set(done))}")
+        done += ready
+    return done
+
+
+BUCKET = "key_bucket"
+
+
+def merge_buckets(new: DataFrame, path: str, pk: list[str], order: list[str], mode: str = "upsert", buckets: int = 64) -> None:
+    """K5/K7 -- merge a batch into a table kept in folders by key bucket; only the buckets it touches are read and written.
+
+    ``upsert``: the last row by ``order`` per key; ``insert``: the first of the batch, and only where the key is absent. Both
+    are idempotent. Spark's dynamic partition overwrite replaces the touched folders when the job commits; ``buckets`` must
+    stay the same for a table.
+    """
     spark = new.sparkSession
-    merged = new if current is None else upsert(spark.read.format(fmt).load(current), new, pk, order)
-    target = f"{base.rstrip('/')}/v-{uuid.uuid4().hex[:12]}"
-    merged.write.mode("errorifexists").format(fmt).save(target)
-    return target
+    pick = keep_last if mode == "upsert" else keep_first
+    batch = pick(new, pk, order).withColumn(BUCKET, F.pmod(F.xxhash64(*pk), F.lit(buckets)).cast("int")).checkpoint()
+    touched = [r[0] for r in batch.select(BUCKET).distinct().collect()]  # ``buckets`` numbers at most
+    if not touched:
+        return
+    old = read_if_there(spark, path)
+    if old is not None:
+        old = old.where(F.col(BUCKET).isin(touched)).select(*batch.columns)  # prunes to the touched folders
+        batch = keep_last(old.unionByName(batch), [*pk, BUCKET], order) if mode == "upsert" \
+            else old.unionByName(batch.join(old.select(*pk), pk, "left_anti").select(*batch.columns))
+    batch.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
+
+
+def read_buckets(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of a table kept by ``merge_buckets``."""
+    table = read_if_there(spark, path)
+    return None if table is None else table.drop(BUCKET)
 
 
 def clear(df: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -162,8 +162,20 @@ def _upsert_events(spark, sf_dir):
 
 
 register("upsert_last", _LATEST_EVENTS)(_upsert_events)
-register("incremental_load", _LATEST_EVENTS)(
-    lambda spark, sf_dir: __import__("tenderflow.streaming.ingest", fromlist=["x"]).latest_events(spark, sf_dir))
+#: the events arrive in three batches
+_BATCHES = ["2024-01-10", "2024-01-20"]
+
+
+def _events_in_batches(mode):
+    def run(spark, sf_dir):
+        from ..streaming.ingest import events_in_batches
+        return events_in_batches(spark, sf_dir, mode, _BATCHES)
+    return run
+
+
+register("incremental_load", _LATEST_EVENTS)(_events_in_batches("upsert"))
+register("incremental_insert", _LATEST_EVENTS.replace("arg_max", "arg_min").replace("max(ts)", "min(ts)"))(
+    _events_in_batches("insert"))
 
 _STATUS_SQL = ("case event_type when 'signup' then 'RAW' when 'view' then 'NORMALISED_METADATA' when 'click' "
                "then 'DISTILLED' when 'purchase' then 'VALIDATED' when 'error' then 'PACKAGED' end")
@@ -336,6 +348,35 @@ def _link_records(spark, sf_dir):
 register("table_organization_deduplication", ORGANIZATION_DEDUPLICATION_SQL)(t_organization_deduplication)
 register("link_records", LINK_RECORDS_SQL)(_link_records)
 
+# ---- K1-K4: the star schema loaded under its keys ------------------------------
+_STAR = {"".join(w.capitalize() for w in k[len("table_"):].split("_")): k for k in [*_RATED, *_PLAIN]}
+_STAR["SubmissionStatisticalInformation"] = _STAR.pop("SubmissionStatistics")
+_STAR["ProcedureCPV"], _STAR["LotCPV"] = _STAR.pop("ProcedureCpv"), _STAR.pop("LotCpv")
+_STAR |= {"CPV": "table_cpv", "NUTS": "table_nuts"}
+
+
+def _star_fk_report(spark, sf_dir):
+    from ..session import scratch_path
+    path = scratch_path(spark, f"star-{__import__('uuid').uuid4().hex}")
+    keys = {t: [T.TABLE_KEYS[t][0], *T.TABLE_KEYS[t][1]] for t in _STAR}  # the columns that the report is about
+    report = T.load_star({t: QUERIES[q](spark, sf_dir).select(*dict.fromkeys(keys[t])) for t, q in _STAR.items()}, path, "report")
+    return spark.createDataFrame(report, "foreign_key string, filled long, orphans long")
+
+
+def _star_fk_sql() -> str:
+    parts = []
+    for table, (_, fks) in T.TABLE_KEYS.items():
+        for col, (parent, key) in fks.items():
+            if table in _STAR and parent in _STAR:
+                parts.append(f"""
+select '{table}.{col}' as foreign_key, count(c.{col}) as filled,
+       count(*) filter (where c.{col} is not null and c.{col} not in (select {key} from ({TABLE_SQL[_STAR[parent]]}) p)) as orphans
+from ({TABLE_SQL[_STAR[table]]}) c""")
+    return " union all ".join(parts)
+
+
+register("star_fk_report", _star_fk_sql())(_star_fk_report)
+
 # ---- scalar functions, sources, graph operators on the driver tables ----------
 from ..functions import columns as FC  # noqa: E402
 from ..operators.currency import convert as _convert, rate_bounds as _rate_bounds  # noqa: E402

@@ -7,8 +7,8 @@ window is a range filter on the publication date, which reaches the scan.
 Each extract is one star pattern (``operators.star``): on the virtual graph one
 projection of a source's rows, on a stored one a pivot per kind of subject.
 
-Key metadata (PK, FKs) of every table is in ``TABLE_KEYS``; the keyed
-loaders (operators.keyed) check it before writing.
+Key metadata (PK, FKs) of every table is in ``TABLE_KEYS``; ``load_star``
+writes the tables in dependency order and checks it as they are written.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import (local_name, notice_link, notice_number, notice_year, parse_yyyymmdd,
                                  surrogate_key, truncate_money, after_first_space, last_segment)
 from ..operators.currency import convert
-from ..operators.graph import any_of, match, optional, typed
+from ..operators.graph import any_of, match, optional
+from ..operators.keyed import dependency_order, load_checked
 from ..operators.star import node, star, text, value
 from ..operators.taxonomy import taxonomy_levels
 from ..sources.triples import Graph
@@ -64,6 +65,20 @@ TABLE_KEYS = {
 }
 
 
+def load_star(tables: dict[str, DataFrame], path: str, mode: str = "fail") -> list[tuple]:
+    """K1-K4 -- load the star schema in dependency order, all keys of ``TABLE_KEYS`` checked as the tables are written.
+
+    Returns (foreign key, rows that fill it, orphans) for every foreign key; foreign keys to tables not given are left out.
+    """
+    keys = {t: (pk, {c: p for c, p in fks.items() if p[0] in tables}) for t, (pk, fks) in TABLE_KEYS.items() if t in tables}
+    report = []
+    for name in dependency_order(keys):
+        pk, fks = keys[name]
+        counts = load_checked(tables[name], f"{path}/{name}", pk, {c: (f"{path}/{p}", k) for c, (p, k) in fks.items()}, mode)
+        report += [(f"{name}.{c}", counts[f"filled {c}"], counts[f"orphans {c}"]) for c in fks]
+    return report
+
+
 def window_days(spark: SparkSession, start: str, end: str) -> DataFrame:
     """F18/F19 -- inclusive list of days between two yyyyMMdd dates, as yyyyMMdd text."""
     return spark.range(1).select(F.explode(F.sequence(parse_yyyymmdd(F.lit(start)), parse_yyyymmdd(F.lit(end)),

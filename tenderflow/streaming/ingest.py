@@ -1,11 +1,10 @@
-"""I5 -- incremental ingestion as a file-source stream with keyed upserts.
+"""I5 -- incremental ingestion as a file-source stream with keyed merges.
 
-The daily batch of the reference becomes a Structured Streaming query over
-a folder of parquet files: each micro-batch is merged into the target by
-key (K5 insert-if-absent or K7 last-write-wins) and written as a new
-version folder; the checkpoint (under the shared ``spark.checkpoint.dir``)
-makes a restarted or re-run job continue where it stopped, and
-``trigger(availableNow=True)`` turns it into a bounded catch-up run.
+The daily batch becomes a Structured Streaming query over a folder of parquet files: each micro-batch is merged
+into the target by key (K5 insert-if-absent or K7 last-write-wins; ``operators.keyed.merge_buckets``), which rewrites only
+the key buckets that the batch touches. The checkpoint (under the shared ``spark.checkpoint.dir``) makes a restarted or
+re-run job continue where it stopped, and ``trigger(availableNow=True)`` turns it into a bounded catch-up run. Both merges
+give the same table when a batch is merged twice, so a replay needs no record of what was merged.
 """
 
 from __future__ import annotations
@@ -15,62 +14,39 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.keyed import insert_if_absent, keep_first, read_if_there, upsert
+from ..operators.keyed import merge_buckets, read_buckets
 from ..session import scratch_path
 
-
-def _versions(spark: SparkSession, target: str) -> list:
-    """Published versions (seq, batch, path), oldest first: one short line per batch."""
-    rows = read_if_there(spark, f"{target}/_VERSIONS", "text")
-    parts = [r.value.split("\t") for r in rows.collect()] if rows is not None else []
-    return sorted((int(seq), batch, path) for seq, batch, path in parts)
-
-
-def _publish(spark: SparkSession, target: str, seq: int, batch: str, path: str) -> None:
-    """Add one line; a crash before the append leaves the last version in force."""
-    line = spark.createDataFrame([(f"{seq}\t{batch}\t{path}",)], "value string").coalesce(1)
-    line.write.mode("append").text(f"{target}/_VERSIONS")
+KEY, ORDER = ["user_id", "event_type"], ["ts", "event_id"]
 
 
 def ingest_stream(spark: SparkSession, source: str, schema, target: str, pk: list[str], order: list[str],
                   mode: str = "upsert", glob: str | None = None, name: str | None = None,
-                  files_per_batch: int = 64) -> str:
-    """Run the stream to completion (availableNow); returns the path of the current target version.
+                  files_per_batch: int = 64) -> DataFrame | None:
+    """Run the stream to completion (availableNow); the target's rows, None if nothing ever arrived.
 
-    A batch that is replayed after a failure is recognised by its id and not merged twice.
+    ``name`` names the stream: the same name goes on after the files that it has read.
     """
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    stream = reader.parquet(source)
-    name = name or uuid.uuid4().hex[:8]
-    ckpt = scratch_path(spark, f"stream-ckpt-{name}")
-
-    def merge(batch: DataFrame, epoch: int) -> None:
-        versions, batch_id = _versions(spark, target), f"{name}-{epoch}"
-        if any(b == batch_id for _, b, _ in versions):
-            return
-        if not versions:
-            merged = upsert(batch.limit(0), batch, pk, order) if mode == "upsert" else keep_first(batch, pk, pk)
-        else:
-            existing = spark.read.parquet(versions[-1][2])
-            merged = upsert(existing, batch, pk, order) if mode == "upsert" else insert_if_absent(existing, batch, pk)
-        out = f"{target.rstrip('/')}/v-{uuid.uuid4().hex}"
-        merged.write.mode("errorifexists").parquet(out)
-        _publish(spark, target, versions[-1][0] + 1 if versions else 0, batch_id, out)
-
-    q = stream.writeStream.foreachBatch(merge).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+    ckpt = scratch_path(spark, f"stream-ckpt-{name or uuid.uuid4().hex}")
+    q = reader.parquet(source).writeStream \
+        .foreachBatch(lambda batch, epoch: merge_buckets(batch, target, pk, order, mode)) \
+        .option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
-    versions = _versions(spark, target)
-    return versions[-1][2] if versions else None
-
-
-def latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The driver's events folder ingested as a stream: last event per (user_id, event_type)."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    target = scratch_path(spark, f"events-latest-{uuid.uuid4().hex[:8]}")
-    cur = ingest_stream(spark, sf_dir, schema, target, ["user_id", "event_type"], ["ts", "event_id"],
-                        glob="events.parquet", name=uuid.uuid4().hex[:8])
-    return spark.read.parquet(cur).select("user_id", "event_type", "event_id",
-                                          F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
-                                          "value")
+    return read_buckets(spark, target)
+
+
+def events_in_batches(spark: SparkSession, sf_dir: str, mode: str, cuts: list[str]) -> DataFrame:
+    """The events arriving in slices of time, one run of the stream after each, then all of them once more (a replay)."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(*KEY, "event_id", "ts", "value")
+    run = uuid.uuid4().hex
+    source, target = (scratch_path(spark, f"events-{kind}-{run}") for kind in ("source", "latest"))
+    stamps = [F.lit(c).cast("timestamp") for c in cuts]
+    for lo, hi in zip([None, *stamps], [*stamps, None]):
+        part = events if lo is None else events.where(F.col("ts") >= lo)
+        (part if hi is None else part.where(F.col("ts") < hi)).write.mode("append").parquet(source)
+        ingest_stream(spark, source, events.schema, target, KEY, ORDER, mode, name=run)
+    return ingest_stream(spark, source, events.schema, target, KEY, ORDER, mode, name=f"{run}-again").select(
+        *KEY, "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "value")

@@ -1,3 +1,4 @@
+import pytest
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -60,7 +61,19 @@ def test_load_keyed_and_upsert_path(spark, tmp_path):
         pass
     K.load_keyed(spark.createDataFrame([(2, "x"), (3, "c")], "k int, v string"), path, ["k"], mode="skip")
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, "a"), (2, "b"), (3, "c")]
-    v1 = K.upsert_path(df, str(tmp_path / "u"), ["k"], ["v"])
-    v2 = K.upsert_path(spark.createDataFrame([(2, "z")], "k int, v string"), str(tmp_path / "u"), ["k"], ["v"], v1)
-    assert v1 != v2
-    assert sorted(map(tuple, spark.read.parquet(v2).collect())) == [(1, "a"), (2, "z")]
+
+
+def test_checked_load(spark, tmp_path):
+    parent, child = str(tmp_path / "p"), str(tmp_path / "c")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    assert K.load_checked(df, parent, "k", {}) == {"rows": 2, "repeated": 0, "null_keys": 0}
+    kids = spark.createDataFrame([(10, 1), (11, 3), (12, None), (13, 2)], "id int, k int")
+    assert K.load_checked(kids, child, "id", {"k": (parent, "k")}, mode="report") == \
+        {"rows": 4, "repeated": 0, "null_keys": 0, "filled k": 3, "orphans k": 1}
+    assert spark.read.parquet(child).columns == ["id", "k"] and spark.read.parquet(child).count() == 4
+    with pytest.raises(ValueError, match="orphans k"):
+        K.load_checked(kids, str(tmp_path / "f"), "id", {"k": (parent, "k")})
+    with pytest.raises(ValueError, match="repeated"):
+        K.load_checked(df.unionByName(df.withColumn("v", df.k.cast("string"))), str(tmp_path / "r"), "k", {})
+    with pytest.raises(ValueError, match="no rows"):
+        K.load_checked(df.where("false"), str(tmp_path / "e"), "k", {})
