@@ -1,19 +1,26 @@
 """Operator 6: benchmark decontamination by rare n-gram seeds and local alignment.
 
-1. Seeds: every run of ``n`` words of a benchmark item. Seeds of one item that lie close together in a
-   document open a region of it around where the item would lie. Every seed counts, however many documents hold it: a
-   copy that stands all over the corpus is found like one that stands there once.
-2. A region whose words, counted with repetition, cannot reach ``threshold`` even if all that it shares with the item
-   were matched in order is passed over. This is an upper bound of the score, so no result is lost by it; it
-   spares chance meetings on common phrases the alignment.
-3. Smith-Waterman alignment of item and region, word by word (match +2, mismatch and gap -1), scores
+1. Seeds: every run of ``n`` words of a benchmark item. A seed that at most ``RARE_ITEMS`` items hold is rare and joins
+   the documents that hold it to those items. Rarity is judged within the benchmark, so a copy that stands all over the
+   corpus is found like one that stands there once.
+2. Common seeds ("which of the following") are not dropped. A region around such a seed can reach ``threshold`` only if
+   it holds one of the item's guard words: of its m words in order of rarity the first m - need + 1, where need words are
+   the fewest that reach the threshold (of need shared words one must be among them). So a common seed joins through
+   the pair (seed, guard word in its window): exact, and it does not meet every item that shares the seed. An item
+   with more than ``PAIR_KEYS`` such pairs is joined by its common seeds themselves.
+3. Seeds of one item that lie close together in a document open a region of it around where the item would lie. A region
+   whose words, counted with repetition, cannot reach ``threshold`` even if all that it shares with the item were matched
+   in order is passed over: an upper bound of the score, so no result is lost by it.
+4. Smith-Waterman alignment of item and region, word by word (match +2, mismatch and gap -1), scores
    verbatim, edited and paraphrased copies alike: score / (2 x words of the item), 1 for a verbatim
-   copy. Pairs from ``threshold`` on are contaminated.
+   copy. Pairs from ``threshold`` on are contaminated. Steps 1 and 2 change no result: it is that of a region around
+   every seed of every item.
 
-One map over documents: no document text is shuffled or written and no passage, however often it is copied,
-gathers anywhere. The benchmark side is cut into blocks of at most ``BLOCK_WORDS`` words;
-each block is broadcast in turn and tested against all documents, so what is sent to tasks never
-exceeds that bound however large the benchmark grows.
+One map over documents looks the keys of steps 1 and 2 up in a Bloom filter of the benchmark's keys: at most ``FILTER_BITS``
+bits are sent, however large the benchmark grows (beyond that more documents pass it, none is lost). Documents
+with a key are set aside in the checkpoint folder; their keys join the benchmark's, and the pairs, in
+groups of a document and a part of its items, are aligned. No text of another document is moved and no join hint is given:
+Spark broadcasts the benchmark's side if its size allows and splits hot keys if not.
 
 Words are runs of letters, digits and underscores, lower-cased; whole texts are read.
 
@@ -33,20 +40,20 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.ranges import running_total
-
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SEED_WORDS = 4
 THRESHOLD = 0.5
-BLOCK_WORDS = 200_000
+RARE_ITEMS = 8
+PAIR_KEYS = 4096
+FILTER_BITS = 1 << 27
+CHUNK_WORDS = 200_000
+ITEM_PARTS = 16
 MATCH, MISMATCH, GAP = 2, -1, -1
-MATCH_FIELDS = "item_id long, score double, start_word int, end_word int, seeds int"
 WORD = re.compile(r"\w+")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -80,9 +87,9 @@ def align(item: np.ndarray, part: np.ndarray) -> tuple[int, int, int]:
     return score, e - back, e + 1
 
 
-# ---- index of a benchmark block ------------------------------------------------------
+# ---- index of some benchmark items ------------------------------------------------------
 def build_index(items: list[tuple[int, str]], n: int = SEED_WORDS) -> dict:
-    """Word ids, seed codes (sorted) and where each seed stands, for one block of the benchmark."""
+    """Word ids, seed codes (sorted) and where each seed stands, for some items."""
     vocab: dict[str, int] = {}
     texts = [np.array([vocab.setdefault(w, len(vocab)) for w in words_of(t)], dtype=np.int64) for _, t in items]
     code, item, pos = [], [], []
@@ -100,17 +107,21 @@ def build_index(items: list[tuple[int, str]], n: int = SEED_WORDS) -> dict:
             "bags": [np.unique(t, return_counts=True) for t in texts]}
 
 
-def _codes(ids: np.ndarray, n: int) -> np.ndarray:
-    """A 64-bit code per run of n word ids."""
-    if len(ids) < n:
+def _fold(values: np.ndarray, n: int) -> np.ndarray:
+    """A 64-bit code per run of n values."""
+    if len(values) < n:
         return np.zeros(0, dtype=np.uint64)
-    c = np.zeros(len(ids) - n + 1, dtype=np.uint64)
+    c = np.zeros(len(values) - n + 1, dtype=np.uint64)
     for k in range(n):
-        c = (c ^ (ids[k:len(ids) - n + 1 + k] + 1).astype(np.uint64)) * _MULTIPLIER
+        c = (c ^ values[k:len(values) - n + 1 + k]) * _MULTIPLIER
         c ^= c >> np.uint64(29)
     return c
 
 
+def _codes(ids: np.ndarray, n: int) -> np.ndarray:
+    return _fold((ids + 1).astype(np.uint64), n)
+
+
 def seed_hits(ids: np.ndarray, index: dict) -> tuple[np.ndarray, np.ndarray]:
     """(position, seed) of every benchmark seed in a sequence of word ids (-1: not a benchmark word)."""
     n, seeds = index["n"], index["seeds"]
@@ -169,70 +180,232 @@ def matches(text: str | None, index: dict, threshold: float = THRESHOLD) -> list
     return [best[k] for k in sorted(best)]
 
 
-# ---- Spark -------------------------------------------------------------------------
-def blocks(benchmark: DataFrame, item_id: str, text: str, block_words: int) -> Iterator[list[tuple[int, str]]]:
-    """The benchmark's items, at most ``block_words`` words (or one item) at a time."""
-    items = benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(text).alias("t")).where("i is not null and t is not null") \
-        .distinct().withColumn("w", F.size(F.split("t", r"\W+")))
-    total = items.agg(F.sum("w")).first()[0] or 0
-    if not total:
-        return
-    if total <= block_words:
-        yield [(r.i, r.t) for r in items.orderBy("i", "t").collect()]
-        return
-    ranked = running_total(items, ["i", "t"], F.col("w"), "before").withColumn("b", F.floor(F.col("before") / block_words)) \
-        .checkpoint()
-    for b in range(int(total // block_words) + 1):
-        part = [(r.i, r.t) for r in ranked.where(F.col("b") == b).orderBy("i", "t").collect()]
-        if part:
-            yield part
+# ---- keys: what a document and an item must share --------------------------------------
+def word_hashes(words: list[str]) -> np.ndarray:
+    if not words:
+        return np.zeros(0, dtype=np.uint64)
+    return pd.util.hash_array(np.array(words, dtype=object), categorize=True)
+
+
+def _mix(x: np.ndarray, tag: int) -> np.ndarray:
+    x = (x ^ np.uint64((tag * 0x9E3779B97F4A7C15) % 2**64)) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(29))
+
+
+def seed_key(code: np.ndarray) -> np.ndarray:
+    return _mix(code, 1)
+
+
+def mark_key(code: np.ndarray, size_class: int) -> np.ndarray:
+    """Says that an item of this size class (its words are at most 2 to that power) holds the common seed."""
+    return _mix(code, 2 + size_class)
+
+
+def pair_key(code: np.ndarray, word: np.ndarray, size_class: int) -> np.ndarray:
+    return _mix(_mix(code, 64 + size_class) ^ word, 0)
+
+
+def bit_positions(keys: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    """Places of each key in a filter of ``bits`` bits (a power of two)."""
+    step = _mix(keys, 200) | np.uint64(1)
+    for k in range(4):
+        yield (keys + np.uint64(k) * step) & np.uint64(bits - 1)
+
+
+def in_filter(keys: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    """Indexes of the keys that the filter may hold; most keys fail at their first place."""
+    bits = 64 * len(bitmap)
+    at = np.flatnonzero(_is_set(keys & np.uint64(bits - 1), bitmap))
+    ok = np.ones(len(at), dtype=bool)
+    for place in bit_positions(keys[at], bits):
+        ok &= _is_set(place, bitmap)
+    return at[ok]
+
+
+def _is_set(place: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    return (bitmap[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+
+def document_keys(texts: list[str | None], bitmap: np.ndarray, classes: list[int], n: int = SEED_WORDS) -> list[np.ndarray]:
+    """Distinct keys of each text that the filter may hold."""
+    out, chunk, size = [], [], 0
+    for t in texts:
+        words = words_of(t)
+        if chunk and size + len(words) > CHUNK_WORDS:
+            out += _chunk_keys(chunk, bitmap, classes, n)
+            chunk, size = [], 0
+        chunk.append(words)
+        size += len(words)
+    return out + (_chunk_keys(chunk, bitmap, classes, n) if chunk else [])
+
+
+def _chunk_keys(chunk: list[list[str]], bitmap: np.ndarray, classes: list[int], n: int) -> list[np.ndarray]:
+    h = word_hashes([w for words in chunk for w in words])
+    code = _fold(h, n)
+    if not len(code):
+        return [np.zeros(0, dtype=np.uint64)] * len(chunk)
+    sizes = np.array([len(words) for words in chunk])
+    ends = np.cumsum(sizes)
+    doc = np.repeat(np.arange(len(chunk)), sizes)
+    at = np.flatnonzero(doc[:len(code)] == doc[n - 1:])
+    code = code[at]
+    key = seed_key(code)
+    hit = in_filter(key, bitmap)
+    docs, keys = [doc[at[hit]]], [key[hit]]
+    for c in classes:
+        hit = in_filter(mark_key(code, c), bitmap)
+        reach = 3 * 2 ** c // 2 + 1
+        order = hit[np.lexsort((at[hit], code[hit], doc[at[hit]]))]
+        d, s, p = doc[at[order]], code[order], at[order]
+        # windows of one seed that overlap are one
+        cut = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (s[1:] != s[:-1]) | (p[1:] - p[:-1] > 2 * reach)])) \
+            if len(p) else []
+        for a, b in zip(cut, np.append(cut[1:], len(p))):
+            first = ends[d[a]] - sizes[d[a]]
+            near = np.unique(h[max(first, p[a] - reach):min(ends[d[a]], p[b - 1] + reach)])
+            key = pair_key(s[a:a + 1], near, c)
+            key = key[in_filter(key, bitmap)]
+            docs.append(np.full(len(key), d[a]))
+            keys.append(key)
+    docs, keys = np.concatenate(docs), np.concatenate(keys)
+    order = np.lexsort((keys, docs))
+    bounds = np.searchsorted(docs[order], np.arange(len(chunk) + 1))
+    return [np.unique(keys[order[a:b]]) for a, b in zip(bounds[:-1], bounds[1:])]
+
+
+# ---- Spark: keys of the benchmark ------------------------------------------------------
+def item_texts(benchmark: DataFrame, item_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(k, t): distinct item texts, and (k, item_id): which items have them."""
+    items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("t")) \
+        .where("item_id is not null and t is not null").distinct()
+    texts = items.select("t").distinct().withColumn("k", F.monotonically_increasing_id()).checkpoint()
+    return texts, items.join(texts, "t").select("k", "item_id")
+
+
+def item_keys(texts: DataFrame, threshold: float = THRESHOLD, n: int = SEED_WORDS, rare_items: int = RARE_ITEMS,
+              pair_keys: int = PAIR_KEYS) -> DataFrame:
+    """(k, key, size_class): what joins documents to items; rows with a null k only mark a common seed and its class."""
+    def parts(batches):
+        for b in batches:
+            for k, t in zip(b["k"], b["t"]):
+                h = word_hashes(words_of(t))
+                if len(h) >= n:
+                    seeds, (words, count) = np.unique(_fold(h, n)), np.unique(h, return_counts=True)
+                    yield pd.DataFrame({"k": k, "m": len(h), "seed": [True] * len(seeds) + [False] * len(words),
+                                        "code": np.concatenate([seeds, words]).view(np.int64),
+                                        "n": np.concatenate([np.ones(len(seeds), np.int64), count])})
+
+    part = texts.mapInPandas(parts, "k long, m long, seed boolean, code long, n long").checkpoint()
+    part = part.join(part.groupBy("seed", "code").agg(F.count("*").alias("items")), ["seed", "code"])
+    seeds, words = part.where("seed"), part.where("not seed")
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("k").orderBy("items", "code").rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0))
+    need = F.greatest(F.lit(1), F.ceil(F.col("m") * F.lit(threshold) - 1e-9))
+    guards = words.select("k", F.col("code").alias("word"), (before <= F.col("m") - need).alias("guard")).where("guard").drop("guard")
+    common = seeds.where(F.col("items") > rare_items)
+    many = common.groupBy("k", "m").agg((F.count("*") * F.col("m") > pair_keys).alias("many")).select("k", "many")
+    seeds = seeds.join(many, "k", "left").withColumn("direct", (F.col("items") <= rare_items) | F.coalesce("many", F.lit(False)))
+    direct = seeds.where("direct").select("k", "m", "code", F.lit(None).cast("long").alias("word"))
+    paired = seeds.where("not direct").select("k", "m", "code").join(guards, "k")
+
+    def keys(batches):
+        for b in batches:
+            for c, part in b.assign(c=[int(m - 1).bit_length() for m in b["m"]]).groupby("c"):
+                plain = part["word"].isna().to_numpy()
+                code, k = part["code"].to_numpy(np.int64).view(np.uint64), part["k"].to_numpy()
+                word = part["word"].fillna(0).to_numpy(np.int64).view(np.uint64)
+                key = np.where(plain, seed_key(code), pair_key(code, word, c))
+                marks = np.unique(mark_key(code[~plain], c))
+                yield pd.DataFrame({"k": pd.Series([*k, *[None] * len(marks)], dtype="Int64"),
+                                    "key": np.concatenate([key, marks]).view(np.int64),
+                                    "size_class": np.concatenate([np.where(plain, -1, c), np.full(len(marks), c)])})
+
+    # words as text: a null beside 64-bit numbers would make them floats
+    both = direct.unionByName(paired).withColumn("word", F.col("word").cast("string")).withColumn("code", F.col("code").cast("string"))
+    return both.mapInPandas(lambda bs: keys(b.assign(code=b["code"].astype("int64"), word=b["word"].astype("Int64")) for b in bs),
+                            "k long, key long, size_class int").distinct().checkpoint()
+
+
+def key_filter(keys: DataFrame, most_bits: int = FILTER_BITS) -> tuple[np.ndarray, list[int]]:
+    """Bloom filter of all keys, at most ``most_bits`` bits (a power of two), and the size classes of common seeds."""
+    size = keys.agg(F.count("*").alias("n"), F.collect_set("size_class").alias("c")).first()
+    bits = min(most_bits, 1 << max(12, (16 * size.n - 1).bit_length()))
+
+    def places(batches):
+        for b in batches:
+            at = np.concatenate(list(bit_positions(b["key"].to_numpy(np.int64).view(np.uint64), bits)))
+            yield pd.DataFrame({"slot": (at >> np.uint64(6)).astype(np.int64),
+                                "bit": (np.uint64(1) << (at & np.uint64(63))).view(np.int64)})
+
+    bitmap = np.zeros(bits // 64, dtype=np.uint64)
+    if size.n:
+        got = keys.select("key").mapInPandas(places, "slot long, bit long").groupBy("slot").agg(F.bit_or("bit").alias("bit")).toPandas()
+        bitmap[got["slot"].to_numpy()] = got["bit"].to_numpy(np.int64).view(np.uint64)
+    return bitmap, sorted(c for c in size.c if c >= 0)
+
+
+# ---- Spark: documents --------------------------------------------------------------
+def _document_keys(docs: DataFrame, keys: DataFrame, text: str, n: int) -> Column:
+    """Keys of a text that the benchmark may hold; null or empty for most texts."""
+    bitmap, classes = key_filter(keys)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+
+    @F.pandas_udf("array<long>")
+    def found(texts: pd.Series) -> pd.Series:
+        return pd.Series([k.view(np.int64) for k in document_keys(texts.tolist(), shared.value, classes, n)], dtype=object)
+    # evaluated once, also where a filter stands on it
+    return found.asNondeterministic()(F.col(text))
+
+
+def _aligned(aside: DataFrame, keys: DataFrame, texts: DataFrame, threshold: float, n: int) -> DataFrame:
+    """(row, k, score, start_word, end_word, seeds) of the set-aside documents (row, t, keys)."""
+    pairs = aside.select("row", F.explode("keys").alias("key")).join(keys.where("k is not null").select("k", "key"), "key") \
+        .select("row", "k").distinct()
+    parts = pairs.join(texts.withColumnRenamed("t", "item"), "k").groupBy("row", F.pmod(F.xxhash64("k"), F.lit(ITEM_PARTS)).alias("part")) \
+        .agg(F.collect_list("k").alias("ks"), F.collect_list("item").alias("items"))
+
+    def align_all(batches):
+        for b in batches:
+            found = [(r, m) for r, t, ks, items in zip(b["row"], b["t"], b["ks"], b["items"])
+                     for m in matches(t, build_index(list(zip(ks, items)), n), threshold)]
+            if found:
+                yield pd.DataFrame({"row": [r for r, _ in found], **{c: [m[f] for _, m in found] for c, f in (
+                    ("k", "item_id"), ("score", "score"), ("start_word", "start_word"), ("end_word", "end_word"), ("seeds", "seeds"))}})
+
+    return aside.select("row", "t").join(parts, "row").select("row", "t", "ks", "items").mapInPandas(
+        align_all, "row long, k long, score double, start_word int, end_word int, seeds int")
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, n: int = SEED_WORDS,
                    doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-                   item_text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
+                   item_text: str = "text", rare_items: int = RARE_ITEMS, pair_keys: int = PAIR_KEYS) -> DataFrame:
     """(doc_id, item_id, score, start_word, end_word, seeds): every contaminated pair."""
-    read = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    schema = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, {MATCH_FIELDS}"
-    out = docs.sparkSession.createDataFrame([], schema)
-    for part in blocks(benchmark, item_id, item_text, block_words):
-        out = out.unionByName(read.mapInArrow(_scan(docs, build_index(part, n), threshold), schema))
-    return out
-
-
-def _scan(docs: DataFrame, index: dict, threshold: float):
-    shared = docs.sparkSession.sparkContext.broadcast(index)
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [(i, m) for i, t in enumerate(b.column("text").to_pylist()) for m in matches(t, shared.value, threshold)]
-            if found:
-                at = pa.array([i for i, _ in found], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").take(at)] + [pa.array([m[f] for _, m in found], t) for f, t in (
-                        ("item_id", pa.int64()), ("score", pa.float64()), ("start_word", pa.int32()),
-                        ("end_word", pa.int32()), ("seeds", pa.int32()))],
-                    names=["doc_id", "item_id", "score", "start_word", "end_word", "seeds"])
-    return scan
+    texts, ids = item_texts(benchmark, item_id, item_text)
+    keys = item_keys(texts, threshold, n, rare_items, pair_keys)
+    aside = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("t"), _document_keys(docs, keys, text, n).alias("keys")) \
+        .where(F.size("keys") > 0).withColumn("row", F.monotonically_increasing_id()).checkpoint()
+    found = _aligned(aside, keys, texts, threshold, n)
+    return found.join(ids, "k").join(aside.select("row", "doc_id"), "row").select(
+        "doc_id", "item_id", "score", "start_word", "end_word", "seeds")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, n: int = SEED_WORDS,
                doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-               item_text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The rows of ``docs`` that no benchmark item contaminates, all columns, in one pass per block."""
-    clean = docs
-    for part in blocks(benchmark, item_id, item_text, block_words):
-        clean = clean.where(_is_clean(docs, build_index(part, n), threshold, text))
-    return clean
-
-
-def _is_clean(docs: DataFrame, index: dict, threshold: float, text: str) -> Column:
-    shared = docs.sparkSession.sparkContext.broadcast(index)
-
-    @F.pandas_udf("boolean")
-    def is_clean(texts: pd.Series) -> pd.Series:
-        return pd.Series([not matches(t, shared.value, threshold) for t in texts], dtype=bool)
-    return is_clean(F.col(text))
+               item_text: str = "text", rare_items: int = RARE_ITEMS, pair_keys: int = PAIR_KEYS) -> DataFrame:
+    """The rows of ``docs`` that no benchmark item contaminates, all columns.
+
+    Documents without a key pass at once; only those set aside are joined, by a row number of their own.
+    """
+    texts, _ = item_texts(benchmark, item_id, item_text)
+    keys = item_keys(texts, threshold, n, rare_items, pair_keys)
+    found = _document_keys(docs, keys, text, n)
+    whole = F.struct(*[F.col(c) for c in docs.columns]).alias("doc")
+    aside = docs.select(whole, F.col(text).alias("t"), found.alias("keys")).where(F.size("keys") > 0) \
+        .withColumn("row", F.monotonically_increasing_id()).checkpoint()
+    dirty = _aligned(aside, keys, texts, threshold, n).select("row").distinct()
+    cleared = aside.join(dirty, "row", "left_anti").select("doc.*")
+    return docs.where(F.coalesce(F.size(found), F.lit(0)) <= 0).unionByName(cleared)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -52,8 +52,8 @@ def corpus():
 def test_planted_copies_are_found_and_clean_documents_left(spark, docs_of):
     docs, items, leaks = corpus()
     df, bench = docs_of(docs), spark.createDataFrame(items, "item_id long, text string")
-    for block in (D.BLOCK_WORDS, 60):
-        got = D.contaminations(df, bench, block_words=block).collect()
+    for way in ({}, {"rare_items": 0}, {"rare_items": 0, "pair_keys": 0}):
+        got = D.contaminations(df, bench, **way).collect()
         pairs = {(r.doc_id, r.item_id) for r in got}
         assert pairs == leaks
     text = dict(docs)
@@ -99,3 +99,63 @@ def test_common_copies_are_found_like_single_ones(spark, docs_of):
         item = [f"{'ec'[r.item_id - 1]}{k}" for k in range(40)]
         assert abs(r.score - brute_score(item, dict(docs)[r.doc_id].split()) / 80) < 1e-9
     assert {r.doc_id for r in D.keep_clean(df, bench).collect()} == {i for i, _ in docs} - {i for i, _ in want}
+
+
+def stem_corpus(rng, n_items, n_docs=60):
+    """Items with a stem in common; documents with stems alone, whole and edited copies."""
+    stem = "which of the following is the best known of all".split()
+    items = [(k, " ".join(stem + words(rng, rng.randint(4, 30), 60))) for k in range(n_items)]
+    docs = []
+    for i in range(n_docs):
+        w = words(rng, rng.randint(0, 80), 60)
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randint(0, len(w))
+            w[at:at] = stem
+        if i % 3 == 0:
+            copy = items[rng.randrange(n_items)][1].split()
+            for _ in range(rng.randint(0, len(copy) // 4)):
+                copy[rng.randrange(len(copy))] = "edit"
+            at = rng.randint(0, len(w))
+            w[at:at] = copy
+        docs.append((i, " ".join(w)))
+    return docs, items
+
+
+def test_whole_query_equals_all_documents_by_all_items(spark, docs_of):
+    """Every pair aligned around every seed, without rarity, keys or filter, gives the same rows."""
+    docs, items = stem_corpus(random.Random(21), 40)
+    items += [(100, items[0][1]), (0, items[1][1])]  # one text under two ids, one id with two texts
+    want = sorted((i, k, round(m["score"], 9), m["start_word"], m["end_word"], m["seeds"])
+                  for i, t in docs for k, item in items for m in D.matches(t, D.build_index([(k, item)])))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for way in ({}, {"rare_items": 0}, {"pair_keys": 0}):
+        got = D.contaminations(docs_of(docs), bench, **way).collect()
+        assert sorted((r.doc_id, r.item_id, round(r.score, 9), r.start_word, r.end_word, r.seeds) for r in got) == want
+    assert len(want) > 20 and {i for i, *_ in want} != {i for i, _ in docs}
+    clean = D.keep_clean(docs_of(docs), bench)
+    assert {r.doc_id for r in clean.collect()} == {i for i, _ in docs} - {i for i, *_ in want}
+
+
+def test_a_common_stem_does_not_meet_every_item(spark):
+    """Keys of a document that holds the stem alone, twenty times: the same few at 50 items and at 800."""
+    rng = random.Random(4)
+    stem = "which of the following is".split()
+    text = " ".join(x for _ in range(20) for x in stem + [f"plain{rng.randrange(10**6)}" for _ in range(95)])
+    for size in (50, 800):
+        items = [(k, " ".join(stem + [f"i{k}x{j}" for j in range(25)])) for k in range(size)]
+        texts, _ = D.item_texts(spark.createDataFrame(items, "item_id long, text string"), "item_id", "text")
+        keys = D.item_keys(texts)
+        bitmap, classes = D.key_filter(keys)
+        found = D.document_keys([text], bitmap, classes)[0].view("int64").tolist()
+        assert keys.where("k is not null").where(keys.key.isin(found or [0])).count() == 0
+        whole = D.document_keys([items[7][1]], bitmap, classes)[0].view("int64").tolist()
+        assert {r.k for r in keys.where("k is not null").where(keys.key.isin(whole)).select("k").distinct().collect()} == {
+            r.k for r in texts.where(texts.t == items[7][1]).collect()}
+
+
+def test_a_full_filter_loses_nothing():
+    texts = ["a b c d e f", None, "", "x y z w v", "a b"]
+    every = np.full(64, 2**64 - 1, dtype=np.uint64)
+    got = D.document_keys(texts, every, [3])
+    assert [len(g) > 0 for g in got] == [True, False, False, True, False]
+    assert all(len(g) == 0 for g in D.document_keys(texts, np.zeros(64, np.uint64), [3]))
