@@ -181,6 +181,26 @@ def read_buckets(spark: SparkSession, path: str) -> DataFrame | None:
     return None if table is None else table.drop(BUCKET)
 
 
+def reindex(df: DataFrame, path: str, mapping: dict[str, str], computed: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """K15 -- copy into a new mapping: (column -> new type), plus ``computed`` columns over the columns so copied.
+
+    A row with a value that does not fit its new type goes, as it was, to the conflicts; the others proceed. One pass
+    writes both sides, as two folders of one table; returns (copied, conflicts), read back.
+    """
+    cast = {c: F.expr(f"try_cast(`{c}` as {t})") for c, t in mapping.items()}
+    wrong = F.lit(False)
+    for c, v in cast.items():
+        wrong = wrong | (F.col(c).isNotNull() & v.isNull())
+    new = df.select(F.struct(*df.columns).alias("before"), *[cast.get(c, F.col(c)).alias(c) for c in df.columns], wrong.alias("conflict"))
+    new = new.select("*", *[v.alias(k) for k, v in (computed or {}).items()])
+    kept = [c for c in new.columns if c not in ("before", "conflict")]
+    new.select(F.when(F.col("conflict"), F.col("before")).alias("before"), F.when(~F.col("conflict"), F.struct(*kept)).alias("after"), "conflict") \
+        .write.partitionBy("conflict").parquet(path)
+    both = df.sparkSession.read.schema(new.select(
+        F.col("before"), F.struct(*kept).alias("after"), "conflict").schema).parquet(path)
+    return both.where("not conflict").select("after.*"), both.where("conflict").select("before.*")
+
+
 def clear(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """K10 -- replace the store by an empty frame with the same schema."""
     df.limit(0).write.mode("overwrite").format(fmt).save(path)
