@@ -10,7 +10,8 @@ with no such key is refused with an error instead of losing its links.
 * Records equal in block, name and address collapse into one profile (a group-by) if the model links
   such records; a null name or address is no evidence and merges nothing.
 * Groups of a shared key are compared in tiles of bounded size (``operators.tiles``): a hot name or address is
-  spread over tasks, and a tile returns its best links per profile and a spanning forest, never all pairs.
+  spread over tasks, and a tile returns its best links per profile and stars of what is connected, never all pairs.
+* Levels are compared over arrays of pairs, distinct strings once, and only as far as a pair can still reach the threshold.
 * Clusters are connected components by star contraction, with no limit on rounds.
 * Every published link reaches the threshold: a record's probability is that of its best direct link.
 """
@@ -22,12 +23,13 @@ import math
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.strings import damerau_levenshtein, jaro_winkler
+from ..functions.strings import Pool, damerau_levenshtein, jaro_winkler, jaro_winkler_pairs, one_edit
 from ..vocab import LINK_PRIOR, LINK_THRESHOLD
 from . import tiles as T
 from .components import connected
@@ -142,43 +144,114 @@ def candidate_keys(prof: DataFrame, model: dict, threshold: float) -> DataFrame:
     return out.distinct()
 
 
+#: pairs that a step inside a task holds at a time
+PAIRS = 1 << 18
+NAME_LEVELS = ["exact", "dl1", "jw90", "jw80", "else", "null"]
+ADDRESS_LEVELS = ["exact", "jw90", "jw70", "else", "null"]
+
+
+def _distinct(measure, pool: Pool, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``measure`` of each pair, taken once for equal pairs."""
+    pairs, at = np.unique(a.astype(np.int64) * len(pool.length) + b, return_inverse=True)
+    return measure(pool, pairs // len(pool.length), pairs % len(pool.length))[at]
+
+
+class Levels:
+    """Comparison levels of arrays of pairs (M3, M4), worked out only as far as a pair can still be ``worth`` it.
+
+    ``worth[name level, address level]`` says which combinations count. A level that is not known yet is a set of levels
+    ("not equal", "more than one edit"); a pair is dropped once no combination of its sets counts.
+    """
+
+    UNEQUAL, FAR, OTHER = 6, 7, 5  # name: levels 1-4, levels 2-4; address: levels 1-3
+
+    def __init__(self, pdf: pd.DataFrame, worth: np.ndarray):
+        self.name, names = pd.factorize(pdf["name_n"])
+        self.address, addresses = pd.factorize(pdf["address_n"])
+        self.names, self.addresses = Pool(list(names)), Pool(list(addresses))
+        rows = np.vstack([worth, worth[1:5].any(axis=0), worth[2:5].any(axis=0)])
+        self.worth = np.column_stack([rows, rows[:, 1:4].any(axis=1)])
+
+    def of(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(positions of the pairs that count, their name levels, their address levels), levels as numbers."""
+        n1, n2, a1, a2 = self.name[i], self.name[j], self.address[i], self.address[j]
+        name = np.where((n1 < 0) | (n2 < 0), 5, np.where(n1 == n2, 0, self.UNEQUAL))
+        address = np.where((a1 < 0) | (a2 < 0), 4, np.where(a1 == a2, 0, self.OTHER))
+        left = np.flatnonzero(self.worth[name, address])
+        todo = left[name[left] == self.UNEQUAL]
+        name[todo] = np.where(_distinct(one_edit, self.names, n1[todo], n2[todo]), 1, self.FAR)
+        left = left[self.worth[name[left], address[left]]]
+        todo = left[name[left] == self.FAR]
+        jw = _distinct(jaro_winkler_pairs, self.names, n1[todo], n2[todo])
+        name[todo] = np.where(jw >= 0.9, 2, np.where(jw >= 0.8, 3, 4))
+        left = left[self.worth[name[left], address[left]]]
+        todo = left[address[left] == self.OTHER]
+        jw = _distinct(jaro_winkler_pairs, self.addresses, a1[todo], a2[todo])
+        address[todo] = np.where(jw >= 0.9, 1, np.where(jw >= 0.7, 2, 3))
+        left = left[self.worth[name[left], address[left]]]
+        return left, name[left], address[left]
+
+
+def _pairs(pdf: pd.DataFrame, segment: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of rows of one tile, in steps of about ``PAIRS``; in a tile of two blocks, one row of each."""
+    n = len(pdf)
+    profile, blk = pd.factorize(pdf["profile"])[0], pdf["blk"].to_numpy()
+    cross = (pdf["ti"] != pdf["tj"]).to_numpy()
+    partners = np.searchsorted(segment, segment, side="right") - np.arange(n) - 1
+    total = np.cumsum(partners)
+    lo = 0
+    while lo < n:
+        hi = max(int(np.searchsorted(total, (total[lo - 1] if lo else 0) + PAIRS, side="right")), lo + 1)
+        i = np.repeat(np.arange(lo, hi), partners[lo:hi])
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(partners[lo:hi]) - partners[lo:hi], partners[lo:hi])
+        met = (profile[i] != profile[j]) & ~(cross[i] & (blk[i] == blk[j]))
+        yield i[met], j[met]
+        lo = hi
+
+
+def _joined(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Each row's smallest row reachable by the links so far (``label``) and those of (i, j)."""
+    while len(i):
+        a, b = label[i], label[j]
+        apart = a != b
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while (label != label[label]).any():
+            label = label[label]
+    return label
+
+
+def _batches(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Whole tiles, rows by id inside a tile (greedy matching looks at the smaller id's string first), and tile numbers."""
+    for pdf in T.whole_groups(batches, TILE):
+        segment = T.segment_ids(pdf, TILE)
+        order = np.lexsort((pdf["profile"].to_numpy().astype(str), segment))
+        yield pdf.iloc[order].reset_index(drop=True), segment
+
+
 def _compare(model: dict, threshold: float):
+    odds = np.array([[probability(weight(model, n, a)) for a in ADDRESS_LEVELS] for n in NAME_LEVELS])
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in T.whole_groups(batches, TILE):
-            u, v, prob = [], [], []
-            for _, g in pdf.groupby(TILE, sort=False):
-                rows = list(zip(g["profile"], g["name_n"], g["address_n"], g["blk"]))
-                cross, best, root = g["ti"].iloc[0] != g["tj"].iloc[0], {}, {r[0]: r[0] for r in rows}
-
-                def find(x, root=root):
-                    while root[x] != x:
-                        root[x] = root[root[x]]
-                        x = root[x]
-                    return x
-                for (p, n1, a1, b1), (q, n2, a2, b2) in itertools.combinations(rows, 2):
-                    if p == q or (cross and b1 == b2):
-                        continue
-                    pr = probability(weight(model, name_level(n1, n2), address_level(a1, a2)))
-                    if pr < threshold:
-                        continue
-                    best[p], best[q] = max(best.get(p, 0), pr), max(best.get(q, 0), pr)
-                    if find(p) != find(q):
-                        root[find(p)] = find(q)
-                        u.append(p)
-                        v.append(q)
-                        prob.append(pr)
-                for p, pr in best.items():
-                    u.append(p)
-                    v.append(p)
-                    prob.append(pr)
-            yield pd.DataFrame({"l": pd.Series(u, dtype=object), "r": pd.Series(v, dtype=object),
-                                "match_probability": pd.Series(prob, dtype="float64")})
+        for pdf, segment in _batches(batches):
+            levels = Levels(pdf, odds >= threshold)
+            label, best = np.arange(len(pdf)), np.zeros(len(pdf))
+            for i, j in _pairs(pdf, segment):
+                at, name, address = levels.of(i, j)
+                for side in (i[at], j[at]):
+                    np.maximum.at(best, side, odds[name, address])
+                label = _joined(label, i[at], j[at])
+            profile = pdf["profile"].to_numpy()
+            far, linked = np.flatnonzero(label != np.arange(len(pdf))), np.flatnonzero(best > 0)
+            yield pd.DataFrame({"l": np.concatenate([profile[label[far]], profile[linked]]),
+                                "r": np.concatenate([profile[far], profile[linked]]),
+                                "match_probability": np.concatenate([np.full(len(far), np.nan), best[linked]])})
     return run
 
 
 def links(prof: DataFrame, model: dict | None = None, threshold: float = LINK_THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """(l, r, match_probability) over profiles: a spanning forest of all pairs that reach the threshold, and one
-    row (p, p, best) per linked profile with the probability of its best pair."""
+    """(l, r, match_probability) over profiles: per tile, its smallest profile with each one that pairs reaching the threshold
+    connect to it (no probability), and one row (p, p, best) per linked profile with the probability of its best pair."""
     model = model or DEFAULT_MODEL
     keyed = candidate_keys(prof, model, threshold).checkpoint()
     dealt = T.dealt(T.tiled(keyed, "key", "profile", block), "key") \
@@ -194,16 +267,14 @@ def pattern_counts(prof: DataFrame, model: dict | None = None, threshold: float
     keyed = candidate_keys(prof, model, threshold)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in T.whole_groups(batches, TILE):
-            seen: dict[tuple[str, str], int] = {}
-            for _, g in pdf.groupby(TILE, sort=False):
-                rows = list(zip(g["profile"], g["name_n"], g["address_n"], g["blk"]))
-                cross = g["ti"].iloc[0] != g["tj"].iloc[0]
-                for (p, n1, a1, b1), (q, n2, a2, b2) in itertools.combinations(rows, 2):
-                    if p != q and not (cross and b1 == b2):
-                        k = name_level(n1, n2), address_level(a1, a2)
-                        seen[k] = seen.get(k, 0) + 1
-            yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["gamma_name", "gamma_address", "n"])
+        every = np.ones((len(NAME_LEVELS), len(ADDRESS_LEVELS)), dtype=bool)
+        for pdf, segment in _batches(batches):
+            levels, seen = Levels(pdf, every), np.zeros(every.size, dtype=np.int64)
+            for i, j in _pairs(pdf, segment):
+                _, name, address = levels.of(i, j)
+                seen += np.bincount(name * len(ADDRESS_LEVELS) + address, minlength=every.size)
+            yield pd.DataFrame([(n, a, c) for (n, a), c in zip(itertools.product(NAME_LEVELS, ADDRESS_LEVELS), seen) if c],
+                               columns=["gamma_name", "gamma_address", "n"])
     dealt = T.dealt(T.tiled(keyed, "key", "profile", block), "key") \
         .select("key", "ti", "tj", "blk", "profile", F.col("name_n"), F.col("address_n"))
     return dealt.mapInPandas(count, "gamma_name string, gamma_address string, n long") \

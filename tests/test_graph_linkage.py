@@ -159,3 +159,57 @@ def test_em_estimates_valid_model(spark):
     out = LK.link(df, "id", train=True).collect()
     assert sorted(r.unique_id_src for r in out) == [str(i) for i in range(8)]
     assert all(0.0 <= r.match_probability <= 1.0 for r in out)
+
+
+def _words(seed, n):
+    import random
+    rnd = random.Random(seed)
+    made = ["".join(rnd.choice(letters) for _ in range(size)) for letters in ("ab", "abc é", "abcdefghij") for size in
+            [*range(9)] * 2 + [25, 60]]
+    edited = []
+    for w in made:
+        at = rnd.randrange(len(w) + 1)
+        edited += [w[:at] + "z" + w[at:], w[:at] + w[at + 1:], w[:at] + w[at + 1:at + 2] + w[at:at + 1] + w[at + 2:]]
+    return sorted({*made, *edited, "", "\U0001f600a", "a\U0001f600"})[:n]
+
+
+def test_array_distances_equal_the_plain_ones(monkeypatch):
+    import numpy as np
+
+    from tenderflow.functions import strings as S
+    words = _words(3, 120)
+    i, j = map(np.ravel, np.meshgrid(np.arange(len(words)), np.arange(len(words))))
+    pool = S.Pool(words)
+    want = [jaro_winkler(words[a], words[b]) for a, b in zip(i, j)]
+    near = [damerau_levenshtein(words[a], words[b]) <= 1 for a, b in zip(i, j)]
+    for cells in (S.CELLS, 500):
+        monkeypatch.setattr(S, "CELLS", cells)
+        assert (S.jaro_winkler_pairs(pool, i, j) == want).all()
+        assert (S.one_edit(pool, i, j) == near).all()
+    empty = np.zeros(0, dtype=int)
+    assert len(S.jaro_winkler_pairs(S.Pool([]), empty, empty)) == len(S.one_edit(S.Pool([]), empty, empty)) == 0
+
+
+def test_levels_of_tiles_equal_pair_by_pair(spark):
+    """Counts of level patterns over tiles of several groups, nulls and cross blocks, against one comparison a pair."""
+    from collections import Counter
+    words = _words(5, 60)
+    rows = [(f"{n:03d}", words[n % 60] or None, words[(n * 7 + n // 60) % 60] or None, "AB"[n % 2]) for n in range(150)]
+    df = spark.createDataFrame(rows, "id string, name string, address string, country string")
+    prof = LK.profiles(df, "id", "name", "address", "country").checkpoint()
+    model, want = LK.DEFAULT_MODEL, Counter()
+    keyed = LK.candidate_keys(prof, model, 0.8).collect()
+    groups = {}
+    for r in keyed:
+        groups.setdefault(r.key, []).append((r.profile, r.name_n, r.address_n))
+    for g in groups.values():
+        for (p, n1, a1), (q, n2, a2) in itertools.combinations(sorted(g, key=lambda r: r[0]), 2):
+            if p != q:
+                want[LK.name_level(n1, n2), LK.address_level(a1, a2)] += 1
+    for size in (LK.BLOCK, 2):
+        got = {(r.gamma_name, r.gamma_address): r.n for r in LK.pattern_counts(prof, model, block=size).collect()}
+        assert got == dict(want)
+    brute = _brute_links(rows)
+    got = {r.unique_id_src: (r.unique_id_dst, r.match_probability) for r in LK.link(df, "id", block_size=4).collect()}
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in brute.items()}
+    assert all(abs(got[k][1] - brute[k][1]) < 1e-12 for k in brute)
