@@ -74,9 +74,9 @@ def upsert(existing: DataFrame, new: DataFrame, pk: list[str], order: list[str])
 
 
 # ---- sinks -----------------------------------------------------------------
-def append(df: DataFrame, path: str, fmt: str = "parquet", max_records_per_file: int | None = None) -> None:
+def append(df: DataFrame, path: str, fmt: str = "parquet", max_records_per_file: int | None = None, **options) -> None:
     """K1/K9/K14 -- append rows; ``max_records_per_file`` bounds output parts."""
-    w = df.write.mode("append").format(fmt)
+    w = df.write.mode("append").format(fmt).options(**options)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.save(path)

@@ -350,6 +350,16 @@ def link_to_reference(new: DataFrame, reference: DataFrame, uid: str, name: str
     return out.join(new.select(F.col(uid).cast("string").alias("unique_id_src")), "unique_id_src", "left_semi")
 
 
+def grown_reference(reference: DataFrame, new: DataFrame, linked: DataFrame, uid: str) -> DataFrame:
+    """M7 -- the reference table after a run: its records and the new ones that head a cluster of their own
+    (``linked``: the result of ``link_to_reference``)."""
+    heads = linked.where("unique_id_src = unique_id_dst").select(F.col("unique_id_src").alias("_head"))
+    known = reference.select(F.col(uid).cast("string").alias("_known")).distinct()
+    named = F.col(uid).cast("string")
+    fresh = new.join(heads, named == F.col("_head"), "left_semi").join(known, named == F.col("_known"), "left_anti")
+    return reference.unionByName(fresh.select(*reference.columns))
+
+
 def _links_of(df, uid, name, address, block, threshold, model, train, block_size, known) -> DataFrame:
     model = model or DEFAULT_MODEL
     merge = probability(weight(model, "exact", "exact")) >= threshold

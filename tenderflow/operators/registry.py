@@ -115,3 +115,33 @@ def plan(spark: SparkSession, run_date: dt.date, tables: list[str]) -> DataFrame
 def days(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
     """I1 -- every day of a range as one frame: one job over the range instead of a loop of runs."""
     return spark.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias("day"))
+
+
+DAY = "extract_day"
+
+
+def run_days(df: DataFrame, day: str, start: dt.date, end: dt.date, path: str) -> DataFrame:
+    """I1 -- the extracts of all days from ``start`` to ``end`` in one job; returns (day, rows), 0 for a day without any.
+
+    Rows whose ``day`` column (date or timestamp, compared as it is, so that the scan prunes) lies in the range are written under one folder a day. Every day of the range gets its folder,
+    held by a row that only marks it, so that days run again are replaced (dynamic partition overwrite) even where their
+    rows have gone, and other days stay. ``read_days`` gives the rows without the marks.
+    """
+    spark = df.sparkSession
+    within = (F.col(day) >= F.lit(start)) & (F.col(day) < F.lit(end + dt.timedelta(days=1)))
+    rows = df.where(within).select(F.to_date(day).alias(DAY), F.struct(*df.columns).alias("row"))
+    marks = days(spark, start, end).select(F.col("day").alias(DAY)) if start <= end else rows.select(DAY).limit(0)
+    rows.unionByName(marks, allowMissingColumns=True).hint("rebalance", DAY) \
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path)
+    written = spark.read.schema(rows.select("row", DAY).schema).parquet(path).where(F.col(DAY).between(F.lit(start), F.lit(end)))
+    return written.groupBy(F.col(DAY).alias("day")).agg(F.count("row").alias("rows"))
+
+
+def read_days(spark: SparkSession, path: str, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+    """The rows stored by ``run_days``; a window reads its folders only."""
+    stored = spark.read.parquet(path).where(F.col("row").isNotNull())
+    if start is not None:
+        stored = stored.where(F.col(DAY) >= F.lit(start))
+    if end is not None:
+        stored = stored.where(F.col(DAY) <= F.lit(end))
+    return stored.select("row.*")

@@ -625,4 +625,4 @@ select c_custkey, code, {", ".join(
     f"case when length(code) >= {n + 2} then (select min(x.code) from nuts_codes x where x.code = substr(c.code, 1, {n + 2})) end as level{n}"
     for n in range(4))} from c""")(_nuts_by_level)
 
-from . import catalog_files  # noqa: E402, F401
+from . import catalog_files, catalog_stores  # noqa: E402, F401

@@ -267,6 +267,15 @@ def write_triples(graph: Graph, path: str, mode: str = "overwrite") -> None:
     graph.triples().hint("rebalance", "p").write.mode(mode).partitionBy("p").parquet(path)
 
 
+def union_graphs(*graphs: Graph) -> Graph:
+    """U2 -- the union of graphs as a set: a triple that several hold, or one holds twice, stands once."""
+    parts = [g.triples().select("s", "p", "o", "o_kind", "lang", "dtype", "g") for g in graphs]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return Graph(graphs[0].spark, triples=out.distinct())
+
+
 def in_graph(graph: Graph, g: str) -> Graph:
     """S3 -- restrict to one named graph."""
     return Graph(graph.spark, triples=graph.triples().where(F.col("g") == F.lit(g)))
@@ -276,5 +285,5 @@ def literal_type(name: str) -> str:
     return XSD + name
 
 
-__all__ = ["Graph", "branch", "read_triples", "parse_ntriples", "to_ntriples", "write_triples", "in_graph",
+__all__ = ["Graph", "branch", "read_triples", "parse_ntriples", "to_ntriples", "write_triples", "in_graph", "union_graphs",
            "TRIPLE_SCHEMA", "RDF_TYPE", "literal_type"]
