@@ -60,14 +60,17 @@ def with_indicators(df: DataFrame, arr, names: list[str], prefix: str = "", type
                     value_field: str = "value") -> DataFrame:
     """D4/D5/D6 -- ``df`` plus one column per indicator type: the value of the first element of that type.
 
-    The types are listed in a step of their own, which Catalyst keeps because many columns read it: they
-    are extracted once per row, and each column is an ``array_position`` + ``element_at`` lookup.
+    All values are looked up in one pass over the list, in a step of its own that Catalyst keeps because many columns read
+    it; each column then is an element of that step's array. Lookups unrolled per column make code too large to compile.
     """
     a = F.col(arr) if isinstance(arr, str) else arr
     listed = df.withColumn("_ind", a).withColumn("_types", F.transform("_ind", lambda x: x[type_field]))
-    at = lambda n: F.array_position("_types", F.lit(n)).cast("int")
-    cols = [F.when(at(n) > 0, F.element_at("_ind", at(n))[value_field]).alias(prefix + n) for n in names]
-    return listed.select(*df.columns, *cols)
+
+    def value(name):
+        at = F.array_position("_types", name).cast("int")
+        return F.when(at > 0, F.element_at("_ind", at)[value_field])
+    listed = listed.withColumn("_values", F.transform(F.array(*[F.lit(n) for n in names]), value))
+    return listed.select(*df.columns, *[F.get("_values", F.lit(i)).alias(prefix + n) for i, n in enumerate(names)])
 
 
 def nuts_levels(col, levels: list[int], prefix: str) -> list[Column]:

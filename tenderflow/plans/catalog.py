@@ -236,12 +236,12 @@ def _ind_sql(names, a, b, prefix=""):
                      for i, n in enumerate(names))
 
 
-def _docs(spark, sf_dir):
-    return J.tender_documents(spark, sf_dir)
+def _docs(spark, sf_dir, *fields):
+    return J.tender_documents(spark, sf_dir, list(fields) or None)
 
 
 def _explode_tenders(spark, sf_dir):
-    d = _docs(spark, sf_dir).select(F.col("tender.id").alias("tender_id"), F.col("tender.title").alias("tender_title"),
+    d = _docs(spark, sf_dir, "id", "title", "buyers", "lots.bids").select(F.col("tender.id").alias("tender_id"), F.col("tender.title").alias("tender_title"),
                                     F.explode("tender.buyers").alias("buyer"), "tender.lots")
     d = d.select("tender_id", "tender_title", F.col("buyer.name").alias("buyer_name"), F.explode("lots").alias("lot"))
     d = d.select("tender_id", "tender_title", "buyer_name", F.col("lot.lotId").alias("lot_id"),
@@ -261,7 +261,7 @@ select {_TID} as tender_id, 'Contract ' || l.l_orderkey as tender_title, c.c_nam
 register("tender_cpvs", f"""
 select {_TID} as tender_id, {_cpv('l.l_partkey')} as main_cpv,
        {_cpv('l.l_partkey')} || ' ||| ' || substr({_cpv('l.l_partkey')}, 1, 2) || '000000' as all_cpvs
-from lineitem l""")(lambda spark, sf_dir: as_text(_docs(spark, sf_dir).select(
+from lineitem l""")(lambda spark, sf_dir: as_text(_docs(spark, sf_dir, "id", "cpvs").select(
     F.col("tender.id").alias("tender_id"), DOC.main_cpv("tender.cpvs").alias("main_cpv"),
     DOC.all_cpvs("tender.cpvs").alias("all_cpvs"))))
 register("flatten_struct", f"""
@@ -279,7 +279,7 @@ select 'S' || s.s_suppkey as bidder_id, s.s_name as bidder_name,
        'supplier' || s.s_suppkey || '@supplier.example' as bidder_email, s.s_acctbal < 5000 as bidder_isSme,
        {_a2('s.s_nationkey')} as bidder_address_country, {_n3('s.s_suppkey', 's.s_nationkey')} as bidder_address_nuts
 {_DOC_FROM}""")(lambda spark, sf_dir: DOC.flatten_struct(
-    DOC.explode_path(_docs(spark, sf_dir), "tender", ["lots", "bids", "bidders"]).select(F.col("_n3").alias("bidder")),
+    DOC.explode_path(_docs(spark, sf_dir, "lots.bids"), "tender", ["lots", "bids", "bidders"]).select(F.col("_n3").alias("bidder")),
     "_"))
 register("sme_share", f"""
 select round(100.0 * count(*) filter (where s.s_acctbal < 5000) / count(*), 2) as sme_share {_DOC_FROM}""")(
@@ -287,22 +287,22 @@ select round(100.0 * count(*) filter (where s.s_acctbal < 5000) / count(*), 2) a
 register("ot_nuts", f"""
 select {_TID} as tender_id, {", ".join(f"substr({_n3('l.l_partkey', 'l.l_suppkey % 25')}, 1, {n + 2}) as nuts{n}"
                                       for n in (1, 2, 3))}
-from lineitem l""")(lambda spark, sf_dir: _docs(spark, sf_dir).select(
+from lineitem l""")(lambda spark, sf_dir: _docs(spark, sf_dir, "id", "addressOfImplementation").select(
     F.col("tender.id").alias("tender_id"), *DOC.nuts_levels("tender.addressOfImplementation.nuts", [1, 2, 3], "nuts")))
 register("score_columns", f"""
 select {_TID} as tender_id, {", ".join(f"cast(((l.l_orderkey + {i}) % 5) * 25 as double) as {n}"
                                       for i, n in enumerate(J.SCORES))}
-from lineitem l""")(lambda spark, sf_dir: DOC.with_indicators(_docs(spark, sf_dir).select(
+from lineitem l""")(lambda spark, sf_dir: DOC.with_indicators(_docs(spark, sf_dir, "id", "ot").select(
     F.col("tender.id").alias("tender_id"), F.col("tender.ot.scores").alias("scores")), "scores", J.SCORES).drop("scores"))
 register("indicator_columns", f"""
 select {_TID} as tender_id, {_ind_sql(J.TENDER_INDICATORS, 'l.l_orderkey', 'l.l_partkey')}
-from lineitem l""")(lambda spark, sf_dir: DOC.with_indicators(_docs(spark, sf_dir).select(
+from lineitem l""")(lambda spark, sf_dir: DOC.with_indicators(_docs(spark, sf_dir, "id", "indicators").select(
     F.col("tender.id").alias("tender_id"), F.col("tender.indicators").alias("listed")), "listed", J.TENDER_INDICATORS)
     .drop("listed"))
 register("lot_indicator_columns", f"""
 select {_TID} as tender_id, cast(l.l_linenumber as varchar) as lot_id,
        {_ind_sql(J.LOT_INDICATORS, 'l.l_linenumber', 'l.l_suppkey', 'lot_')}
-from lineitem l""")(lambda spark, sf_dir: DOC.with_indicators(_docs(spark, sf_dir).select(
+from lineitem l""")(lambda spark, sf_dir: DOC.with_indicators(_docs(spark, sf_dir, "id", "lots.indicators").select(
     F.col("tender.id").alias("tender_id"), F.explode("tender.lots").alias("lot")).select(
     "tender_id", F.col("lot.lotId").alias("lot_id"), F.col("lot.indicators").alias("listed")),
     "listed", J.LOT_INDICATORS, "lot_").drop("listed"))
@@ -310,7 +310,7 @@ from lineitem l""")(lambda spark, sf_dir: DOC.with_indicators(_docs(spark, sf_di
 
 def _static_lookup(spark, sf_dir):
     from ..operators.taxonomy import lookup
-    d = _docs(spark, sf_dir).select(F.col("tender.id").alias("tender_id"), F.col("tender.ot.cpv").alias("cpv"),
+    d = _docs(spark, sf_dir, "id", "ot").select(F.col("tender.id").alias("tender_id"), F.col("tender.ot.cpv").alias("cpv"),
                                     F.col("tender.ot.country").alias("country"))
     d = lookup(d, "cpv", D.cpv_codes(spark, sf_dir).withColumnRenamed("label", "cpv_label"), "code", ["cpv_label"])
     d = lookup(d, "country", D.countries(spark, sf_dir).withColumnRenamed("name", "country_name"), "alpha2",

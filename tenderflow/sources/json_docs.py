@@ -72,16 +72,22 @@ TENDER_SCHEMA = T.StructType([T.StructField("tender", T.StructType([
 
 def _indicators(names: list[str], a: Column, b: Column) -> Column:
     """Indicator list: value ((a+i)%3)*50 when calculated, status INSUFFICIENT_DATA (no value) when (b+i)%4=0."""
-    items = []
-    for i, n in enumerate(names):
+    def item(name: Column, i: Column) -> Column:  # one small expression for all of them: unrolled, the code is too large to compile
         calc = (b + i) % 4 != 0
-        items.append(F.struct(F.lit(n).alias("type"),
-                              F.when(calc, "CALCULATED").otherwise("INSUFFICIENT_DATA").alias("status"),
-                              F.when(calc, (((a + i) % 3) * 50).cast("double")).alias("value")))
-    return F.array(*items)
+        return F.struct(name.alias("type"), F.when(calc, "CALCULATED").otherwise("INSUFFICIENT_DATA").alias("status"),
+                        F.when(calc, (((a + i) % 3) * 50).cast("double")).alias("value"))
+    return F.transform(F.array(*[F.lit(n) for n in names]), item)
 
 
-def tender_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tender_documents(spark: SparkSession, sf_dir: str, fields: list[str] | None = None) -> DataFrame:
+    """Nested tender documents, a row each, with the ``fields`` asked for ("id", "lots", "lots.bids" ...; all by default).
+
+    Fields are left out before the document is built, as a reader of written documents leaves columns out: once a document
+    with several costly fields is a column, Catalyst keeps it whole.
+    """
+    def wanted(name: str) -> bool:
+        return fields is None or any(f == name or name.startswith(f + ".") or f.startswith(name + ".") for f in fields)
+
     t = Tables(spark, sf_dir)
     l = t.lineitem.alias("l")
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate", "o_totalprice")
@@ -103,11 +109,10 @@ def tender_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                                nuts3(F.col("s_suppkey"), F.col("s_nationkey")).alias("nuts")).alias("address"))
     bid = F.struct(key.alias("bidId"), F.lit(True).alias("isWinning"), price.alias("price"),
                    F.array(bidder).alias("bidders"))
-    lot = F.struct(F.col("l_linenumber").cast("string").alias("lotId"), F.col("l_linestatus").alias("status"),
-                   F.concat(F.lit("Lot "), F.col("l_linenumber").cast("string")).alias("title"),
-                   (F.col("l_quantity").cast("int") % 5).alias("bidsCount"),
-                   _indicators(LOT_INDICATORS, F.col("l_linenumber"), F.col("l_suppkey")).alias("indicators"),
-                   F.array(bid).alias("bids"))
+    lot = {"lotId": F.col("l_linenumber").cast("string"), "status": F.col("l_linestatus"),
+           "title": F.concat(F.lit("Lot "), F.col("l_linenumber").cast("string")), "bidsCount": F.col("l_quantity").cast("int") % 5,
+           "indicators": _indicators(LOT_INDICATORS, F.col("l_linenumber"), F.col("l_suppkey")), "bids": F.array(bid)}
+    lot = F.struct(*[c.alias(n) for n, c in lot.items() if n == "lotId" or wanted(f"lots.{n}")])
     buyer = F.struct(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("id"), F.col("c_name").alias("name"),
                      F.concat(F.lit("customer"), F.col("c_custkey").cast("string"), F.lit("@customer.example"))
                      .alias("email"),
@@ -116,21 +121,18 @@ def tender_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = F.array(*[F.struct(F.lit(n).alias("type"), F.lit("CALCULATED").alias("status"),
                                 (((F.col("l_orderkey") + i) % 5) * 25).cast("double").alias("value"))
                        for i, n in enumerate(SCORES)])
-    tender = F.struct(
-        key.alias("id"), F.concat(F.lit("Contract "), F.col("l_orderkey").cast("string")).alias("title"),
-        alpha2(F.col("c_nationkey")).alias("country"), ptype.alias("procedureType"),
-        F.when(F.col("s_acctbal") < 5000, "SME").alias("size"),
-        F.struct(F.col("o_totalprice").alias("netAmount"), currency_of("o_custkey").alias("currency"))
-        .alias("estimatedPrice"),
-        F.array(F.struct(cpv.alias("code"), F.lit(True).alias("isMain")),
-                F.struct(F.concat(F.substring(cpv, 1, 2), F.lit("000000")).alias("code"), F.lit(False).alias("isMain")))
-        .alias("cpvs"),
-        _indicators(TENDER_INDICATORS, F.col("l_orderkey"), F.col("l_partkey")).alias("indicators"),
-        F.array(buyer).alias("buyers"), F.array(lot).alias("lots"),
-        F.struct(alpha2(F.col("c_nationkey")).alias("country"), cpv.alias("cpv"),
-                 F.to_date("o_orderdate").cast("string").alias("date"), scores.alias("scores")).alias("ot"),
-        F.struct(nuts3(F.col("l_partkey"), F.col("l_suppkey") % 25).alias("nuts")).alias("addressOfImplementation"))
-    return j.select(tender.alias("tender"))
+    tender = {
+        "id": key, "title": F.concat(F.lit("Contract "), F.col("l_orderkey").cast("string")),
+        "country": alpha2(F.col("c_nationkey")), "procedureType": ptype, "size": F.when(F.col("s_acctbal") < 5000, "SME"),
+        "estimatedPrice": F.struct(F.col("o_totalprice").alias("netAmount"), currency_of("o_custkey").alias("currency")),
+        "cpvs": F.array(F.struct(cpv.alias("code"), F.lit(True).alias("isMain")),
+                        F.struct(F.concat(F.substring(cpv, 1, 2), F.lit("000000")).alias("code"), F.lit(False).alias("isMain"))),
+        "indicators": _indicators(TENDER_INDICATORS, F.col("l_orderkey"), F.col("l_partkey")),
+        "buyers": F.array(buyer), "lots": F.array(lot),
+        "ot": F.struct(alpha2(F.col("c_nationkey")).alias("country"), cpv.alias("cpv"),
+                       F.to_date("o_orderdate").cast("string").alias("date"), scores.alias("scores")),
+        "addressOfImplementation": F.struct(nuts3(F.col("l_partkey"), F.col("l_suppkey") % 25).alias("nuts"))}
+    return j.select(F.struct(*[c.alias(n) for n, c in tender.items() if wanted(n)]).alias("tender"))
 
 
 def write_json(docs: DataFrame, path: str, max_records_per_file: int = 100_000) -> None:
