@@ -1,9 +1,11 @@
 """Stores that the library keeps: days run again, a reference that grows, unions of graphs, parts read together."""
 
 import datetime as dt
+import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from tenderflow.operators import keyed as K
@@ -71,3 +73,33 @@ def test_parts_of_unlike_columns_read_together(spark, tmp_path):
     K.append(spark.createDataFrame([(3,)], "id int"), path, compression="zstd")
     got = S.read_many(spark, path, "part-", ".gz.parquet").select("id", "name", "price")
     assert sorted(map(tuple, got.collect())) == [(1, "a", None), (2, None, 0.5)]
+
+
+def _written(path):
+    return [os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.startswith("part-")]
+
+
+def test_lines_are_kept_as_bounded_gzip_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(TR, "LINES_A_FILE", 40)
+    lines = spark.range(100).selectExpr("concat('<http://x/s', id, '> <http://x/p> \"v\" .') as value").coalesce(1)
+    TR.write_lines(lines, str(tmp_path / "t"))
+    files = _written(tmp_path / "t")
+    assert len(files) == 3 and all(f.endswith(".txt.gz") for f in files)
+    assert spark.read.text(str(tmp_path / "t")).distinct().count() == 100
+
+
+def test_a_virtual_graph_is_stored_without_a_shuffle_and_reads_back(spark, tmp_path):
+    a, b = spark.range(5), spark.range(3)
+    iri = lambda k: F.concat(F.lit(f"http://x/{k}"), F.col("id"))
+    g = TR.Graph(spark, branches={"http://x/p": [lambda: TR.branch(a, iri("a"), iri("b")), lambda: TR.branch(b, iri("c"), iri("d"), "literal", "en")],
+                                  (TR.RDF_TYPE, "http://x/A"): [lambda: TR.branch(a, iri("a"), F.lit("http://x/A"))],
+                                  (TR.RDF_TYPE, "http://x/C"): [lambda: TR.branch(b, iri("c"), F.lit("http://x/C"))], "http://x/none": []})
+    path = str(tmp_path / "g")
+    assert list(g.by_predicate) == ["http://x/p", TR.RDF_TYPE]
+    TR.write_triples(g, path)
+    back = TR.read_triples(spark, path, dedup=False)[0].triples()
+    assert sorted(map(tuple, back.select(*TR.TRIPLE_SCHEMA.names).collect()), key=str) == \
+        sorted(map(tuple, g.triples().select(*TR.TRIPLE_SCHEMA.names).collect()), key=str) and back.count() == 16
+    assert all(f.endswith(".zstd.parquet") or ".zstd" in f for f in _written(path))
+    TR.write_triples(g, path)  # over what was there
+    assert spark.read.parquet(path).count() == 16
