@@ -42,3 +42,12 @@ def test_empty_text(spark, tmp_path):
     text, store = str(tmp_path / "text"), str(tmp_path / "store")
     write(spark, text, [])
     assert load_quads(spark, text, store).count() == 0 and stored_graph(spark, store).triples().count() == 0
+
+
+def test_the_set_of_triples_is_written_where_it_was_made(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrame
+    hints, plain = [], DataFrame.hint
+    monkeypatch.setattr(type(spark.range(1)), "hint", lambda self, name, *a: hints.append(name) or plain(self, name, *a))
+    write(spark, str(tmp_path / "text"), LINES)
+    load_quads(spark, str(tmp_path / "text"), str(tmp_path / "store"))
+    assert "rebalance" not in hints and stored_graph(spark, str(tmp_path / "store")).triples().count() == 3
