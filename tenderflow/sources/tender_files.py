@@ -32,7 +32,8 @@ def order_tenders(spark: SparkSession, sf_dir: str) -> DataFrame:
                    (F.col("l_linestatus") == "F").alias("isWinning"),
                    F.struct(F.col("l_extendedprice").alias("netAmount"), currency_of("l_suppkey").alias("currency")).alias("price"),
                    known("bidder", "partner").alias("bidders"))
-    lots = lines.groupBy("l_orderkey", "l_returnflag").agg(F.sort_array(F.collect_list(bid)).alias("bids")) \
+    # one shuffle by order serves both groupings and the join with the orders
+    lots = lines.repartition("l_orderkey").groupBy("l_orderkey", "l_returnflag").agg(F.sort_array(F.collect_list(bid)).alias("bids")) \
         .groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(
             F.col("l_returnflag").alias("lotId"), F.size("bids").alias("bidsCount"), F.col("bids")))).alias("lots"))
     orders = t.orders.select("o_orderkey", "o_orderpriority", F.col("o_custkey").alias("c_custkey"),
@@ -45,10 +46,15 @@ def order_tenders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_json_arrays(docs: DataFrame, path: str, key: str, files: int) -> None:
-    """S10 -- files that each hold one JSON array; ``files`` bounds what a reader's task holds (an array is read whole)."""
-    value = F.concat(F.lit("[\n"), F.array_join(F.collect_list(F.to_json(F.struct(*docs.columns))), ",\n"), F.lit("\n]"))
-    docs.groupBy(F.pmod(F.xxhash64(key), F.lit(files)).alias("part")).agg(value.alias("value")).select("value") \
-        .write.option("maxRecordsPerFile", 1).text(path)
+    """S10 -- gzip files that each hold one JSON array; ``files`` bounds what a reader's task holds (an array is read whole).
+
+    Documents are dealt to their files one by one and collected there: collected before the shuffle too, a task would hold
+    a list for every file, and sort and spill them.
+    """
+    value = F.concat(F.lit("[\n"), F.array_join(F.collect_list("doc"), ",\n"), F.lit("\n]"))
+    dealt = docs.select(F.pmod(F.xxhash64(key), F.lit(files)).alias("part"), F.to_json(F.struct(*docs.columns)).alias("doc")).repartition("part")
+    dealt.groupBy("part").agg(value.alias("value")).select("value") \
+        .write.option("maxRecordsPerFile", 1).option("compression", "gzip").text(path)
 
 
 def narrow(schema: T.DataType, paths: list[list[str]]) -> T.DataType:

@@ -72,3 +72,13 @@ def test_reindex_sets_conflicts_aside(spark, tmp_path):
     assert sorted((r.n, r.day, r.c) for r in bad.collect()) == [("2", "never", None), ("one", "2020-01-01", "y")]
     none_bad, empty = K.reindex(d.where("n = '1'"), str(tmp_path / "s"), {"n": "int"})
     assert none_bad.count() == 1 and empty.count() == 0
+
+
+def test_array_files_are_compressed_and_a_line_is_shuffled_once_by_order(spark, tmp_path):
+    TF.write_json_arrays(spark.range(50).withColumnRenamed("id", "n"), str(tmp_path / "t"), "n", 4)
+    files = [f for f in (tmp_path / "t").iterdir() if f.name.startswith("part-")]
+    assert len(files) == 4 and all(f.name.endswith(".gz") for f in files)
+    assert spark.read.schema("n long").json(str(tmp_path / "t"), multiLine=True).distinct().count() == 50
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    plan = TF.order_tenders(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(l_orderkey") == 1
