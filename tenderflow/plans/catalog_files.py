@@ -27,7 +27,7 @@ ORDERS_A_FILE = 2000
 def _tenders(spark, sf_dir: str, fields: list[str]) -> DataFrame:
     docs = TF.order_tenders(spark, sf_dir)
     path = scratch_path(spark, f"tenders-{uuid.uuid4().hex}")
-    TF.write_json_arrays(docs, path, "tender.id", Tables(spark, sf_dir).orders.count() // ORDERS_A_FILE + 1)
+    TF.write_json_arrays(docs, path, docs_a_file=ORDERS_A_FILE)
     return TF.read_json_arrays(spark, path, fields)
 
 

@@ -45,16 +45,34 @@ def order_tenders(spark: SparkSession, sf_dir: str) -> DataFrame:
         known("buyer", "second").alias("buyers"), F.col("lots")).alias("tender"))
 
 
-def write_json_arrays(docs: DataFrame, path: str, key: str, files: int) -> None:
-    """S10 -- gzip files that each hold one JSON array; ``files`` bounds what a reader's task holds (an array is read whole).
+def write_json_arrays(docs: DataFrame, path: str, key: str | None = None, files: int | None = None, docs_a_file: int | None = None) -> None:
+    """S10 -- gzip files that each hold one JSON array of bounded length, since a reader's task holds an array whole.
 
-    Documents are dealt to their files one by one and collected there: collected before the shuffle too, a task would hold
-    a list for every file, and sort and spill them.
+    With ``docs_a_file`` every task puts the documents it has into arrays of that many at most: nothing is shuffled. With
+    ``key`` and ``files`` documents are dealt to so many files one by one and collected there: collected before the shuffle
+    too, a task would hold a list for every file, and sort and spill them.
     """
-    value = F.concat(F.lit("[\n"), F.array_join(F.collect_list("doc"), ",\n"), F.lit("\n]"))
-    dealt = docs.select(F.pmod(F.xxhash64(key), F.lit(files)).alias("part"), F.to_json(F.struct(*docs.columns)).alias("doc")).repartition("part")
-    dealt.groupBy("part").agg(value.alias("value")).select("value") \
-        .write.option("maxRecordsPerFile", 1).option("compression", "gzip").text(path)
+    text = docs.select(*([F.pmod(F.xxhash64(key), F.lit(files)).alias("part")] if files else []), F.to_json(F.struct(*docs.columns)).alias("doc"))
+    if files:
+        value = F.concat(F.lit("[\n"), F.array_join(F.collect_list("doc"), ",\n"), F.lit("\n]"))
+        arrays = text.repartition("part").groupBy("part").agg(value.alias("value")).select("value")
+    else:
+        def chunks(batches):  # local, so that workers need no package of ours
+            import pyarrow as pa
+
+            def array(held):
+                return pa.RecordBatch.from_pydict({"value": ["[\n" + ",\n".join(held) + "\n]"]}, pa.schema([("value", pa.string())]))
+            held = []
+            for batch in batches:
+                for doc in batch.column(0).to_pylist():
+                    held.append(doc)
+                    if len(held) >= docs_a_file:
+                        yield array(held)
+                        held = []
+            if held:
+                yield array(held)
+        arrays = text.mapInArrow(chunks, "value string")
+    arrays.write.option("maxRecordsPerFile", 1).option("compression", "gzip").text(path)
 
 
 def narrow(schema: T.DataType, paths: list[list[str]]) -> T.DataType:

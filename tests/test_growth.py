@@ -1,10 +1,14 @@
 """Work that must not grow faster than the tables: shuffles, files and lookups of round 3."""
 
+import gzip
+import json
+
 from pyspark.sql import functions as F
 
 from tenderflow.operators import documents as DOC
 from tenderflow.plans import catalog as CAT
 from tenderflow.sources import json_docs as J
+from tenderflow.sources import tender_files as TF
 
 from .conftest import SF
 
@@ -24,3 +28,12 @@ def test_indicators_are_searched_outside_lambdas(spark):
     made = spark.createDataFrame([(-5, 2), (4, 3)], "a long, b long").select(J._indicators(["p", "q"], F.col("a"), F.col("b")).alias("x"))
     assert [[tuple(e) for e in r.x] for r in made.collect()] == [
         [("p", "CALCULATED", -100.0), ("q", "CALCULATED", -50.0)], [("p", "CALCULATED", 50.0), ("q", "INSUFFICIENT_DATA", None)]]
+
+
+def test_array_files_are_written_where_the_documents_are(spark, tmp_path):
+    docs = spark.range(0, 25, 1, 2).withColumnRenamed("id", "n").withColumn("s", F.lit('a "q"\n,'))
+    TF.write_json_arrays(docs, str(tmp_path / "t"), docs_a_file=5)
+    files = [json.loads(gzip.open(f, "rt", encoding="utf-8").read()) for f in (tmp_path / "t").iterdir() if f.name.startswith("part-")]
+    assert len(files) == 6 and max(map(len, files)) == 5 and sorted(x["n"] for f in files for x in f) == list(range(25))
+    back = spark.read.schema("n long, s string").json(str(tmp_path / "t"), multiLine=True)
+    assert back.count() == 25 and back.where(F.col("s") == 'a "q"\n,').count() == 25
