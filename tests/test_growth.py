@@ -5,10 +5,14 @@ import json
 
 from pyspark.sql import functions as F
 
+from tenderflow.functions import columns as C
 from tenderflow.operators import documents as DOC
 from tenderflow.plans import catalog as CAT
+from tenderflow.plans import tables as T
+from tenderflow.sources import dims as D
 from tenderflow.sources import json_docs as J
 from tenderflow.sources import tender_files as TF
+from tenderflow.sources.testdata_kg import build_graph
 
 from .conftest import SF
 
@@ -37,3 +41,15 @@ def test_array_files_are_written_where_the_documents_are(spark, tmp_path):
     assert len(files) == 6 and max(map(len, files)) == 5 and sorted(x["n"] for f in files for x in f) == list(range(25))
     back = spark.read.schema("n long, s string").json(str(tmp_path / "t"), multiLine=True)
     assert back.count() == 25 and back.where(F.col("s") == 'a "q"\n,').count() == 25
+
+
+def test_a_lots_table_is_dealt_by_its_key_once(spark):
+    keys = T.t_lot(build_graph(spark, SF), D.rates(spark, SF)).groupBy("LotId").count()
+    assert plan(keys).count("Exchange hashpartitioning(LotId") == 1 and "Exchange hashpartitioning(LotEst" not in plan(keys)
+
+
+def test_local_name_ends_alike(spark):
+    names = ["http://a/b#Lot_1", "http://a#b/c", "x", "", "a/", "a#", "a/b\n", None, "#/"]
+    got = spark.createDataFrame([(n,) for n in names], "c string").select(
+        C.local_name("c").alias("new"), F.when(F.col("c").isNotNull(), F.regexp_extract("c", r"([^/#]*)$", 1)).alias("old"))
+    assert "regexp_extract" not in plan(got.select("new")) and all(r.new == r.old for r in got.collect())
