@@ -7,8 +7,10 @@
    the quotient target / (2k + 1); the seats with the highest quotients (at least block / 2, which
    makes round(target / block) of them) win. Sorted by quotient they are dealt into shards of
    ``shard_blocks`` seats; counting them gives integer quotas per shard and source. Divisor methods
-   are house-monotone, so the quotas of the first shards are themselves an apportionment. Seats are made in rows of
-   at most ``SEATS_ROW`` spread over tasks, so no row or task holds all seats of a source.
+   are house-monotone, so the quotas of the first shards are themselves an apportionment. Seats are counted, not
+   made: the quotients are cut into cells of about ``shard_blocks / CELLS`` seats, a source's seats in a cell are a
+   range of k by arithmetic, and only in cells that a shard ends in are seats made and sorted. Ranges come from rows of
+   at most ``SEATS_ROW`` seats spread over tasks, so no row or task holds all seats of a source.
 4. Seeded selection: a source's documents stand in seeded hash order. Seat k takes the k-th block of
    the cyclic stream from a seeded start on: whole epochs first, then a run of blocks through a
    stream that is already shuffled. What a document gives is the overlap of its words with the blocks
@@ -25,7 +27,7 @@ empty table gives an empty result. Other input columns are carried by ``mix`` un
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.ranges import running_total
@@ -36,6 +38,8 @@ SHARD_BLOCKS = 16384
 #: most seats that one row is exploded into, most tasks that explode them
 SEATS_ROW = 100_000
 SEAT_TASKS = 10_000
+#: cells that the quotients of a shard's seats are cut into
+CELLS = 64
 EPOCHS = 3
 SEED = 20
 WORD = r"[^\x20\x09-\x0D]+"
@@ -99,10 +103,53 @@ def seats(src: DataFrame, block: int = BLOCK, shard_blocks: int = SHARD_BLOCKS)
     return at.select("source", "k", "quotient", F.floor(F.col("_at") / shard_blocks).cast("int").alias("shard"))
 
 
+def _cell(k: Column, scale: float) -> Column:
+    """Cell of seat ``k``: never falls as the quotient falls, to the last bit of both."""
+    return F.floor(F.lit(scale) / (F.col("target") / (k * 2 + 1))).cast("long")
+
+
+def _first_seat(cell: Column, scale: float) -> Column:
+    """The first seat of a source in ``cell`` or a later one: solved for k, then moved by the rounding, one at most."""
+    k = F.greatest(F.ceil((cell * (F.col("target") / scale) - 1) / 2).cast("long"), F.lit(1).cast("long"))
+    return F.when(_cell(k - 1, scale) >= cell, k - 1).when(_cell(k, scale) >= cell, k).otherwise(k + 1)
+
+
+def seat_ranges(src: DataFrame, block: int = BLOCK, shard_blocks: int = SHARD_BLOCKS, per_row: int = SEATS_ROW) -> DataFrame:
+    """(source, target, cell, first, last): every winning seat once, in ranges that lie in one cell of the quotients.
+
+    A source has a row for each cell that it has seats in, so never more rows than seats.
+    """
+    # seats up to a quotient q are about (sum of targets) / 2q
+    scale = (src.agg(F.sum("target")).first()[0] or 0.0) / 2 / max(1, shard_blocks // CELLS)
+    rows = seat_rows(src, block, per_row).withColumns({"lo": _cell(F.col("first"), scale), "hi": _cell(F.col("last"), scale)})
+    sparse, at = F.col("hi") - F.col("lo") > F.col("last") - F.col("first"), F.col("at")
+    rows = rows.withColumn("sparse", sparse).withColumn(
+        "at", F.explode(F.when(sparse, F.sequence("first", "last")).otherwise(F.sequence("lo", "hi"))))
+    return rows.select(
+        "source", "target", F.when(F.col("sparse"), _cell(at, scale)).otherwise(at).alias("cell"),
+        F.when(F.col("sparse"), at).otherwise(F.greatest("first", _first_seat(at, scale))).alias("first"),
+        F.when(F.col("sparse"), at).otherwise(F.least("last", _first_seat(at + 1, scale) - 1)).alias("last")) \
+        .where(F.col("first") <= F.col("last"))
+
+
 def quotas(src: DataFrame, block: int = BLOCK, shard_blocks: int = SHARD_BLOCKS) -> DataFrame:
-    """(shard, source, blocks, first_seat): integer quotas; seats of a source are numbered on across shards."""
-    return seats(src, block, shard_blocks).groupBy("shard", "source").agg(F.count("*").alias("blocks"),
-                                                                          F.min("k").alias("first_seat"))
+    """(shard, source, blocks, first_seat): integer quotas; seats of a source are numbered on across shards.
+
+    The shards are those of ``seats``, counted by ranges.
+    """
+    ranges = seat_ranges(src, block, shard_blocks)
+    n = F.col("last") - F.col("first") + 1
+    cells = running_total(ranges.groupBy("cell").agg(F.sum(n).alias("n")), ["cell"], F.col("n"), "_base")
+    end = F.col("_base") + F.col("n") - 1
+    cells = cells.select("cell", "_base", (F.floor(F.col("_base") / shard_blocks) < F.floor(end / shard_blocks)).alias("cut"))
+    # a range of a cell that a shard ends in falls into its seats, one of another cell stays whole
+    k = F.explode(F.when(F.col("cut"), F.sequence("first", "last")).otherwise(F.array("first")))
+    dealt = ranges.join(cells.hint("merge"), "cell").select("cell", "_base", "cut", "source", "target", k.alias("k"),
+                                              F.when(F.col("cut"), 1).otherwise(n).cast("long").alias("n"))
+    order = Window.partitionBy("cell").orderBy(-F.col("target") / (F.col("k") * 2 + 1), F.col("source").isNull(), "source", "k")
+    at = F.col("_base") + F.when(F.col("cut"), F.row_number().over(order) - 1).otherwise(0)
+    return dealt.withColumn("shard", F.floor(at / shard_blocks).cast("int")).groupBy("shard", "source") \
+        .agg(F.sum("n").alias("blocks"), F.min("k").alias("first_seat"))
 
 
 def _start(seed: int) -> Column:

@@ -98,3 +98,16 @@ def test_seats_of_a_hot_source_are_made_in_bounded_rows(spark):
     got = M.quotas(some, block=1, shard_blocks=10 ** 9).collect()
     assert {(r.source, r.blocks, r.first_seat) for r in got} == {("x", 250_001, 0), ("y", 7, 0)}
     assert M.seats(some, block=1).select("k").distinct().count() == 250_001
+
+
+def test_quotas_count_seats_without_making_them(spark):
+    from pyspark.sql import functions as F
+    hot = spark.createDataFrame([("hot", 2_000_000.3), ("a", 640.0), (None, 90_400.0), ("none", 0.4), ("b", 640.0)], "source string, target double")
+    many = spark.createDataFrame([(f"s{i}", 1.7 ** (i % 23)) for i in range(120)] + [(None, 777.7)], "source string, target double")
+    for src, block, shard_blocks in ((hot, 1, M.SHARD_BLOCKS), (many, 2, 100), (many, 2, 10 ** 9)):
+        seats = M.seats(src, block, shard_blocks).groupBy("shard", "source").agg(F.count("*").alias("blocks"), F.min("k").alias("first_seat"))
+        want = sorted(map(str, seats.collect()))
+        assert want and want == sorted(map(str, M.quotas(src, block, shard_blocks).collect()))
+    # a row for each cell and source, not for each seat
+    ranges = M.seat_ranges(hot, 1).agg(F.count("*"), F.sum(F.expr("last - first + 1")), F.max(F.expr("last - first"))).first()
+    assert ranges[0] < 20_000 and ranges[1] == 2_000_000 + 640 + 90_400 + 640 and ranges[2] < 1000
