@@ -2,8 +2,10 @@
 
 import contextlib
 import io
+import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from tenderflow.operators.graph import match, optional, pattern
 from tenderflow.operators.star import node, star, text, value
@@ -104,3 +106,39 @@ def test_plans_are_short_and_the_window_reaches_the_scan(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_customers_are_distinct_by_the_columns_inside_their_texts(spark, tmp_path, monkeypatch):
+    rows_of = {"orders": spark.read.parquet(f"{SF}/orders.parquet").limit(40), "supplier": spark.read.parquet(f"{SF}/supplier.parquet").limit(8)}
+    keys = rows_of["orders"].selectExpr("o_orderkey as l_orderkey").crossJoin(rows_of["supplier"].selectExpr("s_suppkey as l_suppkey"))
+    line = spark.read.parquet(f"{SF}/lineitem.parquet").limit(3).drop("l_orderkey", "l_suppkey").crossJoin(keys)
+    rows_of["lineitem"] = line.union(line.selectExpr(*[f"{c} + 480 * 4 as {c}" if c == "l_partkey" else c for c in line.columns])) \
+        .selectExpr(*[f"nullif({c}, 1) as {c}" if c == "l_linenumber" else c for c in spark.read.parquet(f"{SF}/lineitem.parquet").columns])
+    # rows that repeat, two suppliers of one name, one named as another's second name
+    named = {0: "s_name", 1: "'Fournisseur 3'", 2: "'twin'", 3: "'twin'"}
+    rows_of["supplier"] = rows_of["supplier"].selectExpr(*[
+        "case s_suppkey % 4 " + " ".join(f"when {k} then {v}" for k, v in named.items()) + " end as s_name" if c == "s_name" else
+        "9.5d as s_acctbal" if c == "s_acctbal" else c for c in rows_of["supplier"].columns])
+    rows_of["supplier"] = rows_of["supplier"].union(rows_of["supplier"].limit(3))
+    for f in os.listdir(SF):
+        if (t := f.removesuffix(".parquet")) in rows_of:
+            rows_of[t].write.parquet(str(tmp_path / f))
+        else:
+            os.symlink(f"{SF}/{f}", tmp_path / f)
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        g = build_graph(spark, str(tmp_path))
+        got = R.q26_potential_customers(g)
+        plan = explained(got)
+        assert plan.count("Exchange hashpartitioning") == 4 and "Exchange hashpartitioning(LotCPV" not in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    monkeypatch.setattr(R, "distinct_star", lambda g, root, names, **casts: star(g, root).select(
+        *[F.col(c).cast(casts.get(c, "string")) for c in names]).distinct())
+    want = R.q26_potential_customers(g)
+    assert got.columns == want.columns and got.dtypes == want.dtypes
+    assert rows(got) == rows(want) and 100 < got.count() == got.distinct().count() < rows_of["lineitem"].count() * 2
