@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tenderflow.sources import bulk as B
 from tenderflow.sources import triples as TR
 from tenderflow.sources.testdata_kg import build_graph
 from tenderflow.vocab import V
@@ -33,3 +34,32 @@ def test_an_iri_of_several_columns_is_minted_once(spark):
     term = TR.Term("x", F.concat(F.lit("x"), "a", F.lit("-"), "b"), parts=(F.col("a"), F.col("b")))
     both = [TR.Mapped(TR.Rows("r", lambda: rows), t, F.concat(F.lit("o"), F.col("a"))) for t in (term, TR.Term("x", term.col))]
     assert [[(r.s, r.o) for r in b.frame().collect()] for b in both] == [[("x1-2", "o1")]] * 2
+
+
+def test_triples_of_a_class_read_its_rules_only(spark):
+    def unread():
+        raise AssertionError("another rule's rows were read")
+    ids = spark.range(3)
+    a, b = (TR.Term(k, F.concat(F.lit(f"http://x/{k}"), F.col("id")), parts=(F.col("id"),)) for k in "ab")
+    rows, other = TR.Rows("r", lambda: ids), TR.Rows("r", unread)
+    loose = lambda: TR.branch(ids, F.concat(F.lit("http://x/"), F.when(F.col("id") < 2, "a").otherwise("b"), F.col("id")), F.lit("v"), "literal")
+    branches = {"p": [lambda: TR.Mapped(rows, a, b), lambda: TR.Mapped(other, b, a), loose, lambda: TR.About("b", unread)],
+                (TR.RDF_TYPE, "A"): [lambda: TR.Mapped(rows, a, F.lit("A"))], (TR.RDF_TYPE, "B"): [lambda: TR.Mapped(other, b, F.lit("B"))]}
+    g = TR.Graph(spark, branches=branches, class_patterns={"A": "^http://x/a"})
+    got = sorted((r.s, r.p, r.o) for r in g.triples(of="A").collect())
+    assert got == sorted([(f"http://x/a{k}", "p", f"http://x/b{k}") for k in range(3)] + [(f"http://x/a{k}", TR.RDF_TYPE, "A") for k in range(3)]
+                         + [(f"http://x/a{k}", "p", "v") for k in range(2)])
+    stored = TR.Graph(spark, triples=build_graph(spark, SF).triples(of=V["ResultNotice"]))
+    assert stored.triples(of=V["ResultNotice"]).count() == stored.triples().count()
+    assert stored.triples().count() == build_graph(spark, SF).triples().where(F.col("s").endswith("_Notice")).count()
+
+
+def test_a_status_takes_one_pass_over_the_text(spark, tmp_path, monkeypatch):
+    frame, plans = type(spark.range(1)), []
+    kept = frame.checkpoint
+    monkeypatch.setattr(frame, "checkpoint", lambda self, *a, **k: plans.append(plan(self)) or kept(self, *a, **k))
+    text = '<http://x/a> <http://x/p> "1" <http://x/n> .\n<http://x/a> <http://x/p> "1 <http://x/n> .\n'
+    (tmp_path / "text").mkdir()
+    (tmp_path / "text" / "a.txt").write_text(text)
+    got = B.load_quads(spark, str(tmp_path / "text"), str(tmp_path / "store"))
+    assert plans[0].count("Scan text") == 1 and [tuple(r) for r in got.collect()] == [("http://x/n", 2, 1, "quarantined")]
