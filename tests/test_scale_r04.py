@@ -2,6 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from tenderflow.operators import taxonomy as TX
+from tenderflow.plans import lots as X
+from tenderflow.session import settings
 from tenderflow.sources import bulk as B
 from tenderflow.sources import triples as TR
 from tenderflow.sources.testdata_kg import build_graph
@@ -63,3 +66,28 @@ def test_a_status_takes_one_pass_over_the_text(spark, tmp_path, monkeypatch):
     (tmp_path / "text" / "a.txt").write_text(text)
     got = B.load_quads(spark, str(tmp_path / "text"), str(tmp_path / "store"))
     assert plans[0].count("Scan text") == 1 and [tuple(r) for r in got.collect()] == [("http://x/n", 2, 1, "quarantined")]
+
+
+def test_lots_are_dealt_by_their_order_alone(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    with settings(spark, conf | X.in_place(spark)):
+        dealt = plan(X.build_lots(build_graph(spark, SF)))
+    assert dealt.count("Exchange hashpartitioning") <= 9 and "Exchange hashpartitioning(lot" not in dealt
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    g = build_graph(spark, SF)
+    g.mapping.dealt.clear()  # where no such column is known the lots are the same
+    with settings(spark, X.in_place(spark)):
+        same = [sorted(map(str, X.build_lots(x).collect())) for x in (g, build_graph(spark, SF))]
+    assert same[0] == same[1] and len(same[0]) > 5000
+
+
+def test_equal_code_lists_are_worked_out_once(spark):
+    dim = TX.cpv_dim(spark.createDataFrame([("63712000", "a"), ("63710000", "b"), ("63700000", "c"), ("63000000", "d")], "code string, label string"))
+    lots = spark.range(1000).select("id", F.when(F.col("id") % 5 == 0, F.array()).when(F.col("id") % 5 < 4, F.array(
+        F.lit("63712000"), F.when(F.col("id") % 2 == 0, "x").otherwise("63710000"))).alias("codes"))
+    out = TX.cpv_list_columns(lots, "id", "codes", dim)
+    assert "Exchange hashpartitioning" not in plan(out) and "BroadcastHashJoin" in plan(out)
+    got = {r.id: r for r in out.collect()}
+    assert len(got) == 1000 and got[5].codes is got[4].codes is got[0].cpv0 is None
+    assert (got[1].codes, got[1].cpv_level, got[1].cpv_parent, got[1].cpv1, got[1].cpv4) == (["a", "b"], [3, 2], ["c", "b"], ["c"], None)
+    assert (got[2].codes, got[2].cpv_level, got[2].cpv3) == (["a", None], [3, None], ["a"])
