@@ -91,3 +91,14 @@ def test_equal_code_lists_are_worked_out_once(spark):
     assert len(got) == 1000 and got[5].codes is got[4].codes is got[0].cpv0 is None
     assert (got[1].codes, got[1].cpv_level, got[1].cpv_parent, got[1].cpv1, got[1].cpv4) == (["a", "b"], [3, 2], ["c", "b"], ["c"], None)
     assert (got[2].codes, got[2].cpv_level, got[2].cpv3) == (["a", None], [3, None], ["a"])
+
+
+def test_stored_iris_are_written_as_what_differs(spark, tmp_path):
+    import pyarrow.parquet as pq
+    ids = spark.range(0, 60000, 1, 1)
+    g = TR.Graph(spark, branches={"http://x/p": [lambda: TR.branch(ids, F.concat(F.lit("http://x/a_"), F.col("id")), F.concat(F.lit("http://x/b_"), F.col("id")))]})
+    TR.write_triples(g, str(tmp_path / "g"))
+    (file,) = (tmp_path / "g").rglob("part-*")
+    assert "DELTA_BYTE_ARRAY" in pq.ParquetFile(file).metadata.row_group(0).column(0).encodings
+    back = TR.read_triples(spark, str(tmp_path / "g"), dedup=False)[0].pred("http://x/p")
+    assert back.join(ids, F.col("s") == F.concat(F.lit("http://x/a_"), F.col("id"))).where(F.col("o") == F.concat(F.lit("http://x/b_"), F.col("id"))).count() == 60000
